@@ -65,7 +65,7 @@ def iso_utc(x, strict: bool = False) -> Column:
     """
     s = _c(x).cast("string")
     instant = F.to_timestamp(s) if strict else F.try_to_timestamp(s)
-    return F.convert_timezone(F.lit("UTC"), instant.cast("timestamp_ntz"))
+    return F.convert_timezone(None, F.lit("UTC"), instant.cast("timestamp_ntz"))
 
 
 def id_text(x) -> Column:

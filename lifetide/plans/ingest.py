@@ -1 +1,111 @@
-"""Ingestion plans: flatten, dedup, upsert, cursors (registered into the catalog)."""
+"""Ingestion plans: flatten, cursors, dedup, upsert, store fan-in."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lifetide.functions import scalars as X
+from lifetide.operators import flatten as P
+from lifetide.plans.catalog import query
+from lifetide.sources import payloads as PL
+from lifetide.sources.bridge import Bridge
+
+
+def _money_as_double(df: DataFrame) -> DataFrame:
+    """Reports carry money as DOUBLE (cast once, at the end)."""
+    return df.select(*[F.col(f.name).cast("double").alias(f.name)
+                       if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+def _customers(spark, base):
+    return P.flatten_customers(PL.customer_payloads(Bridge(spark, base)))
+
+
+def _orders(spark, base, with_lines=True):
+    return P.flatten_orders(PL.order_payloads(Bridge(spark, base), with_lines=with_lines))
+
+
+# ------------------------------------------------------------------ flatten
+@query("flatten_customers")
+def flatten_customers(spark, base):
+    return _money_as_double(_customers(spark, base).drop("note"))
+
+
+@query("marketing_consent")
+def marketing_consent(spark, base):
+    return _customers(spark, base).select("customer_id", "accepts_marketing")
+
+
+@query("field_defaults")
+def field_defaults(spark, base):
+    return _customers(spark, base).select("customer_id", "orders_count", "customer_state",
+                                          "verified_email", "tax_exempt", "currency")
+
+
+@query("tags_json")
+def tags_json(spark, base):
+    return _customers(spark, base).select("customer_id", "tags")
+
+
+@query("store_tagging")
+def store_tagging(spark, base):
+    return _customers(spark, base).select("store_id", "customer_id")
+
+
+FLAT_ORDER_COLUMNS = [
+    "store_id", "order_id", "customer_id", "order_number", "total_price", "subtotal_price",
+    "total_tax", "total_discounts", "currency", "financial_status", "test", "taxes_included",
+    "total_weight", "total_items", "tags", "shipping_name", "shipping_address1", "shipping_city",
+    "shipping_country", "shipping_zip", "created_at", "updated_at", "processed_at", "cancelled_at",
+]
+
+
+@query("flatten_orders")
+def flatten_orders(spark, base):
+    return _money_as_double(_orders(spark, base).select(*FLAT_ORDER_COLUMNS))
+
+
+@query("money_parse")
+def money_parse(spark, base):
+    o = _orders(spark, base, with_lines=False)
+    return _money_as_double(o.select("order_id", "total_price", "subtotal_price", "total_tax",
+                                     "total_discounts"))
+
+
+@query("iso_timestamps")
+def iso_timestamps(spark, base):
+    o = _orders(spark, base, with_lines=False)
+    return o.select("order_id", "created_at", "updated_at", "processed_at", "cancelled_at")
+
+
+FLAT_ITEM_COLUMNS = [
+    "store_id", "order_item_id", "order_id", "product_id", "variant_id", "title", "quantity",
+    "price", "sku", "requires_shipping", "taxable", "gift_card", "fulfillment_status", "grams",
+    "total_discount", "created_at",
+]
+
+
+@query("explode_line_items")
+def explode_line_items(spark, base):
+    items = P.explode_line_items(PL.order_payloads(Bridge(spark, base)))
+    return _money_as_double(items.select(*FLAT_ITEM_COLUMNS))
+
+
+@query("id_normalize")
+def id_normalize(spark, base):
+    items = P.explode_line_items(PL.order_payloads(Bridge(spark, base)))
+    return items.select("order_item_id", "order_id", "product_id", "variant_id")
+
+
+@query("flatten_checkouts")
+def flatten_checkouts(spark, base):
+    c = P.flatten_checkouts(PL.checkout_payloads(Bridge(spark, base)))
+    return _money_as_double(c.select("store_id", "checkout_id", "customer_id", "email", "total_price",
+                                     "currency", "completed_at", "created_at", "abandoned_at",
+                                     "recovery_url"))
+
+
+__all__ = ["X"]
