@@ -7,10 +7,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lifetide.functions import scalars as X
+from lifetide.operators import dedup as D
 from lifetide.operators import flatten as P
+from lifetide.operators import quality as Q
+from lifetide.operators import upsert as U
 from lifetide.plans.catalog import query
+from lifetide.schemas import MONEY, ORDER_PAYLOAD
+from lifetide.sources import incremental as I
 from lifetide.sources import payloads as PL
-from lifetide.sources.bridge import Bridge
+from lifetide.sources.bridge import ORDER_SNAPSHOT_BEFORE, RECENT_PAGE_FROM, Bridge, store_of
 
 
 def _money_as_double(df: DataFrame) -> DataFrame:
@@ -108,4 +113,158 @@ def flatten_checkouts(spark, base):
                                      "recovery_url"))
 
 
+# ------------------------------------------------------------- dedup
+def _line_update_feed(b: Bridge) -> DataFrame:
+    """Line-item records as delivered: (order, line) repeats; the landing
+    sequence of a record is (part, supplier)."""
+    li = b.lineitems(["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                      "l_extendedprice", "l_discount", "l_shipdate"])
+    return li.select(
+        F.col("l_orderkey").cast("string").alias("order_id"),
+        F.col("l_linenumber").alias("line_number"),
+        F.col("l_partkey").cast("string").alias("product_id"),
+        F.col("l_suppkey").cast("string").alias("variant_id"),
+        F.col("l_quantity").cast("int").alias("quantity"),
+        (F.col("l_extendedprice").cast(MONEY) * F.col("l_discount").cast("decimal(4,2)"))
+        .cast(MONEY).alias("total_discount"),
+        F.col("l_shipdate").alias("updated_at"),
+        (F.col("l_partkey") * 1_000_000 + F.col("l_suppkey")).alias("ingest_seq"))
+
+
+@query("latest_per_key")
+def latest_per_key(spark, base):
+    feed = _line_update_feed(Bridge(spark, base))
+    out = D.latest_per_key(feed, ["order_id", "line_number"], ["updated_at", "ingest_seq"],
+                           drop=["ingest_seq"])
+    return _money_as_double(out)
+
+
+@query("dedup_keep_last")
+def dedup_keep_last(spark, base):
+    e = Bridge(spark, base).raw("events", ["event_id", "ts", "user_id", "event_type", "value"])
+    feed = e.select(F.col("user_id").cast("string").alias("customer_id"), "event_id",
+                    "event_type", "value", "ts")
+    return D.dedup_keep_last(feed, ["customer_id"], "event_id")
+
+
+# ------------------------------------------------------------ upsert (K3-K6)
+def _order_update_batch(b: Bridge) -> DataFrame:
+    """Order changes staged from the item feed: one record per line, so an
+    order arrives several times; the newest ship date wins."""
+    li = b.lineitems(["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag",
+                      "l_shipdate"])
+    o = b.raw("orders", ["o_orderkey", "o_custkey", "o_totalprice"])
+    status = (F.when(F.col("l_returnflag") == "R", F.lit("refunded"))
+              .when(F.col("l_returnflag") == "A", F.lit("paid")).otherwise(F.lit("pending")))
+    return (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
+            .select(store_of("o_custkey").alias("store_id"),
+                    F.col("o_orderkey").cast("string").alias("order_id"),
+                    F.col("o_custkey").cast("string").alias("customer_id"),
+                    F.col("o_totalprice").cast(MONEY).alias("total_price"),
+                    status.alias("financial_status"),
+                    F.col("l_shipdate").alias("updated_at"),
+                    "l_linenumber", "l_partkey", "l_suppkey"))
+
+
+@query("upsert_latest_orders")
+def upsert_latest_orders(spark, base):
+    b = Bridge(spark, base)
+    target = (b.orders().filter(F.col("created_at") < X.ts_lit(ORDER_SNAPSHOT_BEFORE))
+              .select("store_id", "order_id", "customer_id", "total_price", "financial_status",
+                      "order_priority", "created_at", "updated_at"))
+    seq = ["l_linenumber", "l_partkey", "l_suppkey"]
+    out = U.upsert(target, _order_update_batch(b), ["store_id", "order_id"],
+                   newest_first=["updated_at", *seq], drop=seq)
+    return _money_as_double(out)
+
+
+@query("upsert_partial_customers")
+def upsert_partial_customers(spark, base):
+    b = Bridge(spark, base)
+    target = b.customers().select("store_id", "customer_id", "email", "first_name", "last_name",
+                                  "customer_state", "accepts_marketing", "total_spent")
+    e = b.raw("events", ["event_id", "ts", "user_id", "event_type", "value"])
+    batch = (e.filter(F.col("event_type") == "signup")
+             .select(store_of("user_id").alias("store_id"),
+                     F.col("user_id").cast("string").alias("customer_id"),
+                     F.concat(F.lit("user"), F.col("user_id").cast("string"),
+                              F.lit("@signup.example")).alias("email"),
+                     (F.col("value") > 50).alias("accepts_marketing"),
+                     F.col("ts").alias("updated_at"), "event_id"))
+    out = U.upsert(target, batch, ["store_id", "customer_id"],
+                   newest_first=["updated_at", "event_id"], drop=["event_id"])
+    return _money_as_double(out)
+
+
+@query("upsert_keep_missing")
+def upsert_keep_missing(spark, base):
+    b = Bridge(spark, base)
+    target = b.customers().select("store_id", "customer_id", "email", "first_name", "last_name",
+                                  "total_spent", "orders_count", "status")
+    e = b.raw("events", ["event_id", "ts", "user_id", "event_type", "value"])
+    batch = (e.filter(F.col("event_type") == "view")
+             .select(store_of("user_id").alias("store_id"),
+                     F.col("user_id").cast("string").alias("customer_id"),
+                     F.when(F.pmod("event_id", F.lit(3)) != 0,
+                            F.concat(F.lit("v"), F.col("user_id").cast("string"),
+                                     F.lit("@view.example"))).alias("email"),
+                     F.lit(None).cast("string").alias("first_name"),
+                     F.when(F.pmod("event_id", F.lit(2)) == 0, F.col("value").cast(MONEY))
+                     .alias("total_spent"),
+                     F.col("ts").alias("updated_at"), "event_id"))
+    out = U.upsert_keep_missing(target, batch, ["store_id", "customer_id"],
+                                newest_first=["updated_at", "event_id"],
+                                new_defaults=U.new_customer_defaults(), drop=["event_id"])
+    return _money_as_double(out)
+
+
+@query("new_orders_only")
+def new_orders_only(spark, base):
+    b = Bridge(spark, base)
+    cols = ["store_id", "order_id", "customer_id", "total_price", "created_at"]
+    o = b.orders()
+    target = o.filter(F.col("created_at") < X.ts_lit(ORDER_SNAPSHOT_BEFORE)).select(*cols)
+    page = (o.filter(F.col("created_at") >= X.ts_lit(RECENT_PAGE_FROM))
+            .withColumn("total_price", (F.col("total_price") + F.lit(1)).cast(MONEY))
+            .select(*cols))
+    fresh = U.insert_if_absent(target, page, ["store_id", "order_id"])
+    out = (target.withColumn("origin", F.lit("stored"))
+           .unionByName(fresh.withColumn("origin", F.lit("inserted"))))
+    return _money_as_double(out)
+
+
+# ------------------------------------------------------------ cursors
+@query("incremental_since_id")
+def incremental_since_id(spark, base):
+    o = Bridge(spark, base).orders()
+    marks = I.marks_of(o.filter(F.col("created_at") < X.ts_lit(ORDER_SNAPSHOT_BEFORE)), "order_id")
+    batch = I.since(o, "order_id", marks)
+    read = batch.groupBy("store_id").agg(F.count(F.lit(1)).alias("rows_read"))
+    nxt = I.advance(marks, batch, "order_id").withColumnRenamed("since_id", "next_since_id")
+    return (marks.join(read, "store_id", "full_outer").join(nxt, "store_id", "full_outer")
+            .select("store_id", "since_id",
+                    F.coalesce("rows_read", F.lit(0)).cast("long").alias("rows_read"),
+                    "next_since_id"))
+
+
+# ------------------------------------------------------ stores
+@query("unknown_stores")
+def unknown_stores(spark, base):
+    b = Bridge(spark, base)
+    r = b.raw("region", ["r_regionkey"])
+    requests = r.select(F.col("r_regionkey").alias("request_id"), store_of("r_regionkey").alias("store_id")) \
+        .unionByName(r.select(F.col("r_regionkey").alias("request_id"),
+                              F.concat(F.lit("store_"), (F.col("r_regionkey") + 3).cast("string"))
+                              .alias("store_id")))
+    return Q.unknown_stores(requests, b.customers())
+
+
+@query("store_load_status")
+def store_load_status(spark, base):
+    feed = P.parse(PL.order_payloads(Bridge(spark, base), with_lines=False, junk_every=4999),
+                   ORDER_PAYLOAD)
+    loaded, quarantined = Q.quarantine_orders(feed)
+    return Q.load_status(P.flatten_orders(loaded), quarantined, "orders")
+
+
 __all__ = ["X"]

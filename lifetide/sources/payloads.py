@@ -122,7 +122,9 @@ def _line_pages(b: Bridge) -> DataFrame:
             .agg(F.collect_list(item).alias("line_items")))
 
 
-def order_payloads(b: Bridge, with_lines: bool = True) -> DataFrame:
+def order_payloads(b: Bridge, with_lines: bool = True, junk_every: int | None = None) -> DataFrame:
+    """Order payloads; ``junk_every=n`` makes the total of every order whose
+    key is a multiple of n unreadable ('n/a'), as a malformed feed would."""
     o = b.raw("orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                          "o_orderdate", "o_orderpriority"])
     k = _k("o_orderkey")
@@ -141,7 +143,8 @@ def order_payloads(b: Bridge, with_lines: bool = True) -> DataFrame:
         F.concat(F.lit("#"), k.cast("string")).alias("name"),
         F.when(_mod(k, 9) != 0, k).alias("order_number"),
         F.when(_mod(k, 50) != 0, F.struct(F.col("o_custkey").alias("id"))).alias("customer"),
-        F.when(_mod(k, 31) != 0, money_text(F.col("o_totalprice"))).otherwise(F.lit(""))
+        (F.when(_mod(k, junk_every) == 0, F.lit("n/a")) if junk_every else F.when(F.lit(False), F.lit("")))
+        .when(_mod(k, 31) != 0, money_text(F.col("o_totalprice"))).otherwise(F.lit(""))
         .alias("total_price"),
         F.when(_mod(k, 4) == 0, F.lit("5.00")).alias("total_discounts"),
         fin.alias("financial_status"),
