@@ -54,10 +54,10 @@ def unknown_stores(requests: DataFrame, registry: DataFrame) -> DataFrame:
             .select("request_id", "store_id", "known", (F.col("_all") == 1).alias("accepted")))
 
 
-def quarantine_orders(flat_payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split parsed order payloads into loadable rows and quarantined rows
-    (K9): unparseable JSON, a missing id, junk money text or an unreadable
-    created_at send a row to quarantine instead of failing the job."""
+def flag_orders(parsed: DataFrame) -> DataFrame:
+    """Add ``quarantined``: unparseable JSON, a missing id, junk money text
+    or an unreadable created_at (K9).  Such a row is set aside instead of
+    failing the whole job."""
     p = F.col("p")
     bad = (p.isNull() | F.col("p.id").isNull()
            | ~X.money_is_valid(F.col("p.total_price"))
@@ -65,20 +65,26 @@ def quarantine_orders(flat_payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
            | ~X.money_is_valid(F.col("p.total_tax"))
            | ~X.money_is_valid(F.col("p.total_discounts"))
            | (F.col("p.created_at").isNotNull() & X.iso_utc(F.col("p.created_at")).isNull()))
-    flagged = flat_payloads.withColumn("_bad", bad)
-    return flagged.filter(~F.col("_bad")).drop("_bad"), flagged.filter(F.col("_bad")).drop("_bad")
+    return parsed.withColumn("quarantined", bad)
 
 
-def load_status(loaded: DataFrame, quarantined: DataFrame, table_name: str) -> DataFrame:
-    """Per store: rows loaded, rows quarantined, success (no quarantined row).
-    One set-based job for all stores (K9)."""
-    a = loaded.groupBy("store_id").agg(F.count(F.lit(1)).alias("rows_loaded"))
-    b = quarantined.groupBy("store_id").agg(F.count(F.lit(1)).alias("rows_quarantined"))
-    return (a.join(b, "store_id", "full_outer")
+def load_status(flagged: DataFrame, table_name: str) -> DataFrame:
+    """Per store: rows loaded, rows quarantined, success (no quarantined
+    row) -- one aggregate over the flagged rows, all stores in one job (K9)."""
+    q = F.col("quarantined").cast("long")
+    return (flagged.groupBy("store_id")
+            .agg(F.sum(F.lit(1) - q).alias("rows_loaded"), F.sum(q).alias("rows_quarantined"))
             .select("store_id", F.lit(table_name).alias("table_name"),
-                    F.coalesce("rows_loaded", F.lit(0)).cast("long").alias("rows_loaded"),
-                    F.coalesce("rows_quarantined", F.lit(0)).cast("long").alias("rows_quarantined"))
-            .withColumn("success", F.col("rows_quarantined") == 0))
+                    F.col("rows_loaded").cast("long").alias("rows_loaded"),
+                    F.col("rows_quarantined").cast("long").alias("rows_quarantined"),
+                    (F.col("rows_quarantined") == 0).alias("success")))
+
+
+def write_with_quarantine(flagged: DataFrame, path: str) -> None:
+    """Write loadable and quarantined rows in ONE pass, split by folder
+    (``quarantined=false`` / ``quarantined=true``), so the parse is never
+    computed twice."""
+    flagged.write.mode("append").partitionBy("quarantined", "store_id").parquet(path)
 
 
 def column_listing(df: DataFrame, spark: SparkSession, expected: T.StructType | None = None) -> DataFrame:

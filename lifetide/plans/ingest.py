@@ -263,8 +263,7 @@ def unknown_stores(spark, base):
 def store_load_status(spark, base):
     feed = P.parse(PL.order_payloads(Bridge(spark, base), with_lines=False, junk_every=4999),
                    ORDER_PAYLOAD)
-    loaded, quarantined = Q.quarantine_orders(feed)
-    return Q.load_status(P.flatten_orders(loaded), quarantined, "orders")
+    return Q.load_status(Q.flag_orders(feed), "orders")
 
 
 __all__ = ["X"]

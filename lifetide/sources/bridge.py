@@ -58,6 +58,20 @@ def _fin_status(col: str) -> Column:
     return expr
 
 
+def spread_input(df: DataFrame) -> DataFrame:
+    """Round-robin a scan over all cores when it has fewer input splits than
+    cores, before expensive per-row work (JSON rendering and parsing).
+
+    A small file with one Parquet row group is one split, so its stage would
+    run in a single task.  At scale a table has thousands of splits and this
+    is a no-op: the check reads only the planned partition count.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 class Bridge:
     """Lazy views of the commerce model over one driver data folder."""
 
@@ -65,8 +79,14 @@ class Bridge:
         self.spark = spark
         self.base = base
 
-    def raw(self, name: str, columns: list[str] | None = None) -> DataFrame:
-        return read_table(self.spark, self.base, name, columns)
+    # fact tables whose per-row work (keys, JSON) is worth spreading
+    SPREAD = ("lineitem", "orders")
+
+    def raw(self, name: str, columns: list[str] | None = None, spread: bool | None = None) -> DataFrame:
+        df = read_table(self.spark, self.base, name, columns)
+        if spread is None:
+            spread = name in self.SPREAD
+        return spread_input(df) if spread else df
 
     # ----------------------------------------------------------- customers
     def customers(self) -> DataFrame:
@@ -110,8 +130,8 @@ class Bridge:
         )
 
     # --------------------------------------------------------- order items
-    def lineitems(self, columns: list[str]) -> DataFrame:
-        return self.raw("lineitem", columns)
+    def lineitems(self, columns: list[str], spread: bool | None = None) -> DataFrame:
+        return self.raw("lineitem", columns, spread=spread)
 
     def order_items(self, with_part: bool = True) -> DataFrame:
         """Line items; ``with_part`` adds title and unit price from ``part``."""

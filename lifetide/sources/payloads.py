@@ -56,7 +56,7 @@ def customer_created(key: Column) -> Column:
 
 
 def customer_payloads(b: Bridge) -> DataFrame:
-    c = b.raw("customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"])
+    c = b.raw("customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"], spread=True)
     n = b.raw("nation", ["n_nationkey", "n_name"])
     k = _k("c_custkey")
     created = customer_created(k)
@@ -98,7 +98,7 @@ def _line_pages(b: Bridge) -> DataFrame:
     line modulo the order's page count, so even an order holding a third of
     all lines is split into bounded pages; no group grows with the data."""
     li = b.lineitems(["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-                      "l_extendedprice", "l_discount", "l_linestatus", "l_shipdate"])
+                      "l_extendedprice", "l_discount", "l_linestatus", "l_shipdate"], spread=True)
     per_order = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
     pages = F.greatest(F.ceil(F.col("n_lines") / F.lit(LINE_PAGE_SIZE)), F.lit(1))
     page = F.pmod(F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"), pages)
@@ -126,7 +126,7 @@ def order_payloads(b: Bridge, with_lines: bool = True, junk_every: int | None =
     """Order payloads; ``junk_every=n`` makes the total of every order whose
     key is a multiple of n unreadable ('n/a'), as a malformed feed would."""
     o = b.raw("orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-                         "o_orderdate", "o_orderpriority"])
+                         "o_orderdate", "o_orderpriority"], spread=True)
     k = _k("o_orderkey")
     created = F.col("o_orderdate")
     fin = (F.when(F.col("o_orderstatus") == "F", F.lit("paid"))
@@ -171,7 +171,7 @@ def order_payloads(b: Bridge, with_lines: bool = True, junk_every: int | None =
 
 
 def checkout_payloads(b: Bridge) -> DataFrame:
-    e = b.raw("events", ["event_id", "ts", "user_id", "event_type", "value"])
+    e = b.raw("events", ["event_id", "ts", "user_id", "event_type", "value"], spread=True)
     k = _k("event_id")
     fmt = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
     payload = F.struct(
