@@ -37,32 +37,41 @@ def _store(df: DataFrame) -> Column:
     return F.col("store_id") if "store_id" in df.columns else F.lit(None).cast("string")
 
 
-def flatten_customers(df: DataFrame) -> DataFrame:
+def flatten_customers(df: DataFrame, defaults: bool = True) -> DataFrame:
     """Customer payload -> customers row.
 
     The nested default_address yields NULL country/province/city/zip when
     absent; the marketing flag comes from the consent object (False when
-    absent); the API field ``state`` lands in ``customer_state``."""
+    absent); the API field ``state`` lands in ``customer_state``.
+    ``defaults=False`` leaves missing fields NULL (and money unparsed-missing
+    as NULL) so an update can keep stored values (K6)."""
     df = parse(df, CUSTOMER_PAYLOAD)
     consent = _p("email_marketing_consent")
+
+    def d(col: Column, default) -> Column:
+        return F.coalesce(col, F.lit(default)) if defaults else col
+
     marketing = F.when(consent.isNotNull(), X.consent_flag(_p("email_marketing_consent.state"))) \
-        .otherwise(F.coalesce(_p("accepts_marketing"), F.lit(False)))
+        .otherwise(d(_p("accepts_marketing"), False))
+    spent = X.money(_p("total_spent")) if defaults else \
+        F.when(_p("total_spent").isNotNull(), X.money(_p("total_spent")))
     return df.select(
         _store(df).alias("store_id"),
         _p("id").cast("string").alias("customer_id"),
         _p("email").alias("email"),
         _p("first_name").alias("first_name"),
         _p("last_name").alias("last_name"),
-        F.coalesce(_p("orders_count"), F.lit(0)).alias("orders_count"),
-        X.money(_p("total_spent")).alias("total_spent"),
-        F.coalesce(_p("state"), F.lit(DEFAULT_CUSTOMER_STATE)).alias("customer_state"),
+        d(_p("orders_count"), 0).alias("orders_count"),
+        spent.alias("total_spent"),
+        d(_p("state"), DEFAULT_CUSTOMER_STATE).alias("customer_state"),
         marketing.alias("accepts_marketing"),
         X.id_text(_p("last_order_id")).alias("last_order_id"),
         _p("note").alias("note"),
-        F.coalesce(_p("verified_email"), F.lit(False)).alias("verified_email"),
-        F.coalesce(_p("tax_exempt"), F.lit(False)).alias("tax_exempt"),
-        X.tags_json(_p("tags")).alias("tags"),
-        F.coalesce(_p("currency"), F.lit(DEFAULT_CURRENCY)).alias("currency"),
+        d(_p("verified_email"), False).alias("verified_email"),
+        d(_p("tax_exempt"), False).alias("tax_exempt"),
+        (X.tags_json(_p("tags")) if defaults else
+         F.when(_p("tags").isNotNull(), X.tags_json(_p("tags")))).alias("tags"),
+        d(_p("currency"), DEFAULT_CURRENCY).alias("currency"),
         _p("default_address.country").alias("country"),
         _p("default_address.province").alias("province"),
         _p("default_address.city").alias("city"),

@@ -141,8 +141,9 @@ REFUND_PAYLOAD = _schema(
     ("created_at", S), ("processed_at", S),
 )
 
-# A change event carries a customer part, an order part, or both.
-CHANGE_EVENT = _schema(("customer", CUSTOMER_PAYLOAD), ("order", ORDER_PAYLOAD))
+# A change event carries a customer part, an order part, or both, and the
+# store it came from.
+CHANGE_EVENT = _schema(("store_id", S), ("customer", CUSTOMER_PAYLOAD), ("order", ORDER_PAYLOAD))
 
 
 def empty(spark, name: str):
