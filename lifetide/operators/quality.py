@@ -36,8 +36,11 @@ def fk_orphans(checks: dict[str, tuple[DataFrame, DataFrame, list[str]]]) -> Dat
         c = child.select(*keys)
         for k in keys:
             c = c.filter(F.col(k).isNotNull())
-        orphans = c.join(parent.select(*keys).distinct(), keys, "left_anti")
-        parts.append(orphans.agg(F.count(F.lit(1)).alias("orphans"))
+        # rows per foreign key first (partial aggregate: a hot key is one row
+        # per task), then the anti join runs on distinct keys only
+        per_key = c.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        orphans = per_key.join(parent.select(*keys).distinct(), keys, "left_anti")
+        parts.append(orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("orphans"))
                      .select(F.lit(name).alias("relation"), "orphans"))
     return reduce(DataFrame.unionByName, parts)
 

@@ -99,6 +99,7 @@ def _line_pages(b: Bridge) -> DataFrame:
     all lines is split into bounded pages; no group grows with the data."""
     li = b.lineitems(["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                       "l_extendedprice", "l_discount", "l_linestatus", "l_shipdate"], spread=True)
+    # counted from the same (spread) scan, so the exchange is reused
     per_order = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
     pages = F.greatest(F.ceil(F.col("n_lines") / F.lit(LINE_PAGE_SIZE)), F.lit(1))
     page = F.pmod(F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"), pages)
@@ -133,8 +134,16 @@ def order_payloads(b: Bridge, with_lines: bool = True, junk_every: int | None =
            .when(F.col("o_orderstatus") == "O", F.lit("pending"))
            .when(F.col("o_orderstatus") == "P", F.lit("refunded")))
     if with_lines:
+        # Orders with lines: pages INNER JOIN orders, so adaptive skew
+        # handling may split the pages of a hot order across tasks (it
+        # cannot split the right side of a left outer join).  Orders without
+        # lines come from an anti join against the distinct page keys.
         pages = _line_pages(b)
-        o = o.join(pages, o.o_orderkey == pages.l_orderkey, "left")
+        lined = pages.join(o, pages.l_orderkey == o.o_orderkey, "inner").drop("l_orderkey", "page")
+        keys = b.lineitems(["l_orderkey"], spread=False).distinct()
+        bare = (o.join(keys, o.o_orderkey == keys.l_orderkey, "left_anti")
+                .withColumn("line_items", F.lit(None).cast(pages.schema["line_items"].dataType)))
+        o = lined.unionByName(bare)
         empty = F.from_json(F.lit("[]"), pages.schema["line_items"].dataType)
         lines = F.when(F.col("line_items").isNotNull(), F.col("line_items")) \
             .when(_mod(k, 2) == 0, empty)
