@@ -34,8 +34,12 @@ def ts_lit(value) -> Column:
     if isinstance(value, Column):
         return value
     if isinstance(value, _dt.datetime):
-        value = value.strftime("%Y-%m-%d %H:%M:%S")
-    return F.to_timestamp_ntz(F.lit(str(value)))
+        value = value.strftime("%Y-%m-%d %H:%M:%S.%f")
+    text = str(value)
+    if not all(ch.isdigit() or ch in "-:. T" for ch in text):
+        raise ValueError(f"not a timestamp: {text!r}")
+    # a typed literal: folded at planning time, never parsed per row
+    return F.expr(f"TIMESTAMP_NTZ '{text}'")
 
 
 # --------------------------------------------------------------------- parsing

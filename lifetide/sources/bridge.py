@@ -20,6 +20,8 @@ Mapping (each rule is repeated in SQL text in ``lifetide.plans.oracle``):
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,10 +68,20 @@ def spread_input(df: DataFrame) -> DataFrame:
     run in a single task.  At scale a table has thousands of splits and this
     is a no-op: the check reads only the planned partition count.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if os.environ.get("LIFETIDE_SPREAD", "1") == "0":
+        return df
+    files = tuple(sorted(df.inputFiles()))
+    key = (id(spark), files)
+    if key not in _SPLITS:
+        _SPLITS[key] = df.rdd.getNumPartitions()
+    return df.repartition(cores) if _SPLITS[key] < cores else df
+
+
+# planned input splits per (session, file set): planning is not free, and the
+# answer only changes when the files do
+_SPLITS: dict[tuple[int, tuple[str, ...]], int] = {}
 
 
 class Bridge:
