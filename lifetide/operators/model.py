@@ -14,6 +14,7 @@ standard deviation.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -70,11 +71,19 @@ def pipeline() -> Pipeline:
 def train(frame: DataFrame) -> PipelineModel:
     """Fit on the 80% share; the 20% share drives early stopping.
     The scaler is fitted on the training share only (M2)."""
-    flagged = split_flag(frame)
-    stages = pipeline().getStages()
-    train_rows = flagged.filter(~F.col("is_validation"))
-    prep = Pipeline(stages=stages[:2]).fit(train_rows)
-    gbt_model = stages[2].fit(prep.transform(flagged))
+    flagged = split_flag(frame).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        stages = pipeline().getStages()
+        train_rows = flagged.filter(~F.col("is_validation"))
+        prep = Pipeline(stages=stages[:2]).fit(train_rows)
+        prepared = prep.transform(flagged).select("features", "label", "is_validation") \
+            .persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            gbt_model = stages[2].fit(prepared)
+        finally:
+            prepared.unpersist()
+    finally:
+        flagged.unpersist()
     return PipelineModel(stages=[*prep.stages, gbt_model])
 
 

@@ -163,16 +163,23 @@ def status_any(spark, base):
 
 @query("lookback_orders")
 def lookback_orders(spark, base):
-    """Orders created within 30 days before as_of (F2)."""
+    """Lookback window plus cursor (F2, S3): the orders created within 30
+    days before as_of, each flagged whether its id is above its store's mark
+    from the previous sync (the rows a cursor-plus-lookback read returns)."""
+    from lifetide.sources import incremental as I
     o = _b(spark, base).orders()
-    return (o.filter(F.col("created_at") >= X.lookback_start(AS_OF, X.DEFAULT_LOOKBACK_DAYS))
+    marks = I.marks_of(o.filter(F.col("created_at") < X.ts_lit(ORDER_SNAPSHOT_BEFORE)), "order_id")
+    window = o.filter(F.col("created_at") >= X.lookback_start(AS_OF, X.DEFAULT_LOOKBACK_DAYS))
+    fresh = I.since(window, "order_id", marks).select("store_id", "order_id", F.lit(True).alias("_new"))
+    return (window.join(fresh, ["store_id", "order_id"], "left")
             .select("store_id", "order_id", "customer_id",
-                    X.money_out("total_price").alias("total_price"), "created_at"))
+                    X.money_out("total_price").alias("total_price"), "created_at",
+                    F.coalesce(F.col("_new"), F.lit(False)).alias("new_since_mark")))
 
 
 def get_queries() -> dict[str, QueryFn]:
     # import for side effects: other plan modules register more queries
-    from lifetide.plans import ingest, quality  # noqa: F401
+    from lifetide.plans import ingest, model, quality  # noqa: F401
     return dict(QUERIES)
 
 

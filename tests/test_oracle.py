@@ -26,8 +26,12 @@ def duck():
     return con
 
 
+# iterative (GBT training): no SQL twin, checked by tests/test_model.py
+ROWS_ONLY = {"clv_predictions"}
+
+
 def test_every_query_has_sql_or_is_listed():
-    assert set(QUERIES) == set(SQL), set(QUERIES) ^ set(SQL)
+    assert set(QUERIES) - ROWS_ONLY == set(SQL), set(QUERIES) ^ set(SQL)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
