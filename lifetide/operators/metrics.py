@@ -109,7 +109,8 @@ def refunds_by_customer(customers: DataFrame, refunds: DataFrame, orders: DataFr
 
 
 def clv_profile(customers: DataFrame, orders: DataFrame, abandoned: DataFrame,
-                refunds: DataFrame, literal: bool = False) -> DataFrame:
+                refunds: DataFrame, literal: bool = False,
+                customer: tuple[str, str] | None = None) -> DataFrame:
     """CLV profile per customer (A11): metrics + abandoned checkouts +
     refund count + total refunded.
 
@@ -119,7 +120,15 @@ def clv_profile(customers: DataFrame, orders: DataFrame, abandoned: DataFrame,
     customer's number of checkout rows (at least 1).  That value is computed
     from the two per-customer aggregates -- exactly the same number, without
     materialising the cross product of a customer's checkouts and refunds.
+    ``customer=(store_id, customer_id)`` restricts the job to one customer
+    (the reference's bound parameter); the default runs for everyone.
     """
+    if customer is not None:
+        # one customer; the predicate reaches every scan before any
+        # aggregate (refunds follow through the filtered orders)
+        store, cid = customer
+        one = (F.col("store_id") == store) & (F.col("customer_id") == cid)
+        customers, orders, abandoned = customers.filter(one), orders.filter(one), abandoned.filter(one)
     m = customer_metrics(customers, orders)
     ck = checkout_rollup(abandoned)
     rr = refund_rollup(refunds, orders)

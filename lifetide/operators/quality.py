@@ -101,6 +101,14 @@ def column_listing(df: DataFrame, spark: SparkSession, expected: T.StructType |
     return spark.createDataFrame(rows, schema)
 
 
+def tables_present(spark: SparkSession, expected: list[str], database: str | None = None) -> DataFrame:
+    """Expected table names flagged present/absent in the catalog (V2, F5);
+    names compare case-insensitively."""
+    found = [t.name.lower() for t in spark.catalog.listTables(database)]
+    e = spark.createDataFrame([(n.lower(),) for n in expected], "table_name string")
+    return e.select("table_name", F.col("table_name").isin(found).alias("present")).orderBy("table_name")
+
+
 def missing_tables(spark: SparkSession, expected: list[str], found: list[str]) -> DataFrame:
     """Expected tables not found, compared case-insensitively."""
     e = spark.createDataFrame([(n.lower(),) for n in expected], "table_name string")

@@ -94,3 +94,9 @@ def test_reports(spark, model):
     assert st["s1"].customer_count == 2 and st["s1"].order_count == 3
     counts = {r.table_name: r["count"] for r in R.record_counts({"customers": customers, "orders": orders}).collect()}
     assert counts == {"customers": 2, "orders": 3}
+
+
+def test_profile_for_one_customer(spark, model):
+    customers, orders, _, checkouts, refunds = model
+    rows = M.clv_profile(customers, orders, checkouts, refunds, customer=("s1", "c1")).collect()
+    assert [(r.customer_id, r.total_refunded, r.abandoned_checkouts_count) for r in rows] == [("c1", 15.0, 3)]
