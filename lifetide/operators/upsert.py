@@ -95,11 +95,46 @@ def new_customer_defaults() -> dict[str, Column]:
 
 
 # --------------------------------------------------------------------- writes
-def create_table(spark: SparkSession, path: str, name: str) -> None:
-    """Create an empty table folder with the canonical schema if absent (K7)."""
-    if _exists(spark, path):
-        return
-    spark.createDataFrame([], TABLES[name]).write.mode("ignore").partitionBy("store_id").parquet(path)
+# Tables are folders partitioned by (store_id, key_bucket).  The bucket is a
+# hash of the row key, so a batch of changes touches only the buckets of its
+# keys: even a store that holds a third of all rows is rewritten one bucket
+# at a time, never as a whole.
+KEY_BUCKET = "key_bucket"
+N_BUCKETS = 64
+PARTITIONS = ["store_id", KEY_BUCKET]
+
+
+def bucket_of(key_col: str, n: int = N_BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(F.col(key_col)), F.lit(n)).cast("int")
+
+
+def _stored_schema(name: str):
+    from pyspark.sql import types as T
+    return T.StructType([*TABLES[name].fields, T.StructField(KEY_BUCKET, T.IntegerType(), True)])
+
+
+BUCKETS_CONF = "lifetide.upsert.buckets"
+
+
+def table_buckets(spark: SparkSession, path: str) -> int:
+    """Bucket count of a table, fixed when the table is created and kept in a
+    hidden marker file (Spark skips '_' paths when reading the table).  A
+    table's count never changes, so a key always maps to the same bucket."""
+    marker = f"{path.rstrip('/')}/_lifetide_buckets"
+    if _exists(spark, marker):
+        return int(spark.read.text(marker).first()[0])
+    n = int(spark.conf.get(BUCKETS_CONF, str(N_BUCKETS)))
+    spark.createDataFrame([(str(n),)], "value string").coalesce(1).write.mode("overwrite").text(marker)
+    return n
+
+
+def create_table(spark: SparkSession, path: str, name: str) -> int:
+    """Create an empty table folder with the canonical schema if absent (K7);
+    returns its bucket count."""
+    if not _exists(spark, path):
+        spark.createDataFrame([], _stored_schema(name)).write.mode("ignore") \
+            .partitionBy(*PARTITIONS).parquet(path)
+    return table_buckets(spark, path)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -110,13 +145,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_or_empty(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """The stored table (with its key_bucket partition column), or an empty one."""
     if _exists(spark, path):
-        return spark.read.schema(TABLES[name]).parquet(path)
-    return spark.createDataFrame([], TABLES[name])
+        return spark.read.schema(_stored_schema(name)).parquet(path)
+    return spark.createDataFrame([], _stored_schema(name))
 
 
 def append(df: DataFrame, path: str) -> None:
-    """Plain append, one job-level commit (K1, K2)."""
+    """Plain append, one job-level commit per call (K1, K2)."""
     df.write.mode("append").partitionBy("store_id").parquet(path)
 
 
@@ -130,17 +166,21 @@ def conform(df: DataFrame, name: str) -> DataFrame:
 def upsert_table(spark: SparkSession, path: str, name: str, batch: DataFrame,
                  mode: str = "upsert", newest_first: list | None = None,
                  seq: str | None = None) -> DataFrame:
-    """Apply a staged batch to the table at ``path``; returns the touched rows.
+    """Apply a staged batch to the table at ``path``; returns the rewritten rows.
 
     ``mode``: 'upsert' (K3/K4), 'keep_missing' (K6) or 'insert' (K5).
-    Only the store partitions present in the batch are read, merged and
-    replaced.  Applying the same batch twice gives the same table.
+    Only the (store, key bucket) partitions the batch touches are read
+    (dynamic partition pruning on the semi join), merged, checkpointed to the
+    shared checkpoint folder, and replaced by dynamic partition overwrite.
+    Applying the same batch twice gives the same table.
     """
     from lifetide.schemas import KEYS
-    keys = ["store_id", KEYS[name]]
-    target = read_or_empty(spark, path, name)
-    stores = batch.select("store_id").distinct()
-    touched = target.join(stores, "store_id", "left_semi")
+    key = KEYS[name]
+    keys = ["store_id", key]
+    n = create_table(spark, path, name)
+    touched_parts = batch.select("store_id", bucket_of(key, n).alias(KEY_BUCKET)).distinct()
+    touched = (read_or_empty(spark, path, name)
+               .join(touched_parts, PARTITIONS, "left_semi").drop(KEY_BUCKET))
     if mode == "insert":
         src = latest_by_updated(batch, keys, seq) if newest_first is None else \
             latest_per_key(batch, keys, newest_first, drop=[seq] if seq else [])
@@ -151,7 +191,7 @@ def upsert_table(spark: SparkSession, path: str, name: str, batch: DataFrame,
                                      [seq] if seq else [])
     else:
         merged = upsert(touched, batch, keys, newest_first, [seq] if seq else [])
-    out = conform(merged, name).checkpoint(eager=True)
+    out = conform(merged, name).withColumn(KEY_BUCKET, bucket_of(key, n)).checkpoint(eager=True)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("store_id").parquet(path))
+     .partitionBy(*PARTITIONS).parquet(path))
     return out

@@ -14,7 +14,9 @@ SF_ORACLE = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[*]", app="lifetide-tests", shuffle_partitions=8)
+    # few upsert buckets: test tables are tiny (production default is 64)
+    s = build_session("local[*]", app="lifetide-tests", shuffle_partitions=8,
+                      extra={"lifetide.upsert.buckets": "4"})
     yield s
     s.stop()
 

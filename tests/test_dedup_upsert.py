@@ -98,3 +98,24 @@ def test_upsert_table_idempotent_and_partition_scoped(spark, tmp_dir):
                    mode="insert")
     after = {r.order_id: r.total_price for r in spark.read.parquet(path).collect()}
     assert after["1"] == Decimal("11.00") and after["2"] == Decimal("20.00")
+
+
+def test_upsert_rewrites_only_touched_buckets(spark, tmp_dir):
+    import glob
+    import os
+    path = f"{tmp_dir}/orders_b"
+    rows = [(f"s{i % 2}", str(i), Decimal(i), T0) for i in range(40)]
+    schema = "store_id string, order_id string, total_price decimal(18,2), updated_at timestamp_ntz"
+    U.upsert_table(spark, path, "orders", spark.createDataFrame(rows, schema))
+
+    def files():
+        return {f: os.path.getmtime(f) for f in glob.glob(f"{path}/store_id=*/key_bucket=*/*.parquet")}
+
+    before = files()
+    one = spark.createDataFrame([("s1", "1", Decimal("99"), T0 + dt.timedelta(1))], schema)
+    U.upsert_table(spark, path, "orders", one)
+    after = files()
+    changed = {os.path.dirname(f) for f in set(before) ^ set(after)}
+    assert len(changed) == 1 and "store_id=s1" in changed.pop()
+    assert spark.read.parquet(path).count() == 40
+    assert spark.read.parquet(path).filter("order_id = '1'").first().total_price == Decimal("99.00")
