@@ -210,3 +210,22 @@ class Bridge:
     def abandoned_checkouts(self) -> DataFrame:
         """Checkouts never completed (F1) -- the stored table."""
         return self.checkouts().filter(F.col("completed_at").isNull())
+
+
+def register_views(spark: SparkSession, base: str) -> list[str]:
+    """Register the commerce model of ``base`` as temporary SQL views
+    (customers, orders, order_items, abandoned_checkouts, refunds, products)
+    so report SQL can be run with ``spark.sql`` unchanged.  Views are lazy:
+    each query still reads the driver tables."""
+    b = Bridge(spark, base)
+    views = {
+        "customers": b.customers(),
+        "orders": b.orders(),
+        "order_items": b.order_items(with_part=True),
+        "abandoned_checkouts": b.abandoned_checkouts(),
+        "refunds": b.refunds(),
+        "products": b.products(),
+    }
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return list(views)
