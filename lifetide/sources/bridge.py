@@ -73,6 +73,8 @@ def spread_input(df: DataFrame) -> DataFrame:
     if os.environ.get("LIFETIDE_SPREAD", "1") == "0":
         return df
     files = tuple(sorted(df.inputFiles()))
+    if len(files) >= cores:
+        return df  # at least one split per core already: the cluster case
     key = (id(spark), files)
     if key not in _SPLITS:
         _SPLITS[key] = df.rdd.getNumPartitions()
