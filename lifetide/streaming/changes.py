@@ -46,6 +46,26 @@ def read_changes(spark: SparkSession, source_dir: str, max_files: int | None = N
     return r.json(source_dir)
 
 
+def event_time(df: DataFrame):
+    """Event time of a change (an instant, as watermarks need): the order's,
+    else the customer's updated_at / created_at."""
+    t = lambda c: F.try_to_timestamp(F.col(c))
+    return F.coalesce(t("order.updated_at"), t("order.created_at"),
+                      t("customer.updated_at"), t("customer.created_at"))
+
+
+def dedupe_within(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
+    """Optional bounded-state dedup of re-delivered events: the same change
+    (store, customer id, order id, event time) seen again within ``delay`` of
+    the watermark is dropped.  State is bounded by the watermark; the
+    key-based upserts downstream absorb anything older anyway."""
+    keyed = (stream.withColumn("_event_time", event_time(stream))
+             .withColumn("_cid", F.col("customer.id")).withColumn("_oid", F.col("order.id")))
+    return (keyed.withWatermark("_event_time", delay)
+            .dropDuplicatesWithinWatermark(["store_id", "_cid", "_oid", "_event_time"])
+            .drop("_event_time", "_cid", "_oid"))
+
+
 def apply_batch(batch: DataFrame, tables: Tables, as_of) -> None:
     """Apply one micro-batch (or any static frame of change events)."""
     spark = batch.sparkSession
@@ -95,10 +115,14 @@ def refresh_customers(spark: SparkSession, tables: Tables, touched: DataFrame, a
 
 
 def start(spark: SparkSession, source_dir: str, tables: Tables, checkpoint: str, as_of,
-          available_now: bool = True) -> StreamingQuery:
+          available_now: bool = True, dedup_delay: str | None = None) -> StreamingQuery:
     """Run the intake; with ``available_now`` it drains what has landed and
-    stops, resuming from the checkpoint next time (T4)."""
-    w = (read_changes(spark, source_dir).writeStream
+    stops, resuming from the checkpoint next time (T4).  ``dedup_delay``
+    turns on the watermark dedup of re-delivered events."""
+    src = read_changes(spark, source_dir)
+    if dedup_delay:
+        src = dedupe_within(src, dedup_delay)
+    w = (src.writeStream
          .foreachBatch(lambda df, _id: apply_batch(df, tables, as_of))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

@@ -73,3 +73,17 @@ def test_refresh_sets_status_from_orders(spark, tmp_dir):
     assert (c.status, c.orders_count, float(c.total_spent), c.email) == ("active", 1, 40.0, "a@x")
     assert c.last_order_date == dt.datetime(2001, 7, 30)
     assert spark.read.parquet(tables.path("order_items")).count() == 1
+
+
+def test_watermark_dedup_drops_redeliveries(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    line = ('{"store_id":"s1","order":{"id":%d,"customer":{"id":1},"total_price":"1.00",'
+            '"created_at":"2001-07-30T00:00:00Z","updated_at":"2001-07-30T00:00:00Z"}}')
+    spark.createDataFrame([(line % 1,), (line % 1,), (line % 2,)], "value string") \
+        .coalesce(1).write.text(os.path.join(src, "b1"))
+    seen = []
+    q = (C.dedupe_within(C.read_changes(spark, src + "/*"), "1 hour").writeStream
+         .foreachBatch(lambda df, _id: seen.extend(r.order.id for r in df.collect()))
+         .option("checkpointLocation", os.path.join(tmp_dir, "ck")).trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    assert sorted(seen) == [1, 2]
