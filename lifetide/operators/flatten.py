@@ -107,7 +107,8 @@ def flatten_orders(df: DataFrame) -> DataFrame:
         F.coalesce(_p("test"), F.lit(False)).alias("test"),
         F.coalesce(_p("taxes_included"), F.lit(False)).alias("taxes_included"),
         F.coalesce(_p("total_weight"), F.lit(0.0)).alias("total_weight"),
-        F.coalesce(F.size(_p("line_items")), F.lit(0)).alias("total_items"),
+        F.when(_p("line_items").isNull(), F.lit(0)).otherwise(F.size(_p("line_items")))
+        .alias("total_items"),
         _p("tags").alias("tags"),
         _p("shipping_address.name").alias("shipping_name"),
         _p("shipping_address.address1").alias("shipping_address1"),

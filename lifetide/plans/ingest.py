@@ -265,5 +265,3 @@ def store_load_status(spark, base):
                    ORDER_PAYLOAD)
     return Q.load_status(Q.flag_orders(feed), "orders")
 
-
-__all__ = ["X"]

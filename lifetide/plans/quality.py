@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from lifetide.operators import quality as Q
 from lifetide.plans.catalog import query
 from lifetide.sources.bridge import Bridge
@@ -35,5 +33,3 @@ def fk_orphans(spark, base):
         "refunds.order_id": (b.refunds(), orders, ["order_id"]),
     })
 
-
-__all__ = ["F"]

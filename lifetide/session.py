@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 # "as_of" arithmetic and ISO parsing never depend on the machine.
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

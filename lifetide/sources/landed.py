@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lifetide.schemas import CHECKOUT_PAYLOAD, CUSTOMER_PAYLOAD, ORDER_PAYLOAD, REFUND_PAYLOAD
 
@@ -52,4 +51,4 @@ def with_arrival(df: DataFrame) -> DataFrame:
     return df.withColumn("ingest_seq", F.struct(F.col("page"), F.monotonically_increasing_id()))
 
 
-__all__ = ["read_pages", "land_pages", "with_arrival", "T"]
+__all__ = ["read_pages", "land_pages", "with_arrival"]

@@ -25,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lifetide.operators import flatten as P
 from lifetide.operators import metrics as M
 from lifetide.operators import upsert as U
-from lifetide.schemas import CHANGE_EVENT, KEYS
+from lifetide.schemas import CHANGE_EVENT
 from lifetide.functions import scalars as X
 
 
@@ -129,4 +129,4 @@ def start(spark: SparkSession, source_dir: str, tables: Tables, checkpoint: str,
     return w.start()
 
 
-__all__ = ["Tables", "read_changes", "apply_batch", "refresh_customers", "start", "KEYS"]
+__all__ = ["Tables", "read_changes", "dedupe_within", "apply_batch", "refresh_customers", "start"]
