@@ -69,15 +69,18 @@ def spread_input(df: DataFrame) -> DataFrame:
     is a no-op: the check reads only the planned partition count.
     """
     spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
     if os.environ.get("LIFETIDE_SPREAD", "1") == "0":
         return df
-    files = tuple(sorted(df.inputFiles()))
-    if len(files) >= cores:
-        return df  # at least one split per core already: the cluster case
-    key = (id(spark), files)
-    if key not in _SPLITS:
-        _SPLITS[key] = df.rdd.getNumPartitions()
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        files = tuple(sorted(df.inputFiles()))
+        if len(files) >= cores:
+            return df  # at least one split per core already: the cluster case
+        key = (id(spark), files)
+        if key not in _SPLITS:
+            _SPLITS[key] = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no RDDs
+        return df
     return df.repartition(cores) if _SPLITS[key] < cores else df
 
 
