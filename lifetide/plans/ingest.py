@@ -117,8 +117,9 @@ def flatten_checkouts(spark, base):
 def _line_update_feed(b: Bridge) -> DataFrame:
     """Line-item records as delivered: (order, line) repeats; the landing
     sequence of a record is (part, supplier)."""
+    # spread: the max(struct) dedup that follows is a sort-based aggregate
     li = b.lineitems(["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-                      "l_extendedprice", "l_discount", "l_shipdate"])
+                      "l_extendedprice", "l_discount", "l_shipdate"], spread=True)
     return li.select(
         F.col("l_orderkey").cast("string").alias("order_id"),
         F.col("l_linenumber").alias("line_number"),
@@ -152,7 +153,7 @@ def _order_update_batch(b: Bridge) -> DataFrame:
     """Order changes staged from the item feed: one record per line, so an
     order arrives several times; the newest ship date wins."""
     li = b.lineitems(["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag",
-                      "l_shipdate"])
+                      "l_shipdate"], spread=True)
     o = b.raw("orders", ["o_orderkey", "o_custkey", "o_totalprice"])
     status = (F.when(F.col("l_returnflag") == "R", F.lit("refunded"))
               .when(F.col("l_returnflag") == "A", F.lit("paid")).otherwise(F.lit("pending")))
