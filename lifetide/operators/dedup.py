@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _col(c) -> Column:
@@ -37,13 +38,22 @@ def latest_non_null_per_key(df: DataFrame, keys: list[str], newest_first: list,
                             drop: list[str] = ()) -> DataFrame:
     """Per key and per column, the newest non-NULL value (K6, T1): the result
     of applying a batch of partial updates in order.  A column NULL in every
-    row of the key stays NULL.  ``max_by`` skips rows whose ordering is NULL,
-    so masking the ordering with the value's presence picks the newest
-    present value; the aggregate is combined map-side like W1."""
+    row of the key stays NULL.  Per column this is ``max`` over
+    (ordering, value), NULL when the value is missing; ``max`` skips NULLs,
+    so it picks the newest present value, and the value itself breaks a tie
+    in the ordering deterministically (``max_by`` would pick an arbitrary
+    row).  Map columns are not comparable and fall back to ``max_by``.  The
+    aggregate is combined map-side like W1."""
     order = F.struct(*[_col(c).alias(f"_o{i}") for i, c in enumerate(newest_first)])
     values = [c for c in df.columns if c not in keys and c not in drop]
-    aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c) for c in values]
-    return df.groupBy(*keys).agg(*aggs)
+
+    def newest(c: str) -> Column:
+        present = F.col(c).isNotNull()
+        if isinstance(df.schema[c].dataType, T.MapType):
+            return F.max_by(F.col(c), F.when(present, order))
+        return F.max(F.when(present, F.struct(order.alias("o"), F.col(c).alias("v")))).getField("v")
+
+    return df.groupBy(*keys).agg(*[newest(c).alias(c) for c in values])
 
 
 def dedup_keep_last(df: DataFrame, keys: list[str], arrival_seq: str, drop_seq: bool = False) -> DataFrame:

@@ -30,6 +30,16 @@ def test_latest_non_null_per_column(spark):
     assert got == {"a": ("x@a", "Ann"), "b": (None, None)}
 
 
+def test_latest_non_null_tie_is_deterministic(spark):
+    # two updates with the same ordering: the greater value wins, whatever
+    # the arrival order or partitioning
+    rows = [("a", 1, "x@a"), ("a", 1, "z@a"), ("a", 0, "zz-older")]
+    for perm in (rows, rows[::-1]):
+        df = spark.createDataFrame(perm, "k string, seq int, email string").repartition(3)
+        got = D.latest_non_null_per_key(df, ["k"], ["seq"], drop=["seq"]).collect()
+        assert [(r.k, r.email) for r in got] == [("a", "z@a")]
+
+
 def _target(spark):
     return spark.createDataFrame([("s1", "1", "old1", "keep1"), ("s1", "2", "old2", "keep2")],
                                  "store_id string, order_id string, status string, note string")
