@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lifetide.functions import scalars as X
+from lifetide.operators.upsert import by_folder
 
 
 def pk_violations(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
@@ -87,7 +88,8 @@ def write_with_quarantine(flagged: DataFrame, path: str) -> None:
     """Write loadable and quarantined rows in ONE pass, split by folder
     (``quarantined=false`` / ``quarantined=true``), so the parse is never
     computed twice."""
-    flagged.write.mode("append").partitionBy("quarantined", "store_id").parquet(path)
+    by_folder(flagged, ["quarantined", "store_id"]).write.mode("append") \
+        .partitionBy("quarantined", "store_id").parquet(path)
 
 
 def column_listing(df: DataFrame, spark: SparkSession, expected: T.StructType | None = None) -> DataFrame:

@@ -129,3 +129,26 @@ def test_upsert_rewrites_only_touched_buckets(spark, tmp_dir):
     assert len(changed) == 1 and "store_id=s1" in changed.pop()
     assert spark.read.parquet(path).count() == 40
     assert spark.read.parquet(path).filter("order_id = '1'").first().total_price == Decimal("99.00")
+
+
+def test_upsert_writes_few_files_per_folder(spark, tmp_dir):
+    # a batch spread over many partitions still lands as one file per
+    # (store, bucket) folder at this size: the write is rebalanced by folder
+    import collections
+    import glob
+    import os
+    path = f"{tmp_dir}/orders_f"
+    rows = [(f"s{i % 3}", str(i), Decimal(i), T0) for i in range(600)]
+    schema = "store_id string, order_id string, total_price decimal(18,2), updated_at timestamp_ntz"
+    # as at scale, the merge output spans many partitions (tiny test data
+    # would otherwise be coalesced into one)
+    conf = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(conf, "false")
+    try:
+        U.upsert_table(spark, path, "orders", spark.createDataFrame(rows, schema).repartition(16))
+    finally:
+        spark.conf.set(conf, "true")
+    per_folder = collections.Counter(
+        os.path.dirname(f) for f in glob.glob(f"{path}/store_id=*/key_bucket=*/*.parquet"))
+    assert len(per_folder) == 3 * 4 and set(per_folder.values()) == {1}
+    assert spark.read.parquet(path).count() == 600
