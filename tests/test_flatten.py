@@ -52,6 +52,20 @@ def test_order_guest_and_item_lists(spark):
     assert items["22"].variant_id == "4" and items["22"].quantity == 0 and items["22"].taxable is False
 
 
+def test_item_rows_ignore_bad_values_in_other_order_fields(spark):
+    # items parse only the order fields they read; a wrongly typed value in
+    # another field must not change them (nor would it under the full parse)
+    line = {"id": 11, "product_id": 3, "price": "2.50", "quantity": 2}
+    good = {"id": 1, "created_at": "2024-01-01T10:00:00Z", "test": False, "line_items": [line]}
+    bad = {**good, "id": 2, "test": "yes", "total_weight": {"oops": 1}}
+    items = P.explode_line_items(feed(spark, good, bad)).orderBy("order_id").collect()
+    assert [(r.order_id, r.order_item_id, r.product_id, r.price, r.quantity) for r in items] == \
+        [("1", "11", "3", Decimal("2.50"), 2), ("2", "11", "3", Decimal("2.50"), 2)]
+    assert items[0].created_at == items[1].created_at == dt.datetime(2024, 1, 1, 10, 0)
+    full = P.explode_line_items(P.parse(feed(spark, bad), P.ORDER_PAYLOAD)).collect()
+    assert [(r.order_id, r.price) for r in full] == [("2", Decimal("2.50"))]
+
+
 def test_checkouts_abandoned_at_and_filter(spark):
     f = feed(spark, {"id": 1, "created_at": "2024-01-01T00:00:00Z", "completed_at": "2024-01-01T01:00:00Z",
                      "customer": {"id": 3}},
