@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lifetide.schemas import MONEY
-from lifetide.sources.tables import read_table
+from lifetide.sources.tables import read_table, table_path
 
 # Fixed values of the bridge.
 N_STORES = 5
@@ -60,33 +60,37 @@ def _fin_status(col: str) -> Column:
     return expr
 
 
-def spread_input(df: DataFrame) -> DataFrame:
+def spread_input(df: DataFrame, key: str | None = None) -> DataFrame:
     """Round-robin a scan over all cores when it has fewer input splits than
     cores, before expensive per-row work (JSON rendering and parsing).
 
     A small file with one Parquet row group is one split, so its stage would
     run in a single task.  At scale a table has thousands of splits and this
-    is a no-op: the check reads only the planned partition count.
+    is a no-op.  The check is driver-side planning only (the planned split
+    count, no job), remembered per ``key`` (the table path); no file list is
+    shipped to Python.
     """
     spark = df.sparkSession
     if os.environ.get("LIFETIDE_SPREAD", "1") == "0":
         return df
     try:
         cores = spark.sparkContext.defaultParallelism
-        files = tuple(sorted(df.inputFiles()))
-        if len(files) >= cores:
-            return df  # at least one split per core already: the cluster case
-        key = (id(spark), files)
-        if key not in _SPLITS:
-            _SPLITS[key] = df.rdd.getNumPartitions()
+        cache_key = (id(spark), key if key is not None else df.semanticHash())
+        if cache_key not in _SPLITS:
+            _SPLITS[cache_key] = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no RDDs
         return df
-    return df.repartition(cores) if _SPLITS[key] < cores else df
+    return df.repartition(cores) if _SPLITS[cache_key] < cores else df
 
 
-# planned input splits per (session, file set): planning is not free, and the
-# answer only changes when the files do
-_SPLITS: dict[tuple[int, tuple[str, ...]], int] = {}
+# planned input splits per (session, table path): planning is not free, and
+# the answer only changes when the files do (``forget_splits`` after writes)
+_SPLITS: dict[tuple[int, object], int] = {}
+
+
+def forget_splits(key: str | None = None) -> None:
+    for k in [k for k in _SPLITS if key is None or k[1] == key]:
+        del _SPLITS[k]
 
 
 class Bridge:
@@ -107,7 +111,7 @@ class Bridge:
         df = read_table(self.spark, self.base, name, columns)
         if spread is None:
             spread = name in self.SPREAD
-        return spread_input(df) if spread else df
+        return spread_input(df, table_path(self.base, name)) if spread else df
 
     # ----------------------------------------------------------- customers
     def customers(self) -> DataFrame:
