@@ -26,14 +26,28 @@ BASE_CONF = {
 }
 
 
+# Target bytes of input per initial shuffle partition.  AQE coalesces
+# partitions down at run time but never raises their number, so the initial
+# count must be sized for the largest shuffle; at 100 TB, the default of 200
+# would give ~500 GB per partition.
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def shuffle_partitions_for(input_bytes: int, cores: int,
+                           target_bytes: int = TARGET_PARTITION_BYTES) -> int:
+    """Initial shuffle partition count for jobs over ``input_bytes`` of
+    table data: one partition per ``target_bytes``, at least two per core."""
+    return max(2 * cores, -(-int(input_bytes) // target_bytes))
+
+
 def build_session(master: str | None = None, app: str = "lifetide",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
     """Return a session configured for the library.
 
     On a cluster ``master`` is None and the launcher decides; tests pass
-    ``local[*]``.  ``shuffle_partitions`` should be sized so one shuffle
-    partition is ~128-256 MB at the target scale (AQE coalesces down).
+    ``local[*]``.  ``shuffle_partitions`` should come from
+    ``shuffle_partitions_for(input bytes, cores)`` (AQE coalesces down).
     """
     b = SparkSession.builder.appName(app)
     if master:

@@ -37,3 +37,12 @@ def test_scans_read_only_needed_columns(spark):
 def test_aggregates_are_partial_before_shuffle(spark):
     plan = plan_of(QUERIES["customer_metrics"](spark, SF_SMALL))
     assert "partial_sum" in plan and "partial_count" in plan
+
+
+def test_shuffle_partitions_sized_by_input():
+    from lifetide.session import TARGET_PARTITION_BYTES, shuffle_partitions_for
+    assert shuffle_partitions_for(1_000, cores=8) == 16            # small: two per core
+    assert shuffle_partitions_for(TARGET_PARTITION_BYTES * 100 + 1, cores=8) == 101
+    # 100 TB: partitions stay ~256 MB of input each
+    n = shuffle_partitions_for(100 * 10**12, cores=8000)
+    assert 100 * 10**12 / n <= TARGET_PARTITION_BYTES
