@@ -84,15 +84,11 @@ def spread_input(df: DataFrame, key: str | None = None) -> DataFrame:
 
 
 # planned input splits per (session, table path): planning is not free, and
-# the answer only changes when the files do (``forget_splits`` after writes)
+# the answer only changes when the files do.  A stale count after new files
+# land only changes whether a scan is spread, never a result.
 _SPLITS: dict[tuple[int, object], int] = {}
 
 
-def forget_splits(key: str | None = None) -> None:
-    for k in [k for k in _SPLITS if key is None or k[1] == key]:
-        del _SPLITS[k]
-
-
 class Bridge:
     """Lazy views of the commerce model over one driver data folder."""
 
