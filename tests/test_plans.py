@@ -46,3 +46,12 @@ def test_shuffle_partitions_sized_by_input():
     # 100 TB: partitions stay ~256 MB of input each
     n = shuffle_partitions_for(100 * 10**12, cores=8000)
     assert 100 * 10**12 / n <= TARGET_PARTITION_BYTES
+
+
+def test_spread_only_below_one_split_per_core(spark):
+    from lifetide.sources.bridge import spread_input
+    cores = spark.sparkContext.defaultParallelism
+    one = spark.range(0, 1000, 1, 1)
+    wide = spark.range(0, 1000, 1, cores)
+    assert spread_input(one, key="t-one").rdd.getNumPartitions() == cores
+    assert spread_input(wide, key="t-wide") is wide      # the cluster case: untouched
