@@ -173,6 +173,22 @@ def conform(df: DataFrame, name: str) -> DataFrame:
                        .cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def read_touched(spark: SparkSession, path: str, name: str, batch: DataFrame, key: str,
+                 n: int) -> DataFrame:
+    """Stored rows of the (store, bucket) partitions that ``batch`` touches.
+
+    The touched set has at most (stores x n) rows by construction, a proven
+    bound, so it is broadcast.  Spark's dynamic partition pruning then reads
+    only those partition folders: it needs a broadcast to reuse and a
+    filter it deems selective on the pruning side, which the always-true
+    bucket range supplies.  Without both, the semi join is a sort-merge join
+    that reads and shuffles the whole stored table on every batch."""
+    parts = (batch.select("store_id", bucket_of(key, n).alias(KEY_BUCKET))
+             .filter(F.col(KEY_BUCKET).between(0, n - 1)).distinct())
+    return (read_or_empty(spark, path, name)
+            .join(F.broadcast(parts), PARTITIONS, "left_semi").drop(KEY_BUCKET))
+
+
 def upsert_table(spark: SparkSession, path: str, name: str, batch: DataFrame,
                  mode: str = "upsert", newest_first: list | None = None,
                  seq: str | None = None) -> DataFrame:
@@ -188,9 +204,7 @@ def upsert_table(spark: SparkSession, path: str, name: str, batch: DataFrame,
     key = KEYS[name]
     keys = ["store_id", key]
     n = create_table(spark, path, name)
-    touched_parts = batch.select("store_id", bucket_of(key, n).alias(KEY_BUCKET)).distinct()
-    touched = (read_or_empty(spark, path, name)
-               .join(touched_parts, PARTITIONS, "left_semi").drop(KEY_BUCKET))
+    touched = read_touched(spark, path, name, batch, key, n)
     if mode == "insert":
         src = latest_by_updated(batch, keys, seq) if newest_first is None else \
             latest_per_key(batch, keys, newest_first, drop=[seq] if seq else [])

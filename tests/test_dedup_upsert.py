@@ -152,3 +152,20 @@ def test_upsert_writes_few_files_per_folder(spark, tmp_dir):
         os.path.dirname(f) for f in glob.glob(f"{path}/store_id=*/key_bucket=*/*.parquet"))
     assert len(per_folder) == 3 * 4 and set(per_folder.values()) == {1}
     assert spark.read.parquet(path).count() == 600
+
+
+def test_touched_read_prunes_partitions_dynamically(spark, tmp_dir):
+    # the stored table is read through dynamic partition pruning on
+    # (store_id, key_bucket), not scanned and shuffled whole
+    path = f"{tmp_dir}/orders_p"
+    schema = "store_id string, order_id string, total_price decimal(18,2), updated_at timestamp_ntz"
+    rows = [(f"s{i % 3}", str(i), Decimal(i), T0) for i in range(60)]
+    U.upsert_table(spark, path, "orders", spark.createDataFrame(rows, schema))
+    batch = spark.createDataFrame([("s1", "1", Decimal("9"), T0 + dt.timedelta(1))], schema)
+    n = U.table_buckets(spark, path)
+    touched = U.read_touched(spark, path, "orders", batch, "order_id", n)
+    touched.write.format("noop").mode("overwrite").save()
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower() and "SortMergeJoin" not in plan
+    ids = {r.order_id for r in touched.collect()}
+    assert "1" in ids and all(r[0] == "s1" for r in touched.select("store_id").collect())
