@@ -14,7 +14,10 @@ from lifetide.operators.metrics import CUSTOMER_KEY
 
 def record_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per table: table_name, count (A1 + U1).  Each count prunes its
-    scan to no columns, so it reads Parquet row-group metadata only."""
+    scan to the columns its rows depend on: none for a plain table (Parquet
+    row-group metadata only; measured for orders and line items), the join
+    or filter keys for a derived view (customers keep the nation key of
+    their left join, checkouts the event type of their filter)."""
     parts = [df.agg(F.count(F.lit(1)).alias("count"))
              .select(F.lit(name).alias("table_name"), "count")
              for name, df in tables.items()]
