@@ -121,7 +121,7 @@ def table_buckets(spark: SparkSession, path: str) -> int:
     hidden marker file (Spark skips '_' paths when reading the table).  A
     table's count never changes, so a key always maps to the same bucket."""
     marker = f"{path.rstrip('/')}/_lifetide_buckets"
-    if _exists(spark, marker):
+    if table_exists(spark, marker):
         return int(spark.read.text(marker).first()[0])
     n = int(spark.conf.get(BUCKETS_CONF, str(N_BUCKETS)))
     spark.createDataFrame([(str(n),)], "value string").coalesce(1).write.mode("overwrite").text(marker)
@@ -131,13 +131,13 @@ def table_buckets(spark: SparkSession, path: str) -> int:
 def create_table(spark: SparkSession, path: str, name: str) -> int:
     """Create an empty table folder with the canonical schema if absent (K7);
     returns its bucket count."""
-    if not _exists(spark, path):
+    if not table_exists(spark, path):
         spark.createDataFrame([], _stored_schema(name)).write.mode("ignore") \
             .partitionBy(*PARTITIONS).parquet(path)
     return table_buckets(spark, path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def table_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -146,7 +146,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def read_or_empty(spark: SparkSession, path: str, name: str) -> DataFrame:
     """The stored table (with its key_bucket partition column), or an empty one."""
-    if _exists(spark, path):
+    if table_exists(spark, path):
         return spark.read.schema(_stored_schema(name)).parquet(path)
     return spark.createDataFrame([], _stored_schema(name))
 

@@ -106,8 +106,12 @@ def apply_batch(batch: DataFrame, tables: Tables, as_of) -> None:
 
 def refresh_customers(spark: SparkSession, tables: Tables, touched: DataFrame, as_of) -> None:
     """Recompute order roll-up and status for the touched customers."""
-    customers = U.read_or_empty(spark, tables.path("customers"), "customers") \
-        .join(touched, ["store_id", "customer_id"], "left_semi")
+    cpath = tables.path("customers")
+    # customers are bucketed by customer id: read only the touched buckets
+    stored = (U.read_touched(spark, cpath, "customers", touched, "customer_id",
+                             U.table_buckets(spark, cpath))
+              if U.table_exists(spark, cpath) else U.read_or_empty(spark, cpath, "customers"))
+    customers = stored.join(touched, ["store_id", "customer_id"], "left_semi")
     orders = U.read_or_empty(spark, tables.path("orders"), "orders") \
         .join(touched, ["store_id", "customer_id"], "left_semi")
     st = M.customer_status(customers, orders, as_of)
