@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import logging
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,19 +29,23 @@ log = logging.getLogger(__name__)
 ORDER = ["customers", "orders", "order_items", "abandoned_checkouts"]
 
 
-def _staged(spark: SparkSession, landing: str, resource: str, as_of) -> tuple[DataFrame, DataFrame]:
-    """(rows to load, per-store load status) for one resource."""
+def _staged(spark: SparkSession, landing: str, resource: str, as_of,
+            flagged_orders: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """(rows to load, per-store load status) for one resource.
+    ``flagged_orders``: the parsed, flagged order pages, shared by the
+    orders and order-item steps so the JSON is parsed once."""
     if resource == "order_items":
-        pages = read_pages(spark, landing, "orders")
-        flagged = Q.flag_orders(pages)
+        flagged = flagged_orders
         good = flagged.filter(~F.col("quarantined"))
         rows = P.explode_line_items(good).withColumn("updated_at", F.col("created_at"))
         return rows, Q.load_status(flagged, resource)
-    pages = read_pages(spark, landing, resource)
     if resource == "orders":
-        flagged = Q.flag_orders(pages)
+        flagged = flagged_orders
         rows = P.flatten_orders(flagged.filter(~F.col("quarantined")))
-    elif resource == "customers":
+        rows = rows.withColumn("updated_at", F.coalesce(F.col("updated_at"), F.col("created_at")))
+        return rows, Q.load_status(flagged, resource)
+    pages = read_pages(spark, landing, resource)
+    if resource == "customers":
         flagged = pages.withColumn("quarantined", F.col("p").isNull() | F.col("p.id").isNull())
         rows = P.flatten_customers(flagged.filter(~F.col("quarantined")))
     else:
@@ -55,16 +60,31 @@ def sync_all(spark: SparkSession, landing: str, tables: Tables, as_of) -> DataFr
     """Apply every landed resource in order; returns the per-store, per-table
     summary (rows loaded, rows quarantined, success) as one DataFrame."""
     summaries = []
-    for resource in ORDER:
-        try:
-            rows, status = _staged(spark, landing, resource, as_of)
-            U.upsert_table(spark, tables.path(resource), resource,
-                           P.stamp(rows, as_of), mode="upsert", newest_first=["updated_at"])
-            summaries.append(status)  # reads the landed pages only, never the tables
-        except Exception:
-            log.error("sync stopped at %s", resource)
-            raise
-    out = summaries[0]
-    for s in summaries[1:]:
-        out = out.unionByName(s)
-    return out
+    # order pages are parsed once, at the orders step (so a missing folder
+    # still fails there, after customers), and shared with the order-item
+    # step and the summaries; a lost cached block is recomputed from the pages
+    flagged_orders = None
+    try:
+        for resource in ORDER:
+            try:
+                if resource == "orders":
+                    flagged_orders = Q.flag_orders(read_pages(spark, landing, "orders")) \
+                        .persist(StorageLevel.MEMORY_AND_DISK)
+                rows, status = _staged(spark, landing, resource, as_of, flagged_orders)
+                U.upsert_table(spark, tables.path(resource), resource,
+                               P.stamp(rows, as_of), mode="upsert", newest_first=["updated_at"])
+                summaries.append(status)  # reads the landed pages only, never the tables
+            except Exception:
+                log.error("sync stopped at %s", resource)
+                raise
+        out = summaries[0]
+        for s in summaries[1:]:
+            out = out.unionByName(s)
+        # the summary is small (stores x resources); materialise it before
+        # the shared parse is released
+        out = out.persist()
+        out.count()
+        return out
+    finally:
+        if flagged_orders is not None:
+            flagged_orders.unpersist()

@@ -52,6 +52,19 @@ def test_landed_pages_sync_in_order(spark, tmp_dir):
     assert [r[0] for r in stamps] == [dt.datetime(2024, 6, 1)]  # one value per run (P12)
 
 
+def test_sync_applies_customers_then_stops_at_missing_orders(spark, tmp_dir):
+    # K8: resources apply in order and the first failing one stops the sync;
+    # with no order pages landed, customers are already stored when it stops
+    import pytest
+    landing = f"{tmp_dir}/landing"
+    land_pages(pages(spark, [("s1", {"id": 1, "email": "a@x"})]), landing, "customers")
+    tables = Tables(f"{tmp_dir}/tables")
+    with pytest.raises(Exception):
+        sync_all(spark, landing, tables, AS_OF)
+    assert [r.customer_id for r in spark.read.parquet(tables.path("customers")).collect()] == ["1"]
+    assert not U.table_exists(spark, tables.path("orders"))
+
+
 def test_append_and_quarantine_write_in_one_pass(spark, tmp_dir):
     df = spark.createDataFrame([("s1", "1"), ("s2", "2")], "store_id string, order_id string")
     U.append(U.conform(df, "orders"), f"{tmp_dir}/o")
