@@ -9,6 +9,8 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -105,38 +107,107 @@ _LOWER[65:91] += 32
 
 
 def pack(texts) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes of all texts, one line feed after each, and the offsets of the texts (n + 1)."""
-    raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
-    lens = np.fromiter((len(r) + 1 for r in raw), dtype=np.int64, count=len(raw))
-    offsets = np.concatenate([[0], np.cumsum(lens)]).astype(np.int64)
-    data = np.frombuffer(b"\n".join(raw) + b"\n" if raw else b"", dtype=np.uint8)
-    return data, offsets
+    """UTF-8 bytes of an Arrow string array, one line feed after each text, and the offsets of the texts (n + 1)."""
+    if not len(texts):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    nothing, feed = pa.scalar("", pa.large_string()), pa.scalar("\n", pa.large_string())
+    joined = pc.binary_join_element_wise(pc.fill_null(texts.cast(pa.large_string()), ""), nothing, feed)
+    _, offsets, data = joined.buffers()
+    offsets = np.frombuffer(offsets, np.int64, len(joined) + 1, joined.offset * 8)
+    return np.frombuffer(data, np.uint8, offsets[-1] - offsets[0], offsets[0]), offsets - offsets[0]
 
 
-def words_of(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words_of(texts):
     """All words of a batch: bytes (A-Z lower-cased), word starts, word ends, word hashes, first word of each text (n + 1)."""
     data, offsets = pack(texts)
     data = _LOWER[data]
     solid = ~_IS_SPACE[data]
     edge = np.diff(np.concatenate([[False], solid, [False]]).astype(np.int8))
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    first = np.searchsorted(start, offsets)
-    return data, start, end, PolyHash(data).ranges(start, end), first
-
-
-def text_batches(batches, rows: int = 256, size: int = 2_000_000):
-    """Re-cut Arrow batches with a ``text`` column so that each holds at most ``rows`` rows and about
-    ``size`` characters (or one row): memory stays bounded whatever the length of the texts."""
-    import pyarrow.compute as pc
-
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        lens = pc.fill_null(pc.utf8_length(batch.column(batch.schema.get_field_index("text"))), 0).to_numpy(zero_copy_only=False)
-        lo, total = 0, 0
-        for i, n in enumerate(lens):
-            if i > lo and (total + n > size or i - lo >= rows):
-                yield batch.slice(lo, i - lo)
-                lo, total = i, 0
-            total += int(n)
-        yield batch.slice(lo)
+    return data, start, end, PolyHash(data).ranges(start, end), np.searchsorted(start, offsets)
+
+
+def pieces(texts, rows: int = 512, size: int = 2_000_000):
+    """Slices of an Arrow string array of at most ``rows`` texts and about ``size`` bytes (or one text):
+    numpy's memory stays bounded whatever the length of the texts."""
+    lens = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    lo = total = 0
+    for i, n in enumerate(lens):
+        if i > lo and (total + n > size or i - lo >= rows):
+            yield texts.slice(lo, i - lo)
+            lo, total = i, 0
+        total += int(n)
+    if lo < len(texts):
+        yield texts.slice(lo)
+
+
+def flat(column):
+    """One array of a column that may come in chunks."""
+    return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+
+
+# ------------------------------------------------- letters and character n-grams
+BLANK = 32
+
+
+def _kept(digits: bool) -> np.ndarray:
+    """Which code points count as part of a token (letters; digits too if asked)."""
+    return np.fromiter((chr(i).isalpha() or (digits and chr(i).isdigit()) for i in range(0x30000)), dtype=bool, count=0x30000)
+
+
+_KEPT: dict[bool, np.ndarray] = {}
+
+
+def codes_of(texts, digits: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Lower-cased code points of a batch, every run of others as one blank, and the start of each text.
+
+    Every text starts with a blank, so its tokens have a blank on both sides.
+    """
+    if digits not in _KEPT:
+        _KEPT[digits] = _kept(digits)
+    kept = _KEPT[digits]
+    texts = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
+    data, _ = pack(texts)
+    codes = np.frombuffer(b"\n\0\0\0" + data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+    begins = np.concatenate([[0], np.cumsum(pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64) + 1)])
+    codes = np.where(kept[np.minimum(codes, len(kept) - 1)], codes, np.uint32(BLANK))
+    blank = codes == BLANK
+    keep = ~blank
+    keep[1:] |= ~blank[:-1]
+    keep[begins] = True
+    return codes[keep], np.concatenate([[0], np.cumsum(keep)])[begins[:-1]].astype(np.int64)
+
+
+def grams(codes: np.ndarray, low: int, high: int, bits: int):
+    """For n = low..high the buckets of the n-grams at every position, and which positions hold one
+    (blanks only as its first or last character)."""
+    n_codes = len(codes)
+    h = np.zeros(n_codes, np.uint32)
+    ok = np.ones(n_codes, bool)
+    solid = codes != BLANK
+    for n in range(1, high + 1):
+        span = n_codes - n + 1
+        if span <= 0:
+            break
+        h = h[:span] * np.uint32(0x01000193) + codes[n - 1:] + np.uint32(n)
+        if n > 2:
+            ok = ok[:span] & solid[n - 2:n - 2 + span]
+        else:
+            ok = ok[:span]
+        if n >= low:
+            g = (h ^ (h >> np.uint32(15))) * np.uint32(0x9E3779B1)
+            yield n, g >> np.uint32(32 - bits), (solid if n == 1 else ok)
+
+
+def bounded_sample(df: DataFrame, key: str, cap: int) -> DataFrame:
+    """About ``cap`` rows of ``df`` (all, if it has no more), chosen by a hash of ``key``."""
+    n = df.count()
+    if n <= cap:
+        return df
+    cells = 1 << 30
+    return df.filter(F.pmod(F.xxhash64(F.lit(7), key), F.lit(cells)) < int(cells * cap / n))
+
+
+def crc_mod(m: int, key: str = "doc_id"):
+    """crc32 of the id as text, modulo ``m`` (a null id counts as the empty text)."""
+    return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % m

@@ -67,18 +67,20 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: in
         bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """doc_id, size, source_size, target (its source's) and taken: words the mix takes of each document."""
     sizes = stage(docs.select("doc_id", "source", word_count().alias("size")), "mix-sizes")
-    targets = source_targets(sizes, weights, max_epochs).withColumnRenamed("source", "_src")
+    # staged, so that Spark knows its size (one row per source) when it picks the side to broadcast, if any
+    targets = stage(source_targets(sizes, weights, max_epochs).withColumnRenamed("source", "_src"), "mix-targets")
     rows = (sizes.join(targets, F.col("source").eqNullSafe(F.col("_src")), "inner").drop("_src")
             .withColumn("_h", F.md5(F.concat(F.lit(f"{int(seed)}:"),
                                              F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))))
     # buckets are ranges of the order (leading hex digits), about bucket_rows rows each
     digits = F.greatest(F.lit(0), F.ceil(F.log(F.col("n_docs") / F.lit(int(bucket_rows))) / F.log(F.lit(16.0)))).cast("int")
     rows = rows.withColumn("_bucket", F.substring("_h", F.lit(1), digits))
+    buckets = stage(words_before(rows), "mix-buckets")
     here = Window.partitionBy("source", "_bucket").orderBy("_h", "doc_id", "size") \
         .rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("_in", F.coalesce(F.sum("size").over(here), F.lit(0)))
     same = F.col("source").eqNullSafe(F.col("_src")) & (F.col("_bucket") == F.col("_b"))
-    rows = (rows.join(sizes_of_buckets(rows), same, "inner")
+    rows = (rows.join(buckets, same, "inner")
             .withColumn("_start", F.col("_in") + F.col("_before")))
     whole = F.when(F.col("source_size") > 0,
                    F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
@@ -88,7 +90,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: in
                        (whole * F.col("size") + extra).cast("long").alias("taken"))
 
 
-def sizes_of_buckets(rows: DataFrame) -> DataFrame:
+def words_before(rows: DataFrame) -> DataFrame:
     """Words of a source's buckets that lie before each bucket: one row per (source, bucket)."""
     before = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     return (rows.groupBy("source", "_bucket").agg(F.sum("size").alias("_words"))

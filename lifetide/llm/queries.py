@@ -39,3 +39,21 @@ def op8_template_decontam(spark, base):
 def op3_license_scan(spark, base):
     from lifetide.llm.licenses import scan
     return scan(table(spark, base, "documents"))
+
+
+@query
+def op9_language_id(spark, base):
+    from lifetide.llm.langid import language_of_documents
+    return language_of_documents(table(spark, base, "documents"))
+
+
+@query
+def op2_quality_gam(spark, base):
+    from lifetide.llm.quality import quality_of_documents
+    return quality_of_documents(table(spark, base, "documents"), table(spark, base, "labels"))
+
+
+@query
+def op7_toxicity(spark, base):
+    from lifetide.llm.toxicity import toxicity_of_documents
+    return toxicity_of_documents(table(spark, base, "documents"), table(spark, base, "labels"))
