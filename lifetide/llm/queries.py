@@ -57,3 +57,9 @@ def op2_quality_gam(spark, base):
 def op7_toxicity(spark, base):
     from lifetide.llm.toxicity import toxicity_of_documents
     return toxicity_of_documents(table(spark, base, "documents"), table(spark, base, "labels"))
+
+
+@query
+def op6_piecewise_fingerprints(spark, base):
+    from lifetide.llm.fingerprints import fingerprint_documents
+    return fingerprint_documents(table(spark, base, "documents"))
