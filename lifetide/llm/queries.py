@@ -63,3 +63,9 @@ def op7_toxicity(spark, base):
 def op6_piecewise_fingerprints(spark, base):
     from lifetide.llm.fingerprints import fingerprint_documents
     return fingerprint_documents(table(spark, base, "documents"))
+
+
+@query
+def op4_sentence_spans(spark, base):
+    from lifetide.llm.spans import dedup_spans
+    return dedup_spans(table(spark, base, "documents").select("doc_id", "text"))
