@@ -11,6 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from lifetide.llm.common import stage, table
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in none of the learned languages go (no letter, or a score under langid.MIN_SCORE)."""
+    from lifetide.llm import langid
+    return langid.keep(docs, langid.fit(langid.fold(docs)))
+
+
+def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of documents linked by shingles, the one with the smallest doc_id stays."""
+    from lifetide.llm.jaccard import keep_one
+    return keep_one(docs)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     from lifetide.llm.decontam import clean
@@ -33,7 +45,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mix(docs)
 
 
-STAGES = [("benchmark decontamination", decontaminate), ("pii", pseudonymise), ("source mix", mix_sources)]
+STAGES = [
+    ("language id", identify_language),
+    ("n-gram jaccard join", join_near_copies),
+    ("benchmark decontamination", decontaminate),
+    ("pii", pseudonymise),
+    ("source mix", mix_sources),
+]
 
 #: SQL cannot express the language model; tests/llm hold the stages against brute force.
 ORACLE_SQL = None

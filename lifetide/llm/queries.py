@@ -69,3 +69,9 @@ def op6_piecewise_fingerprints(spark, base):
 def op4_sentence_spans(spark, base):
     from lifetide.llm.spans import dedup_spans
     return dedup_spans(table(spark, base, "documents").select("doc_id", "text"))
+
+
+@query
+def op1_ngram_jaccard(spark, base):
+    from lifetide.llm.jaccard import join
+    return join(table(spark, base, "documents"))
