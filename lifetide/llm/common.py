@@ -41,6 +41,19 @@ def stage(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or ``name`` with underscores, so that no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def columns_but(df: DataFrame, *names: str) -> list[str]:
+    """Columns of ``df`` that do not clash with result columns ``names`` (those are replaced), quoted."""
+    return [f"`{c}`" for c in df.columns if c.lower() not in names]
+
+
 def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col), F.lit(""))
 
@@ -192,8 +205,8 @@ def grams(codes: np.ndarray, low: int, high: int, bits: int):
         h = h[:span] * np.uint32(0x01000193) + codes[n - 1:] + np.uint32(n)
         if n > 2:
             ok = ok[:span] & solid[n - 2:n - 2 + span]
-        else:
-            ok = ok[:span]
+        elif n == 2:
+            ok = solid[:-1] | solid[1:]
         if n >= low:
             g = (h ^ (h >> np.uint32(15))) * np.uint32(0x9E3779B1)
             yield n, g >> np.uint32(32 - bits), (solid if n == 1 else ok)

@@ -17,7 +17,8 @@ hash.  Only matching windows go on, so everything after the join is small.
 Defined results: null and empty texts, and texts or items of fewer than
 ``WINDOW`` tokens, match nothing; rows with the same doc_id (or item_id) count
 as one document (item) if equal, and their windows are pooled if not; repeated
-rows add nothing; empty tables give empty results; extra columns are ignored.
+rows add nothing; rows without an id cannot be reported (``clean`` keeps them);
+empty tables give empty results; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lifetide.llm.common import stage, text_or_empty
+from lifetide.llm.common import columns_but, stage, text_or_empty
 
 WINDOW = 8
 MIN_COVERAGE = 0.5
@@ -76,7 +77,8 @@ def _values(df: DataFrame, id_col: str, prefix: str) -> DataFrame:
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                  min_coverage: float = MIN_COVERAGE) -> DataFrame:
     """One row per document and benchmark item found in it: doc_id, item_id, covered, item_tokens, coverage, exact."""
-    docs, benchmark = docs.select("doc_id", "text"), benchmark.select("item_id", "text")
+    docs = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "text")
+    benchmark = benchmark.filter(F.col("item_id").isNotNull()).select("item_id", "text")
     ours = _windows(docs, "doc_id", window).select("doc_id", F.col("_p").alias("_dp"), "_h")
     theirs = (_windows(benchmark, "item_id", window)
               .groupBy("item_id", F.col("_p").alias("_ip"), "_h").agg(F.max("_n").alias("item_tokens")))
@@ -111,4 +113,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
 def clean(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:
     """``docs`` without the documents that some item contaminates; all columns."""
     bad = stage(contaminated(docs, benchmark, **params).select("doc_id").distinct(), "decontam-ids")
-    return docs.join(bad, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    return docs.join(bad, "doc_id", "left_anti").select(*columns_but(docs))

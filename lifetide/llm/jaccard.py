@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from lifetide.llm.common import flat, mix, pieces, stage
+from lifetide.llm.common import columns_but, flat, free_name, mix, pieces, stage
 from lifetide.llm.components import components
 from lifetide.llm.shingles import CELL_BITS, bitmap, bitmap_bits, cells, fold, needed, overlap_bound, prefix_length, rank, shingle_hashes
 
@@ -351,10 +351,11 @@ def join(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFra
 def keep_one(docs: DataFrame, **params) -> DataFrame:
     """One document of each component (that of the smallest doc_id); all columns.  Of repeated rows one stays."""
     ids = stage(join(docs, **params).select("doc_id", "component_id"), "jaccard-components")
-    gone = ids.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
-    twice = stage(ids.groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("_id"), "repeated-ids")
+    key = free_name(docs, "_id")
+    again = F.col("doc_id").eqNullSafe(F.col(key))
+    gone = ids.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(key)).distinct()
+    kept = docs.join(gone, again, "left_anti")
+    twice = stage(ids.groupBy(F.col("doc_id").alias(key)).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(key), "repeated-ids")
     if not twice.isEmpty():
-        again = F.col("doc_id").eqNullSafe(F.col("_id"))
         kept = kept.join(twice, again, "left_anti").union(kept.join(twice, again, "left_semi").dropDuplicates(["doc_id"]))
-    return kept.select(*[f"`{c}`" for c in docs.columns])
+    return kept.select(*columns_but(docs))

@@ -13,7 +13,8 @@ documents of each language); everything else runs over all rows.
 Defined results: a null text or one without a letter is ``und`` with score 0;
 so is every text if there is nothing to learn from; a language outside the
 fixed families is a family of its own; repeated rows get equal predictions;
-empty tables give empty results; extra columns are ignored (``identify`` keeps them).
+empty tables give empty results; extra columns are ignored (``identify`` and
+``keep`` keep them, but for those named like its results).
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from lifetide.llm.common import codes_of, crc_mod, flat, grams, pieces
+from lifetide.llm.common import codes_of, columns_but, crc_mod, flat, free_name, grams, pieces
 
 BITS = 12
 PER_LANGUAGE = 600
@@ -160,7 +161,7 @@ def _logistic(x: np.ndarray) -> np.ndarray:
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """Fit on about ``per_language`` documents of each language of ``docs`` (text, lang, doc_id)."""
-    docs = docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    docs = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     counts = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")).withColumnRenamed("lang", "_lang")
     cells = 1 << 30
     sample = (docs.join(counts, F.col("lang") == F.col("_lang"), "inner")
@@ -195,8 +196,9 @@ def predictor(model: Model) -> Callable:
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with lang_pred and score."""
-    return (docs.withColumn("_lang", predictor(model)(F.coalesce("text", F.lit(""))))
-            .withColumns({"lang_pred": F.col("_lang.lang_pred"), "score": F.col("_lang.score")}).drop("_lang"))
+    found = free_name(docs, "_found")
+    return (docs.withColumn(found, predictor(model)(F.coalesce("text", F.lit(""))))
+            .withColumns({"lang_pred": F.col(f"{found}.lang_pred"), "score": F.col(f"{found}.score")}).drop(found))
 
 
 def fold(docs: DataFrame) -> DataFrame:
@@ -214,5 +216,7 @@ def language_of_documents(docs: DataFrame) -> DataFrame:
 def keep(docs: DataFrame, model: Model, min_score: float = MIN_SCORE) -> DataFrame:
     """Documents whose language is recognised; the rest are rejected."""
     run = predictor(model)
-    marked = docs.withColumn("_lang", run(F.coalesce("text", F.lit(""))))
-    return marked.filter((F.col("_lang.lang_pred") != UNKNOWN) & (F.col("_lang.score") >= min_score)).select(*[f"`{c}`" for c in docs.columns])
+    found = free_name(docs, "_found")
+    marked = docs.withColumn(found, run(F.coalesce("text", F.lit(""))))
+    return (marked.filter((F.col(f"{found}.lang_pred") != UNKNOWN) & (F.col(f"{found}.score") >= min_score))
+            .select(*columns_but(docs)))

@@ -128,7 +128,7 @@ def _decontam_sql() -> str:
         return f"""
 {short}_tokens AS (SELECT {key}, {tok} AS t FROM {name}),
 {short}_windows AS (SELECT DISTINCT {key}, len(t) AS n, p - 1 AS p, array_to_string(t[p:p + {WINDOW - 1}], ' ') AS w
-  FROM (SELECT {key}, t, unnest(range(1, len(t) - {WINDOW - 2})) AS p FROM {short}_tokens WHERE len(t) >= {WINDOW})),
+  FROM (SELECT {key}, t, unnest(range(1, len(t) - {WINDOW - 2})) AS p FROM {short}_tokens WHERE len(t) >= {WINDOW} AND {key} IS NOT NULL)),
 {short}_marks AS (SELECT {key}, unnest(m) AS v, generate_subscripts(m, 1) - 1 AS p FROM (SELECT {key}, {marked} AS m FROM {name})),
 {short}_values AS (SELECT DISTINCT {key}, p, string_split(v, '⟦')[1] AS type, v FROM {short}_marks WHERE contains(v, '⟦'))"""
     return f"""

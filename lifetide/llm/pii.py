@@ -21,7 +21,8 @@ the matches of one pattern; gaps and replaced matches are joined again.
 
 Defined results: null texts stay null with 0 found; values that fail their
 check stay as they are and are not counted; empty tables give empty results;
-repeated rows and extra columns pass through unchanged.
+repeated rows and extra columns pass through unchanged (a column named like
+``count_col`` is replaced).
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lifetide.llm.common import columns_but, free_name
+
 KEY = "lifetide-demo-key"      # production passes its own secret
 ROUNDS = 10
 
@@ -177,17 +180,18 @@ def pseudonym(x: Column, key: str = KEY) -> Column:
 
 def pseudonymise(docs: DataFrame, key: str = KEY, col: str = "text", count_col: str | None = "n_found") -> DataFrame:
     """``docs`` with ``col`` rewritten; ``count_col`` (if any): how many values were replaced."""
-    text = F.col(col)
+    text, old, made = F.col(col), free_name(docs, "_old"), free_name(docs, "_made")
     found = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)))
-    new = F.transform("_old", lambda x: pseudonym(x, key))
+    new = F.transform(old, lambda x: pseudonym(x, key))
     gaps = F.split(text, PATTERN, -1)
     joined = F.array_join(F.transform(gaps, lambda g, i: F.concat(
-        g, F.when(i < F.size("_old"), F.element_at("_new", i + 1)).otherwise(F.lit("")))), "")
+        g, F.when(i < F.size(old), F.element_at(made, i + 1)).otherwise(F.lit("")))), "")
     # one pass for the matches, one for their pseudonyms, one for the text; only rows with a match pay for the last two
-    hit = F.col("_old").isNotNull() & (F.size("_old") > 0)
-    out = docs.withColumn("_old", found)
-    out = out.withColumn("_new", F.when(hit, new))
-    changed = F.when(hit, F.size(F.filter(F.zip_with("_old", "_new", lambda a, b: a != b), lambda c: c))).otherwise(0)
-    cols = [F.when(hit, joined).otherwise(text).alias(c) if c == col else F.col(f"`{c}`") for c in docs.columns]
+    hit = F.col(old).isNotNull() & (F.size(old) > 0)
+    out = docs.withColumn(old, found)
+    out = out.withColumn(made, F.when(hit, new))
+    changed = F.when(hit, F.size(F.filter(F.zip_with(old, made, lambda a, b: a != b), lambda c: c))).otherwise(0)
+    names = columns_but(docs, *([count_col] if count_col else []))
+    cols = [F.when(hit, joined).otherwise(text).alias(col) if c == f"`{col}`" else F.col(c) for c in names]
     extra = [changed.cast("long").alias(count_col)] if count_col else []
     return out.select(*cols, *extra)

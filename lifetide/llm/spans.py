@@ -15,7 +15,8 @@ Spark can split.  Texts move once, to meet what is to be cut out of them.
 Defined results: null and empty texts stay as they are, with 0 sentences; a
 text of too few words has no run and keeps all; a copy of an earlier text loses
 all its sentences that lie in runs; rows of one doc_id count as one document (equal
-rows do not remove each other); empty tables give empty results; extra columns pass through.
+rows do not remove each other); empty tables give empty results; extra
+columns pass through (those named like the two counts are replaced).
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from lifetide.llm.common import _PINV, _P, _powers, flat, mix, pack, pieces, stage, words_of
+from lifetide.llm.common import _P, _PINV, _powers, columns_but, flat, free_name, mix, pack, pieces, stage, words_of
 
 MIN_SENTENCES = 2
 MIN_WORDS = 16
@@ -130,9 +131,11 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
 
 def dedup_spans(docs: DataFrame) -> DataFrame:
     """``docs`` with cleaned texts, n_sentences and n_removed."""
-    cuts = (repeated_runs(docs).groupBy(F.col("doc_id").alias("_doc"))
-            .agg(F.collect_set(F.col("pos").cast("long") * F.lit(1 << 32) + F.col("len")).alias("_cuts")))
-    joined = docs.join(cuts, F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
-    out = joined.withColumn("_new", without(F.coalesce("text", F.lit("")), F.col("_cuts")))
-    cols = [F.when(F.col("text").isNotNull(), F.col("_new.text")).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
-    return out.select(*cols, "_new.n_sentences", "_new.n_removed")
+    owner, cut, new = (free_name(docs, n) for n in ("_owner", "_cut", "_new"))
+    cuts = (repeated_runs(docs).groupBy(F.col("doc_id").alias(owner))
+            .agg(F.collect_set(F.col("pos").cast("long") * F.lit(1 << 32) + F.col("len")).alias(cut)))
+    joined = docs.join(cuts, F.col("doc_id").eqNullSafe(F.col(owner)), "left")
+    out = joined.withColumn(new, without(F.coalesce("text", F.lit("")), F.col(cut)))
+    cols = [F.when(F.col("text").isNotNull(), F.col(f"{new}.text")).alias("text") if c == "`text`" else F.col(c)
+            for c in columns_but(docs, "n_sentences", "n_removed")]
+    return out.select(*cols, f"{new}.n_sentences", f"{new}.n_removed")
