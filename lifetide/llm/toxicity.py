@@ -11,7 +11,8 @@ labels of whole texts (Adam on the full batch of a bounded sample).
 The softmax is linear, so for scoring every vector folds into one number
 (its margin), and a text costs a table look-up per n-gram.
 
-Learns on the driver from about ``MAX_LABELLED`` labelled rows; scores are for all rows.
+Learns on the driver from about ``MAX_CLEAN`` and ``MAX_TOXIC`` labelled rows of the
+two classes, weighted back to their shares; scores are for all rows.
 
 Defined results: a text without a token (null, empty, only signs) gets the
 margin of an empty bag (the bias); without both classes among the labels every
@@ -30,10 +31,11 @@ from pyspark.sql.functions import arrow_udf
 
 from lifetide.llm.common import BLANK, bounded_sample, codes_of, crc_mod, flat, grams, mix, pieces
 
-MAX_LABELLED = 8_000
+MAX_CLEAN, MAX_TOXIC = 3_000, 2_000      # labelled rows of each class to learn from
 BITS = 16                  # buckets of n-grams; as many for tokens
 DIM = 16
 WINDOW = 3
+TRAIN_BYTES = 300_000      # of texts cut into n-grams at a time
 EPOCHS = 60
 RATE = 0.05
 PENALTY = 1e-5
@@ -90,42 +92,42 @@ def _attend(z: np.ndarray, text: np.ndarray, n: int) -> tuple[np.ndarray, np.nda
 
 
 class Model:
-    def __init__(self, texts, y: np.ndarray, seed: int = 11):
-        """texts: Arrow string array; y: 0/1."""
+    def __init__(self, texts, y: np.ndarray, share: float | None = None, seed: int = 11):
+        """texts: Arrow string array; y: 0/1; share: of class 1 where the sample was drawn (that of the sample if None)."""
         n = len(y)
         self.margin = np.zeros(2 << BITS, np.float32)
-        rate = float(np.clip(y.mean(), 1e-4, 1 - 1e-4)) if n else 1e-9
+        share = y.mean() if share is None and n else share
+        rate = float(np.clip(share, 1e-4, 1 - 1e-4)) if n else 1e-9
         self.bias = float(np.log(rate / (1 - rate)))
         if n and 0 < y.mean() < 1:
-            self._train(texts, y.astype(np.float64), np.random.default_rng(seed))
+            weight = np.where(y == 1, rate / y.mean(), (1 - rate) / (1 - y.mean()))
+            self._train(texts, y.astype(np.float64), weight / n, np.random.default_rng(seed))
 
-    def _train(self, texts, y: np.ndarray, rng) -> None:
+    def _train(self, texts, y: np.ndarray, of_text: np.ndarray, rng) -> None:
         n = len(y)
         # distinct tokens of the sample with their bags; every text as a list of token numbers
         seen: dict[int, int] = {}
         ids, owners, bag_token, bag_bucket, base = [], [], [], [], 0
-        for part in pieces(texts):
+        for part in pieces(texts, size=TRAIN_BYTES):
             codes, starts = codes_of(part, digits=True)
             begin, end, own = _tokens(codes, starts)
             h = _token_hash(codes, begin, end)
             uniq, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-            number = np.empty(len(uniq), np.int64)
-            for i, v in enumerate(uniq.tolist()):
-                number[i] = seen.setdefault(v, len(seen))
-            ids.append(number[inverse].astype(np.int32))
-            owners.append(own + base)
+            known = len(seen)
+            number = np.fromiter((seen.setdefault(v, len(seen)) for v in uniq.tolist()), np.int32, len(uniq))
+            ids.append(number[inverse])
+            owners.append((own + base).astype(np.int32))
+            # bags of the tokens that are new
             tok, bucket = _subwords(codes, begin, h)
-            is_first = np.zeros(len(begin), bool)
-            is_first[first] = True
-            at = is_first[tok]
-            bag_token.append(number[inverse[tok[at]]].astype(np.int32))
+            fresh = np.zeros(len(begin), bool)
+            fresh[first[number >= known]] = True
+            at = fresh[tok]
+            bag_token.append(ids[-1][tok[at]])
             bag_bucket.append(bucket[at].astype(np.int32))
             base += len(part)
-        ids, owner = np.concatenate(ids), np.concatenate(owners)
-        # a token met in several pieces brings the same bag again: keep one copy
-        both = np.unique((np.concatenate(bag_token).astype(np.int64) << (BITS + 1)) + np.concatenate(bag_bucket))
-        bag_token, bag_bucket = both >> (BITS + 1), both & ((2 << BITS) - 1)
         n_tokens = len(seen)
+        del seen
+        ids, owner, bag_token, bag_bucket = (np.concatenate(v) for v in (ids, owners, bag_token, bag_bucket))
         size = np.bincount(bag_token, minlength=n_tokens).astype(np.float64)
         at, text = _windows(owner, n)
         if not len(at):
@@ -139,13 +141,13 @@ class Model:
         moments = [[np.zeros_like(p), np.zeros_like(p)] for p in (vectors, out, bias)]
         for epoch in range(1, EPOCHS + 1):
             direction = out[1] - out[0]
-            margin = (vectors @ direction).astype(np.float64)
+            margin = vectors @ direction
             of_token = np.bincount(bag_token, margin[bag_bucket], n_tokens)
             z = np.add.reduceat(of_token[ids], at) / weight + (bias[1] - bias[0])
             a, score = _attend(z, text, n)
             has = np.bincount(text, minlength=n) > 0
             score = np.where(has, score, bias[1] - bias[0])
-            err = (1 / (1 + np.exp(-score)) - y) / n
+            err = (1 / (1 + np.exp(-score)) - y) * of_text
             g_window = err[text] * a / weight
             g_token = np.bincount(ids, g_window[window_of], n_tokens)
             g_bucket = np.bincount(bag_bucket, g_token[bag_token], 2 << BITS).astype(np.float32)
@@ -183,14 +185,15 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(np.where(has, score, self.bias), -60, 60)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_labelled: int = MAX_LABELLED) -> Model:
-    """Fit on about ``max_labelled`` rows of ``labels`` (doc_id, 0/1) and their texts."""
-    known = labels.filter(F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("_y"))
-    sample = bounded_sample(known, "doc_id", max_labelled).withColumnRenamed("doc_id", "_id")
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_clean: int = MAX_CLEAN, max_toxic: int = MAX_TOXIC) -> Model:
+    """Fit on about so many rows of either class of ``labels`` (doc_id, 0/1) and their texts."""
+    known = labels.filter(F.col(label).isin(0, 1)).select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_y"))
+    share = known.agg(F.avg("_y")).first()[0]
+    sample = bounded_sample(known.filter("_y = 0"), "_id", max_clean).union(bounded_sample(known.filter("_y = 1"), "_id", max_toxic))
     got = (docs.select("doc_id", "text").join(sample, F.col("doc_id") == F.col("_id"), "inner")
            .select("doc_id", "_y", "text").orderBy("doc_id", "_y", "text").toArrow())
     y = got.column("_y").to_numpy()
-    return Model(flat(got.column("text")).cast(pa.large_string()), y)
+    return Model(flat(got.column("text")).cast(pa.large_string()), y, share)
 
 
 def scored(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
