@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lifetide.functions import scalars as X
-from lifetide.schemas import CHECKOUT_PAYLOAD, CUSTOMER_PAYLOAD, ORDER_PAYLOAD
+from lifetide.schemas import CHECKOUT_PAYLOAD, CUSTOMER_PAYLOAD, ORDER_PAYLOAD, REFUND_PAYLOAD
 
 # Per-field defaults when a payload leaves a field out.
 DEFAULT_CURRENCY = "USD"
@@ -37,14 +37,21 @@ def _store(df: DataFrame) -> Column:
     return F.col("store_id") if "store_id" in df.columns else F.lit(None).cast("string")
 
 
-def flatten_customers(df: DataFrame, defaults: bool = True) -> DataFrame:
+def _arrival(df: DataFrame) -> list[Column]:
+    """The arrival sequence of a landed record, where there is one."""
+    return [F.col("ingest_seq")] if "ingest_seq" in df.columns else []
+
+
+def flatten_customers(df: DataFrame, defaults: bool = True, strict: bool = True) -> DataFrame:
     """Customer payload -> customers row.
 
     The nested default_address yields NULL country/province/city/zip when
     absent; the marketing flag comes from the consent object (False when
     absent); the API field ``state`` lands in ``customer_state``.
     ``defaults=False`` leaves missing fields NULL (and money unparsed-missing
-    as NULL) so an update can keep stored values (K6)."""
+    as NULL) so an update can keep stored values (K6).  ``strict`` (here and
+    below): junk money raises; without it, it is NULL and the row is expected
+    to be flagged (K9)."""
     df = parse(df, CUSTOMER_PAYLOAD)
     consent = _p("email_marketing_consent")
 
@@ -53,8 +60,8 @@ def flatten_customers(df: DataFrame, defaults: bool = True) -> DataFrame:
 
     marketing = F.when(consent.isNotNull(), X.consent_flag(_p("email_marketing_consent.state"))) \
         .otherwise(d(_p("accepts_marketing"), False))
-    spent = X.money(_p("total_spent")) if defaults else \
-        F.when(_p("total_spent").isNotNull(), X.money(_p("total_spent")))
+    spent = X.money(_p("total_spent"), strict) if defaults else \
+        F.when(_p("total_spent").isNotNull(), X.money(_p("total_spent"), strict))
     return df.select(
         _store(df).alias("store_id"),
         _p("id").cast("string").alias("customer_id"),
@@ -78,26 +85,29 @@ def flatten_customers(df: DataFrame, defaults: bool = True) -> DataFrame:
         _p("default_address.zip").alias("zip"),
         X.iso_utc(_p("created_at")).alias("created_at"),
         X.iso_utc(_p("updated_at")).alias("updated_at"),
+        *_arrival(df),
     )
 
 
-def flatten_orders(df: DataFrame) -> DataFrame:
+def flatten_orders(df: DataFrame, strict: bool = True) -> DataFrame:
     """Order payload -> orders row.
 
     customer_id comes from the nested customer object (NULL for guests);
     total_items is the number of line-item entries (not units), 0 when the
-    list is empty or absent; order_number falls back to the display name."""
-    df = parse(df, ORDER_PAYLOAD)
+    list is empty or absent; order_number falls back to the display name.
+    An order whose items take several payloads is the row of the first one,
+    which states the count; the others are for ``explode_line_items`` only."""
+    df = parse(df, ORDER_PAYLOAD).filter(F.coalesce(_p("line_page"), F.lit(0)) == 0)
     created = X.iso_utc(_p("created_at"))
     return df.select(
         _store(df).alias("store_id"),
         _p("id").cast("string").alias("order_id"),
         X.id_text(_p("customer.id")).alias("customer_id"),
         F.coalesce(_p("order_number").cast("string"), _p("name")).alias("order_number"),
-        X.money(_p("total_price")).alias("total_price"),
-        X.money(_p("subtotal_price")).alias("subtotal_price"),
-        X.money(_p("total_tax")).alias("total_tax"),
-        X.money(_p("total_discounts")).alias("total_discounts"),
+        X.money(_p("total_price"), strict).alias("total_price"),
+        X.money(_p("subtotal_price"), strict).alias("subtotal_price"),
+        X.money(_p("total_tax"), strict).alias("total_tax"),
+        X.money(_p("total_discounts"), strict).alias("total_discounts"),
         F.coalesce(_p("currency"), F.lit(DEFAULT_CURRENCY)).alias("currency"),
         _p("financial_status").alias("financial_status"),
         _p("fulfillment_status").alias("fulfillment_status"),
@@ -107,8 +117,7 @@ def flatten_orders(df: DataFrame) -> DataFrame:
         F.coalesce(_p("test"), F.lit(False)).alias("test"),
         F.coalesce(_p("taxes_included"), F.lit(False)).alias("taxes_included"),
         F.coalesce(_p("total_weight"), F.lit(0.0)).alias("total_weight"),
-        F.when(_p("line_items").isNull(), F.lit(0)).otherwise(F.size(_p("line_items")))
-        .alias("total_items"),
+        F.coalesce(_p("line_items_count").cast("int"), F.size(_p("line_items")), F.lit(0)).alias("total_items"),
         _p("tags").alias("tags"),
         _p("shipping_address.name").alias("shipping_name"),
         _p("shipping_address.address1").alias("shipping_address1"),
@@ -123,6 +132,7 @@ def flatten_orders(df: DataFrame) -> DataFrame:
         X.iso_utc(_p("closed_at")).alias("closed_at"),
         X.iso_utc(_p("processed_at")).alias("processed_at"),
         _p("cancel_reason").alias("cancel_reason"),
+        *_arrival(df),
     )
 
 
@@ -133,18 +143,28 @@ def flatten_orders(df: DataFrame) -> DataFrame:
 ITEM_ORDER_FIELDS = ("id", "created_at", "line_items")
 
 
-def explode_line_items(df: DataFrame) -> DataFrame:
-    """One row per line item, inheriting the order id and the order's
-    created_at (P3).  Inner explode: an order without items yields no row."""
+def line_items(df: DataFrame) -> DataFrame:
+    """One row per line item as a struct ``li``, with store, order id and the
+    order's created_at (P3).  Inner explode: an order without items yields no row."""
     df = parse(df, T.StructType([ORDER_PAYLOAD[f] for f in ITEM_ORDER_FIELDS]))
     # explode_outer + filter instead of explode: for a plain explode the
     # optimizer infers "size(line_items) > 0" and pushes it below the parse,
     # which evaluates the JSON parse a second time inside that filter.
-    lines = df.select(_store(df).alias("store_id"),
-                      _p("id").cast("string").alias("order_id"),
-                      X.iso_utc(_p("created_at")).alias("created_at"),
-                      F.explode_outer(_p("line_items")).alias("li")) \
+    extra = [c for c in ("page", "ingest_seq") if c in df.columns]
+    return df.select(_store(df).alias("store_id"),
+                     _p("id").cast("string").alias("order_id"),
+                     X.iso_utc(_p("created_at")).alias("created_at"), *extra,
+                     F.explode_outer(_p("line_items")).alias("li")) \
         .filter(F.col("li").isNotNull())
+
+
+def explode_line_items(df: DataFrame, strict: bool = True) -> DataFrame:
+    """One row per line item, inheriting the order id and the order's created_at."""
+    return flatten_items(line_items(df), strict)
+
+
+def flatten_items(lines: DataFrame, strict: bool = True) -> DataFrame:
+    """Rows of ``line_items`` -> order_items rows."""
     li = lambda f: F.col(f"li.{f}")
     return lines.select(
         "store_id",
@@ -155,7 +175,7 @@ def explode_line_items(df: DataFrame) -> DataFrame:
         li("title").alias("title"),
         li("name").alias("name"),
         F.coalesce(li("quantity"), F.lit(0)).alias("quantity"),
-        X.money(li("price")).alias("price"),
+        X.money(li("price"), strict).alias("price"),
         li("sku").alias("sku"),
         li("vendor").alias("vendor"),
         F.coalesce(li("requires_shipping"), F.lit(False)).alias("requires_shipping"),
@@ -164,12 +184,13 @@ def explode_line_items(df: DataFrame) -> DataFrame:
         li("fulfillable_quantity").alias("fulfillable_quantity"),
         li("fulfillment_status").alias("fulfillment_status"),
         F.coalesce(li("grams"), F.lit(0)).alias("grams"),
-        X.money(li("total_discount")).alias("total_discount"),
+        X.money(li("total_discount"), strict).alias("total_discount"),
         "created_at",
+        *_arrival(lines),
     )
 
 
-def flatten_checkouts(df: DataFrame) -> DataFrame:
+def flatten_checkouts(df: DataFrame, strict: bool = True) -> DataFrame:
     """Checkout payload -> abandoned_checkouts row; abandoned_at := created_at."""
     df = parse(df, CHECKOUT_PAYLOAD)
     created = X.iso_utc(_p("created_at"))
@@ -178,16 +199,37 @@ def flatten_checkouts(df: DataFrame) -> DataFrame:
         _p("id").cast("string").alias("checkout_id"),
         X.id_text(_p("customer.id")).alias("customer_id"),
         _p("email").alias("email"),
-        X.money(_p("total_price")).alias("total_price"),
-        X.money(_p("subtotal_price")).alias("subtotal_price"),
-        X.money(_p("total_tax")).alias("total_tax"),
-        X.money(_p("total_discounts")).alias("total_discounts"),
+        X.money(_p("total_price"), strict).alias("total_price"),
+        X.money(_p("subtotal_price"), strict).alias("subtotal_price"),
+        X.money(_p("total_tax"), strict).alias("total_tax"),
+        X.money(_p("total_discounts"), strict).alias("total_discounts"),
         F.coalesce(_p("currency"), F.lit(DEFAULT_CURRENCY)).alias("currency"),
         X.iso_utc(_p("completed_at")).alias("completed_at"),
         created.alias("created_at"),
         X.iso_utc(_p("updated_at")).alias("updated_at"),
         created.alias("abandoned_at"),
         _p("recovery_url").alias("recovery_url"),
+        *_arrival(df),
+    )
+
+
+def flatten_refunds(df: DataFrame, strict: bool = True) -> DataFrame:
+    """Refund payload -> refunds row."""
+    df = parse(df, REFUND_PAYLOAD)
+    return df.select(
+        _store(df).alias("store_id"),
+        _p("id").cast("string").alias("refund_id"),
+        X.id_text(_p("order_id")).alias("order_id"),
+        X.id_text(_p("customer.id")).alias("customer_id"),
+        _p("status").alias("status"),
+        X.money(_p("amount"), strict).alias("amount"),
+        F.coalesce(_p("currency"), F.lit(DEFAULT_CURRENCY)).alias("currency"),
+        _p("reason").alias("reason"),
+        _p("note").alias("note"),
+        F.coalesce(_p("restock"), F.lit(False)).alias("restock_items"),
+        X.iso_utc(_p("created_at")).alias("created_at"),
+        X.iso_utc(_p("processed_at")).alias("processed_at"),
+        *_arrival(df),
     )
 
 
@@ -196,11 +238,6 @@ def abandoned_only(checkouts: DataFrame) -> DataFrame:
     return checkouts.filter(F.col("completed_at").isNull())
 
 
-def tag_store(df: DataFrame, store_id: str) -> DataFrame:
-    """Stamp every row of a one-store batch with its store."""
-    return df.withColumn("store_id", F.lit(store_id))
-
-
 def align_to(df: DataFrame, target: T.StructType) -> DataFrame:
     """Lower-case column names and keep only the target's columns.
     Schema metadata only; no data is touched."""

@@ -115,8 +115,7 @@ def clv_profile(customers: DataFrame, orders: DataFrame, abandoned: DataFrame,
     refund count + total refunded.
 
     ``literal=False`` (default) aggregates each branch on its own.
-    ``literal=True`` reproduces the reference query's fan-out, where joining
-    checkouts and refunds side by side multiplies every refund amount by the
+    ``literal=True`` gives the fan-out form, where joining checkouts and refunds side by side multiplies every refund amount by the
     customer's number of checkout rows (at least 1).  That value is computed
     from the two per-customer aggregates -- exactly the same number, without
     materialising the cross product of a customer's checkouts and refunds.
@@ -144,8 +143,8 @@ def clv_profile(customers: DataFrame, orders: DataFrame, abandoned: DataFrame,
         X.money_out(refunded).alias("total_refunded"))
 
 
-def clv_features(profile: DataFrame, as_of) -> DataFrame:
-    """The model's seven features, in fixed order (M1).
+def clv_features(profile: DataFrame, as_of, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The model's seven features, in fixed order (M1); ``keep``: columns to carry along.
 
     Days since first/last order are whole 24-hour periods (0 when missing);
     refund_rate is total_refunded / total_spent, 0 when nothing was spent."""
@@ -158,6 +157,7 @@ def clv_features(profile: DataFrame, as_of) -> DataFrame:
         F.col("abandoned_checkouts_count").cast("double").alias("abandoned_checkouts_count"),
         F.col("refunds_count").cast("double").alias("refunds_count"),
         X.guarded_ratio("total_refunded", "total_spent").alias("refund_rate"),
+        *keep,
     )
 
 

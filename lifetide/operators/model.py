@@ -35,11 +35,17 @@ VALIDATION_TOL = 0.01
 
 
 def split_flag(df: DataFrame) -> DataFrame:
-    """``is_validation``: stable 80/20 split by a hash of the customer key."""
-    bucket = F.pmod(F.xxhash64("store_id", "customer_id", F.lit(SEED)), F.lit(10))
+    """``is_validation``: stable 80/20 split by a digest of the customer key
+    (one that any engine can compute)."""
+    digest = F.md5(F.concat_ws("|", "store_id", "customer_id", F.lit(str(SEED))))
+    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 10
     return df.withColumn("is_validation", bucket >= TRAIN_SHARE)
 
 
+class Untrained(ValueError):
+    """Scoring was asked of a model that was never fitted."""
+
+
 def training_frame(customers: DataFrame, orders: DataFrame, abandoned: DataFrame,
                    refunds: DataFrame, cutoff, horizon_days: int) -> DataFrame:
     """Features as of ``cutoff`` (only history before it) and the target:
@@ -47,9 +53,7 @@ def training_frame(customers: DataFrame, orders: DataFrame, abandoned: DataFrame
     into the features."""
     cut = X.ts_lit(cutoff)
     end = cut + F.make_dt_interval(F.lit(horizon_days))
-    past_orders = orders.filter(F.col("created_at") < cut)
-    past_ck = abandoned.filter(F.col("created_at") < cut)
-    past_rf = refunds.filter(F.col("created_at") < cut)
+    past_orders, past_ck, past_rf = history(cutoff, orders, abandoned, refunds)
     prof = M.clv_profile(customers, past_orders, past_ck, past_rf)
     feats = M.clv_features(prof, cutoff)
     target = (orders.filter((F.col("created_at") >= cut) & (F.col("created_at") < end))
@@ -87,11 +91,19 @@ def train(frame: DataFrame) -> PipelineModel:
     return PipelineModel(stages=[*prep.stages, gbt_model])
 
 
-def predict(model: PipelineModel, features: DataFrame, profile: DataFrame, as_of) -> DataFrame:
-    """Predicted CLV, confidence, prediction date, features used (M3, M4)."""
-    scored = model.transform(features).select("store_id", "customer_id", "predicted_clv")
-    conf = M.clv_confidence(profile, as_of).select("store_id", "customer_id", "clv_confidence_score")
-    return (scored.join(conf, ["store_id", "customer_id"], "left")
+def history(as_of, *tables: DataFrame) -> list[DataFrame]:
+    """Each table's rows before ``as_of``: what was known then."""
+    return [df.filter(F.col("created_at") < X.ts_lit(as_of)) for df in tables]
+
+
+def predict(model: PipelineModel | None, profile: DataFrame, as_of) -> DataFrame:
+    """Predicted CLV, confidence, prediction date, features used (M3, M4).
+    ``profile``: as of ``as_of``, see ``history``; features and confidence come from one pass over it."""
+    if model is None:
+        raise Untrained("no trained model: call train() first")
+    confidence = X.confidence("total_orders", "first_order_date", "last_order_date", as_of)
+    scored = model.transform(M.clv_features(profile.withColumn("clv_confidence_score", confidence), as_of, keep=("clv_confidence_score",)))
+    return (scored.select("store_id", "customer_id", "predicted_clv", "clv_confidence_score")
             .withColumn("last_prediction_date", X.ts_lit(as_of))
             .withColumn("features_used", F.array(*[F.lit(f) for f in M.FEATURES])))
 

@@ -22,10 +22,12 @@ def pk_violations(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
     Counting is a partial aggregate, so a hot key costs one row per task."""
     parts = []
     for name, (df, keys) in tables.items():
-        key = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
-        parts.append(df.groupBy(key.alias("key")).agg(F.count(F.lit(1)).alias("n_rows"))
+        # grouped by the columns themselves (a NULL part is a value of its
+        # own); the text is built for the few keys that repeat
+        text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+        parts.append(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
                      .filter(F.col("n_rows") > 1)
-                     .select(F.lit(name).alias("table_name"), "key", "n_rows"))
+                     .select(F.lit(name).alias("table_name"), text.alias("key"), "n_rows"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -58,38 +60,62 @@ def unknown_stores(requests: DataFrame, registry: DataFrame) -> DataFrame:
             .select("request_id", "store_id", "known", (F.col("_all") == 1).alias("accepted")))
 
 
-def flag_orders(parsed: DataFrame) -> DataFrame:
-    """Add ``quarantined``: unparseable JSON, a missing id, junk money text
-    or an unreadable created_at (K9).  Such a row is set aside instead of
-    failing the whole job."""
-    p = F.col("p")
-    bad = (p.isNull() | F.col("p.id").isNull()
-           | ~X.money_is_valid(F.col("p.total_price"))
-           | ~X.money_is_valid(F.col("p.subtotal_price"))
-           | ~X.money_is_valid(F.col("p.total_tax"))
-           | ~X.money_is_valid(F.col("p.total_discounts"))
-           | (F.col("p.created_at").isNotNull() & X.iso_utc(F.col("p.created_at")).isNull()))
-    return parsed.withColumn("quarantined", bad)
-
-
-def load_status(flagged: DataFrame, table_name: str) -> DataFrame:
-    """Per store: rows loaded, rows quarantined, success (no quarantined
-    row) -- one aggregate over the flagged rows, all stores in one job (K9)."""
-    q = F.col("quarantined").cast("long")
+# The money and time fields of every payload.
+MONEY_FIELDS = {
+    "customers": ("total_spent",),
+    "orders": ("total_price", "subtotal_price", "total_tax", "total_discounts"),
+    "order_items": ("price", "total_discount"),
+    "abandoned_checkouts": ("total_price", "subtotal_price", "total_tax", "total_discounts"),
+    "refunds": ("amount",),
+}
+TIME_FIELDS = {
+    "customers": ("created_at", "updated_at"),
+    "orders": ("created_at", "updated_at", "cancelled_at", "closed_at", "processed_at"),
+    "order_items": (),
+    "abandoned_checkouts": ("created_at", "updated_at", "completed_at"),
+    "refunds": ("created_at", "processed_at"),
+}
+
+
+def flag(parsed: DataFrame, resource: str, root: str = "p") -> DataFrame:
+    """Add ``problem`` and ``quarantined`` (K9): an unreadable record, a missing
+    id, junk money or an unreadable time in any field that is stored.  Such a
+    row is set aside instead of failing the job or losing the field."""
+    p = lambda f: F.col(f"{root}.{f}")
+    # text that cannot be parsed gives a record of NULLs (PERMISSIVE mode)
+    unreadable = F.col(root).isNull() | (p("id").isNull() & (F.to_json(root) == "{}"))
+    checks = [(unreadable, "unreadable"), (~unreadable & p("id").isNull(), "id")]
+    checks += [(~X.money_is_valid(p(f)), f) for f in MONEY_FIELDS[resource]]
+    checks += [(p(f).isNotNull() & X.iso_utc(p(f)).isNull(), f) for f in TIME_FIELDS[resource]]
+    text = F.concat_ws(",", *[F.when(bad, F.lit(name)) for bad, name in checks])
+    return parsed.withColumn("problem", F.nullif(text, F.lit(""))).withColumn("quarantined", F.col("problem").isNotNull())
+
+
+def load_status(flagged: DataFrame, table_name: str, counted=None) -> DataFrame:
+    """Per store: rows loaded into the table, rows quarantined, success (no
+    quarantined row) -- one aggregate over the flagged rows, all stores in one
+    job (K9).  ``counted``: which good rows the table stores (default: all)."""
+    q = F.col("quarantined")
+    good = ~q if counted is None else ~q & F.coalesce(counted, F.lit(False))
     return (flagged.groupBy("store_id")
-            .agg(F.sum(F.lit(1) - q).alias("rows_loaded"), F.sum(q).alias("rows_quarantined"))
-            .select("store_id", F.lit(table_name).alias("table_name"),
-                    F.col("rows_loaded").cast("long").alias("rows_loaded"),
-                    F.col("rows_quarantined").cast("long").alias("rows_quarantined"),
+            .agg(F.count_if(good).alias("rows_loaded"), F.count_if(q).alias("rows_quarantined"))
+            .select("store_id", F.lit(table_name).alias("table_name"), "rows_loaded", "rows_quarantined",
                     (F.col("rows_quarantined") == 0).alias("success")))
 
 
-def write_with_quarantine(flagged: DataFrame, path: str) -> None:
-    """Write loadable and quarantined rows in ONE pass, split by folder
-    (``quarantined=false`` / ``quarantined=true``), so the parse is never
-    computed twice."""
-    by_folder(flagged, ["quarantined", "store_id"]).write.mode("append") \
-        .partitionBy("quarantined", "store_id").parquet(path)
+def quarantine_rows(flagged: DataFrame, resource: str, as_of, root: str = "p") -> DataFrame:
+    """The rows set aside, in the form of the quarantine table (the record's own text, or the parsed record's)."""
+    page = F.col("page") if "page" in flagged.columns else F.lit(None).cast("string")
+    text = F.to_json(root)
+    text = F.coalesce(F.col("raw"), text) if "raw" in flagged.columns else text
+    return flagged.filter("quarantined").select(
+        F.lit(resource).alias("resource"), "store_id", page.alias("page"), "problem", text.alias("payload"),
+        X.ts_lit(as_of).alias("quarantined_at"))
+
+
+def write_quarantine(rows: DataFrame, path: str) -> None:
+    """Append to the quarantine table, one folder per resource."""
+    by_folder(rows, ["resource"]).write.mode("append").partitionBy("resource").parquet(path)
 
 
 def column_listing(df: DataFrame, spark: SparkSession, expected: T.StructType | None = None) -> DataFrame:
@@ -111,6 +137,14 @@ def tables_present(spark: SparkSession, expected: list[str], database: str | Non
     return e.select("table_name", F.col("table_name").isin(found).alias("present")).orderBy("table_name")
 
 
+def compare_names(expected: DataFrame, found: DataFrame) -> DataFrame:
+    """Every expected name once, in order, with whether it was found; names
+    compare case-insensitively (V2, F5, U2, O4)."""
+    seen = found.select(F.lower("name").alias("name")).distinct().withColumn("present", F.lit(True))
+    return (expected.select(F.lower("name").alias("name")).distinct().join(seen, "name", "left")
+            .select("name", F.coalesce("present", F.lit(False)).alias("present")).orderBy("name"))
+
+
 def missing_tables(spark: SparkSession, expected: list[str], found: list[str]) -> DataFrame:
     """Expected tables not found, compared case-insensitively."""
     e = spark.createDataFrame([(n.lower(),) for n in expected], "table_name string")

@@ -25,8 +25,11 @@ def record_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def _items_per_order(items: DataFrame) -> DataFrame:
-    return (items.groupBy(*[c for c in ("store_id", "order_id") if c in items.columns])
-            .agg(F.count_distinct("order_item_id").alias("n_items")))
+    """Distinct items and rows per order."""
+    keys = [c for c in ("store_id", "order_id") if c in items.columns]
+    # typed key columns where the item key is made of them; equal items are first folded into one row with its count
+    per_item = items.groupBy(*keys, "order_item_id").agg(F.count(F.lit(1)).alias("n"))
+    return per_item.groupBy(*keys).agg(F.count("order_item_id").alias("n_items"), F.sum("n").alias("n_rows"))
 
 
 def customer_summary(customers: DataFrame, orders: DataFrame, items: DataFrame,
@@ -36,9 +39,9 @@ def customer_summary(customers: DataFrame, orders: DataFrame, items: DataFrame,
 
     Items are counted per order before meeting the orders, so the join is
     one row per order.  ``literal=False`` counts each order's price once.
-    ``literal=True`` gives the reference query's number, where joining items
-    repeats an order's price once per line (at least once): the price is
-    weighted by the order's line count instead of joining line rows.
+    ``literal=True`` gives the fan-out number, where joining items repeats an
+    order's price once per joined row (at least once): the price is weighted
+    by the order's row count instead of joining line rows.
     total_spent stays NULL for customers without orders (A4).
     """
     ipo = _items_per_order(items)
@@ -46,9 +49,9 @@ def customer_summary(customers: DataFrame, orders: DataFrame, items: DataFrame,
     o = (orders.filter(F.col("customer_id").isNotNull())
          .select(*_uniq(okeys + CUSTOMER_KEY), "total_price")
          .join(ipo, okeys, "left"))
-    weight = F.greatest(F.coalesce(F.col("n_items"), F.lit(0)), F.lit(1)) if literal else F.lit(1)
+    weight = F.greatest(F.coalesce(F.col("n_rows"), F.lit(0)), F.lit(1)) if literal else F.lit(1)
     per_customer = (o.groupBy(*CUSTOMER_KEY)
-                    .agg(F.count(F.lit(1)).alias("order_count"),
+                    .agg(F.count_distinct("order_id").alias("order_count"),
                          F.sum(F.coalesce(F.col("n_items"), F.lit(0))).alias("total_items"),
                          F.sum(F.col("total_price") * weight).alias("spent")))
     c = customers.select(*CUSTOMER_KEY, "email", "first_name", "last_name", "customer_state")
@@ -109,20 +112,32 @@ def abandoned_checkouts_report(abandoned: DataFrame, customers: DataFrame,
             .orderBy(F.desc_nulls_last("total_price"), F.asc("checkout_id")))
 
 
-def store_status(customers: DataFrame, orders: DataFrame) -> DataFrame:
+def store_status(customers: DataFrame, orders: DataFrame, registry: DataFrame | None = None,
+                 load_status: DataFrame | None = None) -> DataFrame:
     """Per store: customer_count, order_count, last_order_date, state (A10).
 
     All stores in one job: two partial aggregates by store, full-outer joined
-    (a store may have customers and no orders, or the reverse)."""
+    (a store may have customers and no orders, or the reverse).  A store of
+    ``registry`` without rows is listed with zeros.  The state is 'error' when
+    the last sync (``load_status``: store_id, success) failed for the store in
+    any table, else 'active'."""
     cc = customers.groupBy("store_id").agg(F.count(F.lit(1)).alias("customer_count"))
     oc = orders.groupBy("store_id").agg(F.count(F.lit(1)).alias("order_count"),
                                         F.max("created_at").alias("last_order_date"))
-    return (cc.join(oc, "store_id", "full_outer")
+    found = cc.join(oc, "store_id", "full_outer")
+    if registry is not None:
+        found = registry.select("store_id").distinct().join(found, "store_id", "full_outer")
+    state = F.lit("active")
+    if load_status is not None:
+        failed = load_status.groupBy("store_id").agg(F.bool_or(~F.col("success")).alias("failed"))
+        found = found.join(failed, "store_id", "left")
+        state = F.when(F.col("failed"), F.lit("error")).otherwise(state)
+    return (found
             .select("store_id",
                     F.coalesce("customer_count", F.lit(0)).cast("long").alias("customer_count"),
                     F.coalesce("order_count", F.lit(0)).cast("long").alias("order_count"),
                     "last_order_date",
-                    F.lit("active").alias("status")))
+                    state.alias("status")))
 
 
 def order_refunds(orders: DataFrame, refunds: DataFrame) -> DataFrame:

@@ -4,20 +4,24 @@ Merge logic is a join on the key: the staged batch is first reduced to one
 row per key (W1), so both join sides hold at most one row per key and no key
 can skew the join.
 
-Writing: a Parquet folder partitioned by ``store_id``.  The merged rows of
-the touched stores are checkpointed into the shared checkpoint folder
-(cutting the lineage to the files being replaced) and then written with
-dynamic partition overwrite, so only the touched store partitions are
-replaced and the others are never rewritten.
+Writing: a Parquet folder partitioned by store and key bucket.  New keys
+(insert mode) are appended and rewrite nothing.  A merge stages the rows of
+the touched partitions in the shared checkpoint folder (cutting the lineage
+to the files being replaced), replaces those partitions by dynamic partition
+overwrite, and removes the staged files.
 """
 
 from __future__ import annotations
 
+import uuid
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lifetide.operators.dedup import latest_by_updated, latest_non_null_per_key, latest_per_key
+from lifetide.operators.dedup import latest_by_updated, latest_non_null_per_key, latest_per_key  # noqa: F401
 from lifetide.schemas import STATUS_NEW, TABLES
+from lifetide.session import checkpoint_dir
 
 _PRESENT = "_src_present"
 _PRESENT_T = "_tgt_present"
@@ -161,9 +165,43 @@ def by_folder(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in cols])
 
 
-def append(df: DataFrame, path: str) -> None:
-    """Plain append, one job-level commit per call (K1, K2)."""
-    by_folder(df, ["store_id"]).write.mode("append").partitionBy("store_id").parquet(path)
+def append(df: DataFrame, path: str, name: str) -> None:
+    """Plain append of canonical rows, one job-level commit per call (K1, K2),
+    in the table's own layout; the table is created if absent."""
+    from lifetide.schemas import KEYS
+    n = create_table(df.sparkSession, path, name)
+    rows = conform(df, name).withColumn(KEY_BUCKET, bucket_of(KEYS[name], n))
+    by_folder(rows, PARTITIONS).write.mode("append").partitionBy(*PARTITIONS).parquet(path)
+
+
+@contextmanager
+def staged(df: DataFrame):
+    """``df`` written to the shared checkpoint folder and read back; the files
+    go when the block ends, whatever happens in it."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        fs.delete(hpath, True)
+
+
+def rebucket(spark: SparkSession, path: str, name: str, n: int) -> None:
+    """Change a table's bucket count (maintenance; no other writer may run):
+    the table is rewritten beside itself, then takes its own place."""
+    from lifetide.schemas import KEYS
+    beside = f"{path.rstrip('/')}-rebucket"
+    rows = read_or_empty(spark, path, name).withColumn(KEY_BUCKET, bucket_of(KEYS[name], n))
+    by_folder(rows, PARTITIONS).write.mode("overwrite").partitionBy(*PARTITIONS).parquet(beside)
+    spark.createDataFrame([(str(n),)], "value string").coalesce(1).write.mode("overwrite").text(f"{beside}/_lifetide_buckets")
+    jvm = spark.sparkContext._jvm
+    old, new = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(beside)
+    fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(old, True)
+    fs.rename(new, old)
 
 
 def conform(df: DataFrame, name: str) -> DataFrame:
@@ -177,27 +215,29 @@ def read_touched(spark: SparkSession, path: str, name: str, batch: DataFrame, ke
                  n: int) -> DataFrame:
     """Stored rows of the (store, bucket) partitions that ``batch`` touches.
 
-    The touched set has at most (stores x n) rows by construction, a proven
-    bound, so it is broadcast.  Spark's dynamic partition pruning then reads
-    only those partition folders: it needs a broadcast to reuse and a
-    filter it deems selective on the pruning side, which the always-true
-    bucket range supplies.  Without both, the semi join is a sort-merge join
-    that reads and shuffles the whole stored table on every batch."""
-    parts = (batch.select("store_id", bucket_of(key, n).alias(KEY_BUCKET))
-             .filter(F.col(KEY_BUCKET).between(0, n - 1)).distinct())
+    The touched set (at most stores x n rows) is materialised first, so Spark
+    knows its real size and broadcasts it if that is under the threshold; it
+    is not hinted, since stores are data.  With the broadcast, dynamic
+    partition pruning reads only those partition folders: it needs a
+    broadcast to reuse and a filter it deems selective on the pruning side,
+    which the always-true bucket range supplies.  Beyond the threshold the
+    semi join shuffles."""
+    parts = batch.select("store_id", bucket_of(key, n).alias(KEY_BUCKET)).distinct().persist()
+    parts.count()
     return (read_or_empty(spark, path, name)
-            .join(F.broadcast(parts), PARTITIONS, "left_semi").drop(KEY_BUCKET))
+            .join(parts.filter(F.col(KEY_BUCKET).between(0, n - 1)), PARTITIONS, "left_semi").drop(KEY_BUCKET))
 
 
 def upsert_table(spark: SparkSession, path: str, name: str, batch: DataFrame,
                  mode: str = "upsert", newest_first: list | None = None,
-                 seq: str | None = None) -> DataFrame:
-    """Apply a staged batch to the table at ``path``; returns the rewritten rows.
+                 seq: str | None = None) -> None:
+    """Apply a staged batch to the table at ``path``.
 
-    ``mode``: 'upsert' (K3/K4), 'keep_missing' (K6) or 'insert' (K5).
+    ``mode``: 'upsert' (K3/K4), 'arrival' (the same with the last arrival by
+    ``seq`` as a key's row, W2), 'keep_missing' (K6) or 'insert' (K5).
     Only the (store, key bucket) partitions the batch touches are read
-    (dynamic partition pruning on the semi join), merged, checkpointed to the
-    shared checkpoint folder, and replaced by dynamic partition overwrite.
+    (dynamic partition pruning on the semi join).  'insert' appends the keys
+    that are new; the others merge, stage and replace those partitions.
     Applying the same batch twice gives the same table.
     """
     from lifetide.schemas import KEYS
@@ -208,17 +248,18 @@ def upsert_table(spark: SparkSession, path: str, name: str, batch: DataFrame,
     if mode == "insert":
         src = latest_by_updated(batch, keys, seq) if newest_first is None else \
             latest_per_key(batch, keys, newest_first, drop=[seq] if seq else [])
-        merged = touched.unionByName(conform(insert_if_absent(touched, src, keys), name))
-    elif mode == "keep_missing":
+        # staged, as the rows to append are found by reading the table itself
+        with staged(conform(insert_if_absent(touched, src, keys), name)) as fresh:
+            append(fresh, path, name)
+        return
+    if mode == "arrival":
+        newest_first = [seq]
+    if mode == "keep_missing":
         merged = upsert_keep_missing(touched, batch, keys, newest_first or ["updated_at"],
                                      new_customer_defaults() if name == "customers" else None,
                                      [seq] if seq else [])
     else:
         merged = upsert(touched, batch, keys, newest_first, [seq] if seq else [])
-    # rebalanced before the checkpoint, so the write streams right-sized
-    # partitions that each hold few (store, bucket) folders
-    out = by_folder(conform(merged, name).withColumn(KEY_BUCKET, bucket_of(key, n)), PARTITIONS) \
-        .checkpoint(eager=True)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*PARTITIONS).parquet(path))
-    return out
+    with staged(conform(merged, name).withColumn(KEY_BUCKET, bucket_of(key, n))) as out:
+        (by_folder(out, PARTITIONS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*PARTITIONS).parquet(path))

@@ -169,12 +169,9 @@ def lookback_orders(spark, base):
     from lifetide.sources import incremental as I
     o = _b(spark, base).orders()
     marks = I.marks_of(o.filter(F.col("created_at") < X.ts_lit(ORDER_SNAPSHOT_BEFORE)), "order_id")
-    window = o.filter(F.col("created_at") >= X.lookback_start(AS_OF, X.DEFAULT_LOOKBACK_DAYS))
-    fresh = I.since(window, "order_id", marks).select("store_id", "order_id", F.lit(True).alias("_new"))
-    return (window.join(fresh, ["store_id", "order_id"], "left")
+    return (I.flag_new(I.within_lookback(o, AS_OF), "order_id", marks)
             .select("store_id", "order_id", "customer_id",
-                    X.money_out("total_price").alias("total_price"), "created_at",
-                    F.coalesce(F.col("_new"), F.lit(False)).alias("new_since_mark")))
+                    X.money_out("total_price").alias("total_price"), "created_at", F.col("is_new").alias("new_since_mark")))
 
 
 def get_queries() -> dict[str, QueryFn]:

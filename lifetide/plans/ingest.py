@@ -12,10 +12,10 @@ from lifetide.operators import flatten as P
 from lifetide.operators import quality as Q
 from lifetide.operators import upsert as U
 from lifetide.plans.catalog import query
-from lifetide.schemas import MONEY, ORDER_PAYLOAD
+from lifetide.schemas import CHECKOUT_PAYLOAD, CUSTOMER_PAYLOAD, MONEY, ORDER_PAYLOAD, ORDERS, TABLES
 from lifetide.sources import incremental as I
 from lifetide.sources import payloads as PL
-from lifetide.sources.bridge import ORDER_SNAPSHOT_BEFORE, RECENT_PAGE_FROM, Bridge, store_of
+from lifetide.sources.bridge import AS_OF, ORDER_SNAPSHOT_BEFORE, RECENT_PAGE_FROM, Bridge, store_of
 
 
 def _money_as_double(df: DataFrame) -> DataFrame:
@@ -95,13 +95,13 @@ FLAT_ITEM_COLUMNS = [
 
 @query("explode_line_items")
 def explode_line_items(spark, base):
-    items = P.explode_line_items(PL.order_payloads(Bridge(spark, base)))
+    items = P.explode_line_items(PL.order_payloads(Bridge(spark, base), fields=P.ITEM_ORDER_FIELDS))
     return _money_as_double(items.select(*FLAT_ITEM_COLUMNS))
 
 
 @query("id_normalize")
 def id_normalize(spark, base):
-    items = P.explode_line_items(PL.order_payloads(Bridge(spark, base)))
+    items = P.explode_line_items(PL.order_payloads(Bridge(spark, base), fields=("id", "line_items")))
     return items.select("order_item_id", "order_id", "product_id", "variant_id")
 
 
@@ -117,9 +117,8 @@ def flatten_checkouts(spark, base):
 def _line_update_feed(b: Bridge) -> DataFrame:
     """Line-item records as delivered: (order, line) repeats; the landing
     sequence of a record is (part, supplier)."""
-    # spread: the max(struct) dedup that follows is a sort-based aggregate
     li = b.lineitems(["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-                      "l_extendedprice", "l_discount", "l_shipdate"], spread=True)
+                      "l_extendedprice", "l_discount", "l_shipdate"])
     return li.select(
         F.col("l_orderkey").cast("string").alias("order_id"),
         F.col("l_linenumber").alias("line_number"),
@@ -153,7 +152,7 @@ def _order_update_batch(b: Bridge) -> DataFrame:
     """Order changes staged from the item feed: one record per line, so an
     order arrives several times; the newest ship date wins."""
     li = b.lineitems(["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag",
-                      "l_shipdate"], spread=True)
+                      "l_shipdate"])
     o = b.raw("orders", ["o_orderkey", "o_custkey", "o_totalprice"])
     status = (F.when(F.col("l_returnflag") == "R", F.lit("refunded"))
               .when(F.col("l_returnflag") == "A", F.lit("paid")).otherwise(F.lit("pending")))
@@ -237,15 +236,16 @@ def new_orders_only(spark, base):
 # ------------------------------------------------------------ cursors
 @query("incremental_since_id")
 def incremental_since_id(spark, base):
-    o = Bridge(spark, base).orders()
-    marks = I.marks_of(o.filter(F.col("created_at") < X.ts_lit(ORDER_SNAPSHOT_BEFORE)), "order_id")
-    batch = I.since(o, "order_id", marks)
-    read = batch.groupBy("store_id").agg(F.count(F.lit(1)).alias("rows_read"))
-    nxt = I.advance(marks, batch, "order_id").withColumnRenamed("since_id", "next_since_id")
-    return (marks.join(read, "store_id", "full_outer").join(nxt, "store_id", "full_outer")
-            .select("store_id", "since_id",
-                    F.coalesce("rows_read", F.lit(0)).cast("long").alias("rows_read"),
-                    "next_since_id"))
+    """Rows above each store's mark (S2) and the marks after them (A14): the
+    marks are one row per store, so orders are read twice in all."""
+    o = Bridge(spark, base).raw("orders", ["o_orderkey", "o_custkey", "o_orderdate"]).select(
+        store_of("o_custkey").alias("store_id"), F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("created_at"))
+    marks = I.marks_of(o.filter(F.col("created_at") < X.ts_lit(ORDER_SNAPSHOT_BEFORE)), "id")
+    seen = I.flag_new(o.select("store_id", "id"), "id", marks)
+    new = F.col("is_new")
+    return (seen.groupBy("store_id")
+            .agg(F.max("since_id").alias("since_id"), F.count_if(new).alias("rows_read"),
+                 F.greatest(F.max("since_id"), F.max(F.when(new, F.col("id")))).alias("next_since_id")))
 
 
 # ------------------------------------------------------ stores
@@ -262,7 +262,75 @@ def unknown_stores(spark, base):
 
 @query("store_load_status")
 def store_load_status(spark, base):
-    feed = P.parse(PL.order_payloads(Bridge(spark, base), with_lines=False, junk_every=4999),
-                   ORDER_PAYLOAD)
-    return Q.load_status(Q.flag_orders(feed), "orders")
+    """Every resource's rows per store, loaded and set aside, from the feeds (K9)."""
+    b = Bridge(spark, base)
+    orders = Q.flag(P.parse(PL.order_payloads(b, junk_every=4999), ORDER_PAYLOAD), "orders")
+    items = Q.flag(P.line_items(orders.filter(~F.col("quarantined"))), "order_items", "li")
+    customers = Q.flag(P.parse(PL.customer_payloads(b), CUSTOMER_PAYLOAD), "customers")
+    checkouts = Q.flag(P.parse(PL.checkout_payloads(b), CHECKOUT_PAYLOAD), "abandoned_checkouts")
+    return (Q.load_status(orders, "orders", F.coalesce(F.col("p.line_page"), F.lit(0)) == 0)
+            .unionByName(Q.load_status(items, "order_items"))
+            .unionByName(Q.load_status(customers, "customers"))
+            .unionByName(Q.load_status(checkouts, "abandoned_checkouts", F.col("p.completed_at").isNull())))
+
+
+# ------------------------------------------------------ refunds (S4), stored metrics
+@query("flatten_refunds")
+def flatten_refunds(spark, base):
+    return _money_as_double(P.flatten_refunds(PL.refund_payloads(Bridge(spark, base)))
+                            .drop("status", "note", "processed_at"))
+
+
+@query("returns")
+def returns(spark, base):
+    """The returns view over the refunds table."""
+    from lifetide.plans.sync import RETURNS
+    b = Bridge(spark, base)
+    o = b.orders().select("store_id", "order_id", "customer_id")
+    refunds = U.conform(b.refunds().join(o, "order_id", "inner"), "refunds")
+    return _money_as_double(spark.sql(RETURNS.format(refunds="{refunds}"), refunds=refunds)).select(
+        "return_id", "store_id", "order_id", "customer_id", "return_date", "refund_amount", "currency")
+
+
+@query("customer_metrics_table")
+def customer_metrics_table(spark, base):
+    """The rows that a sync stores in customer_metrics."""
+    from lifetide.operators import metrics as M
+    from lifetide.plans.sync import customer_metrics_rows
+    b = Bridge(spark, base)
+    profile = M.clv_profile(b.customers(), b.orders(), b.abandoned_checkouts(), b.refunds())
+    return U.conform(customer_metrics_rows(profile, AS_OF), "customer_metrics").drop(
+        "predicted_clv", "clv_confidence_score", "last_prediction_date")
 
+
+# ------------------------------------------------------ alignment, stamps, catalog
+@query("aligned_orders")
+def aligned_orders(spark, base):
+    """Raw order columns under the canonical names and types (P13, X7), stamped
+    once per run (P12), times as text for a text-only sink (P14)."""
+    raw = Bridge(spark, base).raw("orders").select(
+        store_of("o_custkey").alias("STORE_ID"), F.col("o_orderkey").alias("ORDER_ID"), F.col("o_totalprice").alias("Total_Price"),
+        F.col("o_orderdate").alias("CREATED_AT"), F.col("o_orderpriority").alias("not_in_the_table"))
+    return _money_as_double(P.as_text_columns(P.stamp(P.align_to(raw, ORDERS), AS_OF)))
+
+
+@query("column_listing")
+def column_listing(spark, base):
+    """Columns of the stored form of every table (V1) that hold a value anywhere in the model's data, by table."""
+    b = Bridge(spark, base)
+    parts = []
+    for name, df in (("customers", b.customers()), ("orders", b.orders()), ("abandoned_checkouts", b.abandoned_checkouts())):
+        listing = Q.column_listing(df.select(*[c for c in df.columns if c in TABLES[name].fieldNames()]), spark, TABLES[name])
+        parts.append(listing.join(df.agg(F.count(F.lit(1)).alias("n_rows")), F.lit(True), "inner")
+                     .select(F.lit(name).alias("table_name"), "column_name", "n_rows"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("expected_names")
+def expected_names(spark, base):
+    """Expected names against found ones, whatever their case (F5, V2, U2),
+    in order (O4): the nations' names are expected, the customers' countries found."""
+    b = Bridge(spark, base)
+    expected = b.raw("nation", ["n_name"]).select(F.upper("n_name").alias("name"))
+    found = b.customers().select(F.col("country").alias("name"))
+    return Q.compare_names(expected, found)

@@ -16,12 +16,20 @@ TRAIN_CUTOFF = "2000-08-02 00:00:00"   # features strictly before, target after
 HORIZON_DAYS = 365
 
 
+def _frame(b: Bridge):
+    return ML.training_frame(b.customers(), b.orders(), b.abandoned_checkouts(), b.refunds(), TRAIN_CUTOFF, HORIZON_DAYS)
+
+
+@query("clv_training_frame")
+def clv_training_frame(spark, base):
+    """Features before the cutoff, the spend after it, and the split (M2)."""
+    return ML.split_flag(_frame(Bridge(spark, base)))
+
+
 @query("clv_predictions")
 def clv_predictions(spark, base):
+    """Every customer scored on what was known before AS_OF (M3)."""
     b = Bridge(spark, base)
-    customers, orders = b.customers(), b.orders()
-    abandoned, refunds = b.abandoned_checkouts(), b.refunds()
-    frame = ML.training_frame(customers, orders, abandoned, refunds, TRAIN_CUTOFF, HORIZON_DAYS)
-    model = ML.train(frame)
-    profile = M.clv_profile(customers, orders, abandoned, refunds)
-    return ML.predict(model, M.clv_features(profile, AS_OF), profile, AS_OF)
+    model = ML.train(_frame(b))
+    orders, abandoned, refunds = ML.history(AS_OF, b.orders(), b.abandoned_checkouts(), b.refunds())
+    return ML.predict(model, M.clv_profile(b.customers(), orders, abandoned, refunds), AS_OF)

@@ -1,11 +1,14 @@
 """Batch sync of landed pages into the store tables.
 
 Resources are applied in the reference's order -- customers, orders, order
-items, abandoned checkouts -- each as one set-based job over all stores:
-read landed pages (S1) -> set malformed rows aside (K9) -> flatten (P) ->
-latest row per key (W1) -> upsert by (store_id, id) (K3).  The first failing
-resource stops the sync (later resources depend on earlier ones); the
-exception propagates after the summary of what was applied so far is logged.
+items, abandoned checkouts, then refunds -- each as one set-based job over all
+stores: read landed pages (S1) -> set rows aside that cannot be stored as they
+are (K9) -> flatten (P) -> latest row per key, the later arrival winning a tie
+(W1) -> upsert by (store_id, id) (K3).  Rows set aside go to the quarantine
+table and never stop another row or another store.  Then the touched customers
+get their order roll-up and status (A7, A8) and their stored metrics (A11).
+The first failing resource stops the sync (later ones depend on it); the
+exception propagates and the status of what was applied so far is stored.
 """
 
 from __future__ import annotations
@@ -18,73 +21,143 @@ from pyspark.sql import functions as F
 
 from lifetide.functions import scalars as X
 from lifetide.operators import flatten as P
+from lifetide.operators import metrics as M
 from lifetide.operators import quality as Q
 from lifetide.operators import upsert as U
+from lifetide.schemas import LOAD_STATUS, TABLES
 from lifetide.sources.landed import read_pages
-from lifetide.streaming.changes import Tables
+from lifetide.streaming.changes import Tables, refresh_customers
 
 log = logging.getLogger(__name__)
 
 # The order in which resources are synced.
-ORDER = ["customers", "orders", "order_items", "abandoned_checkouts"]
+ORDER = ["customers", "orders", "order_items", "abandoned_checkouts", "refunds"]
+OPTIONAL = {"refunds"}     # a landing without this folder has none
 
 
-def _staged(spark: SparkSession, landing: str, resource: str, as_of,
-            flagged_orders: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """(rows to load, per-store load status) for one resource.
-    ``flagged_orders``: the parsed, flagged order pages, shared by the
-    orders and order-item steps so the JSON is parsed once."""
+class UnknownStore(ValueError):
+    """A sync was asked for a store that the registry does not list."""
+
+
+def check_stores(requested: list[str], registry: DataFrame) -> None:
+    """Refuse a request that names an unknown store, as a whole."""
+    spark = registry.sparkSession
+    wanted = spark.createDataFrame([(1, s) for s in requested], "request_id int, store_id string")
+    refused = [r["store_id"] for r in Q.unknown_stores(wanted, registry).filter("not known").collect()]
+    if refused:
+        raise UnknownStore(f"unknown stores: {', '.join(sorted(refused))}")
+
+
+def _rows(resource: str, flagged: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Rows to load from the good rows of ``flagged``, and what makes one the newest of its key."""
+    good = flagged.filter(~F.col("quarantined"))
+    if resource == "refunds":
+        return P.flatten_refunds(good, strict=False), ["processed_at", "created_at"]
     if resource == "order_items":
-        flagged = flagged_orders
-        good = flagged.filter(~F.col("quarantined"))
-        rows = P.explode_line_items(good).withColumn("updated_at", F.col("created_at"))
-        return rows, Q.load_status(flagged, resource)
-    if resource == "orders":
-        flagged = flagged_orders
-        rows = P.flatten_orders(flagged.filter(~F.col("quarantined")))
-        rows = rows.withColumn("updated_at", F.coalesce(F.col("updated_at"), F.col("created_at")))
-        return rows, Q.load_status(flagged, resource)
-    pages = read_pages(spark, landing, resource)
+        return P.flatten_items(good, strict=False).withColumn("updated_at", F.col("created_at")), ["updated_at"]
     if resource == "customers":
-        flagged = pages.withColumn("quarantined", F.col("p").isNull() | F.col("p.id").isNull())
-        rows = P.flatten_customers(flagged.filter(~F.col("quarantined")))
+        rows = P.flatten_customers(good, strict=False)
+    elif resource == "orders":
+        rows = P.flatten_orders(good, strict=False)
     else:
-        flagged = pages.withColumn("quarantined", F.col("p").isNull() | F.col("p.id").isNull()
-                                   | ~X.money_is_valid(F.col("p.total_price")))
-        rows = P.abandoned_only(P.flatten_checkouts(flagged.filter(~F.col("quarantined"))))
-    rows = rows.withColumn("updated_at", F.coalesce(F.col("updated_at"), F.col("created_at")))
-    return rows, Q.load_status(flagged, resource)
-
-
-def sync_all(spark: SparkSession, landing: str, tables: Tables, as_of) -> DataFrame:
-    """Apply every landed resource in order; returns the per-store, per-table
-    summary (rows loaded, rows quarantined, success) as one DataFrame."""
-    summaries = []
-    # order pages are parsed once, at the orders step (so a missing folder
-    # still fails there, after customers), and shared with the order-item
-    # step and the summaries; a lost cached block is recomputed from the pages
-    flagged_orders = None
+        rows = P.abandoned_only(P.flatten_checkouts(good, strict=False))
+    return rows.withColumn("updated_at", F.coalesce(F.col("updated_at"), F.col("created_at"))), ["updated_at"]
+
+
+# which good records are rows of their table
+_COUNTED = {
+    "orders": lambda: F.coalesce(F.col("p.line_page"), F.lit(0)) == 0,
+    "abandoned_checkouts": lambda: F.col("p.completed_at").isNull(),
+}
+
+
+def sync_all(spark: SparkSession, landing: str, tables: Tables, as_of, stores: list[str] | None = None,
+             registry: DataFrame | None = None) -> DataFrame:
+    """Apply every landed resource in order; returns this run's per-store,
+    per-table status (rows loaded, rows quarantined, success), read from the
+    ``load_status`` table.  ``stores`` restricts the run; with a ``registry``
+    a request that names an unknown store is refused before anything is read."""
+    if stores is not None and registry is not None:
+        check_stores(stores, registry)
+    kept: list[DataFrame] = []
+    orders = None
+    touched = []
     try:
         for resource in ORDER:
             try:
+                if resource in OPTIONAL and not U.table_exists(spark, f"{landing.rstrip('/')}/{resource}"):
+                    continue
+                if resource == "order_items":
+                    # the items of the good orders; each item is checked on its own
+                    flagged, root = Q.flag(P.line_items(orders.filter(~F.col("quarantined"))), resource, "li"), "li"
+                else:
+                    flagged, root = Q.flag(read_pages(spark, landing, resource), resource), "p"
+                    flagged = flagged.filter(F.col("store_id").isin(stores)) if stores is not None else flagged
+                # parsed once for the touched set, the merge, the quarantine and the status
+                flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
+                kept.append(flagged)
                 if resource == "orders":
-                    flagged_orders = Q.flag_orders(read_pages(spark, landing, "orders")) \
-                        .persist(StorageLevel.MEMORY_AND_DISK)
-                rows, status = _staged(spark, landing, resource, as_of, flagged_orders)
-                U.upsert_table(spark, tables.path(resource), resource,
-                               P.stamp(rows, as_of), mode="upsert", newest_first=["updated_at"])
-                summaries.append(status)  # reads the landed pages only, never the tables
+                    orders = flagged
+                rows, newest = _rows(resource, flagged)
+                U.upsert_table(spark, tables.path(resource), resource, P.stamp(rows, as_of),
+                               newest_first=[*newest, "ingest_seq"], seq="ingest_seq")
+                aside = Q.quarantine_rows(flagged, resource, as_of, root)
+                if not aside.isEmpty():
+                    Q.write_quarantine(aside, tables.path("quarantine"))
+                counted = _COUNTED[resource]() if resource in _COUNTED else None
+                status = P.stamp(Q.load_status(flagged, resource, counted), as_of, ("synced_at",))
+                status.write.mode("append").parquet(tables.path("load_status"))
+                if resource in ("customers", "orders"):
+                    touched.append(rows.select("store_id", "customer_id"))
             except Exception:
                 log.error("sync stopped at %s", resource)
                 raise
-        out = summaries[0]
-        for s in summaries[1:]:
-            out = out.unionByName(s)
-        # the summary is small (stores x resources); materialise it before
-        # the shared parse is released
-        out = out.persist()
-        out.count()
-        return out
+        keys = touched[0].union(touched[1]).filter(F.col("customer_id").isNotNull()).distinct()
+        with U.staged(keys) as keys:
+            refresh_customers(spark, tables, keys, as_of)
+            store_metrics(spark, tables, keys, as_of)
     finally:
-        if flagged_orders is not None:
-            flagged_orders.unpersist()
+        for df in kept:
+            df.unpersist()
+    return spark.read.schema(LOAD_STATUS).parquet(tables.path("load_status")).filter(F.col("synced_at") == X.ts_lit(as_of))
+
+
+def customer_metrics_rows(profile: DataFrame, as_of) -> DataFrame:
+    """A profile as rows of the customer_metrics table (without predictions)."""
+    return (profile.withColumn("refund_rate", X.guarded_ratio("total_refunded", "total_spent"))
+            .withColumn("updated_at", X.ts_lit(as_of)))
+
+
+def store_metrics(spark: SparkSession, tables: Tables, touched: DataFrame, as_of) -> None:
+    """Recompute and upsert the stored metrics of the touched customers; stored predictions stay."""
+    def mine(name: str) -> DataFrame:
+        return U.read_or_empty(spark, tables.path(name), name).join(touched, ["store_id", "customer_id"], "left_semi")
+
+    orders = mine("orders")
+    refunds = U.read_or_empty(spark, tables.path("refunds"), "refunds").join(orders.select("store_id", "order_id"), ["store_id", "order_id"], "left_semi")
+    profile = M.clv_profile(mine("customers"), orders, mine("abandoned_checkouts"), refunds)
+    U.upsert_table(spark, tables.path("customer_metrics"), "customer_metrics", customer_metrics_rows(profile, as_of),
+                   newest_first=["updated_at"])
+
+
+def store_predictions(spark: SparkSession, tables: Tables, predictions: DataFrame) -> None:
+    """Put predicted CLV, confidence and prediction date beside the stored metrics (M3)."""
+    rows = predictions.select("store_id", "customer_id", "predicted_clv", "clv_confidence_score", "last_prediction_date",
+                              F.col("last_prediction_date").alias("updated_at"))
+    U.upsert_table(spark, tables.path("customer_metrics"), "customer_metrics", rows, newest_first=["updated_at"])
+
+
+def create_catalog(spark: SparkSession, tables: Tables, database: str) -> None:
+    """Create every table of the model and name it in the catalog (K7, V2)."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    for name, schema in TABLES.items():
+        U.create_table(spark, tables.path(name), name)
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` ({columns}, `{U.KEY_BUCKET}` int) USING parquet "
+                  f"PARTITIONED BY ({', '.join(U.PARTITIONS)}) LOCATION '{tables.path(name)}'")
+    spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`returns` AS {RETURNS.format(refunds=f'`{database}`.`refunds`')}")
+
+
+# The view of refunds under the names of returns.
+RETURNS = ("SELECT refund_id AS return_id, store_id, order_id, customer_id, status, created_at AS return_date, processed_at, "
+           "amount AS refund_amount, currency, reason, note FROM {refunds}")

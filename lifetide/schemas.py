@@ -128,6 +128,9 @@ ORDER_PAYLOAD = _schema(
     ("closed_at", S), ("processed_at", S), ("cancel_reason", S), ("gateway", S), ("test", B),
     ("taxes_included", B), ("total_weight", D), ("tags", S), ("shipping_address", SHIPPING),
     ("line_items", T.ArrayType(LINE_ITEM_PAYLOAD)),
+    # an order with very many items comes in several payloads: the first
+    # (no line_page, or 0) heads the order, the others only carry more items
+    ("line_items_count", L), ("line_page", I),
 )
 
 CHECKOUT_PAYLOAD = _schema(
@@ -137,13 +140,21 @@ CHECKOUT_PAYLOAD = _schema(
 )
 
 REFUND_PAYLOAD = _schema(
-    ("id", L), ("order_id", L), ("amount", S), ("currency", S), ("reason", S),
-    ("created_at", S), ("processed_at", S),
+    ("id", L), ("order_id", L), ("customer", REF), ("status", S), ("amount", S), ("currency", S), ("reason", S),
+    ("note", S), ("restock", B), ("created_at", S), ("processed_at", S),
 )
 
 # A change event carries a customer part, an order part, or both, and the
 # store it came from.
 CHANGE_EVENT = _schema(("store_id", S), ("customer", CUSTOMER_PAYLOAD), ("order", ORDER_PAYLOAD))
+# the column that keeps the text of an event line that cannot be read
+CORRUPT = "_corrupt"
+
+# Rows set aside (K9): which resource, where they came from, what was wrong, the record as text.
+QUARANTINE = _schema(("resource", S), ("store_id", S), ("page", S), ("problem", S), ("payload", S), ("quarantined_at", TS))
+
+# What a sync did per store and table (K9, A10).
+LOAD_STATUS = _schema(("store_id", S), ("table_name", S), ("rows_loaded", L), ("rows_quarantined", L), ("success", B), ("synced_at", TS))
 
 
 def empty(spark, name: str):

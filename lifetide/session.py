@@ -21,6 +21,8 @@ BASE_CONF = {
     # partial aggregation must stay on: hot keys are combined map-side
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
+    # texts can be long: few rows per batch that goes to a Python worker
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -40,6 +42,21 @@ def shuffle_partitions_for(input_bytes: int, cores: int,
     return max(2 * cores, -(-int(input_bytes) // target_bytes))
 
 
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes under ``path``, from the file system's own summary (no listing in Python)."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getContentSummary(hpath).getLength() if fs.exists(hpath) else 0
+
+
+def size_shuffles(spark: SparkSession, path: str) -> None:
+    """Set the initial shuffle partitions for jobs over ``path``, unless the
+    session has a value other than Spark's default."""
+    if spark.conf.get("spark.sql.shuffle.partitions") == "200":
+        spark.conf.set("spark.sql.shuffle.partitions",
+                       str(shuffle_partitions_for(input_bytes(spark, path), spark.sparkContext.defaultParallelism)))
+
+
 def build_session(master: str | None = None, app: str = "lifetide",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:

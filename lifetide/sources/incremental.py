@@ -2,15 +2,19 @@
 
 Marks are one row per (store, resource) -- bounded by the number of stores,
 not by the data -- and are joined to the batch by store.  A single global
-mark is a literal filter and pushes into the Parquet scan.
+mark is a literal filter; on a numeric id column it pushes into the Parquet scan.
+Marks are kept in a small table of their own (``read_marks``, ``save_marks``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lifetide.functions import scalars as X
+from lifetide.operators.upsert import staged, table_exists
+
+MARKS = "store_id string, since_id long"
 
 
 def id_number(col: str = "id"):
@@ -22,26 +26,28 @@ def marks_of(df: DataFrame, id_col: str, store_col: str = "store_id") -> DataFra
     return df.groupBy(store_col).agg(F.max(id_number(id_col)).alias("since_id"))
 
 
+def flag_new(df: DataFrame, id_col: str, marks: DataFrame, store_col: str = "store_id") -> DataFrame:
+    """``df`` with its store's ``since_id`` and whether its id ``is_new`` (no mark: everything is)."""
+    m = marks.select(store_col, "since_id")
+    return (df.join(m, store_col, "left")
+            .withColumn("is_new", F.col("since_id").isNull() | (id_number(id_col) > F.col("since_id"))))
+
+
 def since(df: DataFrame, id_col: str, marks: DataFrame | int | None,
           store_col: str = "store_id") -> DataFrame:
     """Rows with id > the store's mark (S2).  No mark -> everything."""
     if marks is None:
         return df
     if isinstance(marks, int):
-        return df.filter(id_number(id_col) > F.lit(marks))
-    m = marks.select(store_col, F.col("since_id").alias("_since"))
-    return (df.join(m, store_col, "left")
-            .filter(F.col("_since").isNull() | (id_number(id_col) > F.col("_since")))
-            .drop("_since"))
+        # a numeric id is compared as it is, so the filter reaches the scan
+        numeric = df.schema[id_col].dataType.typeName() in ("long", "integer")
+        return df.filter((F.col(id_col) if numeric else id_number(id_col)) > F.lit(marks))
+    return flag_new(df, id_col, marks, store_col).filter("is_new").drop("since_id", "is_new")
 
 
-def since_with_lookback(df: DataFrame, id_col: str, marks, as_of,
-                        days: int = X.DEFAULT_LOOKBACK_DAYS, ts_col: str = "created_at",
-                        store_col: str = "store_id") -> DataFrame:
-    """Cursor plus lookback window: id > mark and created within ``days``
-    before ``as_of`` (S3, F2)."""
-    recent = df.filter(F.col(ts_col) >= X.lookback_start(as_of, days))
-    return since(recent, id_col, marks, store_col)
+def within_lookback(df: DataFrame, as_of, days: int = X.DEFAULT_LOOKBACK_DAYS, ts_col: str = "created_at") -> DataFrame:
+    """Rows created within ``days`` before ``as_of`` (S3, F2); with ``since`` or ``flag_new``, cursor plus lookback."""
+    return df.filter(F.col(ts_col) >= X.lookback_start(as_of, days))
 
 
 def advance(marks: DataFrame | None, batch: DataFrame, id_col: str,
@@ -53,3 +59,25 @@ def advance(marks: DataFrame | None, batch: DataFrame, id_col: str,
         return new.withColumnRenamed("_new", "since_id")
     return (marks.join(new, store_col, "full_outer")
             .select(store_col, F.greatest(F.col("since_id"), F.col("_new")).alias("since_id")))
+
+
+def read_marks(spark: SparkSession, root: str, resource: str) -> DataFrame | None:
+    """The stored marks of a resource; None before its first read."""
+    path = f"{root.rstrip('/')}/marks/resource={resource}"
+    return spark.read.schema(MARKS).parquet(path) if table_exists(spark, path) else None
+
+
+def save_marks(marks: DataFrame, root: str, resource: str) -> None:
+    """Replace the stored marks of a resource (after its batch was stored)."""
+    with staged(marks.select("store_id", F.col("since_id").cast("long").alias("since_id"))) as rows:
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{root.rstrip('/')}/marks/resource={resource}")
+
+
+def read_new(df: DataFrame, root: str, resource: str, id_col: str) -> DataFrame:
+    """Rows above their store's stored mark (S2); call ``mark_read`` once they are stored."""
+    return since(df, id_col, read_marks(df.sparkSession, root, resource))
+
+
+def mark_read(batch: DataFrame, root: str, resource: str, id_col: str) -> None:
+    """Move the stored marks on to the batch's highest ids (T4)."""
+    save_marks(advance(read_marks(batch.sparkSession, root, resource), batch, id_col), root, resource)

@@ -22,33 +22,31 @@ PAYLOADS = {
 }
 
 
+PAGE_ROWS = 250            # rows of one landed page
+
+
 def read_pages(spark: SparkSession, root: str, resource: str) -> DataFrame:
     """All landed pages of one resource for all stores, parsed into ``p``.
 
-    Columns: store_id, page (file), p (struct).  Malformed lines give a NULL
-    ``p`` (PERMISSIVE), for the quarantine step.  Every page file is its own
-    split, so pages are read in parallel.
+    Columns: store_id, page (file), ingest_seq (page file, position in it),
+    raw (the record's text), p (struct).  Malformed lines give a NULL ``p``
+    (PERMISSIVE), for the quarantine step.  A page file is read as one value
+    and cut into lines, so a record's position does not depend on how files
+    are split; pages are small (the API's page size) and read in parallel.
     """
     schema = PAYLOADS[resource]
-    text = (spark.read.option("basePath", f"{root.rstrip('/')}/{resource}")
+    text = (spark.read.option("basePath", f"{root.rstrip('/')}/{resource}").option("wholetext", True)
             .text(f"{root.rstrip('/')}/{resource}/store_id=*"))
-    return text.select(
-        F.col("store_id").cast("string").alias("store_id"),
-        F.input_file_name().alias("page"),
-        F.from_json("value", schema).alias("p"),
-    )
+    lines = text.select(F.col("store_id").cast("string").alias("store_id"), F.input_file_name().alias("page"),
+                        F.posexplode(F.split("value", "\r?\n")).alias("pos", "raw"))
+    return lines.filter(F.trim("raw") != "").select(
+        "store_id", "page", F.struct("page", "pos").alias("ingest_seq"), "raw", F.from_json("raw", schema).alias("p"))
 
 
-def land_pages(df: DataFrame, root: str, resource: str) -> None:
+def land_pages(df: DataFrame, root: str, resource: str, page_rows: int = PAGE_ROWS) -> None:
     """Write ``(store_id, payload)`` rows as landed page files (tests, replays)."""
     (df.select("store_id", F.col("payload").alias("value"))
-     .write.mode("append").partitionBy("store_id").text(f"{root.rstrip('/')}/{resource}"))
-
-
-def with_arrival(df: DataFrame) -> DataFrame:
-    """Arrival sequence = (page file, position within the file's batch);
-    stable for a given set of landed files."""
-    return df.withColumn("ingest_seq", F.struct(F.col("page"), F.monotonically_increasing_id()))
+     .write.mode("append").option("maxRecordsPerFile", page_rows).partitionBy("store_id").text(f"{root.rstrip('/')}/{resource}"))
 
 
-__all__ = ["read_pages", "land_pages", "with_arrival"]
+__all__ = ["read_pages", "land_pages"]

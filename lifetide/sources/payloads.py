@@ -23,7 +23,7 @@ from lifetide.sources.bridge import Bridge, store_of
 # The variant rules (key mod n) of the payload feeds.
 CUSTOMER_EPOCH = "1994-01-01 00:00:00"
 CUSTOMER_SPACING_SECONDS = 3607
-LINE_PAGE_SIZE = 250                       # API page size, also line items per payload
+LINE_PAGE_SIZE = 250                       # API page size, also about the line items per payload
 STATES = ["enabled", "disabled", "invited"]   # k % 4 == 3 leaves the state out
 
 
@@ -56,7 +56,7 @@ def customer_created(key: Column) -> Column:
 
 
 def customer_payloads(b: Bridge) -> DataFrame:
-    c = b.raw("customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"], spread=True)
+    c = b.raw("customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"])
     n = b.raw("nation", ["n_nationkey", "n_name"])
     k = _k("c_custkey")
     created = customer_created(k)
@@ -96,10 +96,12 @@ def _line_pages(b: Bridge) -> DataFrame:
     """Line items as JSON-ready structs, grouped into pages of about
     LINE_PAGE_SIZE lines per order.  The page of a line is a hash of the
     line modulo the order's page count, so even an order holding a third of
-    all lines is split into bounded pages; no group grows with the data."""
+    all lines is split into bounded pages; no group grows with the data.
+    Page 0 heads the order: it carries the order's line count, so an order is
+    one row however many pages its items take.  (A page expects over 125
+    lines, so none is empty but with a chance below e^-125.)"""
     li = b.lineitems(["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-                      "l_extendedprice", "l_discount", "l_linestatus", "l_shipdate"], spread=True)
-    # counted from the same (spread) scan, so the exchange is reused
+                      "l_extendedprice", "l_discount", "l_linestatus", "l_shipdate"])
     per_order = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
     pages = F.greatest(F.ceil(F.col("n_lines") / F.lit(LINE_PAGE_SIZE)), F.lit(1))
     page = F.pmod(F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"), pages)
@@ -119,31 +121,27 @@ def _line_pages(b: Bridge) -> DataFrame:
         .alias("total_discount"),
     )
     return (li.join(per_order, "l_orderkey")
-            .groupBy("l_orderkey", page.alias("page"))
+            .groupBy("l_orderkey", page.alias("page"), "n_lines")
             .agg(F.collect_list(item).alias("line_items")))
 
 
-def order_payloads(b: Bridge, with_lines: bool = True, junk_every: int | None = None) -> DataFrame:
+def order_payloads(b: Bridge, with_lines: bool = True, junk_every: int | None = None,
+                   fields: tuple[str, ...] | None = None) -> DataFrame:
     """Order payloads; ``junk_every=n`` makes the total of every order whose
-    key is a multiple of n unreadable ('n/a'), as a malformed feed would."""
+    key is a multiple of n unreadable ('n/a'), as a malformed feed would.
+    ``fields`` renders only these top-level fields."""
     o = b.raw("orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-                         "o_orderdate", "o_orderpriority"], spread=True)
+                         "o_orderdate", "o_orderpriority"])
     k = _k("o_orderkey")
     created = F.col("o_orderdate")
     fin = (F.when(F.col("o_orderstatus") == "F", F.lit("paid"))
            .when(F.col("o_orderstatus") == "O", F.lit("pending"))
            .when(F.col("o_orderstatus") == "P", F.lit("refunded")))
     if with_lines:
-        # Orders with lines: pages INNER JOIN orders, so adaptive skew
-        # handling may split the pages of a hot order across tasks (it
-        # cannot split the right side of a left outer join).  Orders without
-        # lines come from an anti join against the distinct page keys.
+        # one row per page and one for an order without lines; pages are
+        # about LINE_PAGE_SIZE times fewer than lines
         pages = _line_pages(b)
-        lined = pages.join(o, pages.l_orderkey == o.o_orderkey, "inner").drop("l_orderkey", "page")
-        keys = b.lineitems(["l_orderkey"], spread=False).distinct()
-        bare = (o.join(keys, o.o_orderkey == keys.l_orderkey, "left_anti")
-                .withColumn("line_items", F.lit(None).cast(pages.schema["line_items"].dataType)))
-        o = lined.unionByName(bare)
+        o = o.join(pages, pages.l_orderkey == o.o_orderkey, "left").drop("l_orderkey")
         empty = F.from_json(F.lit("[]"), pages.schema["line_items"].dataType)
         lines = F.when(F.col("line_items").isNotNull(), F.col("line_items")) \
             .when(_mod(k, 2) == 0, empty)
@@ -174,13 +172,36 @@ def order_payloads(b: Bridge, with_lines: bool = True, junk_every: int | None =
         .alias("shipping_address"),
     ]
     if with_lines:
-        payload_fields.append(lines.alias("line_items"))
-    return o.select(store_of("o_custkey").alias("store_id"),
-                    F.to_json(F.struct(*payload_fields)).alias("payload"))
+        many = F.col("n_lines") > LINE_PAGE_SIZE
+        payload_fields += [lines.alias("line_items"), F.when(many, F.col("n_lines")).alias("line_items_count"),
+                           F.when(many, F.col("page").cast("int")).alias("line_page")]
+    payload = F.struct(*payload_fields)
+    if fields:
+        payload = F.struct(*[payload[f].alias(f) for f in fields])
+    return o.select(store_of("o_custkey").alias("store_id"), F.to_json(payload).alias("payload"))
+
+
+def refund_payloads(b: Bridge) -> DataFrame:
+    """Returned lines as refund payloads, landed under the store of their order's customer."""
+    li = b.lineitems(["l_orderkey", "l_linenumber", "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate"]) \
+        .filter(F.col("l_returnflag") == "R")
+    o = b.raw("orders", ["o_orderkey", "o_custkey"])
+    k = _k("l_orderkey")
+    amount = (F.col("l_extendedprice").cast(MONEY) * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))).cast(MONEY)
+    payload = F.struct(
+        (k * 1000 + F.col("l_linenumber")).alias("id"), k.alias("order_id"),
+        F.when(_mod(k, 50) != 0, F.struct(F.col("o_custkey").alias("id"))).alias("customer"),
+        F.when(_mod(k, 23) == 0, F.lit("")).otherwise(money_text(amount)).alias("amount"),
+        F.when(_mod(k, 3) == 0, F.lit("EUR")).alias("currency"),
+        F.concat(F.lit("line "), F.col("l_linenumber").cast("string")).alias("reason"),
+        F.when(_mod(k, 4) == 0, F.lit(True)).alias("restock"),
+        iso_text(F.col("l_shipdate"), k).alias("created_at"))
+    return (li.join(o, li.l_orderkey == o.o_orderkey, "inner")
+            .select(store_of("o_custkey").alias("store_id"), F.to_json(payload).alias("payload")))
 
 
 def checkout_payloads(b: Bridge) -> DataFrame:
-    e = b.raw("events", ["event_id", "ts", "user_id", "event_type", "value"], spread=True)
+    e = b.raw("events", ["event_id", "ts", "user_id", "event_type", "value"])
     k = _k("event_id")
     fmt = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
     payload = F.struct(

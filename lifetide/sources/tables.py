@@ -4,36 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# One scan DataFrame per (session, path): a DataFrame is an immutable, lazy
-# plan, so queries built in the same session share the resolved schema and
-# file listing instead of re-reading Parquet footers for every query.
-_SCANS: dict[tuple[int, str], DataFrame] = {}
-
 
 def table_path(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{name}.parquet"
 
 
-def scan(spark: SparkSession, path: str) -> DataFrame:
-    key = (id(spark), path)
-    df = _SCANS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _SCANS[key] = df
-    return df
-
-
-def forget(path: str | None = None) -> None:
-    """Drop remembered scans (all, or those of ``path``) after files change."""
-    for k in [k for k in _SCANS if path is None or k[1] == path]:
-        del _SCANS[k]
-
-
 def read_table(spark: SparkSession, base: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    """Read ``<base>/<name>.parquet`` (a file or a folder of part files).
+    """Read ``<base>/<name>.parquet`` (a file or a folder of part files), as it is now.
 
     Only ``columns`` are kept, so the scan's ReadSchema is pruned to them
     and filters placed above push into the Parquet reader.
     """
-    df = scan(spark, table_path(base, name))
+    df = spark.read.parquet(table_path(base, name))
     return df.select(*columns) if columns else df

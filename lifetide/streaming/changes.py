@@ -3,29 +3,37 @@
 A change event is one JSON line ``{"store_id", "customer"?, "order"?}``.
 Each micro-batch is applied with ``foreachBatch``:
 
-1. customer parts  -> insert-or-update keeping stored values for missing
+1. lines, customers, orders and items that cannot be stored as they are go to
+   the quarantine table (K9); nothing vanishes and nothing stops the stream
+2. customer parts  -> insert-or-update keeping stored values for missing
    fields (K6); a new customer gets status 'new'              (T1)
-2. order parts     -> insert if absent, with their line items (K5)     (T1)
-3. customers touched by new orders get their order roll-up and status
-   recomputed from the stored orders -- only those customers      (T2)
-
-Every step is idempotent by key, so replaying a batch after a failure
-(the checkpoint re-delivers it) changes nothing (T3).  A file source with
-``trigger(availableNow=True)`` and a checkpoint is the resumable cursor (T4).
+3. order parts     -> inserted if absent, the items of a new order with it; an
+   order that is stored stays as it is, its items too (K5)    (T1)
+4. customers of the new orders get their roll-up and status: the stored
+   roll-up plus the new orders' sums                          (T2)
+
+Every step is idempotent by key.  The roll-up's results (not its increments)
+are staged before anything is written and read again on a replay of the same
+batch, so replaying a batch after a failure changes nothing (T3).  A file
+source with ``trigger(availableNow=True)`` and a checkpoint is the resumable
+cursor (T4).
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lifetide.operators import flatten as P
 from lifetide.operators import metrics as M
+from lifetide.operators import quality as Q
 from lifetide.operators import upsert as U
-from lifetide.schemas import CHANGE_EVENT
+from lifetide.schemas import CHANGE_EVENT, CORRUPT, MONEY
 from lifetide.functions import scalars as X
 
 
@@ -39,8 +47,10 @@ class Tables:
 
 
 def read_changes(spark: SparkSession, source_dir: str, max_files: int | None = None) -> DataFrame:
-    """Streaming read of landed change-event JSON files (explicit schema)."""
-    r = spark.readStream.schema(CHANGE_EVENT)
+    """Streaming read of landed change-event JSON files (explicit schema); the
+    text of a line that cannot be read is kept in its own column."""
+    r = (spark.readStream.schema(T.StructType([*CHANGE_EVENT.fields, T.StructField(CORRUPT, T.StringType(), True)]))
+         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT))
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     return r.json(source_dir)
@@ -66,76 +76,125 @@ def dedupe_within(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
             .drop("_event_time", "_cid", "_oid"))
 
 
-def apply_batch(batch: DataFrame, tables: Tables, as_of) -> None:
-    """Apply one micro-batch (or any static frame of change events)."""
+def now_utc() -> str:
+    return dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+
+
+def _set_aside(tables: Tables, rows: DataFrame) -> None:
+    if not rows.isEmpty():
+        Q.write_quarantine(rows, tables.path("quarantine"))
+
+
+def apply_batch(batch: DataFrame, tables: Tables, as_of, batch_id: int | None = None) -> None:
+    """Apply one micro-batch (or any static frame of change events).
+
+    ``batch_id`` names the batch across replays; without it a batch that
+    failed midway is not recognised when it comes again (one that succeeded is:
+    its orders are stored)."""
     spark = batch.sparkSession
     batch = batch.persist()
+    kept = [batch]
     try:
+        if CORRUPT in batch.columns:
+            _set_aside(tables, batch.filter(F.col(CORRUPT).isNotNull()).select(
+                F.lit("events").alias("resource"), "store_id", F.lit(None).cast("string").alias("page"),
+                F.lit("unreadable").alias("problem"), F.col(CORRUPT).alias("payload"), X.ts_lit(as_of).alias("quarantined_at")))
+            batch = batch.filter(F.col(CORRUPT).isNull())
+
+        def good(part: str, resource: str) -> DataFrame:
+            flagged = Q.flag(batch.filter(F.col(part).isNotNull()).select("store_id", F.col(part).alias("p")), resource).persist()
+            kept.append(flagged)
+            _set_aside(tables, Q.quarantine_rows(flagged, resource, as_of))
+            return flagged.filter(~F.col("quarantined"))
+
         # Customer part first
-        cust = batch.filter(F.col("customer").isNotNull()) \
-            .select("store_id", F.col("customer").alias("p"))
-        flat_c = P.flatten_customers(cust, defaults=False).withColumn("updated_at", F.coalesce("updated_at", X.ts_lit(as_of)))
+        flat_c = P.flatten_customers(good("customer", "customers"), defaults=False, strict=False) \
+            .withColumn("updated_at", F.coalesce("updated_at", X.ts_lit(as_of)))
         if not flat_c.isEmpty():
             U.upsert_table(spark, tables.path("customers"), "customers", flat_c,
                            mode="keep_missing", newest_first=["updated_at"])
-        # Then the order part, insert-if-absent with its items
-        ords = batch.filter(F.col("order").isNotNull()).select("store_id", F.col("order").alias("p"))
-        if ords.isEmpty():
+        # Then the order part, insert-if-absent with the items of the new orders
+        orders = good("order", "orders")
+        if orders.isEmpty():
             return
-        flat_o = P.flatten_orders(ords)
-        U.upsert_table(spark, tables.path("orders"), "orders", flat_o, mode="insert",
-                       newest_first=["updated_at"])
-        items = P.explode_line_items(ords).withColumn("updated_at", F.col("created_at"))
-        U.upsert_table(spark, tables.path("order_items"), "order_items", items, mode="insert",
-                       newest_first=["updated_at"])
-        # Refresh only the customers whose orders arrived in this batch.
-        # The keys are materialised first (bounded by the micro-batch) so the
-        # planner sees their measured size: below the broadcast threshold the
-        # semi joins against the stored tables become broadcast filters on
-        # the scans, instead of shuffling the whole order history each batch.
-        touched = flat_o.filter(F.col("customer_id").isNotNull()) \
-            .select("store_id", "customer_id").distinct().persist()
-        touched.count()
-        try:
-            refresh_customers(spark, tables, touched, as_of)
-        finally:
-            touched.unpersist()
+        n = U.create_table(spark, tables.path("orders"), "orders")
+        flat_o = P.flatten_orders(orders, strict=False)
+        stored = U.read_touched(spark, tables.path("orders"), "orders", flat_o, "order_id", n)
+        fresh = U.insert_if_absent(stored, U.latest_per_key(flat_o, ["store_id", "order_id"], ["updated_at"]), ["store_id", "order_id"])
+        with U.staged(fresh) as fresh:
+            update = _rolled_up(spark, tables, fresh, as_of, batch_id)
+            lines = Q.flag(P.line_items(orders).join(fresh.select("store_id", "order_id"), ["store_id", "order_id"], "left_semi"),
+                           "order_items", "li").persist()
+            kept.append(lines)
+            _set_aside(tables, Q.quarantine_rows(lines, "order_items", as_of, "li"))
+            items = P.flatten_items(lines.filter(~F.col("quarantined")), strict=False).withColumn("updated_at", F.col("created_at"))
+            # items, then the roll-up, then the orders: only stored orders make a batch done
+            U.upsert_table(spark, tables.path("order_items"), "order_items", items, mode="insert", newest_first=["updated_at"])
+            if not update.isEmpty():
+                U.upsert_table(spark, tables.path("customers"), "customers", update, newest_first=["updated_at"])
+            U.append(fresh, tables.path("orders"), "orders")
     finally:
-        batch.unpersist()
+        for df in kept:
+            df.unpersist()
+
+
+def _rolled_up(spark: SparkSession, tables: Tables, fresh: DataFrame, as_of, batch_id: int | None) -> DataFrame:
+    """New roll-up of the customers of the new orders (T2, A8): the stored one
+    plus the new orders.  Reads the touched customers' buckets only, never the
+    order history.  With a ``batch_id`` the result is kept for replays."""
+    path = tables.path(f"rollups/batch={batch_id}")
+    if batch_id is not None and U.table_exists(spark, f"{path}/_SUCCESS"):
+        return spark.read.parquet(path)
+    new = M.order_rollup(fresh).withColumnRenamed("first_order_date", "first_new").withColumnRenamed("last_order_date", "last_new")
+    cpath = tables.path("customers")
+    n = U.create_table(spark, cpath, "customers")
+    customers = (U.read_touched(spark, cpath, "customers", new, "customer_id", n)
+                 .select("store_id", "customer_id", "orders_count", "total_spent", "status", "first_order_date", "last_order_date"))
+    both = customers.join(new, ["store_id", "customer_id"], "inner")
+    # before its first order a customer's count and spend are what the shop's record says, not a roll-up
+    started = F.col("last_order_date").isNotNull()
+    last = F.greatest("last_order_date", "last_new")
+    update = both.select(
+        "store_id", "customer_id",
+        (F.when(started, F.coalesce("orders_count", F.lit(0))).otherwise(0) + F.col("n_orders")).cast("int").alias("orders_count"),
+        (F.when(started, F.coalesce("total_spent", F.lit(0).cast(MONEY))).otherwise(F.lit(0).cast(MONEY)) + F.col("spent")).cast(MONEY).alias("total_spent"),
+        F.least("first_order_date", "first_new").alias("first_order_date"), last.alias("last_order_date"),
+        X.status(last, as_of, F.col("status")).alias("status"), X.ts_lit(as_of).alias("updated_at"))
+    if batch_id is None:
+        return update.checkpoint(eager=True)
+    update.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def refresh_customers(spark: SparkSession, tables: Tables, touched: DataFrame, as_of) -> None:
-    """Recompute order roll-up and status for the touched customers."""
+    """Recompute order roll-up and status of the touched customers from the
+    stored orders (A8): after a batch sync, and to repair or backfill."""
     cpath = tables.path("customers")
     # customers are bucketed by customer id: read only the touched buckets
-    stored = (U.read_touched(spark, cpath, "customers", touched, "customer_id",
-                             U.table_buckets(spark, cpath))
-              if U.table_exists(spark, cpath) else U.read_or_empty(spark, cpath, "customers"))
+    stored = U.read_touched(spark, cpath, "customers", touched, "customer_id", U.create_table(spark, cpath, "customers"))
     customers = stored.join(touched, ["store_id", "customer_id"], "left_semi")
     orders = U.read_or_empty(spark, tables.path("orders"), "orders") \
         .join(touched, ["store_id", "customer_id"], "left_semi")
     st = M.customer_status(customers, orders, as_of)
     update = st.select("store_id", "customer_id",
                        F.col("orders_count").cast("int").alias("orders_count"),
-                       F.col("total_spent").cast("decimal(18,2)").alias("total_spent"),
-                       "first_order_date", "last_order_date", "status",
-                       F.col("historic_clv").cast("decimal(18,2)").alias("clv_prediction"),
-                       X.ts_lit(as_of).alias("updated_at"))
+                       F.col("total_spent").cast(MONEY).alias("total_spent"),
+                       "first_order_date", "last_order_date", "status", X.ts_lit(as_of).alias("updated_at"))
     if not update.isEmpty():
-        U.upsert_table(spark, tables.path("customers"), "customers", update, mode="upsert",
-                       newest_first=["updated_at"])
+        U.upsert_table(spark, cpath, "customers", update, newest_first=["updated_at"])
 
 
-def start(spark: SparkSession, source_dir: str, tables: Tables, checkpoint: str, as_of,
+def start(spark: SparkSession, source_dir: str, tables: Tables, checkpoint: str, as_of=None,
           available_now: bool = True, dedup_delay: str | None = None) -> StreamingQuery:
     """Run the intake; with ``available_now`` it drains what has landed and
     stops, resuming from the checkpoint next time (T4).  ``dedup_delay``
-    turns on the watermark dedup of re-delivered events."""
+    turns on the watermark dedup of re-delivered events.  Without ``as_of``
+    every batch is judged by the time it runs at."""
     src = read_changes(spark, source_dir)
     if dedup_delay:
         src = dedupe_within(src, dedup_delay)
     w = (src.writeStream
-         .foreachBatch(lambda df, _id: apply_batch(df, tables, as_of))
+         .foreachBatch(lambda df, batch_id: apply_batch(df, tables, as_of or now_utc(), batch_id))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()

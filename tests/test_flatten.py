@@ -82,4 +82,3 @@ def test_align_and_text_columns(spark):
     aligned = P.align_to(df, CUSTOMERS)
     assert aligned.columns == ["store_id", "customer_id", "created_at"]
     assert P.as_text_columns(aligned).first().created_at == "2024-01-01 00:00:00"
-    assert P.tag_store(aligned, "store_9").first().store_id == "store_9"

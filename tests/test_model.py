@@ -43,8 +43,20 @@ def test_train_beats_mean_and_is_deterministic(spark, frame):
 
     b = Bridge(spark, SF_ORACLE)
     prof = M.clv_profile(b.customers(), b.orders(), b.abandoned_checkouts(), b.refunds())
-    out = ML.predict(model, M.clv_features(prof, "2001-08-02 00:00:00"), prof, "2001-08-02 00:00:00")
+    out = ML.predict(model, prof, "2001-08-02 00:00:00")
     row = out.first()
     assert row.features_used == M.FEATURES
     scores = {r.clv_confidence_score for r in out.select("clv_confidence_score").distinct().collect()}
     assert scores <= {1.0, 0.8, 0.7, 0.6, 0.56, 0.48, 0.42, 0.34}
+
+
+def test_scoring_an_untrained_model_is_an_error(spark):
+    with pytest.raises(ML.Untrained):
+        ML.predict(None, spark.range(0), "2001-08-02 00:00:00")
+
+
+def test_history_ends_before_as_of(spark):
+    """Rows at or after AS_OF are not part of what scoring sees."""
+    df = spark.sql("SELECT TIMESTAMP_NTZ '2001-08-01 23:59:59' AS created_at UNION ALL SELECT TIMESTAMP_NTZ '2001-08-02 00:00:00'")
+    kept, = ML.history("2001-08-02 00:00:00", df)
+    assert kept.count() == 1

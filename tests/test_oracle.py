@@ -14,8 +14,10 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as E  # noqa: E402
 from oracle_check import TABLES, canon  # noqa: E402
 
-SQL = E.oracle_sql()
-QUERIES = E.queries()
+from lifetide.plans.catalog import get_queries  # noqa: E402
+
+QUERIES = {name: fn for name, fn in E.queries().items() if name in get_queries()}
+SQL = {name: sql for name, sql in E.oracle_sql().items() if name in QUERIES}
 
 
 @pytest.fixture(scope="module")

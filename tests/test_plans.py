@@ -4,10 +4,11 @@ aggregate), no Python evaluation, pruned and pushed-down scans."""
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF_SMALL
 
-QUERIES = E.queries()
+from lifetide.plans.catalog import get_queries
+
+QUERIES = get_queries()
 PLANNED = sorted(n for n in QUERIES if n != "clv_predictions")  # that one trains on call
 
 
@@ -19,7 +20,7 @@ def plan_of(df) -> str:
 def test_plan_shape(spark, name):
     plan = plan_of(QUERIES[name](spark, SF_SMALL))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
-                "ArrowEvalPython", "Window ["):
+                "ArrowEvalPython", "Window [", "RoundRobin"):
         assert bad not in plan, f"{name}: {bad}"
 
 
@@ -48,10 +49,27 @@ def test_shuffle_partitions_sized_by_input():
     assert 100 * 10**12 / n <= TARGET_PARTITION_BYTES
 
 
-def test_spread_only_below_one_split_per_core(spark):
-    from lifetide.sources.bridge import spread_input
-    cores = spark.sparkContext.defaultParallelism
-    one = spark.range(0, 1000, 1, 1)
-    wide = spark.range(0, 1000, 1, cores)
-    assert spread_input(one, key="t-one").rdd.getNumPartitions() == cores
-    assert spread_input(wide, key="t-wide") is wide      # the cluster case: untouched
+def test_cursor_reaches_parquet(spark):
+    from lifetide.sources import incremental as I
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    plan = plan_of(I.since(orders, "o_orderkey", 500))
+    assert "GreaterThan(o_orderkey,500)" in plan
+
+
+def test_incremental_reads_orders_twice(spark):
+    assert plan_of(QUERIES["incremental_since_id"](spark, SF_SMALL)).count("FileScan parquet") == 2
+
+
+def test_shuffles_are_sized_by_the_input(spark):
+    from lifetide.session import input_bytes, shuffle_partitions_for, size_shuffles
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "200")
+        size_shuffles(spark, SF_SMALL)
+        want = shuffle_partitions_for(input_bytes(spark, SF_SMALL), spark.sparkContext.defaultParallelism)
+        assert input_bytes(spark, SF_SMALL) > 0 and spark.conf.get("spark.sql.shuffle.partitions") == str(want)
+        spark.conf.set("spark.sql.shuffle.partitions", "7")
+        size_shuffles(spark, SF_SMALL)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "7"      # a choice stays
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)

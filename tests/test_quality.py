@@ -37,7 +37,7 @@ def test_quarantine_and_load_status(spark):
             ("s1", json.dumps({"id": 2, "total_price": "n/a"})),
             ("s2", "{not json"), ("s2", json.dumps({"id": 3, "created_at": "yesterday"})),
             ("s3", json.dumps({"id": 4}))]
-    flagged = Q.flag_orders(P.parse(spark.createDataFrame(rows, "store_id string, payload string"), ORDER_PAYLOAD))
+    flagged = Q.flag(P.parse(spark.createDataFrame(rows, "store_id string, payload string"), ORDER_PAYLOAD), "orders")
     st = {r.store_id: (r.rows_loaded, r.rows_quarantined, r.success)
           for r in Q.load_status(flagged, "orders").collect()}
     assert st == {"s1": (1, 1, False), "s2": (0, 2, False), "s3": (1, 0, True)}
@@ -50,3 +50,25 @@ def test_column_listing_and_missing_tables(spark):
     miss = [r.table_name for r in Q.missing_tables(spark, ["customers", "orders", "refunds"],
                                                    ["ORDERS", "Customers"]).collect()]
     assert miss == ["refunds"]
+
+
+def test_null_key_parts_do_not_merge(spark):
+    df = spark.createDataFrame([(None, "a"), ("a", None), ("b", "c"), ("b", "c")], "store_id string, id string")
+    got = [(r.key, r.n_rows) for r in Q.pk_violations({"t": (df, ["store_id", "id"])}).collect()]
+    assert got == [("b|c", 2)]
+
+
+def test_compare_names_ignores_case(spark):
+    names = lambda *v: spark.createDataFrame([(x,) for x in v], "name string")
+    got = [(r.name, r.present) for r in Q.compare_names(names("Orders", "REFUNDS", "orders"), names("ORDERS", "x")).collect()]
+    assert got == [("orders", True), ("refunds", False)]
+
+
+def test_store_status_lists_registered_and_failed_stores(spark):
+    from lifetide.operators import reports as R
+    customers = spark.createDataFrame([("s1", "1")], "store_id string, customer_id string")
+    orders = spark.createDataFrame([], "store_id string, order_id string, created_at timestamp_ntz")
+    registry = spark.createDataFrame([("s1",), ("s2",)], "store_id string")
+    status = spark.createDataFrame([("s1", True), ("s1", False), ("s2", True)], "store_id string, success boolean")
+    got = {r.store_id: (r.customer_count, r.order_count, r.status) for r in R.store_status(customers, orders, registry, status).collect()}
+    assert got == {"s1": (1, 0, "error"), "s2": (0, 0, "active")}

@@ -87,3 +87,67 @@ def test_watermark_dedup_drops_redeliveries(spark, tmp_dir):
          .option("checkpointLocation", os.path.join(tmp_dir, "ck")).trigger(availableNow=True).start())
     q.awaitTermination(300)
     assert sorted(seen) == [1, 2]
+
+
+def events(spark, *lines):
+    schema = C.CHANGE_EVENT
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    return df.select(F.from_json("value", schema).alias("e")).select("e.*")
+
+
+def order(oid, price, *items, created="2001-07-30T00:00:00Z"):
+    import json
+    return json.dumps({"store_id": "s1", "order": {"id": oid, "customer": {"id": 1}, "total_price": price, "created_at": created,
+                                                   "line_items": [{"id": i, "price": "1.00"} if i else {"price": "1.00"} for i in items]}})
+
+
+CUSTOMER = '{"store_id":"s1","customer":{"id":1,"email":"a@x"}}'
+
+
+def test_stored_order_stays_as_it_is(spark, tmp_dir):
+    """An order that comes again with another price and another item changes nothing (K5)."""
+    tables = C.Tables(tmp_dir)
+    C.apply_batch(events(spark, CUSTOMER, order(10, "40.00", 100)), tables, AS_OF)
+    C.apply_batch(events(spark, order(10, "99.00", 100, 200), order(11, "2.00", 300)), tables, AS_OF)
+    orders = {r.order_id: float(r.total_price) for r in spark.read.parquet(tables.path("orders")).collect()}
+    assert orders == {"10": 40.0, "11": 2.0}
+    assert sorted(r.order_item_id for r in spark.read.parquet(tables.path("order_items")).collect()) == ["100", "300"]
+    c = spark.read.parquet(tables.path("customers")).first()
+    assert (c.orders_count, float(c.total_spent), c.clv_prediction) == (2, 42.0, None)
+
+
+def test_replay_changes_nothing(spark, tmp_dir):
+    """The same batch again, whole or after a failure before the orders were stored; items without id are set aside once stored ones stay."""
+    tables = C.Tables(tmp_dir)
+    batch = events(spark, CUSTOMER, order(10, "40.00", 100, None))
+    real = C.U.append
+
+    def failing(df, path, name):
+        if name == "orders":
+            raise RuntimeError("lost")
+        return real(df, path, name)
+    C.U.append = failing
+    try:
+        try:
+            C.apply_batch(batch, tables, AS_OF, batch_id=7)
+        except RuntimeError:
+            pass
+    finally:
+        C.U.append = real
+    for _ in range(2):
+        C.apply_batch(batch, tables, AS_OF, batch_id=7)
+    c = spark.read.parquet(tables.path("customers")).first()
+    assert (c.orders_count, float(c.total_spent), c.status) == (1, 40.0, "active")
+    assert spark.read.parquet(tables.path("order_items")).count() == 1
+    assert spark.read.parquet(tables.path("orders")).count() == 1
+
+
+def test_bad_events_are_set_aside(spark, tmp_dir):
+    """An unreadable line and a bad amount neither vanish nor stop the stream."""
+    src, tables = os.path.join(tmp_dir, "in"), C.Tables(os.path.join(tmp_dir, "t"))
+    spark.createDataFrame([(CUSTOMER,), ("{broken",), (order(10, "n/a"),), (order(11, "5.00"),)], "value string").coalesce(1).write.text(os.path.join(src, "b"))
+    C.start(spark, src + "/*", tables, os.path.join(tmp_dir, "ck")).awaitTermination(300)
+    aside = sorted((r.resource, r.problem) for r in spark.read.parquet(tables.path("quarantine")).collect())
+    assert aside == [("events", "unreadable"), ("orders", "total_price")]
+    assert [r.order_id for r in spark.read.parquet(tables.path("orders")).collect()] == ["11"]
+    assert spark.read.parquet(tables.path("customers")).count() == 1
