@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from lifetide.llm.common import codes_of, columns_but, crc_mod, flat, free_name, grams, pieces
+from lifetide.llm.common import codes_of, columns_but, crc_mod, flat, free_name, grams, pieces, stage
 
 BITS = 12
 PER_LANGUAGE = 600
@@ -162,7 +162,8 @@ def _logistic(x: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """Fit on about ``per_language`` documents of each language of ``docs`` (text, lang, doc_id)."""
     docs = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")).withColumnRenamed("lang", "_lang")
+    # staged, so that Spark knows its size (one row per language) and the texts do not move
+    counts = stage(docs.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")).withColumnRenamed("lang", "_lang"), "language-counts")
     cells = 1 << 30
     sample = (docs.join(counts, F.col("lang") == F.col("_lang"), "inner")
               .filter(F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(cells)) < F.lit(float(cells * per_language)) / F.col("_n")))
