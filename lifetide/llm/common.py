@@ -140,7 +140,7 @@ def words_of(texts):
     return data, start, end, PolyHash(data).ranges(start, end), np.searchsorted(start, offsets)
 
 
-def pieces(texts, rows: int = 512, size: int = 2_000_000):
+def pieces(texts, rows: int = 512, size: int = 1_000_000):
     """Slices of an Arrow string array of at most ``rows`` texts and about ``size`` bytes (or one text):
     numpy's memory stays bounded whatever the length of the texts."""
     lens = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)

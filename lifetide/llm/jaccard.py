@@ -15,8 +15,10 @@ Exact: no link between different texts is lost, and none is made up.
 4. In a tile, bit counts bound every overlap from above.  Pairs that pass are
    intersected exactly.  First only a spanning forest of the most promising
    pairs of a block of each tile, so a group of near copies costs as many
-   intersections as it has members; then, for tiles that still hold several
-   components, all pairs between different components that pass the bound.
+   intersections as it has members; then, in tiles that still hold several
+   components, all pairs of different components that pass the bound, in place:
+   the sets that have such a pair are brought together with their texts, and
+   only links that join two components leave the task.
 5. Components of the exact links; copies get their class's component.
 
 What grows: prefixes are shuffled as (shingle, set) rows, bitmaps and texts
@@ -43,7 +45,8 @@ from lifetide.llm.components import components
 from lifetide.llm.shingles import CELL_BITS, bitmap, bitmap_bits, cells, fold, needed, overlap_bound, prefix_length, rank, shingle_hashes
 
 PERCENT = 80
-BLOCK = 1024               # sets of one tile that are compared in one piece
+BLOCK = 1024               # sets of one tile that are compared in one piece ...
+BLOCK_SHINGLES = 2_000_000 # ... and about how many shingles they have in all
 CELLS_PER_ROW = 1024
 _BAND = 1.2501             # a little over 100 / 80: linked sizes differ by one band at most
 
@@ -109,7 +112,9 @@ def _signature_udf(level: np.ndarray, percent: int):
                 if 100 * n >= percent * (n + 1):          # else only an equal set is alike enough
                     m = prefix_length(n, percent)
                     bits = bitmap(own, bitmap_bits(n)).tobytes()
-                    prefix = own[np.argpartition(rank(own, level), m - 1)[:m]].view(np.int64)
+                    order = rank(own, level)
+                    first = np.argpartition(order, m - 1)[:m]
+                    prefix = own[first[np.argsort(order[first])]].view(np.int64)
                 rows.append({"n": n, "k1": k1, "k2": k2, "bits": bits, "prefix": prefix})
         return pa.array(rows, SIGNATURE)
     return run
@@ -133,26 +138,43 @@ def signatures(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 # -------------------------------------------------------------------- tiles
-def tile_members(sigs: DataFrame, classes: DataFrame) -> DataFrame:
-    """tile, size (of the tile), own, node, n, bits of every set in every different tile (staged)."""
-    tokens = sigs.filter("prefix is not null").select(F.col("k1").alias("node"), "n", F.explode("prefix").alias("token"))
-    shared = (tokens.groupBy(F.col("token").alias("t")).agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-              .filter("lo <> hi").select("t"))
-    shared = stage(tokens.join(shared, F.col("token") == F.col("t"), "inner").select("token", "node", "n").distinct(), "shared")
+def tile_members(sigs: DataFrame, classes: DataFrame, percent: int, block: int) -> DataFrame:
+    """tile, blocks (of the tile), own, node, n, bits of every set in every different tile (staged).
+
+    All tables here grow with the corpus, so none is offered for broadcast.
+    """
+    # reach: if this shingle is the first that two sets share, no partner larger than this overlaps enough
+    tokens = (sigs.filter("prefix is not null").select(F.col("k1").alias("node"), "n", F.posexplode("prefix").alias("i", "token"))
+              .select("token", "node", F.col("n").cast("int").alias("n"),
+                      F.floor((100 + percent) * (F.col("n") - F.col("i")) / percent - F.col("n")).cast("int").alias("reach")))
+    shared = (tokens.groupBy(F.col("token").alias("t")).agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("low"))
+              .filter("c > 1").select("t", "low"))
+    shared = stage(tokens.join(shared.hint("merge"), F.col("token") == F.col("t"), "inner").filter("reach >= low")
+                   .select("token", "node", "n").distinct(), "shared")
+    # shingles with the same sets are one tile: one shingle of each different group
+    groups = (shared.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("node")).alias("x1"),
+                                          F.bit_xor(F.xxhash64("node", F.lit(3))).alias("x2"))
+              .filter("c > 1").groupBy("x1", "x2", "c").agg(F.min("token").alias("t")).select("t"))
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(_BAND))).cast("int")
-    placed = (shared.withColumn("band", band)
-              .select("token", "node", "n", F.explode(F.array(F.struct(F.col("band").alias("band"), F.lit(True).alias("own")),
-                                                              F.struct((F.col("band") + 1).alias("band"), F.lit(False).alias("own")))).alias("p"))
-              .select(F.xxhash64("token", "p.band").alias("tile"), "p.own", "node", "n"))
-    tiles = (placed.groupBy("tile").agg(F.count(F.lit(1)).alias("size"), F.count_if("own").alias("n_own"),
-                                        F.bit_xor(F.xxhash64("node", "own")).alias("x1"), F.bit_xor(F.xxhash64("own", "node", F.lit(3))).alias("x2"))
-             .filter("n_own > 0 and size > 1")
-             .groupBy("x1", "x2", "size").agg(F.min("tile").alias("t")).select("t", "size"))
-    members = stage(placed.join(tiles, F.col("tile") == F.col("t"), "inner").select("tile", "size", "own", "node", "n"), "tiles")
-    nodes = members.select(F.col("node").alias("_node")).distinct().join(classes, F.col("_node") == F.col("k1"), "inner").select("_node", "rep")
+    placed = stage(shared.join(groups.hint("merge"), F.col("token") == F.col("t"), "inner").withColumn("band", band)
+                   .select("token", "node", "n", F.explode(F.array(F.struct(F.col("band").alias("band"), F.lit(True).alias("own")),
+                                                                   F.struct((F.col("band") + 1).alias("band"), F.lit(False).alias("own")))).alias("p"))
+                   .select(F.xxhash64("token", "p.band").alias("tile"), "p.own", "node", "n"), "placed")
+    # a tile of long texts is dealt in smaller blocks
+    rows = F.least(F.lit(block), F.greatest(F.lit(16), F.lit(BLOCK_SHINGLES) / F.avg("n")))
+    tiles = (placed.groupBy("tile").agg(F.count(F.lit(1)).alias("size"), F.count_if("own").alias("n_own"), rows.alias("rows"))
+             .filter("n_own > 0 and size > 1").select(F.col("tile").alias("t"), F.ceil(F.col("size") / F.col("rows")).cast("int").alias("blocks")))
+    members = placed.join(tiles.hint("merge"), F.col("tile") == F.col("t"), "inner").select("tile", "blocks", "own", "node", "n")
+    members = stage(members, "tiles")
+    nodes = representatives(members.select("node"), classes)
     bits = (sigs.select("doc_id", "k1", "bits").join(nodes, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("k1") == F.col("_node")), "inner")
             .groupBy("_node").agg(F.first("bits").alias("bits")))
-    return stage(members.join(bits, F.col("node") == F.col("_node"), "inner").drop("_node"), "members")
+    return stage(members.join(bits.hint("merge"), F.col("node") == F.col("_node"), "inner").drop("_node"), "members")
+
+
+def representatives(nodes: DataFrame, classes: DataFrame) -> DataFrame:
+    """(_node, rep) of distinct nodes."""
+    return nodes.select(F.col("node").alias("_node")).distinct().join(classes, F.col("_node") == F.col("k1"), "inner").select("_node", "rep")
 
 
 def _words(maps: list[bytes], sizes: np.ndarray) -> np.ndarray:
@@ -201,40 +223,45 @@ def _forest(weight: np.ndarray, comp: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
-def _groups(batches: Iterator[pa.RecordBatch]):
-    """Runs of rows with equal (tile, i, j) of sorted batches, as lists of columns."""
-    names = ("tile", "i", "j", "side", "own", "node", "n", "comp", "bits")
+_ROW = "tile long, i int, j int, side int, own boolean, node long, n int, comp long, bits binary"
+
+
+def _groups(batches: Iterator[pa.RecordBatch], *more: str):
+    """Runs of rows with equal (tile, i, j) of sorted batches: the key and the columns that follow it."""
+    names = ("tile", "i", "j", "side", "own", "node", "n", "comp", "bits", *more)
 
     def rows():
         for batch in batches:
             yield from zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in names), strict=True)
-    for _, group in groupby(rows(), key=lambda r: r[:3]):
-        yield list(zip(*group, strict=True))[3:]
-
-
-def _compare(percent: int, forest: bool):
-    """Candidate pairs of every block: a spanning forest, or all pairs between components."""
+    for key, group in groupby(rows(), key=lambda r: r[:3]):
+        side, own, node, n, comp, *rest = list(zip(*group, strict=True))[3:]
+        yield key, np.array(side), np.array(own, bool), np.array(node, np.int64), np.array(n, np.int64), np.array(comp, np.int64), *rest
+
+
+def _pairs_between(maps, side, own, n, comp, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All pairs (rows a, b) that pass the bound, with their weight; of a group of two blocks those across them."""
+    left, right, weights = [], [], []
+    alone = (side == side[0]).all()
+    for lo in range(0, len(n), 256):
+        weight = _passing(maps, n, own, comp, percent, slice(lo, lo + 256), slice(0, len(n)))
+        a, b = np.nonzero(weight >= 0)
+        fits = (a + lo < b) if alone else (side[a + lo] < side[b])
+        left.append(a[fits] + lo)
+        right.append(b[fits])
+        weights.append(weight[a[fits], b[fits]])
+    return np.concatenate(left), np.concatenate(right), np.concatenate(weights)
+
+
+def _forest_pairs(percent: int):
+    """The spanning forest of every block, as pairs of nodes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left, right = [], []
-        for side, own, node, n, comp, bits in _groups(batches):
-            side, own, n, node, comp = np.array(side), np.array(own, bool), np.array(n, np.int64), np.array(node, np.int64), np.array(comp, np.int64)
+        for _, _, own, node, n, comp, bits in _groups(batches):
             if len(node) > 1 and (comp != comp[0]).any():
-                maps = _words(list(bits), n)
-                if forest:
-                    every = slice(0, len(node))
-                    weight = _passing(maps, n, own, comp, percent, every, every)
-                    pairs = _forest(weight, comp)
-                else:
-                    pairs = []
-                    for lo in range(0, len(node), 256):
-                        weight = _passing(maps, n, own, comp, percent, slice(lo, lo + 256), slice(0, len(node)))
-                        a, b = np.nonzero(weight >= 0)
-                        a += lo
-                        # a pair of two blocks belongs to their group, a pair within one to the group of that block alone
-                        fits = (a < b) if (side == side[0]).all() else (side[a] < side[b])
-                        pairs += zip(a[fits].tolist(), b[fits].tolist(), strict=True)
-                left += [int(node[a]) for a, _ in pairs]
-                right += [int(node[b]) for _, b in pairs]
+                every = slice(0, len(node))
+                for a, b in _forest(_passing(_words(list(bits), n), n, own, comp, percent, every, every), comp):
+                    left.append(int(node[a]))
+                    right.append(int(node[b]))
             if len(left) > 10_000:
                 yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
                 left, right = [], []
@@ -242,32 +269,99 @@ def _compare(percent: int, forest: bool):
     return run
 
 
-def candidates(members: DataFrame, comps: DataFrame | None, percent: int, forest: bool, salt: int, block: int) -> DataFrame:
-    """Pairs (a < b) to intersect: of every block of every tile (``forest``), or of all pairs of blocks."""
+def _with_open_pair(percent: int):
+    """The rows of every group that have a pair with another component that passes the bound."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("tile", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("side", pa.int32()), ("own", pa.bool_()), ("node", pa.int64()),
+                            ("n", pa.int32()), ("comp", pa.int64()), ("bits", pa.binary())])
+        for key, side, own, node, n, comp, bits in _groups(batches):
+            if len(node) < 2 or not (comp != comp[0]).any():
+                continue
+            a, b, _ = _pairs_between(_words(list(bits), n), side, own, n, comp, percent)
+            at = np.unique(np.concatenate([a, b]))
+            if len(at):
+                yield pa.RecordBatch.from_pylist([dict(zip(schema.names, (*key, int(side[r]), bool(own[r]), int(node[r]), int(n[r]), int(comp[r]), bits[r]),
+                                                           strict=True)) for r in at.tolist()], schema=schema)
+    return run
+
+
+def _links_between(percent: int):
+    """Exact links that join two components of a group; pairs that are joined already are not looked at."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, side, own, node, n, comp, bits, texts in _groups(batches, "text"):
+            a, b, weight = _pairs_between(_words(list(bits), n), side, own, n, comp, percent)
+            sets: list[np.ndarray] = []
+            for piece in pieces(pa.array(texts, pa.large_string())):
+                hashes, bound = shingle_hashes(piece)
+                sets += [np.unique(hashes[bound[k]:bound[k + 1]]) for k in range(len(piece))]
+            root = {c: c for c in set(comp.tolist())}
+
+            def find(c: int, root=root) -> int:
+                while root[c] != c:
+                    root[c] = c = root[root[c]]
+                return c
+            left, right = [], []
+            for k in np.argsort(-weight, kind="stable").tolist():
+                x, y = int(a[k]), int(b[k])
+                cx, cy = find(int(comp[x])), find(int(comp[y]))
+                if cx != cy and _linked(sets[x], sets[y], percent):
+                    root[max(cx, cy)] = min(cx, cy)
+                    left.append(int(node[x]))
+                    right.append(int(node[y]))
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+    return run
+
+
+def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Exact intersection of two sorted sets."""
+    place = np.minimum(np.searchsorted(a, b), len(a) - 1)
+    common = int((a[place] == b).sum())
+    return 100 * common >= percent * (len(a) + len(b) - common)
+
+
+def _labelled(members: DataFrame, comps: DataFrame | None) -> DataFrame:
+    """Members with their component; with components known, only of tiles that hold several."""
     if comps is None:
-        rows = members.withColumn("comp", F.col("node"))
-    else:
-        label = comps.select(F.col("node").alias("_node"), "root")
-        rows = (members.join(label, F.col("node") == F.col("_node"), "left")
-                .withColumn("comp", F.coalesce("root", "node")).drop("_node", "root"))
-        mixed = (rows.groupBy(F.col("tile").alias("_tile")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                 .filter("lo <> hi").select("_tile"))
-        rows = rows.join(mixed, F.col("tile") == F.col("_tile"), "left_semi")
-    blocks = F.ceil(F.col("size") / F.lit(block)).cast("int")
-    rows = rows.withColumn("side", F.pmod(F.xxhash64("node", F.lit(salt)), blocks).cast("int"))
-    if forest:
-        rows = rows.withColumn("i", F.col("side")).withColumn("j", F.col("side"))
-    else:
-        # block pairs (i, j): with itself, with those below, with those above
-        other = F.explode(F.sequence(F.lit(0), blocks - 1))
-        rows = (rows.withColumn("_o", other).withColumn("i", F.least("side", "_o")).withColumn("j", F.greatest("side", "_o")).drop("_o"))
-    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (rows.select("tile", "i", "j", "side", "own", "node", "n", "comp", "bits")
-               .repartition(n, "tile", "i", "j").sortWithinPartitions("tile", "i", "j", "node", "own"))
-    pairs = ordered.mapInArrow(_compare(percent, forest), "a long, b long")
+        return members.withColumn("comp", F.col("node"))
+    label = comps.select(F.col("node").alias("_node"), "root")
+    rows = (members.join(label.hint("merge"), F.col("node") == F.col("_node"), "left")
+            .withColumn("comp", F.coalesce("root", "node")).drop("_node", "root"))
+    tiles = members.select("tile", "node").join(label.hint("merge"), F.col("node") == F.col("_node"), "left")
+    mixed = (tiles.groupBy(F.col("tile").alias("_tile")).agg(F.min(F.coalesce("root", "node")).alias("lo"), F.max(F.coalesce("root", "node")).alias("hi"))
+             .filter("lo <> hi").select("_tile"))
+    return rows.join(mixed, F.col("tile") == F.col("_tile"), "left_semi")
+
+
+def _dealt(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows together and in order by (tile, i, j)."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.select(*columns).repartition(n, "tile", "i", "j").sortWithinPartitions("tile", "i", "j", "node")
+
+
+_COLUMNS = ["tile", "i", "j", "side", "own", "node", "n", "comp", "bits"]
+
+
+def forest(members: DataFrame, comps: DataFrame | None, percent: int, salt: int) -> DataFrame:
+    """Pairs (a < b): a spanning forest of every block of every tile."""
+    side = F.pmod(F.xxhash64("node", F.lit(salt)), F.col("blocks")).cast("int")
+    rows = _labelled(members, comps).withColumn("side", side).withColumns({"i": F.col("side"), "j": F.col("side")})
+    pairs = _dealt(rows, _COLUMNS).mapInArrow(_forest_pairs(percent), "a long, b long")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
 
 
+def remaining_links(members: DataFrame, comps: DataFrame | None, texts, percent: int, salt: int) -> DataFrame:
+    """Exact links between components, from all pairs of every tile that holds several (staged)."""
+    side = F.pmod(F.xxhash64("node", F.lit(salt)), F.col("blocks")).cast("int")
+    rows = _labelled(members, comps).withColumn("side", side)
+    # pairs of blocks (i <= j): a row meets its own block, those below and those above
+    rows = (rows.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumns({"i": F.least("side", "_o"), "j": F.greatest("side", "_o")}))
+    open_rows = stage(_dealt(rows, _COLUMNS).mapInArrow(_with_open_pair(percent), _ROW), "open-rows")
+    with_text = open_rows.join(texts(open_rows.select("node")), F.col("node") == F.col("t_node"), "inner").dropDuplicates(["tile", "i", "j", "node"]) \
+        if texts.repeated else open_rows.join(texts(open_rows.select("node")), F.col("node") == F.col("t_node"), "inner")
+    return stage(_dealt(with_text, [*_COLUMNS, "text"]).mapInArrow(_links_between(percent), "a long, b long"), "last-links")
+
+
 # ------------------------------------------------------------- exact checks
 def _intersect(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,9 +379,7 @@ def _intersect(percent: int):
                         key, head = (a[at], part[at]), own
                         continue
                     assert key == (a[at], part[at])
-                    place = np.minimum(np.searchsorted(head, own), len(head) - 1)
-                    common = int((head[place] == own).sum())
-                    if 100 * common >= percent * (len(head) + len(own) - common):
+                    if _linked(head, own, percent):
                         left.append(a[at])
                         right.append(b[at])
                 base += len(piece)
@@ -295,17 +387,39 @@ def _intersect(percent: int):
     return run
 
 
-def exact_links(pairs: DataFrame, texts: DataFrame, percent: int, per_part: int = 128) -> DataFrame:
+class Texts:
+    """Texts of nodes, from the documents that represent them."""
+
+    def __init__(self, docs: DataFrame, classes: DataFrame):
+        self.docs, self.classes = docs, classes
+        # an id that stands for two different sets (or a null one) needs a look at the text itself
+        ids = classes.groupBy("rep").agg(F.count(F.lit(1)).alias("n"))
+        self.repeated = not ids.filter("rep is null or n > 1").isEmpty() or self._rows_repeat()
+
+    def _rows_repeat(self) -> bool:
+        return not self.docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
+
+    def __call__(self, nodes: DataFrame) -> DataFrame:
+        """(t_node, text) of the given nodes."""
+        reps = stage(representatives(nodes, self.classes), "text-nodes")
+        found = self.docs.join(reps, F.col("doc_id").eqNullSafe(F.col("rep")), "inner").select(F.col("_node").alias("t_node"), "text")
+        if self.repeated:
+            found = found.withColumn("_k", set_key_of("text")).filter("_k = t_node").drop("_k").dropDuplicates(["t_node"])
+        return found
+
+
+def exact_links(pairs: DataFrame, texts: Texts, percent: int, per_part: int = 128) -> DataFrame:
     """The pairs that link (staged); a set with many partners is dealt in parts of about ``per_part``."""
     pairs = stage(pairs, "pairs")
     parts = pairs.groupBy(F.col("a").alias("h")).agg(F.ceil(F.count(F.lit(1)) / F.lit(per_part)).cast("int").alias("parts"))
-    label = texts.select(F.col("node").alias("t_node"), "text")
-    heads = (parts.join(label, F.col("h") == F.col("t_node"), "inner")
-             .select(F.col("h").alias("a"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("b"), "text"))
-    tails = (pairs.join(parts, F.col("a") == F.col("h"), "inner").join(label, F.col("b") == F.col("t_node"), "inner")
-             .select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), "b", "text"))
+    dealt = pairs.join(parts.hint("merge"), F.col("a") == F.col("h"), "inner")
+    heads = parts.select(F.col("h").alias("a"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("b"),
+                         F.col("h").alias("node"))
+    tails = dealt.select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), "b", F.col("b").alias("node"))
+    rows = stage(heads.union(tails), "pair-rows")
     n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = heads.union(tails).repartition(n, "a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+    ordered = (rows.join(texts(rows.select("node")), F.col("node") == F.col("t_node"), "inner").select("a", "part", "b", "text")
+               .repartition(n, "a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first()))
     return stage(ordered.mapInArrow(_intersect(percent), "a long, b long"), "links")
 
 
@@ -315,25 +429,21 @@ def join(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFra
     docs = docs.select("doc_id", "text")
     sigs = signatures(docs, percent)
     classes = stage(sigs.filter("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), "classes")
-    members = tile_members(sigs, classes)
-    nodes = members.select("node").distinct().join(classes, F.col("node") == F.col("k1"), "inner").select("node", "rep")
-    texts = (docs.join(nodes, F.col("doc_id").eqNullSafe(F.col("rep")), "inner")
-             .select("node", "text", set_key_of("text").alias("_k")).filter("_k = node").select("node", "text"))
-    texts = stage(texts.dropDuplicates(["node"]), "tile-texts")
+    members = tile_members(sigs, classes, percent, block)
+    texts = Texts(docs, classes)
     comps = None
-    links = docs.sparkSession.createDataFrame([], "a long, b long")
 
     def add(found: DataFrame) -> None:
-        nonlocal links, comps
+        nonlocal comps
         if not found.isEmpty():
-            links = found.union(comps.select(F.col("node").alias("a"), F.col("root").alias("b"))) if comps is not None else found
-            comps = stage(components(links), "components")
-
-    add(exact_links(candidates(members, None, percent, True, 1, block), texts, percent))
-    large = members.filter(F.col("size") > block)
-    if not large.isEmpty():
-        add(exact_links(candidates(large, comps, percent, True, 2, block), texts, percent))
-    add(exact_links(candidates(members, comps, percent, False, 3, block), texts, percent))
+            known = found if comps is None else found.union(comps.select(F.col("node").alias("a"), F.col("root").alias("b")))
+            comps = stage(components(known), "components")
+
+    add(exact_links(forest(members, None, percent, 1), texts, percent))
+    large = members.filter("blocks > 1")
+    if comps is not None and not large.isEmpty():
+        add(exact_links(forest(large, comps, percent, 2), texts, percent))
+    add(remaining_links(members, comps, texts, percent, 3))
 
     if comps is not None:
         linked = comps.join(classes, F.col("node") == F.col("k1"), "inner").select("k1", "k2", "root", "rep")
