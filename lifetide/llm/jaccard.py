@@ -12,13 +12,13 @@ Exact: no link between different texts is lost, and none is made up.
 3. A tile is a prefix shingle and a size band: the sets of that band (own) and
    of the band below (guests) that have the shingle.  Linked sets share a tile.
    Tiles with the same members are one tile.
-4. In a tile, bit counts bound every overlap from above.  Pairs that pass are
-   intersected exactly.  First only a spanning forest of the most promising
-   pairs of a block of each tile, so a group of near copies costs as many
-   intersections as it has members; then, in tiles that still hold several
-   components, all pairs of different components that pass the bound, in place:
-   the sets that have such a pair are brought together with their texts, and
-   only links that join two components leave the task.
+4. In a tile, bit counts bound every overlap from above; sets with a pair that
+   passes are brought together with their texts and intersected exactly, the
+   most promising pairs first, but for pairs that are already joined.  Only
+   links that join two components leave a task.  This is done twice: first
+   every set in its largest tile only, so groups of near copies become few
+   components at the cost of one row per set; then every set in all tiles that
+   still hold several components, for the pairs not looked at before.
 5. Components of the exact links; copies get their class's component.
 
 What grows: prefixes are shuffled as (shingle, set) rows, bitmaps and texts
@@ -138,8 +138,8 @@ def signatures(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 # -------------------------------------------------------------------- tiles
-def tile_members(sigs: DataFrame, classes: DataFrame, percent: int, block: int) -> DataFrame:
-    """tile, blocks (of the tile), own, node, n, bits of every set in every different tile (staged).
+def tile_members(sigs: DataFrame, percent: int, block: int) -> DataFrame:
+    """Every set in every different tile: tile, blocks (of the tile), own, node, n, cell and cell_own (its home), at_home (staged).
 
     All tables here grow with the corpus, so none is offered for broadcast.
     """
@@ -163,13 +163,22 @@ def tile_members(sigs: DataFrame, classes: DataFrame, percent: int, block: int)
     # a tile of long texts is dealt in smaller blocks
     rows = F.least(F.lit(block), F.greatest(F.lit(16), F.lit(BLOCK_SHINGLES) / F.avg("n")))
     tiles = (placed.groupBy("tile").agg(F.count(F.lit(1)).alias("size"), F.count_if("own").alias("n_own"), rows.alias("rows"))
-             .filter("n_own > 0 and size > 1").select(F.col("tile").alias("t"), F.ceil(F.col("size") / F.col("rows")).cast("int").alias("blocks")))
-    members = placed.join(tiles.hint("merge"), F.col("tile") == F.col("t"), "inner").select("tile", "blocks", "own", "node", "n")
+             .filter("n_own > 0 and size > 1").select(F.col("tile").alias("t"), "size", F.ceil(F.col("size") / F.col("rows")).cast("int").alias("blocks")))
+    members = placed.join(tiles.hint("merge"), F.col("tile") == F.col("t"), "inner").select("tile", "size", "blocks", "own", "node", "n")
     members = stage(members, "tiles")
-    nodes = representatives(members.select("node"), classes)
-    bits = (sigs.select("doc_id", "k1", "bits").join(nodes, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("k1") == F.col("_node")), "inner")
-            .groupBy("_node").agg(F.first("bits").alias("bits")))
-    return stage(members.join(bits.hint("merge"), F.col("node") == F.col("_node"), "inner").drop("_node"), "members")
+    # a set's home is its largest tile (one block of it); pairs of one home are looked at there
+    homes = members.groupBy(F.col("node").alias("h")).agg(F.max(F.struct("size", "tile", "blocks", "own")).alias("home"))
+    cell = F.xxhash64("home.tile", F.pmod(F.xxhash64("node"), F.col("home.blocks")))
+    return stage(members.join(homes.hint("merge"), F.col("node") == F.col("h"), "inner")
+                 .select("tile", "blocks", "own", "node", "n", cell.alias("cell"), F.col("home.own").alias("cell_own"),
+                         (F.col("tile") == F.col("home.tile")).alias("at_home")), "members")
+
+
+def node_bits(sigs: DataFrame, members: DataFrame, classes: DataFrame) -> DataFrame:
+    """(b_node, bits) of every set in a tile (staged)."""
+    nodes = representatives(members.filter("at_home").select("node"), classes)
+    return stage(sigs.select("doc_id", "k1", "bits").join(nodes, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("k1") == F.col("_node")), "inner")
+                 .groupBy(F.col("_node").alias("b_node")).agg(F.first("bits").alias("bits")), "node-bits")
 
 
 def representatives(nodes: DataFrame, classes: DataFrame) -> DataFrame:
@@ -190,111 +199,80 @@ def _words(maps: list[bytes], sizes: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(out).view(np.uint64)
 
 
-def _passing(maps, n, own, comp, percent: int, rows: slice, cols: slice) -> np.ndarray:
-    """How far the bound of each pair rows x cols exceeds what a link needs; -1 where it cannot link or need not."""
-    bound = overlap_bound(maps[rows], n[rows], maps[cols], n[cols])
-    spare = bound - needed(n[rows][:, None], n[cols][None, :], percent)
-    low, high = np.minimum(n[rows][:, None], n[cols][None, :]), np.maximum(n[rows][:, None], n[cols][None, :])
-    ok = (spare >= 0) & (100 * low >= percent * high) & (own[rows][:, None] | own[cols][None, :]) & (comp[rows][:, None] != comp[cols][None, :])
+def _passing(g: Group, maps: np.ndarray, percent: int, rows: slice, cols: slice) -> np.ndarray:
+    """Weight (bound of the overlap by size) of each pair rows x cols; -1 where it cannot link or need not be looked at."""
+    bound = overlap_bound(maps[rows], g.n[rows], maps[cols], g.n[cols])
+    low, high = np.minimum(g.n[rows][:, None], g.n[cols][None, :]), np.maximum(g.n[rows][:, None], g.n[cols][None, :])
+    ok = (bound >= needed(g.n[rows][:, None], g.n[cols][None, :], percent)) & (100 * low >= percent * high)
+    ok &= (g.own[rows][:, None] | g.own[cols][None, :]) & (g.comp[rows][:, None] != g.comp[cols][None, :])
+    # both of one home, where all pairs but those of two guests were looked at
+    ok &= ~(g.seen & (g.cell[rows][:, None] == g.cell[cols][None, :]) & (g.cell_own[rows][:, None] | g.cell_own[cols][None, :]))
     return np.where(ok, 1000 * bound // np.maximum(high, 1), -1)
 
 
-def _forest(weight: np.ndarray, comp: np.ndarray) -> list[tuple[int, int]]:
-    """Edges of a maximum spanning forest of a weight matrix (-1: no edge); sets of one component count as joined."""
-    n = len(weight)
-    done = np.zeros(n, bool)
-    edges = []
-    for root in range(n):
-        if done[root]:
-            continue
-        best, near = np.full(n, -1, np.int64), np.zeros(n, np.int64)
-        at = root
-        while True:
-            # all of a component enter at once
-            for i in np.flatnonzero((comp == comp[at]) & ~done):
-                done[i] = True
-                better = weight[i] > best
-                best[better], near[better] = weight[i][better], i
-            best[done] = -1
-            at = int(best.argmax())
-            if best[at] < 0:
-                break
-            edges.append((int(near[at]), at))
-    return edges
-
-
-_ROW = "tile long, i int, j int, side int, own boolean, node long, n int, comp long, bits binary"
-
-
-def _groups(batches: Iterator[pa.RecordBatch], *more: str):
-    """Runs of rows with equal (tile, i, j) of sorted batches: the key and the columns that follow it."""
-    names = ("tile", "i", "j", "side", "own", "node", "n", "comp", "bits", *more)
-
+_FIELDS = (("tile", "long", pa.int64()), ("i", "int", pa.int32()), ("j", "int", pa.int32()), ("seen", "boolean", pa.bool_()),
+           ("side", "int", pa.int32()), ("own", "boolean", pa.bool_()), ("node", "long", pa.int64()), ("n", "int", pa.int32()),
+           ("comp", "long", pa.int64()), ("cell", "long", pa.int64()), ("cell_own", "boolean", pa.bool_()), ("bits", "binary", pa.binary()))
+_COLUMNS = [name for name, _, _ in _FIELDS]
+_LINKS = "a long, b long"
+
+
+class Group:
+    """The sets of one block of a tile (i = j), or of two: columns as arrays."""
+
+    def __init__(self, rows: list[tuple]):
+        columns = dict(zip([*_COLUMNS, "text"], zip(*rows, strict=True)))
+        self.rows, self.seen, self.bits, self.text = rows, bool(rows[0][3]), list(columns["bits"]), columns.get("text")
+        self.side, self.node, self.n, self.comp, self.cell = (np.array(columns[c], np.int64) for c in ("side", "node", "n", "comp", "cell"))
+        self.own, self.cell_own = (np.array(columns[c], bool) for c in ("own", "cell_own"))
+
+    def pairs(self, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All pairs (rows a, b) that pass, with their weight; of a group of two blocks those across them."""
+        left, right, weights = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        if len(self.n) > 1 and (self.comp != self.comp[0]).any():
+            maps = _words(self.bits, self.n)
+            alone = (self.side == self.side[0]).all()
+            for lo in range(0, len(self.n), 256):
+                weight = _passing(self, maps, percent, slice(lo, lo + 256), slice(0, len(self.n)))
+                a, b = np.nonzero(weight >= 0)
+                fits = (a + lo < b) if alone else (self.side[a + lo] < self.side[b])
+                left.append(a[fits] + lo)
+                right.append(b[fits])
+                weights.append(weight[a[fits], b[fits]])
+        return np.concatenate(left), np.concatenate(right), np.concatenate(weights)
+
+
+def _groups(batches: Iterator[pa.RecordBatch], *more: str) -> Iterator[Group]:
+    """Runs of rows with equal (tile, i, j) of sorted batches."""
     def rows():
         for batch in batches:
-            yield from zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in names), strict=True)
-    for key, group in groupby(rows(), key=lambda r: r[:3]):
-        side, own, node, n, comp, *rest = list(zip(*group, strict=True))[3:]
-        yield key, np.array(side), np.array(own, bool), np.array(node, np.int64), np.array(n, np.int64), np.array(comp, np.int64), *rest
-
-
-def _pairs_between(maps, side, own, n, comp, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All pairs (rows a, b) that pass the bound, with their weight; of a group of two blocks those across them."""
-    left, right, weights = [], [], []
-    alone = (side == side[0]).all()
-    for lo in range(0, len(n), 256):
-        weight = _passing(maps, n, own, comp, percent, slice(lo, lo + 256), slice(0, len(n)))
-        a, b = np.nonzero(weight >= 0)
-        fits = (a + lo < b) if alone else (side[a + lo] < side[b])
-        left.append(a[fits] + lo)
-        right.append(b[fits])
-        weights.append(weight[a[fits], b[fits]])
-    return np.concatenate(left), np.concatenate(right), np.concatenate(weights)
-
-
-def _forest_pairs(percent: int):
-    """The spanning forest of every block, as pairs of nodes."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left, right = [], []
-        for _, _, own, node, n, comp, bits in _groups(batches):
-            if len(node) > 1 and (comp != comp[0]).any():
-                every = slice(0, len(node))
-                for a, b in _forest(_passing(_words(list(bits), n), n, own, comp, percent, every, every), comp):
-                    left.append(int(node[a]))
-                    right.append(int(node[b]))
-            if len(left) > 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
-                left, right = [], []
-        yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
-    return run
+            yield from zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (*_COLUMNS, *more)), strict=True)
+    for _, group in groupby(rows(), key=lambda r: r[:3]):
+        yield Group(list(group))
 
 
 def _with_open_pair(percent: int):
-    """The rows of every group that have a pair with another component that passes the bound."""
+    """The rows of every group that have a pair which passes the bound."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("tile", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("side", pa.int32()), ("own", pa.bool_()), ("node", pa.int64()),
-                            ("n", pa.int32()), ("comp", pa.int64()), ("bits", pa.binary())])
-        for key, side, own, node, n, comp, bits in _groups(batches):
-            if len(node) < 2 or not (comp != comp[0]).any():
-                continue
-            a, b, _ = _pairs_between(_words(list(bits), n), side, own, n, comp, percent)
-            at = np.unique(np.concatenate([a, b]))
-            if len(at):
-                yield pa.RecordBatch.from_pylist([dict(zip(schema.names, (*key, int(side[r]), bool(own[r]), int(node[r]), int(n[r]), int(comp[r]), bits[r]),
-                                                           strict=True)) for r in at.tolist()], schema=schema)
+        for g in _groups(batches):
+            a, b, _ = g.pairs(percent)
+            if len(a):
+                kept = [g.rows[r] for r in np.unique(np.concatenate([a, b])).tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, (_, _, kind) in zip(zip(*kept, strict=True), _FIELDS, strict=True)],
+                                                 names=_COLUMNS)
     return run
 
 
 def _links_between(percent: int):
     """Exact links that join two components of a group; pairs that are joined already are not looked at."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, side, own, node, n, comp, bits, texts in _groups(batches, "text"):
-            a, b, weight = _pairs_between(_words(list(bits), n), side, own, n, comp, percent)
+        for g in _groups(batches, "text"):
+            a, b, weight = g.pairs(percent)
             sets: list[np.ndarray] = []
-            for piece in pieces(pa.array(texts, pa.large_string())):
+            for piece in pieces(pa.array(g.text, pa.large_string())):
                 hashes, bound = shingle_hashes(piece)
                 sets += [np.unique(hashes[bound[k]:bound[k + 1]]) for k in range(len(piece))]
-            root = {c: c for c in set(comp.tolist())}
+            root = {c: c for c in set(g.comp.tolist())}
 
             def find(c: int, root=root) -> int:
                 while root[c] != c:
@@ -303,11 +281,11 @@ def _links_between(percent: int):
             left, right = [], []
             for k in np.argsort(-weight, kind="stable").tolist():
                 x, y = int(a[k]), int(b[k])
-                cx, cy = find(int(comp[x])), find(int(comp[y]))
+                cx, cy = find(int(g.comp[x])), find(int(g.comp[y]))
                 if cx != cy and _linked(sets[x], sets[y], percent):
                     root[max(cx, cy)] = min(cx, cy)
-                    left.append(int(node[x]))
-                    right.append(int(node[y]))
+                    left.append(int(g.node[x]))
+                    right.append(int(g.node[y]))
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
     return run
 
@@ -319,74 +297,51 @@ def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(a) + len(b) - common)
 
 
-def _labelled(members: DataFrame, comps: DataFrame | None) -> DataFrame:
-    """Members with their component; with components known, only of tiles that hold several."""
-    if comps is None:
-        return members.withColumn("comp", F.col("node"))
-    label = comps.select(F.col("node").alias("_node"), "root")
-    rows = (members.join(label.hint("merge"), F.col("node") == F.col("_node"), "left")
-            .withColumn("comp", F.coalesce("root", "node")).drop("_node", "root"))
-    tiles = members.select("tile", "node").join(label.hint("merge"), F.col("node") == F.col("_node"), "left")
-    mixed = (tiles.groupBy(F.col("tile").alias("_tile")).agg(F.min(F.coalesce("root", "node")).alias("lo"), F.max(F.coalesce("root", "node")).alias("hi"))
-             .filter("lo <> hi").select("_tile"))
-    return rows.join(mixed, F.col("tile") == F.col("_tile"), "left_semi")
-
-
-def _dealt(rows: DataFrame, columns: list[str]) -> DataFrame:
+def _dealt(rows: DataFrame, *more: str) -> DataFrame:
     """Rows together and in order by (tile, i, j)."""
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.select(*columns).repartition(n, "tile", "i", "j").sortWithinPartitions("tile", "i", "j", "node")
+    return rows.select(*_COLUMNS, *more).repartition(n, "tile", "i", "j").sortWithinPartitions("tile", "i", "j", "node")
 
 
-_COLUMNS = ["tile", "i", "j", "side", "own", "node", "n", "comp", "bits"]
+def _exact(rows: DataFrame, bits: DataFrame, texts: Texts, percent: int) -> DataFrame:
+    """Exact links between components of rows dealt as (tile, i, j) (staged)."""
+    rows = rows.join(bits.hint("merge"), F.col("node") == F.col("b_node"), "inner")
+    kinds = ", ".join(f"{name} {kind}" for name, kind, _ in _FIELDS)
+    open_rows = stage(_dealt(rows).mapInArrow(_with_open_pair(percent), kinds), "open-rows")
+    with_text = open_rows.join(texts(open_rows.select("node")), F.col("node") == F.col("t_node"), "inner")
+    return stage(_dealt(with_text, "text").mapInArrow(_links_between(percent), _LINKS), "links")
 
 
-def forest(members: DataFrame, comps: DataFrame | None, percent: int, salt: int) -> DataFrame:
-    """Pairs (a < b): a spanning forest of every block of every tile."""
-    side = F.pmod(F.xxhash64("node", F.lit(salt)), F.col("blocks")).cast("int")
-    rows = _labelled(members, comps).withColumn("side", side).withColumns({"i": F.col("side"), "j": F.col("side")})
-    pairs = _dealt(rows, _COLUMNS).mapInArrow(_forest_pairs(percent), "a long, b long")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
+def links_at_home(members: DataFrame, bits: DataFrame, texts: Texts, percent: int) -> DataFrame:
+    """Links from every set's home only: each set is one row."""
+    zero, home = F.lit(0), members.filter("at_home")
+    rows = home.select(F.col("cell").alias("tile"), zero.alias("i"), zero.alias("j"), F.lit(False).alias("seen"), zero.alias("side"), "own", "node", "n",
+                       F.col("node").alias("comp"), "cell", "cell_own")
+    return _exact(rows, bits, texts, percent)
 
 
-def remaining_links(members: DataFrame, comps: DataFrame | None, texts, percent: int, salt: int) -> DataFrame:
-    """Exact links between components, from all pairs of every tile that holds several (staged)."""
-    side = F.pmod(F.xxhash64("node", F.lit(salt)), F.col("blocks")).cast("int")
-    rows = _labelled(members, comps).withColumn("side", side)
+def links_elsewhere(members: DataFrame, comps: DataFrame | None, bits: DataFrame, texts: Texts, percent: int) -> DataFrame:
+    """Links between components from all tiles that hold several, for pairs not of one home."""
+    rows = members.drop("at_home")
+    if comps is None:
+        rows = rows.withColumn("comp", F.col("node"))
+    else:
+        label = comps.select(F.col("node").alias("l_node"), "root")
+        rows = (rows.join(label.hint("merge"), F.col("node") == F.col("l_node"), "left")
+                .withColumn("comp", F.coalesce("root", "node")).drop("l_node", "root"))
+    rows = stage(rows, "labelled")
+    mixed = (rows.groupBy(F.col("tile").alias("m_tile")).agg(F.min("comp").alias("c_lo"), F.max("comp").alias("c_hi"), F.min("cell").alias("h_lo"),
+                                                            F.max("cell").alias("h_hi"), F.bool_and("cell_own").alias("all_own"))
+             .filter("c_lo <> c_hi and (h_lo <> h_hi or not all_own)").select("m_tile"))
+    rows = rows.join(mixed.hint("merge"), F.col("tile") == F.col("m_tile"), "left_semi")
+    side = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     # pairs of blocks (i <= j): a row meets its own block, those below and those above
-    rows = (rows.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .withColumns({"i": F.least("side", "_o"), "j": F.greatest("side", "_o")}))
-    open_rows = stage(_dealt(rows, _COLUMNS).mapInArrow(_with_open_pair(percent), _ROW), "open-rows")
-    with_text = open_rows.join(texts(open_rows.select("node")), F.col("node") == F.col("t_node"), "inner").dropDuplicates(["tile", "i", "j", "node"]) \
-        if texts.repeated else open_rows.join(texts(open_rows.select("node")), F.col("node") == F.col("t_node"), "inner")
-    return stage(_dealt(with_text, [*_COLUMNS, "text"]).mapInArrow(_links_between(percent), "a long, b long"), "last-links")
+    rows = (rows.withColumn("side", side).withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumns({"i": F.least("side", "_o"), "j": F.greatest("side", "_o"), "seen": F.lit(True)}).drop("_o", "blocks"))
+    return _exact(rows, bits, texts, percent)
 
 
 # ------------------------------------------------------------- exact checks
-def _intersect(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = head = None
-        for batch in batches:
-            a, part, b = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("a", "part", "b"))
-            texts, base = batch.column(batch.schema.get_field_index("text")), 0
-            left, right = [], []
-            for piece in pieces(texts):
-                hashes, bound = shingle_hashes(piece)
-                for k in range(len(piece)):
-                    at = base + k
-                    own = np.unique(hashes[bound[k]:bound[k + 1]])
-                    if b[at] is None:                     # the set that the following ones are compared with
-                        key, head = (a[at], part[at]), own
-                        continue
-                    assert key == (a[at], part[at])
-                    if _linked(head, own, percent):
-                        left.append(a[at])
-                        right.append(b[at])
-                base += len(piece)
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
-    return run
-
-
 class Texts:
     """Texts of nodes, from the documents that represent them."""
 
@@ -408,42 +363,21 @@ class Texts:
         return found
 
 
-def exact_links(pairs: DataFrame, texts: Texts, percent: int, per_part: int = 128) -> DataFrame:
-    """The pairs that link (staged); a set with many partners is dealt in parts of about ``per_part``."""
-    pairs = stage(pairs, "pairs")
-    parts = pairs.groupBy(F.col("a").alias("h")).agg(F.ceil(F.count(F.lit(1)) / F.lit(per_part)).cast("int").alias("parts"))
-    dealt = pairs.join(parts.hint("merge"), F.col("a") == F.col("h"), "inner")
-    heads = parts.select(F.col("h").alias("a"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("b"),
-                         F.col("h").alias("node"))
-    tails = dealt.select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), "b", F.col("b").alias("node"))
-    rows = stage(heads.union(tails), "pair-rows")
-    n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (rows.join(texts(rows.select("node")), F.col("node") == F.col("t_node"), "inner").select("a", "part", "b", "text")
-               .repartition(n, "a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first()))
-    return stage(ordered.mapInArrow(_intersect(percent), "a long, b long"), "links")
-
-
 # --------------------------------------------------------------------- join
 def join(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
     docs = docs.select("doc_id", "text")
     sigs = signatures(docs, percent)
     classes = stage(sigs.filter("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), "classes")
-    members = tile_members(sigs, classes, percent, block)
+    members = tile_members(sigs, percent, block)
+    bits = node_bits(sigs, members, classes)
     texts = Texts(docs, classes)
-    comps = None
-
-    def add(found: DataFrame) -> None:
-        nonlocal comps
-        if not found.isEmpty():
-            known = found if comps is None else found.union(comps.select(F.col("node").alias("a"), F.col("root").alias("b")))
-            comps = stage(components(known), "components")
-
-    add(exact_links(forest(members, None, percent, 1), texts, percent))
-    large = members.filter("blocks > 1")
-    if comps is not None and not large.isEmpty():
-        add(exact_links(forest(large, comps, percent, 2), texts, percent))
-    add(remaining_links(members, comps, texts, percent, 3))
+    found = links_at_home(members, bits, texts, percent)
+    comps = None if found.isEmpty() else stage(components(found), "components")
+    last = links_elsewhere(members, comps, bits, texts, percent)
+    if not last.isEmpty():
+        known = last if comps is None else last.union(comps.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        comps = stage(components(known), "components")
 
     if comps is not None:
         linked = comps.join(classes, F.col("node") == F.col("k1"), "inner").select("k1", "k2", "root", "rep")
