@@ -316,13 +316,15 @@ def aligned_orders(spark, base):
 
 @query("column_listing")
 def column_listing(spark, base):
-    """Columns of the stored form of every table (V1) that hold a value anywhere in the model's data, by table."""
+    """Canonical columns of the model's tables (V1): type, and how many rows hold a value."""
     b = Bridge(spark, base)
     parts = []
     for name, df in (("customers", b.customers()), ("orders", b.orders()), ("abandoned_checkouts", b.abandoned_checkouts())):
-        listing = Q.column_listing(df.select(*[c for c in df.columns if c in TABLES[name].fieldNames()]), spark, TABLES[name])
-        parts.append(listing.join(df.agg(F.count(F.lit(1)).alias("n_rows")), F.lit(True), "inner")
-                     .select(F.lit(name).alias("table_name"), "column_name", "n_rows"))
+        fields = [f for f in TABLES[name].fields if f.name in df.columns]
+        counts = df.agg(*[F.count(f.name).alias(f.name) for f in fields])
+        rows = F.array(*[F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
+                                  F.col(f.name).alias("n_values")) for f in fields])
+        parts.append(counts.select(F.lit(name).alias("table_name"), F.explode(rows).alias("c")).select("table_name", "c.*"))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
