@@ -219,7 +219,7 @@ def flatten_refunds(df: DataFrame, strict: bool = True) -> DataFrame:
     return df.select(
         _store(df).alias("store_id"),
         _p("id").cast("string").alias("refund_id"),
-        X.id_text(_p("order_id")).alias("order_id"),
+        _p("order_id").cast("string").alias("order_id"),
         X.id_text(_p("customer.id")).alias("customer_id"),
         _p("status").alias("status"),
         X.money(_p("amount"), strict).alias("amount"),
