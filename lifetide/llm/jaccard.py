@@ -150,11 +150,12 @@ def tile_members(sigs: DataFrame, percent: int, block: int) -> DataFrame:
     shared = (tokens.groupBy(F.col("token").alias("t")).agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("low"))
               .filter("c > 1").select("t", "low"))
     shared = stage(tokens.join(shared.hint("merge"), F.col("token") == F.col("t"), "inner").filter("reach >= low")
-                   .select("token", "node", "n").distinct(), "shared")
-    # shingles with the same sets are one tile: one shingle of each different group
+                   .select("token", "node", "n", "reach").distinct(), "shared")
+    # shingles with the same sets are one tile: one shingle of each different group; of two sets, the smaller must reach the larger
     groups = (shared.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("node")).alias("x1"),
-                                          F.bit_xor(F.xxhash64("node", F.lit(3))).alias("x2"))
-              .filter("c > 1").groupBy("x1", "x2", "c").agg(F.min("token").alias("t")).select("t"))
+                                          F.bit_xor(F.xxhash64("node", F.lit(3))).alias("x2"),
+                                          F.min(F.struct("n", "reach")).alias("least"), F.max("n").alias("high"))
+              .filter("c > 2 or (c = 2 and least.reach >= high)").groupBy("x1", "x2", "c").agg(F.min("token").alias("t")).select("t"))
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(_BAND))).cast("int")
     placed = stage(shared.join(groups.hint("merge"), F.col("token") == F.col("t"), "inner").withColumn("band", band)
                    .select("token", "node", "n", F.explode(F.array(F.struct(F.col("band").alias("band"), F.lit(True).alias("own")),
@@ -162,8 +163,9 @@ def tile_members(sigs: DataFrame, percent: int, block: int) -> DataFrame:
                    .select(F.xxhash64("token", "p.band").alias("tile"), "p.own", "node", "n"), "placed")
     # a tile of long texts is dealt in smaller blocks
     rows = F.least(F.lit(block), F.greatest(F.lit(16), F.lit(BLOCK_SHINGLES) / F.avg("n")))
-    tiles = (placed.groupBy("tile").agg(F.count(F.lit(1)).alias("size"), F.count_if("own").alias("n_own"), rows.alias("rows"))
-             .filter("n_own > 0 and size > 1").select(F.col("tile").alias("t"), "size", F.ceil(F.col("size") / F.col("rows")).cast("int").alias("blocks")))
+    tiles = (placed.groupBy("tile").agg(F.count(F.lit(1)).alias("size"), F.count_if("own").alias("n_own"), rows.alias("rows"),
+                                        F.min(F.when(F.col("own"), F.col("n"))).alias("low"), F.max(F.when(~F.col("own"), F.col("n"))).alias("high"))
+             .filter(f"size > 1 and (n_own > 1 or (n_own = 1 and 100 * high >= {percent} * low))").select(F.col("tile").alias("t"), "size", F.ceil(F.col("size") / F.col("rows")).cast("int").alias("blocks")))
     members = placed.join(tiles.hint("merge"), F.col("tile") == F.col("t"), "inner").select("tile", "size", "blocks", "own", "node", "n")
     members = stage(members, "tiles")
     # a set's home is its largest tile (one block of it); pairs of one home are looked at there
@@ -257,7 +259,7 @@ def _with_open_pair(percent: int):
         for g in _groups(batches):
             a, b, _ = g.pairs(percent)
             if len(a):
-                kept = [g.rows[r] for r in np.unique(np.concatenate([a, b])).tolist()]
+                kept = [(*g.rows[r][:-1], None) for r in np.unique(np.concatenate([a, b])).tolist()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, (_, _, kind) in zip(zip(*kept, strict=True), _FIELDS, strict=True)],
                                                  names=_COLUMNS)
     return run
@@ -267,11 +269,12 @@ def _links_between(percent: int):
     """Exact links that join two components of a group; pairs that are joined already are not looked at."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in _groups(batches, "text"):
-            a, b, weight = g.pairs(percent)
             sets: list[np.ndarray] = []
             for piece in pieces(pa.array(g.text, pa.large_string())):
                 hashes, bound = shingle_hashes(piece)
                 sets += [np.unique(hashes[bound[k]:bound[k + 1]]) for k in range(len(piece))]
+            g.bits = [bitmap(s, bitmap_bits(len(s))).tobytes() for s in sets]
+            a, b, weight = g.pairs(percent)
             root = {c: c for c in set(g.comp.tolist())}
 
             def find(c: int, root=root) -> int:
@@ -306,6 +309,7 @@ def _dealt(rows: DataFrame, *more: str) -> DataFrame:
 def _exact(rows: DataFrame, bits: DataFrame, texts: Texts, percent: int) -> DataFrame:
     """Exact links between components of rows dealt as (tile, i, j) (staged)."""
     rows = rows.join(bits.hint("merge"), F.col("node") == F.col("b_node"), "inner")
+    # the rows that go on leave their bitmaps behind: they are made again from the texts
     kinds = ", ".join(f"{name} {kind}" for name, kind, _ in _FIELDS)
     open_rows = stage(_dealt(rows).mapInArrow(_with_open_pair(percent), kinds), "open-rows")
     with_text = open_rows.join(texts(open_rows.select("node")), F.col("node") == F.col("t_node"), "inner")
