@@ -51,10 +51,12 @@ def input_bytes(spark: SparkSession, path: str) -> int:
 
 def size_shuffles(spark: SparkSession, path: str) -> None:
     """Set the initial shuffle partitions for jobs over ``path``, unless the
-    session has a value other than Spark's default."""
-    if spark.conf.get("spark.sql.shuffle.partitions") == "200":
-        spark.conf.set("spark.sql.shuffle.partitions",
-                       str(shuffle_partitions_for(input_bytes(spark, path), spark.sparkContext.defaultParallelism)))
+    session has a value that is neither Spark's default nor set here before."""
+    ours = "lifetide.shuffle.partitions"
+    if spark.conf.get("spark.sql.shuffle.partitions") in ("200", spark.conf.get(ours, "200")):
+        n = str(shuffle_partitions_for(input_bytes(spark, path), spark.sparkContext.defaultParallelism))
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        spark.conf.set(ours, n)
 
 
 def build_session(master: str | None = None, app: str = "lifetide",
