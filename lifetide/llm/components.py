@@ -31,8 +31,9 @@ def components(links: DataFrame) -> DataFrame:
         small = (joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(low.select(F.col("m_u").alias("u"), F.col("m").alias("v"))).filter("u <> v").distinct())
         edges = stage(small.coalesce(parts), "small-star")
-        # done once no root points anywhere: every component is a star around its smallest node
-        if edges.join(edges.select(F.col("v").alias("r")).distinct(), F.col("u") == F.col("r"), "left_semi").isEmpty():
+        # done once every node points at one other and no root points anywhere: every component is a star around its smallest node
+        several = edges.groupBy("u").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        if several.isEmpty() and edges.join(edges.select(F.col("v").alias("r")).distinct(), F.col("u") == F.col("r"), "left_semi").isEmpty():
             break
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.union(roots.select(F.col("root").alias("node"), "root").distinct())

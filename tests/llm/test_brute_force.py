@@ -176,3 +176,19 @@ def test_components_of_paths_and_hubs(spark):
     rnd.shuffle(links)
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 100 for i in range(100, 161)}, **{i: 500 for i in range(500, 540)}, 900: 900, 901: 900}
+
+
+def small_tree(seed):
+    rnd = random.Random(seed)
+    n = rnd.randrange(6, 9)
+    label = rnd.sample(range(1, 100), n)
+    return [(label[i], label[i - 1] if seed % 2 else label[rnd.randrange(i)]) for i in range(1, n)]
+
+
+@pytest.mark.parametrize("links", [[(5, 4), (4, 3), (3, 2), (5, 1)], *(small_tree(seed) for seed in (4, 13, 25, 28, 29, 30))])
+def test_components_of_a_single_small_tree(spark, links):
+    """Every tree is the only component: nothing else keeps the rounds going."""
+    from lifetide.llm.components import components
+    got = sorted(tuple(r) for r in components(spark.createDataFrame(links, "a long, b long")).collect())
+    nodes = {n for link in links for n in link}
+    assert got == sorted((n, min(nodes)) for n in nodes)
