@@ -4,18 +4,19 @@ From every sentence of every text a run of consecutive sentences starts: the
 shortest run of at least ``MIN_SENTENCES`` sentences and ``MIN_WORDS`` words (a
 sentence of ``LONG_SENTENCE`` words is a run by itself).  Runs are hashed over
 their words (A-Z lower-cased, blanks ignored) and met globally by hash.  Of
-equal runs, the first by (doc_id, position) stays; the sentences that any other
+equal runs, the first by (doc_id, hash of the text, position) stays; the sentences that any other
 one covers are removed from their texts.
 
-Only a hash, an id and two small numbers per sentence are shuffled.  Equal runs
+Only two hashes, an id and two small numbers per sentence are shuffled.  Equal runs
 are counted by a partial aggregate, so a run that a third of all documents hold
 is one row per map task; the join that finds its other places is one that
 Spark can split.  Texts move once, to meet what is to be cut out of them.
 
 Defined results: null and empty texts stay as they are, with 0 sentences; a
 text of too few words has no run and keeps all; a copy of an earlier text loses
-all its sentences that lie in runs; rows of one doc_id count as one document (equal
-rows do not remove each other); empty tables give empty results; extra
+all its sentences that lie in runs; rows equal in doc_id and text count as one
+document (they do not remove each other), rows of one doc_id (or of none) with
+different texts are documents of their own; empty tables give empty results; extra
 columns pass through (those named like the two counts are replaced).
 """
 
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from lifetide.llm.common import _P, _PINV, _powers, columns_but, flat, free_name, mix, pack, pieces, stage, words_of
+from lifetide.llm.common import _P, _PINV, _powers, columns_but, flat, free_name, mix, pack, pieces, stage, text_or_empty, words_of
 
 MIN_SENTENCES = 2
 MIN_WORDS = 16
@@ -120,22 +121,29 @@ def without(texts: pa.Array, cuts: pa.Array) -> pa.Array:
                                       names=["text", "n_sentences", "n_removed"])
 
 
+def _text_key():
+    """Tells the rows of one doc_id apart."""
+    return F.xxhash64(text_or_empty())
+
+
 def repeated_runs(docs: DataFrame) -> DataFrame:
-    """doc_id, pos, len of every run that equals an earlier one."""
-    runs = stage(docs.select("doc_id", F.explode(runs_of(F.coalesce("text", F.lit("")))).alias("r")).select("doc_id", "r.*"), "span-runs")
-    firsts = (runs.groupBy("h").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count(F.lit(1)).alias("n"))
+    """doc_id, key (of the text), pos, len of every run that equals an earlier one."""
+    runs = stage(docs.select("doc_id", _text_key().alias("key"), F.explode(runs_of(text_or_empty())).alias("r"))
+                 .select("doc_id", "key", "r.*"), "span-runs")
+    place = F.struct("doc_id", "key", "pos")
+    firsts = (runs.groupBy("h").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
               .filter(F.col("n") > 1).select(F.col("h").alias("_h"), "first"))
     return (runs.join(firsts, F.col("h") == F.col("_h"), "inner")
-            .filter(~F.struct("doc_id", "pos").eqNullSafe(F.col("first"))).select("doc_id", "pos", "len"))
+            .filter(~place.eqNullSafe(F.col("first"))).select("doc_id", "key", "pos", "len"))
 
 
 def dedup_spans(docs: DataFrame) -> DataFrame:
     """``docs`` with cleaned texts, n_sentences and n_removed."""
-    owner, cut, new = (free_name(docs, n) for n in ("_owner", "_cut", "_new"))
-    cuts = (repeated_runs(docs).groupBy(F.col("doc_id").alias(owner))
+    owner, key, cut, new = (free_name(docs, n) for n in ("_owner", "_key", "_cut", "_new"))
+    cuts = (repeated_runs(docs).groupBy(F.col("doc_id").alias(owner), F.col("key").alias(key))
             .agg(F.collect_set(F.col("pos").cast("long") * F.lit(1 << 32) + F.col("len")).alias(cut)))
-    joined = docs.join(cuts, F.col("doc_id").eqNullSafe(F.col(owner)), "left")
-    out = joined.withColumn(new, without(F.coalesce("text", F.lit("")), F.col(cut)))
+    joined = docs.join(cuts, F.col("doc_id").eqNullSafe(F.col(owner)) & (_text_key() == F.col(key)), "left")
+    out = joined.withColumn(new, without(text_or_empty(), F.col(cut)))
     cols = [F.when(F.col("text").isNotNull(), F.col(f"{new}.text")).alias("text") if c == "`text`" else F.col(c)
             for c in columns_but(docs, "n_sentences", "n_removed")]
     return out.select(*cols, f"{new}.n_sentences", f"{new}.n_removed")

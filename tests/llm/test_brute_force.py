@@ -192,3 +192,28 @@ def test_components_of_a_single_small_tree(spark, links):
     got = sorted(tuple(r) for r in components(spark.createDataFrame(links, "a long, b long")).collect())
     nodes = {n for link in links for n in link}
     assert got == sorted((n, min(nodes)) for n in nodes)
+
+
+def passage(name, n=9):
+    return " ".join(f"{name} word{i} of sentence{i} here." for i in range(n))
+
+
+def test_spans_of_rows_that_share_an_id(spark):
+    """Cuts of one row do not reach other rows of its id, or other rows without one."""
+    from lifetide.llm.spans import dedup_spans
+    a, b, c = passage("alpha"), passage("beta"), passage("gamma", 8)
+    rows = [(1, a), (None, "Short."), (None, b + " " + c), (None, ""), (None, None), (2, a + " " + c), (2, b), (2, "Tiny one. Two.")]
+    got = [(r["doc_id"], r["text"], r["n_sentences"], r["n_removed"]) for r in dedup_spans(frame(spark, rows)).collect()]
+    assert len(got) == len(rows)
+    # ids in order, rows without one first: every passage stays where it comes first
+    want = [(1, a, 9, 0), (None, "Short.", 1, 0), (None, b + " " + c, 17, 0), (None, "", 0, 0), (None, None, 0, 0),
+            (2, "", 17, 17), (2, "", 9, 9), (2, "Tiny one. Two.", 2, 0)]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_equal_rows_share_their_cuts(spark):
+    from lifetide.llm.spans import dedup_spans
+    a, b = passage("alpha"), passage("beta")
+    rows = [(1, a), (2, a + " " + b), (2, a + " " + b)]
+    got = sorted((r["doc_id"], r["text"], r["n_removed"]) for r in dedup_spans(frame(spark, rows)).collect())
+    assert got == [(1, a, 0), (2, b, 9), (2, b, 9)]
