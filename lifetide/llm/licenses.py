@@ -4,14 +4,16 @@ A text is brought to a canonical form: lower case, copyright lines dropped,
 punctuation and blanks collapsed, equivalent spellings unified.  Its digest is
 looked up among the digests of known licence texts by a hash join.  The unit of
 lookup is an entire text: of the document, of each of its blocks (between blank
-lines) and of each of its lines, so a file that is a licence, a licence pasted
-into a file and a one-line notice are all found by the same exact lookup.
+lines), of each run of up to ``MAX_BLOCKS`` blocks and of each of its lines, so a
+file that is a licence, a licence pasted into a file (with its blank lines or
+without) and a one-line notice are all found by the same exact lookup.
 
 The known texts are a fixed list, so their digests are broadcast.  Only texts
 with a trigger word that every known text contains are cut into units.
 
 Defined results: null, empty and licence-free texts get an empty list; a text
-that holds a licence twice lists it once and counts both units; repeated rows
+that holds a licence twice lists it once and counts both units (runs that end at
+one block, with a title and without, count once); repeated rows
 get a row each (rows of one doc_id share what was found under it); empty tables
 give empty results; extra columns are ignored.
 """
@@ -101,12 +103,16 @@ SPELLINGS = (
     (r"\bcreative commons attribution\b", "cc by"), (r"\bnon commercial\b", "nc"), (r"\bhttps\b", "http"),
 )
 TRIGGER = r"(?i)licen[cs]e|permi(?:ssion|tted)|rights reserved"
-COPYRIGHT_LINE = r"(^|\n)[^a-z0-9\n]*(?:copyright|©|\(c\) )[^\n]*"
+COPYRIGHT_LINE = r"(^|\n)[^a-z0-9\n]*(?:copyright|©|\(c\) )[^\n]*"      # of the SQL twin
+# Not the wrapped lines of a licence text ("copyright notice and this permission notice", "copyright holders be liable").
+NOTICE_LINE = (r"(^|\n)[^a-z0-9\n]*(?:copyright(?![a-z]|[^a-z0-9]+(?:notice|holder|owner|licen[cs]e|law|statement))|©|\(c\) )[^\n]*")
+MAX_BLOCKS = max(len(text.split("\n\n")) for _, text in KNOWN)
+MAX_CHARS = 2 * max(len(text) for _, text in KNOWN)      # no canonical known text is longer
 
 
 def canonical(text: Column) -> Column:
     """Canonical text with its line feeds."""
-    out = F.regexp_replace(F.regexp_replace(F.lower(text), r"\r\n?", "\n"), COPYRIGHT_LINE, "$1")
+    out = F.regexp_replace(F.regexp_replace(F.lower(text), r"\r\n?", "\n"), NOTICE_LINE, "$1")
     out = F.regexp_replace(out, r"[^\p{L}\p{N}\n]+", " ")
     for pattern, same in SPELLINGS:
         out = F.regexp_replace(out, pattern, same)
@@ -127,22 +133,38 @@ def known_digests(spark: SparkSession) -> DataFrame:
     return known.select(digest(flat(canonical(F.col("text")))).alias("_digest"), "license").distinct()
 
 
+def _units(kind: int, texts: Column) -> Column:
+    """Units with their place in the text: 3 * index + kind."""
+    return F.transform(texts, lambda b, i: F.struct(F.lit(False).alias("whole"), (i * 3 + kind).alias("place"), flat(b).alias("unit")))
+
+
+def _block_runs(blocks: Column) -> Column:
+    """Runs of 2 to ``MAX_BLOCKS`` blocks, with the place of their last block."""
+    def of(n: int) -> Column:
+        runs = F.transform(F.sequence(F.lit(n - 1), F.size(blocks) - 1), lambda last: F.struct(
+            F.lit(False).alias("whole"), (last * 3 + 2).alias("place"), F.array_join(F.slice(blocks, last - (n - 2), n), " ").alias("unit")))
+        return F.when(F.size(blocks) >= n, runs)
+    return F.flatten(F.filter(F.array(*map(of, range(2, MAX_BLOCKS + 1))), lambda r: r.isNotNull()))
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, licenses (sorted, comma-separated), n_units matched, whole_text: the licence that the whole text is."""
     docs = docs.select("doc_id", "text")
     text = canonical(text_or_empty())
     units = (docs.filter(F.col("text").rlike(TRIGGER))
-             .select("doc_id", text.alias("_c"))
-             .select("doc_id", F.explode(F.concat(
-                 F.array(F.struct(F.lit(True).alias("whole"), flat(F.col("_c")).alias("unit"))),
-                 F.transform(F.filter(F.split("_c", r"\n *\n"), lambda b: F.instr(F.trim(b), "\n") > 0),
-                             lambda b: F.struct(F.lit(False).alias("whole"), flat(b).alias("unit"))),
-                 F.transform(F.split("_c", "\n"), lambda b: F.struct(F.lit(False).alias("whole"), flat(b).alias("unit"))))).alias("_u")))
-    found = (units.select("doc_id", "_u.whole", digest(F.col("_u.unit")).alias("_digest"))
+             .select("doc_id", F.monotonically_increasing_id().alias("_row"), text.alias("_c"))
+             # a block that is longer than every known text is cut where it no longer matters
+             .withColumn("_b", F.filter(F.transform(F.split("_c", r"\n *\n"), lambda b: F.substring(flat(b), 1, MAX_CHARS)), lambda b: b != ""))
+             .select("doc_id", "_row", F.explode(F.concat(
+                 F.array(F.struct(F.lit(True).alias("whole"), F.lit(-1).alias("place"), flat(F.col("_c")).alias("unit"))),
+                 _units(0, F.filter(F.split("_c", r"\n *\n"), lambda b: F.instr(F.trim(b), "\n") > 0)),
+                 _units(1, F.split("_c", "\n")),
+                 _block_runs(F.col("_b")))).alias("_u")))
+    found = (units.select("doc_id", "_row", "_u.whole", "_u.place", digest(F.col("_u.unit")).alias("_digest"))
              .join(F.broadcast(known_digests(docs.sparkSession)), "_digest", "inner")
              .groupBy(F.col("doc_id").alias("_doc"))
              .agg(F.array_join(F.array_sort(F.collect_set("license")), ",").alias("licenses"),
-                  F.count_if(~F.col("whole")).alias("n_units"),
+                  F.count_distinct(F.when(~F.col("whole"), F.struct("_row", "place"))).alias("n_units"),
                   F.min(F.when(F.col("whole"), F.col("license"))).alias("whole_text")))
     return (docs.select("doc_id").join(found, F.col("doc_id") == F.col("_doc"), "left")
             .select("doc_id", F.coalesce("licenses", F.lit("")).alias("licenses"),

@@ -33,6 +33,44 @@ def test_license_variants(spark):
     assert [got[i]["whole_text"] for i in (1, 2, 3, 5)] == ["MIT", "MIT", None, "CC-BY-NC-4.0"]
 
 
+def wrapped(text, width=70, start=""):
+    import textwrap
+    return "\n".join((start + line).rstrip() for block in text.split("\n\n") for line in [*textwrap.wrap(block, width), ""]).rstrip()
+
+
+def test_pasted_texts_keep_their_blank_lines(spark):
+    from lifetide.llm.licenses import KNOWN, scan
+    full = [(name, text) for name, text in KNOWN if "\n\n" in text]
+    assert len(full) == 9
+    rows, want = [], {}
+    for i, (name, text) in enumerate(full):
+        rows += [(3 * i, "def f():\n    pass\n\n" + text + "\n\nmore code\n\nand more"),
+                 (3 * i + 1, "/*\n" + wrapped("Copyright (c) 2020 Some One\n\n" + text, 66, " * ") + "\n */\nint main;"),
+                 (3 * i + 2, "intro\n\n" + wrapped(text.replace("that the above copyright notice", "that the above\n\ncopyright notice")).replace(
+                     "that the above\n\ncopyright notice", "that the above\ncopyright notice") + "\n\nrest")]
+        want |= {3 * i: name, 3 * i + 1: name, 3 * i + 2: name}
+    got = {r["doc_id"]: r for r in scan(frame(spark, rows)).collect()}
+    assert {k: r["licenses"] for k, r in got.items()} == want
+    assert all(r["n_units"] == 1 and r["whole_text"] is None for r in got.values())
+
+
+def test_only_notices_are_dropped(spark):
+    from lifetide.llm.licenses import canonical, flat
+    keep = ["copyright notice and this permission notice appear in all copies.", "COPYRIGHT HOLDERS BE LIABLE FOR", "copyright owner or"]
+    drop = ["Copyright (c) 2020 Some One", " * Copyright 2020", "# copyright Some One", "© 2020 Some One", "(c) 2020 Some One"]
+    df = spark.createDataFrame(list(enumerate(keep + drop)), "i int, t string")
+    got = [r[0] for r in df.orderBy("i").select(flat(canonical(F.col("t")))).collect()]
+    assert all(got[:len(keep)]) and not any(got[len(keep):])
+
+
+def test_two_pasted_licences(spark):
+    from lifetide.llm.licenses import KNOWN, scan
+    known = {text: name for name, text in KNOWN}
+    mit, apache = (next(t for t, n in known.items() if n == name and "\n\n" in t) for name in ("MIT", "Apache-2.0"))
+    row = scan(frame(spark, [(1, "a\n\nMIT License\n\n" + mit + "\n\n" + apache + "\n\nb\n\n" + mit)])).first()
+    assert (row["licenses"], row["n_units"], row["whole_text"]) == ("Apache-2.0,MIT", 3, None)
+
+
 # ---------------------------------------------------------------- pseudonyms
 def luhn(s):
     return sum((d * 2 - 9 * (d > 4)) if i % 2 else d for i, d in enumerate(map(int, reversed(s)))) % 10 == 0
