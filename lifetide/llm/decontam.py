@@ -14,8 +14,14 @@ The document side streams past the windows of the benchmark when those fit
 under Spark's measured broadcast threshold; else both sides shuffle by window
 hash.  Only matching windows go on, so everything after the join is small.
 
-Defined results: null and empty texts, and texts or items of fewer than
-``WINDOW`` tokens, match nothing; rows with the same doc_id (or item_id) count
+Items of fewer than ``WINDOW`` template tokens have no such window.  They are
+found as they are written: the words, numbers and signs of the entire item must
+stand in a row in the document (case, blanks and other punctuation aside; a
+script without blanks counts by character).  Windows of up to ``WINDOW`` of
+these are joined by hash, and all of an item's must be found at one offset.
+
+Defined results: null and empty texts, texts of fewer than ``WINDOW`` tokens
+(but for shorter items), and items without a template token match nothing; rows with the same doc_id (or item_id) count
 as one document (item) if equal, and their windows are pooled if not; repeated
 rows add nothing; rows without an id cannot be reported (``clean`` keeps them);
 empty tables give empty results; extra columns are ignored.
@@ -23,6 +29,8 @@ empty tables give empty results; extra columns are ignored.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +52,9 @@ STEPS = (
     (r"(\d+(?:[.,]\d+)*)", " ǂnum⟦$1⟧ ", " ǂnum "),
 )
 TOKEN_MARKED = r"ǂ[a-z]+⟦[^⟧]*⟧|ǂ?\p{L}+"
+# Words, numbers and signs as they are written (for short items).
+_UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+PLAIN = rf"[{_UNSPACED}]|[\p{{L}}\p{{M}}&&[^{_UNSPACED}]]+|\d+(?:[.,]\d+)*|\p{{N}}|[$€£%°+*/=<>^×÷−-]"
 
 
 def template(text: Column, with_values: bool = False) -> Column:
@@ -74,6 +85,38 @@ def _values(df: DataFrame, id_col: str, prefix: str) -> DataFrame:
             .select(id_col, f"{prefix}pos", F.substring_index("_tok", "⟦", 1).alias(f"{prefix}type"), F.col("_tok").alias(f"{prefix}value")))
 
 
+def plain(text: Column) -> Column:
+    """Words, numbers and signs of a text, lower case."""
+    return F.regexp_extract_all(F.lower(text), F.lit(PLAIN), F.lit(0))
+
+
+def _plain_windows(df: DataFrame, sizes: list[int], *keep: str) -> DataFrame:
+    """One row per window of ``sizes`` words of ``_w``: position and hash."""
+    def of(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.size("_w") - (n - 1))
+        return F.when(F.size("_w") >= n, F.transform(starts, lambda i: F.struct((i - 1).alias("p"), F.xxhash64(F.slice("_w", i, n)).alias("h"))))
+    found = F.flatten(F.filter(F.array(*map(of, sizes)), lambda a: a.isNotNull()))
+    return df.select(*keep, F.explode(found).alias("_x")).select(*keep, "_x.p", "_x.h")
+
+
+def _short_items(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame | None:
+    """doc_id, item_id, item_tokens of every item of fewer than ``window`` template tokens that a document holds as it is written."""
+    short = (benchmark.select("item_id", F.size(tokens(text_or_empty())).alias("item_tokens"), plain(text_or_empty()).alias("_w"))
+             .filter((F.col("item_tokens") > 0) & (F.col("item_tokens") < window) & (F.size("_w") > 0)).distinct()
+             .withColumn("_size", F.least(F.size("_w"), F.lit(window))))
+    sizes = sorted(r[0] for r in short.select("_size").distinct().collect())      # at most ``window`` numbers
+    if not sizes:
+        return None
+    short = short.withColumns({"_item": F.xxhash64("_w"), "_all": F.size("_w") - F.col("_size") + 1})
+    keys = ("item_id", "_item", "item_tokens", "_all")
+    theirs = [_plain_windows(short.filter(F.col("_size") == n), [n], *keys) for n in sizes]
+    theirs = functools.reduce(DataFrame.union, theirs).withColumnRenamed("p", "_ip")
+    ours = _plain_windows(docs.select("doc_id", plain(text_or_empty()).alias("_w")), sizes, "doc_id")
+    return (ours.join(theirs, "h", "inner").groupBy("doc_id", *keys, (F.col("p") - F.col("_ip")).alias("_shift"))
+            .agg(F.count_distinct("_ip").alias("_hits")).filter("_hits = _all")
+            .groupBy("doc_id", "item_id").agg(F.max("item_tokens").cast("long").alias("item_tokens")))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                  min_coverage: float = MIN_COVERAGE) -> DataFrame:
     """One row per document and benchmark item found in it: doc_id, item_id, covered, item_tokens, coverage, exact."""
@@ -101,13 +144,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                     F.bool_and((F.col("_lo") == F.col("_ivalue")) & (F.col("_hi") == F.col("_ivalue"))).alias("_same")))
     kept = (covered.join(verdict, ["doc_id", "item_id", "_shift"], "left")
             .filter(F.coalesce("_consistent", F.lit(True))))
-    return (kept.groupBy("doc_id", "item_id", "_pos")
+    full = (kept.groupBy("doc_id", "item_id", "_pos")
             .agg(F.max("item_tokens").alias("item_tokens"), F.bool_or(F.coalesce("_same", F.lit(True))).alias("_same"))
             .groupBy("doc_id", "item_id")
             .agg(F.count(F.lit(1)).alias("covered"), F.max("item_tokens").cast("long").alias("item_tokens"), F.bool_and("_same").alias("exact"))
             .withColumn("coverage", F.col("covered") / F.col("item_tokens"))
             .filter(F.col("coverage") >= min_coverage)
             .select("doc_id", "item_id", "covered", "item_tokens", "coverage", "exact"))
+    short = _short_items(docs, benchmark, window)
+    if short is None:
+        return full
+    whole = short.select("doc_id", "item_id", F.col("item_tokens").alias("covered"), "item_tokens", F.lit(1.0).alias("coverage"), F.lit(True).alias("exact"))
+    # an item id may stand for a short and a long text: the better match is reported
+    best = F.max(F.struct("coverage", "covered", "item_tokens", "exact")).alias("_best")
+    return (full.union(whole).groupBy("doc_id", "item_id").agg(best)
+            .select("doc_id", "item_id", "_best.covered", "_best.item_tokens", "_best.coverage", "_best.exact"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:

@@ -155,6 +155,30 @@ def test_clean_keeps_the_rest(spark):
     assert out.columns == docs.columns and {r["doc_id"] for r in out.collect()} == {2, None}
 
 
+def test_short_items(spark):
+    items = ("What is the capital of France?", "What is 2 + 3?", "法国的首都是哪里？", "Name Five Great Cities Of The Old Roman Empire In Order",
+             "", "?!")
+    filler = "some other words that go on for a while without any end sign"
+    texts = [
+        f"{filler} What is the capital of France? {filler}",       # as it is, amid running text
+        f"{filler}. what is the\ncapital of FRANCE {filler}",      # case and blanks
+        f"{filler}. What is the capital of Spain? {filler}",       # another value
+        f"{filler}. What is 2 + 3? {filler}",
+        f"{filler}. What is 2 + 4? What is 2 - 3? {filler}",
+        "请问法国的首都是哪里呢",                               # no blanks around it
+        "请问英国的首都是哪里呢",
+        f"{filler} name five great cities of the old Roman empire in order {filler}",
+        f"{filler} name five great cities of the old Greek empire in order {filler}",
+        "What is the capital of", "", filler]
+    from lifetide.llm.decontam import clean, contaminated
+    bench = spark.createDataFrame([*enumerate(items, 1), (9, ITEM)], "item_id long, text string")
+    docs = frame(spark, [*enumerate(texts, 1), (99, f"{filler}. {ITEM}")])
+    got = {(r["doc_id"], r["item_id"]): r for r in contaminated(docs, bench).collect()}
+    assert set(got) == {(1, 1), (2, 1), (4, 2), (6, 3), (8, 4), (99, 9)}
+    assert all(r["coverage"] == 1 and r["exact"] and r["covered"] == r["item_tokens"] for k, r in got.items() if k[1] != 9)
+    assert {r["doc_id"] for r in clean(docs, bench).collect()} == {3, 5, 7, 9, 10, 11, 12}
+
+
 # ------------------------------------------------------------------ the mix
 def fill(sizes):
     """Plain water-filling: clamp, share the rest, until none is above its cap."""
