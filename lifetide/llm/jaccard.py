@@ -132,9 +132,10 @@ def set_key_of(texts: pa.Array) -> pa.Array:
 
 
 def signatures(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n, k1, k2, bits, prefix of every document (staged)."""
+    """doc_id, text_key (a hash that tells the rows of one doc_id apart), n, k1, k2, bits, prefix of every document (staged)."""
     run = _signature_udf(levels(docs), percent)
-    return stage(docs.select("doc_id", run(F.coalesce("text", F.lit(""))).alias("s")).select("doc_id", "s.*"), "signatures")
+    return stage(docs.select("doc_id", F.xxhash64("text").alias("text_key"), run(F.coalesce("text", F.lit(""))).alias("s"))
+                 .select("doc_id", "text_key", "s.*"), "signatures")
 
 
 # -------------------------------------------------------------------- tiles
@@ -368,11 +369,23 @@ class Texts:
 
 
 # --------------------------------------------------------------------- join
+def _first(doc_id: str, text_key: str):
+    """The smallest id with its text; rows without an id come last."""
+    return F.min(F.struct(F.col(doc_id).isNull(), F.col(doc_id).alias("id"), F.col(text_key).alias("key"))).alias("first")
+
+
 def join(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
+    return (_joined(docs, percent, block)
+            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
+
+
+def _joined(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+    """doc_id, text_key, n of every document; component_id and component_key are those of the first row of its component (none if n is 0)."""
     docs = docs.select("doc_id", "text")
     sigs = signatures(docs, percent)
-    classes = stage(sigs.filter("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), "classes")
+    classes = stage(sigs.filter("n > 0").groupBy("k1", "k2").agg(_first("doc_id", "text_key"))
+                    .select("k1", "k2", F.col("first.id").alias("rep"), F.col("first.key").alias("rep_key")), "classes")
     members = tile_members(sigs, percent, block)
     bits = node_bits(sigs, members, classes)
     texts = Texts(docs, classes)
@@ -384,26 +397,29 @@ def join(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFra
         comps = stage(components(known), "components")
 
     if comps is not None:
-        linked = comps.join(classes, F.col("node") == F.col("k1"), "inner").select("k1", "k2", "root", "rep")
-        low = linked.groupBy(F.col("root").alias("r")).agg(F.min("rep").alias("component_id"))
-        named = linked.join(low, F.col("root") == F.col("r"), "inner").select(F.col("k1").alias("c1"), F.col("k2").alias("c2"), "component_id")
+        linked = comps.join(classes, F.col("node") == F.col("k1"), "inner").select("k1", "k2", "root", "rep", "rep_key")
+        low = linked.groupBy(F.col("root").alias("r")).agg(_first("rep", "rep_key"))
+        named = linked.join(low, F.col("root") == F.col("r"), "inner").select(F.col("k1").alias("c1"), F.col("k2").alias("c2"), "first")
         classes = (classes.join(named, (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2")), "left")
-                   .select("k1", "k2", F.coalesce("component_id", "rep").alias("component_id")))
+                   .select("k1", "k2", F.when(F.col("first").isNull(), F.col("rep")).otherwise(F.col("first.id")).alias("component_id"),
+                           F.coalesce("first.key", "rep_key").alias("component_key")))
     else:
-        classes = classes.withColumnRenamed("rep", "component_id")
-    named = classes.select(F.col("k1").alias("c1"), F.col("k2").alias("c2"), "component_id")
-    return (sigs.select("doc_id", "n", "k1", "k2").join(named, (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2")), "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
+        classes = classes.withColumnsRenamed({"rep": "component_id", "rep_key": "component_key"})
+    named = classes.select(F.col("k1").alias("c1"), F.col("k2").alias("c2"), "component_id", "component_key")
+    return (sigs.select("doc_id", "text_key", "n", "k1", "k2").join(named, (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2")), "left")
+            .select("doc_id", "text_key", "n", "component_id", "component_key"))
 
 
 def keep_one(docs: DataFrame, **params) -> DataFrame:
-    """One document of each component (that of the smallest doc_id); all columns.  Of repeated rows one stays."""
-    ids = stage(join(docs, **params).select("doc_id", "component_id"), "jaccard-components")
-    key = free_name(docs, "_id")
-    again = F.col("doc_id").eqNullSafe(F.col(key))
-    gone = ids.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(key)).distinct()
+    """One document of each component (that of the smallest doc_id); all columns.  Of rows equal in doc_id and text one stays."""
+    ids = stage(_joined(docs, **params), "jaccard-components")
+    key, of = free_name(docs, "_id"), free_name(docs, "_text_key")
+    again = F.col("doc_id").eqNullSafe(F.col(key)) & (F.xxhash64("text") == F.col(of))
+    keys = ids.select(F.col("doc_id").alias(key), F.col("text_key").alias(of), "n", "component_id", "component_key")
+    first = F.col(key).eqNullSafe(F.col("component_id")) & (F.col(of) == F.col("component_key"))
+    gone = keys.filter((F.col("n") > 0) & ~first).select(key, of).distinct()
     kept = docs.join(gone, again, "left_anti")
-    twice = stage(ids.groupBy(F.col("doc_id").alias(key)).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(key), "repeated-ids")
+    twice = stage(keys.groupBy(key, of).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select(key, of), "repeated-ids")
     if not twice.isEmpty():
-        kept = kept.join(twice, again, "left_anti").union(kept.join(twice, again, "left_semi").dropDuplicates(["doc_id"]))
+        kept = kept.join(twice, again, "left_anti").union(kept.join(twice, again, "left_semi").dropDuplicates(["doc_id", "text"]))
     return kept.select(*columns_but(docs))

@@ -217,3 +217,16 @@ def test_equal_rows_share_their_cuts(spark):
     rows = [(1, a), (2, a + " " + b), (2, a + " " + b)]
     got = sorted((r["doc_id"], r["text"], r["n_removed"]) for r in dedup_spans(frame(spark, rows)).collect())
     assert got == [(1, a, 0), (2, b, 9), (2, b, 9)]
+
+
+def test_keep_one_decides_by_row(spark):
+    """Rows without an id, and rows of one id, are told apart by their texts."""
+    from lifetide.llm.jaccard import keep_one
+    text = [" ".join(f"t{k}w{i}" for i in range(30)) for k in range(6)]
+    rows = [(1, text[0]), (None, text[0]), (None, text[1]), (None, text[1]), (None, text[2]), (None, None), (None, ""),
+            (7, text[3]), (7, text[4]), (7, text[4]), (7, text[4].upper()), (8, text[4]), (9, text[5]), (9, text[0] + " more"), (3, text[5] + " end")]
+    got = sorted(((r["doc_id"], r["text"]) for r in keep_one(frame(spark, rows, extra=True)).collect()), key=repr)
+    seven = [r for r in got if r[0] == 7 and r[1].lower() == text[4]]
+    assert len(seven) == 1
+    want = [(1, text[0]), (None, text[1]), (None, text[2]), (None, None), (None, ""), (7, text[3]), *seven, (3, text[5] + " end")]
+    assert got == sorted(want, key=repr)
