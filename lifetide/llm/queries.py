@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators: whole tables, production parameters."""
+"""Registered queries of the operators: whole tables, production parameters."""
 
 from __future__ import annotations
 
@@ -75,3 +75,9 @@ def op4_sentence_spans(spark, base):
 def op1_ngram_jaccard(spark, base):
     from lifetide.llm.jaccard import join
     return join(table(spark, base, "documents"))
+
+
+@query
+def op13_spelling_variants(spark, base):
+    from lifetide.llm.variants import spelling_variants
+    return spelling_variants(table(spark, base, "documents"))
