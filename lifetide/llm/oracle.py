@@ -173,3 +173,15 @@ SELECT d.doc_id, coalesce(licenses, '') AS licenses, coalesce(n_units, 0) AS n_u
 
 ORACLE["op8_template_decontam"] = _decontam_sql()
 ORACLE["op3_license_scan"] = _license_sql()
+
+# every pair of vectors
+ORACLE["op11_maxscore_search"] = """
+WITH v AS (
+  SELECT DISTINCT vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS c FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+scored AS (
+  SELECT DISTINCT q.vec_id AS query_id, v.vec_id, coalesce(list_sum([coalesce(z[1] * z[2], 0) FOR z IN list_zip(q.c, v.c)]), 0)::BIGINT AS score
+  FROM v q JOIN v ON v.vec_id IS DISTINCT FROM q.vec_id WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id NULLS LAST)::INT AS rank, vec_id, score FROM scored)
+SELECT * FROM ranked WHERE rank <= 5
+"""

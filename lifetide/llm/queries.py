@@ -81,3 +81,9 @@ def op1_ngram_jaccard(spark, base):
 def op13_spelling_variants(spark, base):
     from lifetide.llm.variants import spelling_variants
     return spelling_variants(table(spark, base, "documents"))
+
+
+@query
+def op11_maxscore_search(spark, base):
+    from lifetide.llm.maxscore import search_vectors
+    return search_vectors(table(spark, base, "embeddings"))
