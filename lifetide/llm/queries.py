@@ -87,3 +87,9 @@ def op13_spelling_variants(spark, base):
 def op11_maxscore_search(spark, base):
     from lifetide.llm.maxscore import search_vectors
     return search_vectors(table(spark, base, "embeddings"))
+
+
+@query
+def op12_conversation_repair(spark, base):
+    from lifetide.llm.conversations import repair_conversations
+    return repair_conversations(table(spark, base, "conversations"))
