@@ -23,9 +23,9 @@ take no part; vectors of different length are compared as if the shorter one
 ended in zeros (so an empty vector scores 0 with all); equal rows count once;
 rows with the query's vec_id are its own and no candidates; several vectors of one
 vec_id are one query, whose best scores are returned; rows without vec_id are
-candidates, after the others in ties, but no queries; scores beyond 64 bits are
-returned as the largest or smallest long; empty tables give empty results; extra
-columns are ignored.
+candidates, after the others in ties, but no queries; scores beyond 64 bits count
+as the largest or smallest long; empty tables give empty results; extra columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -43,6 +43,7 @@ CELL = 1 << 22             # components of a shard, and of a block
 TILE = 1 << 18             # components of a tile
 PROBED = 8                 # non-essential terms probed at a time
 LEAST_SHARD = 1024         # vectors; smaller tables make fewer cells than there are cores
+LEAST, MOST = -2**63, 2**63 - 1
 
 PARTIAL = "query_id long, vec_id long, score long"
 _PARTIAL = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
@@ -103,10 +104,13 @@ class _Best:
 
     @property
     def threshold(self):
-        return self.rows[-1][0] if len(self.rows) == self.k else None
+        full = len(self.rows) == self.k and self.rows[-1][0] > LEAST
+        return self.rows[-1][0] if full else None
 
     def add(self, scores, null, ids):
         """Ranks what is found with what is there; equal rows count once."""
+        if scores.dtype == object:
+            scores = np.array([min(max(s, LEAST), MOST) for s in scores], object)
         if len(scores) > self.k:
             order = np.lexsort((ids, null, -scores))
             s, m, i = scores[order], null[order], ids[order]
@@ -189,8 +193,7 @@ def search_cell(queries: pa.Table, vectors: pa.Table, k: int) -> pa.Table:
                     at, score = at[other], score[other]
                 if len(at):
                     mine.add(score, null[at], ids[at])
-    least, most = -2**63, 2**63 - 1
-    rows = [(int(i), None if m else j, min(max(s, least), most)) for i, b in zip(asked.ids, best, strict=True) for s, m, j in b.rows]
+    rows = [(int(i), None if m else j, s) for i, b in zip(asked.ids, best, strict=True) for s, m, j in b.rows]
     return pa.table([pa.array([r[c] for r in rows], pa.int64()) for c in range(3)], schema=_PARTIAL)
 
 
