@@ -140,7 +140,7 @@ def signatures(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 # -------------------------------------------------------------------- tiles
 def tile_members(sigs: DataFrame, percent: int, block: int) -> DataFrame:
-    """Every set in every different tile: tile, blocks (of the tile), own, node, n, cell and cell_own (its home), at_home (staged).
+    """Every set in every different tile: tile, size and blocks (of the tile), own, node, n, cell and cell_own (its home), at_home (staged).
 
     All tables here grow with the corpus, so none is offered for broadcast.
     """
@@ -173,7 +173,7 @@ def tile_members(sigs: DataFrame, percent: int, block: int) -> DataFrame:
     homes = members.groupBy(F.col("node").alias("h")).agg(F.max(F.struct("size", "tile", "blocks", "own")).alias("home"))
     cell = F.xxhash64("home.tile", F.pmod(F.xxhash64("node"), F.col("home.blocks")))
     return stage(members.join(homes.hint("merge"), F.col("node") == F.col("h"), "inner")
-                 .select("tile", "blocks", "own", "node", "n", cell.alias("cell"), F.col("home.own").alias("cell_own"),
+                 .select("tile", "size", "blocks", "own", "node", "n", cell.alias("cell"), F.col("home.own").alias("cell_own"),
                          (F.col("tile") == F.col("home.tile")).alias("at_home")), "members")
 
 
@@ -339,11 +339,31 @@ def links_elsewhere(members: DataFrame, comps: DataFrame | None, bits: DataFrame
                                                             F.max("cell").alias("h_hi"), F.bool_and("cell_own").alias("all_own"))
              .filter("c_lo <> c_hi and (h_lo <> h_hi or not all_own)").select("m_tile"))
     rows = rows.join(mixed.hint("merge"), F.col("tile") == F.col("m_tile"), "left_semi")
-    side = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    # pairs of blocks (i <= j): a row meets its own block, those below and those above
-    rows = (rows.withColumn("side", side).withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .withColumns({"i": F.least("side", "_o"), "j": F.greatest("side", "_o"), "seen": F.lit(True)}).drop("_o", "blocks"))
-    return _exact(rows, bits, texts, percent)
+    return _exact(_blocks_that_meet(rows), bits, texts, percent)
+
+
+def _blocks_that_meet(rows: DataFrame) -> DataFrame:
+    """Rows once per pair of blocks (i <= j) that they take part in.
+
+    Sets of a tile's largest component need not meet each other, so it has blocks
+    of its own: the others' blocks meet all blocks, its blocks meet those only.  A
+    tile of N sets with m others makes about N * m / block + m * N / block rows.
+    """
+    # the largest component of tiles of several blocks (with one block, all meet in it)
+    large = (rows.filter("blocks > 1").groupBy("tile", "comp").agg(F.count(F.lit(1)).alias("c"))
+             .groupBy(F.col("tile").alias("c_tile")).agg(F.max(F.struct("c", "comp")).alias("most")))
+    rows = rows.join(large.hint("merge"), F.col("tile") == F.col("c_tile"), "left")
+    per_block = F.ceil(F.col("size") / F.col("blocks"))
+    many = F.coalesce("most.c", F.lit(0))
+    rows = (rows.withColumn("_own", F.when(F.col("blocks") == 1, 1).otherwise(F.ceil((F.col("size") - many) / per_block)).cast("int"))
+            .withColumn("_most", F.when(F.col("blocks") == 1, 0).otherwise(F.ceil(many / per_block)).cast("int"))
+            .withColumn("_apart", F.coalesce(F.col("comp") == F.col("most.comp"), F.lit(False))))
+    h = F.xxhash64("node")
+    side = F.when(F.col("_apart"), F.col("_own") + F.pmod(h, F.greatest("_most", F.lit(1)))).otherwise(F.pmod(h, F.greatest("_own", F.lit(1))))
+    meets = F.when(F.col("_apart"), F.col("_own")).otherwise(F.col("_own") + F.col("_most"))
+    return (rows.withColumn("side", side.cast("int")).withColumn("_o", F.explode(F.sequence(F.lit(0), meets - 1)))
+            .withColumns({"i": F.least("side", "_o"), "j": F.greatest("side", "_o"), "seen": F.lit(True)})
+            .drop("_o", "_own", "_most", "_apart", "most", "c_tile", "blocks", "size"))
 
 
 # ------------------------------------------------------------- exact checks

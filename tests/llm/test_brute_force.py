@@ -230,3 +230,25 @@ def test_keep_one_decides_by_row(spark):
     assert len(seven) == 1
     want = [(1, text[0]), (None, text[1]), (None, text[2]), (None, None), (None, ""), (7, text[3]), *seven, (3, text[5] + " end")]
     assert got == sorted(want, key=repr)
+
+
+def test_blocks_of_a_mixed_tile(spark):
+    """Sets of the largest component do not meet each other; every other pair meets in exactly one group."""
+    import collections
+
+    from lifetide.llm.jaccard import _blocks_that_meet
+    # tile, node, component: a large component with few others, two even halves, all apart, one block
+    rows = [(1, i, 0 if i < 960 else i) for i in range(1000)] + [(2, i, i % 2) for i in range(200)] + [(3, i, i) for i in range(60)] + [(4, i, i % 3) for i in range(9)]
+    sizes, blocks = {1: 1000, 2: 200, 3: 60, 4: 9}, {1: 10, 2: 4, 3: 3, 4: 1}
+    df = spark.createDataFrame([(t, sizes[t], blocks[t], n, c) for t, n, c in rows], "tile long, size long, blocks int, node long, comp long")
+    groups = collections.defaultdict(lambda: collections.defaultdict(list))
+    for r in _blocks_that_meet(df).collect():
+        groups[r["tile"], r["i"], r["j"]][r["side"]].append((r["node"], r["comp"]))
+    met = collections.Counter()
+    for (tile, i, j), sides in groups.items():
+        pairs = itertools.combinations(sides[i], 2) if i == j else itertools.product(sides[i], sides[j])
+        met.update((tile, *sorted((a[0], b[0]))) for a, b in pairs if a[1] != b[1])
+    for tile in sizes:
+        nodes = [(n, c) for t, n, c in rows if t == tile]
+        assert all(met[tile, a[0], b[0]] == 1 for a, b in itertools.combinations(nodes, 2) if a[1] != b[1])
+    assert sum(len(s) for (t, _, _), g in groups.items() if t == 1 for s in g.values()) < 2 * 1000
