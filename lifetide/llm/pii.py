@@ -15,6 +15,10 @@ valid number of the same shape.
          its day number within its 400-year Gregorian cycle (146,097 = 189 x 773 days)
 E-mail addresses and long hexadecimal secrets have no fixed domain to permute;
 they get a keyed digest (of the secret's own length), which links equal values as well.
+Of an address with more than 64 characters before the @, the last 64 count.
+
+The key is the setting ``spark.lifetide.pii.key`` unless one is passed; without
+either, pseudonyms are made with the key in this file, which anyone can reverse.
 
 The work is one narrow projection: no shuffle, no Python.  The text is cut at
 the matches of one pattern; gaps and replaced matches are joined again.
@@ -32,12 +36,14 @@ from pyspark.sql import functions as F
 
 from lifetide.llm.common import columns_but, free_name
 
-KEY = "lifetide-demo-key"      # production passes its own secret
+KEY = "lifetide-demo-key"      # for tests; production sets its own secret
+KEY_CONF = "spark.lifetide.pii.key"
 ROUNDS = 10
 
 # The shapes, in order of precedence.
 SHAPES = {
-    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    # 64 characters before the @ and 127 labels are the standard's limits; they also bound the matcher's work and depth
+    "email": r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){0,125}\.[A-Za-z]{2,}",
     "date": r"\b(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4})\b",
     "phone": r"(?:\+\d{1,2} )?\(\d{3}\) \d{3}-\d{4}\b|\b\d{3}-\d{3}-\d{4}\b",
     "ssn": r"\b\d{3}-\d{2}-\d{4}\b",
@@ -169,6 +175,10 @@ def _secret(x: Column, key: str) -> Column:
 _KINDS = {"email": _email, "date": _date, "phone": _phone, "ssn": _ssn, "ip": _ip, "card": _card, "secret": _secret}
 
 
+def session_key(spark) -> str:
+    return spark.conf.get(KEY_CONF, KEY)
+
+
 def pseudonym(x: Column, key: str = KEY) -> Column:
     """The pseudonym of one match of PATTERN (itself, if its value fails its check)."""
     out = None
@@ -178,8 +188,9 @@ def pseudonym(x: Column, key: str = KEY) -> Column:
     return out.otherwise(x)
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY, col: str = "text", count_col: str | None = "n_found") -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str | None = None, col: str = "text", count_col: str | None = "n_found") -> DataFrame:
     """``docs`` with ``col`` rewritten; ``count_col`` (if any): how many values were replaced."""
+    key = session_key(docs.sparkSession) if key is None else key
     text, old, made = F.col(col), free_name(docs, "_old"), free_name(docs, "_made")
     found = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)))
     new = F.transform(old, lambda x: pseudonym(x, key))
