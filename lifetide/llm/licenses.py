@@ -4,12 +4,13 @@ A text is brought to a canonical form: lower case, copyright lines dropped,
 punctuation and blanks collapsed, equivalent spellings unified.  Its digest is
 looked up among the digests of known licence texts by a hash join.  The unit of
 lookup is an entire text: of the document, of each of its blocks (between blank
-lines), of each run of up to ``MAX_BLOCKS`` blocks and of each of its lines, so a
+lines), of each run of up to as many blocks as the longest known text has and of each of its lines, so a
 file that is a licence, a licence pasted into a file (with its blank lines or
 without) and a one-line notice are all found by the same exact lookup.
 
-The known texts are a fixed list, so their digests are broadcast.  Only texts
-with a trigger word that every known text contains are cut into units.
+The known texts are a fixed list or a table; their digests are broadcast if there
+are at most ``BROADCAST_ROWS``.  With the fixed list, only texts with a trigger word
+are cut into units; every known text has one, unbroken, so none is lost.
 
 Defined results: null, empty and licence-free texts get an empty list; a text
 that holds a licence twice lists it once and counts both units (runs that end at
@@ -23,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lifetide.llm.common import text_or_empty
+from lifetide.llm.common import stage, text_or_empty
 
 # ---- Fixed values: known licence texts and notices (identifier, text). ----
 _GRANT_MIT = (
@@ -102,12 +103,15 @@ SPELLINGS = (
     (r"\bv (\d)", "version $1"), (r"\bcopyright (?:owner|holder)", "copyright holder"), (r"\bnon infringement\b", "noninfringement"),
     (r"\bcreative commons attribution\b", "cc by"), (r"\bnon commercial\b", "nc"), (r"\bhttps\b", "http"),
 )
-TRIGGER = r"(?i)licen[cs]e|permi(?:ssion|tted)|rights reserved"
-COPYRIGHT_LINE = r"(^|\n)[^a-z0-9\n]*(?:copyright|©|\(c\) )[^\n]*"      # of the SQL twin
+# Unbroken words of every known text, one of which each holds: the canonical form neither makes nor breaks words.
+TRIGGER = r"(?i)licen[cs]e|permi(?:ssion|tted)|reserved"
+BROADCAST_ROWS = 100_000   # digests (about 10 MB)
 # Not the wrapped lines of a licence text ("copyright notice and this permission notice", "copyright holders be liable").
 NOTICE_LINE = (r"(^|\n)[^a-z0-9\n]*(?:copyright(?![a-z]|[^a-z0-9]+(?:notice|holder|owner|licen[cs]e|law|statement))|©|\(c\) )[^\n]*")
-MAX_BLOCKS = max(len(text.split("\n\n")) for _, text in KNOWN)
-MAX_CHARS = 2 * max(len(text) for _, text in KNOWN)      # no canonical known text is longer
+
+def wrapped(pattern: str) -> str:
+    """``pattern`` whose blanks may be line ends (of a wrapped text)."""
+    return pattern.replace(" ", r"(?: ?\n ?| )")
 
 
 def canonical(text: Column) -> Column:
@@ -115,7 +119,7 @@ def canonical(text: Column) -> Column:
     out = F.regexp_replace(F.regexp_replace(F.lower(text), r"\r\n?", "\n"), NOTICE_LINE, "$1")
     out = F.regexp_replace(out, r"[^\p{L}\p{N}\n]+", " ")
     for pattern, same in SPELLINGS:
-        out = F.regexp_replace(out, pattern, same)
+        out = F.regexp_replace(out, wrapped(pattern), same)
     return out
 
 
@@ -127,10 +131,31 @@ def digest(flat_text: Column) -> Column:
     return F.sha2(flat_text, 256)
 
 
-def known_digests(spark: SparkSession) -> DataFrame:
-    """The fixed list as (digest, license)."""
-    known = spark.createDataFrame(list(KNOWN), "license string, text string")
-    return known.select(digest(flat(canonical(F.col("text")))).alias("_digest"), "license").distinct()
+def known_texts(spark: SparkSession) -> DataFrame:
+    """The fixed list as (license, text)."""
+    return spark.createDataFrame(list(KNOWN), "license string, text string")
+
+
+class Known:
+    """Digests of known texts, and how long a text can be that is one of them."""
+
+    def __init__(self, known: DataFrame):
+        body = canonical(text_or_empty())
+        rows = (known.select("license", body.alias("_c")).withColumn("_flat", flat(F.col("_c"))).filter("_flat <> ''")
+                .select("license", digest(F.col("_flat")).alias("_digest"), F.length("_flat").alias("_chars"), F.size(_blocks(F.col("_c"))).alias("_n")))
+        self.digests = stage(rows, "licences")
+        most = self.digests.agg(F.max("_n").alias("n"), F.max("_chars").alias("c"), F.count(F.lit(1)).alias("rows")).first()
+        self.blocks, self.chars, self.rows = most["n"] or 1, most["c"] or 0, most["rows"]
+
+    def table(self) -> DataFrame:
+        """(_digest, license); broadcast if few."""
+        out = self.digests.select("_digest", "license").distinct()
+        return F.broadcast(out) if self.rows <= BROADCAST_ROWS else out
+
+
+def _blocks(text: Column) -> Column:
+    """Canonical blocks between blank lines that hold a word."""
+    return F.filter(F.transform(F.split(text, r"\n *\n"), flat), lambda b: b != "")
 
 
 def _units(kind: int, texts: Column) -> Column:
@@ -138,30 +163,37 @@ def _units(kind: int, texts: Column) -> Column:
     return F.transform(texts, lambda b, i: F.struct(F.lit(False).alias("whole"), (i * 3 + kind).alias("place"), flat(b).alias("unit")))
 
 
-def _block_runs(blocks: Column) -> Column:
-    """Runs of 2 to ``MAX_BLOCKS`` blocks, with the place of their last block."""
+def _block_runs(blocks: Column, most: int) -> Column:
+    """Runs of 2 to ``most`` blocks, with the place of their last block."""
     def of(n: int) -> Column:
         runs = F.transform(F.sequence(F.lit(n - 1), F.size(blocks) - 1), lambda last: F.struct(
             F.lit(False).alias("whole"), (last * 3 + 2).alias("place"), F.array_join(F.slice(blocks, last - (n - 2), n), " ").alias("unit")))
         return F.when(F.size(blocks) >= n, runs)
-    return F.flatten(F.filter(F.array(*map(of, range(2, MAX_BLOCKS + 1))), lambda r: r.isNotNull()))
+    none = F.filter(F.transform(blocks, lambda b: F.struct(F.lit(False).alias("whole"), F.lit(0).alias("place"), b.alias("unit"))), lambda u: F.lit(False))
+    return F.flatten(F.filter(F.array(none, *map(of, range(2, most + 1))), lambda r: r.isNotNull()))
+
 
+def scan(docs: DataFrame, known: DataFrame | None = None, trigger: str | None = None) -> DataFrame:
+    """doc_id, licenses (sorted, comma-separated), n_units matched, whole_text: the licence that the whole text is.
 
-def scan(docs: DataFrame) -> DataFrame:
-    """doc_id, licenses (sorted, comma-separated), n_units matched, whole_text: the licence that the whole text is."""
+    ``known``: the known texts (license, text) in place of the fixed list; a
+    ``trigger`` pattern, of which every known text has a word, spares the others' cutting."""
     docs = docs.select("doc_id", "text")
+    if known is None:
+        known, trigger = known_texts(docs.sparkSession), TRIGGER
+    known = Known(known)
     text = canonical(text_or_empty())
-    units = (docs.filter(F.col("text").rlike(TRIGGER))
+    units = (docs.filter(F.col("text").rlike(trigger) if trigger else F.col("text").isNotNull())
              .select("doc_id", F.monotonically_increasing_id().alias("_row"), text.alias("_c"))
              # a block that is longer than every known text is cut where it no longer matters
-             .withColumn("_b", F.filter(F.transform(F.split("_c", r"\n *\n"), lambda b: F.substring(flat(b), 1, MAX_CHARS)), lambda b: b != ""))
+             .withColumn("_b", F.transform(_blocks(F.col("_c")), lambda b: F.substring(b, 1, known.chars + 1)))
              .select("doc_id", "_row", F.explode(F.concat(
                  F.array(F.struct(F.lit(True).alias("whole"), F.lit(-1).alias("place"), flat(F.col("_c")).alias("unit"))),
                  _units(0, F.filter(F.split("_c", r"\n *\n"), lambda b: F.instr(F.trim(b), "\n") > 0)),
                  _units(1, F.split("_c", "\n")),
-                 _block_runs(F.col("_b")))).alias("_u")))
+                 _block_runs(F.col("_b"), known.blocks))).alias("_u")))
     found = (units.select("doc_id", "_row", "_u.whole", "_u.place", digest(F.col("_u.unit")).alias("_digest"))
-             .join(F.broadcast(known_digests(docs.sparkSession)), "_digest", "inner")
+             .join(known.table(), "_digest", "inner")
              .groupBy(F.col("doc_id").alias("_doc"))
              .agg(F.array_join(F.array_sort(F.collect_set("license")), ",").alias("licenses"),
                   F.count_distinct(F.when(~F.col("whole"), F.struct("_row", "place"))).alias("n_units"),
