@@ -18,6 +18,8 @@ from lifetide.session import checkpoint_dir
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
+#: Spark's own switch: shuffle files go when the query that wrote them has ended
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, base: str, name: str) -> DataFrame:
@@ -29,7 +31,9 @@ def stage(df: DataFrame, what: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
     Cuts the lineage like ``checkpoint()`` but keeps the columns compressed and
-    prunable.  The application's staging folder is removed when it ends.
+    prunable.  Once written, the shuffle files of the job have no reader and go
+    (``CLEAN_SHUFFLES``).  ``release`` drops the table after its last reader; what
+    is left goes with the application.
     """
     spark = df.sparkSession
     root = checkpoint_dir(spark).rstrip("/") + f"/llm-{spark.sparkContext.applicationId}"
@@ -37,8 +41,23 @@ def stage(df: DataFrame, what: str) -> DataFrame:
     folder = jvm.org.apache.hadoop.fs.Path(root)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
     path = f"{root}/{what}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(CLEAN_SHUFFLES, "false")
+    spark.conf.set(CLEAN_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_SHUFFLES, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def release(*staged: DataFrame) -> None:
+    """Delete staged tables whose readers have all been staged themselves."""
+    for df in staged:
+        spark = df.sparkSession
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.staged_path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def free_name(df: DataFrame, name: str) -> str:

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lifetide.llm.common import stage
+from lifetide.llm.common import release, stage
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, root) of every node of ``links`` (a, b: long), root being the smallest node that it reaches.
+    """(node, root) of every node of ``links`` (a, b: long), root being the smallest node that it reaches (staged).
 
     Large-star and small-star steps alternate until all is stars: every step points the neighbours of a node at the smallest of them, so paths
     halve.  Minima are partial aggregates; a hub's many links are never
@@ -30,10 +30,13 @@ def components(links: DataFrame) -> DataFrame:
         joined = large.join(low, F.col("u") == F.col("m_u"))
         small = (joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(low.select(F.col("m_u").alias("u"), F.col("m").alias("v"))).filter("u <> v").distinct())
-        edges = stage(small.coalesce(parts), "small-star")
+        last, edges = edges, stage(small.coalesce(parts), "small-star")
+        release(last, large)
         # done once every node points at one other and no root points anywhere: every component is a star around its smallest node
         several = edges.groupBy("u").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         if several.isEmpty() and edges.join(edges.select(F.col("v").alias("r")).distinct(), F.col("u") == F.col("r"), "left_semi").isEmpty():
             break
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
+    found = stage(roots.union(roots.select(F.col("root").alias("node"), "root").distinct()), "components")
+    release(edges)
+    return found

@@ -31,6 +31,7 @@ component; an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from itertools import groupby
 
@@ -40,13 +41,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from lifetide.llm.common import columns_but, flat, free_name, mix, pieces, stage
+from lifetide.llm.common import columns_but, flat, free_name, mix, pieces, release, stage
 from lifetide.llm.components import components
 from lifetide.llm.shingles import CELL_BITS, bitmap, bitmap_bits, cells, fold, needed, overlap_bound, prefix_length, rank, shingle_hashes
 
 PERCENT = 80
 BLOCK = 1024               # sets of one tile that are compared in one piece ...
 BLOCK_SHINGLES = 2_000_000 # ... and about how many shingles they have in all
+PARTS = 3                  # the prefixes are shuffled a part at a time, which bounds the disk that holds them
 CELLS_PER_ROW = 1024
 _BAND = 1.2501             # a little over 100 / 80: linked sizes differ by one band at most
 
@@ -148,10 +150,15 @@ def tile_members(sigs: DataFrame, percent: int, block: int) -> DataFrame:
     tokens = (sigs.filter("prefix is not null").select(F.col("k1").alias("node"), "n", F.posexplode("prefix").alias("i", "token"))
               .select("token", "node", F.col("n").cast("int").alias("n"),
                       F.floor((100 + percent) * (F.col("n") - F.col("i")) / percent - F.col("n")).cast("int").alias("reach")))
-    shared = (tokens.groupBy(F.col("token").alias("t")).agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("low"))
-              .filter("c > 1").select("t", "low"))
-    shared = stage(tokens.join(shared.hint("merge"), F.col("token") == F.col("t"), "inner").filter("reach >= low")
-                   .select("token", "node", "n", "reach").distinct(), "shared")
+    # both shuffles of the prefixes hold a part of the shingles at a time; their files go before the next part's come
+    parts = []
+    for part in range(PARTS):
+        mine = tokens.filter(F.pmod("token", F.lit(PARTS)) == part)
+        twice = (mine.groupBy(F.col("token").alias("t")).agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("low"))
+                 .filter("c > 1").select("t", "low"))
+        parts.append(stage(mine.join(twice.hint("merge"), F.col("token") == F.col("t"), "inner").filter("reach >= low")
+                           .select("token", "node", "n", "reach").distinct(), "shared"))
+    shared = functools.reduce(DataFrame.union, parts)
     # shingles with the same sets are one tile: one shingle of each different group; of two sets, the smaller must reach the larger
     groups = (shared.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("node")).alias("x1"),
                                           F.bit_xor(F.xxhash64("node", F.lit(3))).alias("x2"),
@@ -162,6 +169,7 @@ def tile_members(sigs: DataFrame, percent: int, block: int) -> DataFrame:
                    .select("token", "node", "n", F.explode(F.array(F.struct(F.col("band").alias("band"), F.lit(True).alias("own")),
                                                                    F.struct((F.col("band") + 1).alias("band"), F.lit(False).alias("own")))).alias("p"))
                    .select(F.xxhash64("token", "p.band").alias("tile"), "p.own", "node", "n"), "placed")
+    release(*parts)
     # a tile of long texts is dealt in smaller blocks
     rows = F.least(F.lit(block), F.greatest(F.lit(16), F.lit(BLOCK_SHINGLES) / F.avg("n")))
     tiles = (placed.groupBy("tile").agg(F.count(F.lit(1)).alias("size"), F.count_if("own").alias("n_own"), rows.alias("rows"),
@@ -169,12 +177,15 @@ def tile_members(sigs: DataFrame, percent: int, block: int) -> DataFrame:
              .filter(f"size > 1 and (n_own > 1 or (n_own = 1 and 100 * high >= {percent} * low))").select(F.col("tile").alias("t"), "size", F.ceil(F.col("size") / F.col("rows")).cast("int").alias("blocks")))
     members = placed.join(tiles.hint("merge"), F.col("tile") == F.col("t"), "inner").select("tile", "size", "blocks", "own", "node", "n")
     members = stage(members, "tiles")
+    release(placed)
     # a set's home is its largest tile (one block of it); pairs of one home are looked at there
     homes = members.groupBy(F.col("node").alias("h")).agg(F.max(F.struct("size", "tile", "blocks", "own")).alias("home"))
     cell = F.xxhash64("home.tile", F.pmod(F.xxhash64("node"), F.col("home.blocks")))
-    return stage(members.join(homes.hint("merge"), F.col("node") == F.col("h"), "inner")
-                 .select("tile", "size", "blocks", "own", "node", "n", cell.alias("cell"), F.col("home.own").alias("cell_own"),
-                         (F.col("tile") == F.col("home.tile")).alias("at_home")), "members")
+    homed = stage(members.join(homes.hint("merge"), F.col("node") == F.col("h"), "inner")
+                  .select("tile", "size", "blocks", "own", "node", "n", cell.alias("cell"), F.col("home.own").alias("cell_own"),
+                          (F.col("tile") == F.col("home.tile")).alias("at_home")), "members")
+    release(members)
+    return homed
 
 
 def node_bits(sigs: DataFrame, members: DataFrame, classes: DataFrame) -> DataFrame:
@@ -313,8 +324,11 @@ def _exact(rows: DataFrame, bits: DataFrame, texts: Texts, percent: int) -> Data
     # the rows that go on leave their bitmaps behind: they are made again from the texts
     kinds = ", ".join(f"{name} {kind}" for name, kind, _ in _FIELDS)
     open_rows = stage(_dealt(rows).mapInArrow(_with_open_pair(percent), kinds), "open-rows")
-    with_text = open_rows.join(texts(open_rows.select("node")), F.col("node") == F.col("t_node"), "inner")
-    return stage(_dealt(with_text, "text").mapInArrow(_links_between(percent), _LINKS), "links")
+    reps = texts.representing(open_rows.select("node"))
+    with_text = open_rows.join(texts.of(reps), F.col("node") == F.col("t_node"), "inner")
+    links = stage(_dealt(with_text, "text").mapInArrow(_links_between(percent), _LINKS), "links")
+    release(open_rows, reps)
+    return links
 
 
 def links_at_home(members: DataFrame, bits: DataFrame, texts: Texts, percent: int) -> DataFrame:
@@ -334,12 +348,15 @@ def links_elsewhere(members: DataFrame, comps: DataFrame | None, bits: DataFrame
         label = comps.select(F.col("node").alias("l_node"), "root")
         rows = (rows.join(label.hint("merge"), F.col("node") == F.col("l_node"), "left")
                 .withColumn("comp", F.coalesce("root", "node")).drop("l_node", "root"))
-    rows = stage(rows, "labelled")
+    labelled = rows = stage(rows, "labelled")
     mixed = (rows.groupBy(F.col("tile").alias("m_tile")).agg(F.min("comp").alias("c_lo"), F.max("comp").alias("c_hi"), F.min("cell").alias("h_lo"),
                                                             F.max("cell").alias("h_hi"), F.bool_and("cell_own").alias("all_own"))
              .filter("c_lo <> c_hi and (h_lo <> h_hi or not all_own)").select("m_tile"))
     rows = rows.join(mixed.hint("merge"), F.col("tile") == F.col("m_tile"), "left_semi")
-    return _exact(_blocks_that_meet(rows), bits, texts, percent)
+    rows = _blocks_that_meet(rows)
+    links = _exact(rows, bits, texts, percent)
+    release(labelled)
+    return links
 
 
 def _blocks_that_meet(rows: DataFrame) -> DataFrame:
@@ -379,9 +396,12 @@ class Texts:
     def _rows_repeat(self) -> bool:
         return not self.docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
 
-    def __call__(self, nodes: DataFrame) -> DataFrame:
-        """(t_node, text) of the given nodes."""
-        reps = stage(representatives(nodes, self.classes), "text-nodes")
+    def representing(self, nodes: DataFrame) -> DataFrame:
+        """Who represents the given nodes (staged)."""
+        return stage(representatives(nodes, self.classes), "text-nodes")
+
+    def of(self, reps: DataFrame) -> DataFrame:
+        """(t_node, text) of the nodes that ``reps`` represent."""
         found = self.docs.join(reps, F.col("doc_id").eqNullSafe(F.col("rep")), "inner").select(F.col("_node").alias("t_node"), "text")
         if self.repeated:
             found = found.withColumn("_k", set_key_of("text")).filter("_k = t_node").drop("_k").dropDuplicates(["t_node"])
@@ -409,12 +429,18 @@ def _joined(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> Data
     members = tile_members(sigs, percent, block)
     bits = node_bits(sigs, members, classes)
     texts = Texts(docs, classes)
+    # from here on only the keys of the signatures have readers
+    whole, sigs = sigs, stage(sigs.select("doc_id", "text_key", "n", "k1", "k2"), "keys")
+    release(whole)
     found = links_at_home(members, bits, texts, percent)
-    comps = None if found.isEmpty() else stage(components(found), "components")
+    comps = None if found.isEmpty() else components(found)
+    release(found)
     last = links_elsewhere(members, comps, bits, texts, percent)
+    release(members, bits)
     if not last.isEmpty():
         known = last if comps is None else last.union(comps.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        comps = stage(components(known), "components")
+        comps = components(known)
+    release(last)
 
     if comps is not None:
         linked = comps.join(classes, F.col("node") == F.col("k1"), "inner").select("k1", "k2", "root", "rep", "rep_key")
