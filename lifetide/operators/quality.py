@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lifetide.functions import scalars as X
-from lifetide.operators.upsert import by_folder
 
 
 def pk_violations(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
@@ -113,11 +112,6 @@ def quarantine_rows(flagged: DataFrame, resource: str, as_of, root: str = "p") -
         X.ts_lit(as_of).alias("quarantined_at"))
 
 
-def write_quarantine(rows: DataFrame, path: str) -> None:
-    """Append to the quarantine table, one folder per resource."""
-    by_folder(rows, ["resource"]).write.mode("append").partitionBy("resource").parquet(path)
-
-
 def column_listing(df: DataFrame, spark: SparkSession, expected: T.StructType | None = None) -> DataFrame:
     """Column listing of a table (V1): name, type, nullable, and whether the
     canonical schema declares it.  Built from schema metadata only."""

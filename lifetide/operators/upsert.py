@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lifetide.operators.dedup import latest_by_updated, latest_non_null_per_key, latest_per_key  # noqa: F401
-from lifetide.schemas import STATUS_NEW, TABLES
+from lifetide.schemas import STATUS_NEW, STORED
 from lifetide.session import checkpoint_dir
 
 _PRESENT = "_src_present"
@@ -114,7 +114,7 @@ def bucket_of(key_col: str, n: int = N_BUCKETS) -> Column:
 
 def _stored_schema(name: str):
     from pyspark.sql import types as T
-    return T.StructType([*TABLES[name].fields, T.StructField(KEY_BUCKET, T.IntegerType(), True)])
+    return T.StructType([*STORED[name].fields, T.StructField(KEY_BUCKET, T.IntegerType(), True)])
 
 
 BUCKETS_CONF = "lifetide.upsert.buckets"
@@ -189,24 +189,37 @@ def staged(df: DataFrame):
         fs.delete(hpath, True)
 
 
+def _renamed(fs, old, new) -> None:
+    if not fs.rename(old, new):
+        raise OSError(f"cannot rename {old} to {new}")
+
+
 def rebucket(spark: SparkSession, path: str, name: str, n: int) -> None:
     """Change a table's bucket count (maintenance; no other writer may run):
-    the table is rewritten beside itself, then takes its own place."""
+    the table is rewritten beside itself, steps aside, and goes once the new
+    one has its place.  A failure leaves the old table, at its place or aside;
+    the next call puts it back first."""
     from lifetide.schemas import KEYS
-    beside = f"{path.rstrip('/')}-rebucket"
-    rows = read_or_empty(spark, path, name).withColumn(KEY_BUCKET, bucket_of(KEYS[name], n))
-    by_folder(rows, PARTITIONS).write.mode("overwrite").partitionBy(*PARTITIONS).parquet(beside)
-    spark.createDataFrame([(str(n),)], "value string").coalesce(1).write.mode("overwrite").text(f"{beside}/_lifetide_buckets")
     jvm = spark.sparkContext._jvm
-    old, new = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(beside)
+    old, new, aside = (jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + end) for end in ("", "-rebucket", "-aside"))
     fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(old, True)
-    fs.rename(new, old)
+    if fs.exists(aside):
+        if fs.exists(old):
+            fs.delete(aside, True)          # it failed after the new table had its place
+        else:
+            _renamed(fs, aside, old)
+    rows = read_or_empty(spark, path, name).withColumn(KEY_BUCKET, bucket_of(KEYS[name], n))
+    by_folder(rows, PARTITIONS).write.mode("overwrite").partitionBy(*PARTITIONS).parquet(new.toString())
+    spark.createDataFrame([(str(n),)], "value string").coalesce(1).write.mode("overwrite").text(f"{new}/_lifetide_buckets")
+    if fs.exists(old):
+        _renamed(fs, old, aside)
+    _renamed(fs, new, old)
+    fs.delete(aside, True)
 
 
 def conform(df: DataFrame, name: str) -> DataFrame:
     """Cast and order to the canonical schema; absent columns become NULL."""
-    schema = TABLES[name]
+    schema = STORED[name]
     return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None))
                        .cast(f.dataType).alias(f.name) for f in schema.fields])
 
@@ -224,8 +237,26 @@ def read_touched(spark: SparkSession, path: str, name: str, batch: DataFrame, ke
     semi join shuffles."""
     parts = batch.select("store_id", bucket_of(key, n).alias(KEY_BUCKET)).distinct().persist()
     parts.count()
-    return (read_or_empty(spark, path, name)
-            .join(parts.filter(F.col(KEY_BUCKET).between(0, n - 1)), PARTITIONS, "left_semi").drop(KEY_BUCKET))
+    out = (read_or_empty(spark, path, name)
+           .join(parts.filter(F.col(KEY_BUCKET).between(0, n - 1)), PARTITIONS, "left_semi").drop(KEY_BUCKET))
+    out.touched_parts = parts
+    return out
+
+
+def release(*touched: DataFrame) -> None:
+    """Let go of the touched sets behind frames of ``read_touched`` (after their last use)."""
+    for df in touched:
+        df.touched_parts.unpersist()
+
+
+def touched_rows(spark: SparkSession, path: str, name: str, keys: DataFrame) -> DataFrame:
+    """Stored rows of ``keys`` (store_id and the table's key), reading only the partitions they are in."""
+    from lifetide.schemas import KEYS
+    key = KEYS[name]
+    stored = read_touched(spark, path, name, keys, key, create_table(spark, path, name))
+    out = stored.join(keys.select("store_id", key).distinct(), ["store_id", key], "left_semi")
+    out.touched_parts = stored.touched_parts
+    return out
 
 
 def upsert_table(spark: SparkSession, path: str, name: str, batch: DataFrame,
@@ -251,6 +282,7 @@ def upsert_table(spark: SparkSession, path: str, name: str, batch: DataFrame,
         # staged, as the rows to append are found by reading the table itself
         with staged(conform(insert_if_absent(touched, src, keys), name)) as fresh:
             append(fresh, path, name)
+        release(touched)
         return
     if mode == "arrival":
         newest_first = [seq]
@@ -263,3 +295,4 @@ def upsert_table(spark: SparkSession, path: str, name: str, batch: DataFrame,
     with staged(conform(merged, name).withColumn(KEY_BUCKET, bucket_of(key, n))) as out:
         (by_folder(out, PARTITIONS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*PARTITIONS).parquet(path))
+    release(touched)

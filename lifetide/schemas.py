@@ -31,6 +31,7 @@ KEYS = {
     "abandoned_checkouts": "checkout_id",
     "refunds": "refund_id",
     "customer_metrics": "customer_id",
+    "customer_rollups": "customer_id",
 }
 
 # Customer status domain.
@@ -96,6 +97,15 @@ TABLES = {
     "customer_metrics": CUSTOMER_METRICS,
 }
 
+# What the stored orders, checkouts and refunds of a customer add up to.  Kept by
+# differences (operators/rollups.py); customers and customer_metrics are derived from it.
+CUSTOMER_ROLLUPS = _schema(
+    ("store_id", S), ("customer_id", S), ("n_orders", L), ("spent", MONEY), ("first_order_date", TS),
+    ("last_order_date", TS), ("checkouts", L), ("refunds", L), ("refunded", MONEY), ("updated_at", TS),
+)
+#: tables of the model, and the tables that keep its state
+STORED = {**TABLES, "customer_rollups": CUSTOMER_ROLLUPS}
+
 # ---------------------------------------------------------------------------
 # Nested payload schemas (input of the flatten operators).  Amounts and times
 # are text, ids are numbers, exactly as the shop API delivers them.
@@ -154,7 +164,11 @@ CORRUPT = "_corrupt"
 QUARANTINE = _schema(("resource", S), ("store_id", S), ("page", S), ("problem", S), ("payload", S), ("quarantined_at", TS))
 
 # What a sync did per store and table (K9, A10).
-LOAD_STATUS = _schema(("store_id", S), ("table_name", S), ("rows_loaded", L), ("rows_quarantined", L), ("success", B), ("synced_at", TS))
+LOAD_STATUS = _schema(("store_id", S), ("table_name", S), ("rows_loaded", L), ("rows_quarantined", L), ("success", B), ("error", S),
+                      ("synced_at", TS))
+
+# Landed pages that could not be read, to be tried again by the next sync (K9).
+HELD_PAGES = _schema(("store_id", S), ("page", S), ("error", S), ("since", TS))
 
 
 def empty(spark, name: str):

@@ -9,12 +9,13 @@ Each micro-batch is applied with ``foreachBatch``:
    fields (K6); a new customer gets status 'new'              (T1)
 3. order parts     -> inserted if absent, the items of a new order with it; an
    order that is stored stays as it is, its items too (K5)    (T1)
-4. customers of the new orders get their roll-up and status: the stored
-   roll-up plus the new orders' sums                          (T2)
+4. customers of the new orders get their roll-up, status and metrics by
+   differences (T2, operators/rollups.py); no order history is read
 
-Every step is idempotent by key.  The roll-up's results (not its increments)
-are staged before anything is written and read again on a replay of the same
-batch, so replaying a batch after a failure changes nothing (T3).  A file
+All of it is one run, named by the query's own id (kept in its checkpoint) and the
+batch, staged together and then published (operators/publish.py).  A batch that
+failed on the way is published by whoever writes next, another stream or a
+sync; a batch that comes again finds its orders stored and changes nothing (T3).  A file
 source with ``trigger(availableNow=True)`` and a checkpoint is the resumable
 cursor (T4).
 """
@@ -22,6 +23,8 @@ cursor (T4).
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,12 +32,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from lifetide.functions import scalars as X
 from lifetide.operators import flatten as P
-from lifetide.operators import metrics as M
 from lifetide.operators import quality as Q
+from lifetide.operators import rollups as R
 from lifetide.operators import upsert as U
-from lifetide.schemas import CHANGE_EVENT, CORRUPT, MONEY
-from lifetide.functions import scalars as X
+from lifetide.operators.publish import BY_RUN, Run, recover
+from lifetide.schemas import CHANGE_EVENT, CORRUPT, QUARANTINE
 
 
 @dataclass(frozen=True)
@@ -80,23 +84,19 @@ def now_utc() -> str:
     return dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
 
 
-def _set_aside(tables: Tables, rows: DataFrame) -> None:
-    if not rows.isEmpty():
-        Q.write_quarantine(rows, tables.path("quarantine"))
-
-
-def apply_batch(batch: DataFrame, tables: Tables, as_of, batch_id: int | None = None) -> None:
+def apply_batch(batch: DataFrame, tables: Tables, as_of, batch_id: int | None = None, stream: str = "frame") -> None:
     """Apply one micro-batch (or any static frame of change events).
 
-    ``batch_id`` names the batch across replays; without it a batch that
-    failed midway is not recognised when it comes again (one that succeeded is:
-    its orders are stored)."""
+    ``stream`` and ``batch_id`` name the batch across replays, so that what it set
+    aside is there once; without them a frame is a run of its own."""
     spark = batch.sparkSession
+    recover(spark, tables.root)
+    run = Run(spark, tables.root, f"{stream}-{uuid.uuid4().hex if batch_id is None else batch_id}")
     batch = batch.persist()
-    kept = [batch]
+    kept, aside = [batch], [spark.createDataFrame([], QUARANTINE)]
     try:
         if CORRUPT in batch.columns:
-            _set_aside(tables, batch.filter(F.col(CORRUPT).isNotNull()).select(
+            aside.append(batch.filter(F.col(CORRUPT).isNotNull()).select(
                 F.lit("events").alias("resource"), "store_id", F.lit(None).cast("string").alias("page"),
                 F.lit("unreadable").alias("problem"), F.col(CORRUPT).alias("payload"), X.ts_lit(as_of).alias("quarantined_at")))
             batch = batch.filter(F.col(CORRUPT).isNull())
@@ -104,84 +104,52 @@ def apply_batch(batch: DataFrame, tables: Tables, as_of, batch_id: int | None =
         def good(part: str, resource: str) -> DataFrame:
             flagged = Q.flag(batch.filter(F.col(part).isNotNull()).select("store_id", F.col(part).alias("p")), resource).persist()
             kept.append(flagged)
-            _set_aside(tables, Q.quarantine_rows(flagged, resource, as_of))
+            aside.append(Q.quarantine_rows(flagged, resource, as_of))
             return flagged.filter(~F.col("quarantined"))
 
         # Customer part first
-        flat_c = P.flatten_customers(good("customer", "customers"), defaults=False, strict=False) \
-            .withColumn("updated_at", F.coalesce("updated_at", X.ts_lit(as_of)))
-        if not flat_c.isEmpty():
-            U.upsert_table(spark, tables.path("customers"), "customers", flat_c,
-                           mode="keep_missing", newest_first=["updated_at"])
+        customers = run.stage("customers", P.flatten_customers(good("customer", "customers"), defaults=False, strict=False)
+                              .withColumn("updated_at", F.coalesce("updated_at", X.ts_lit(as_of))), "keep_missing")
         # Then the order part, insert-if-absent with the items of the new orders
         orders = good("order", "orders")
-        if orders.isEmpty():
-            return
-        n = U.create_table(spark, tables.path("orders"), "orders")
-        flat_o = P.flatten_orders(orders, strict=False)
-        stored = U.read_touched(spark, tables.path("orders"), "orders", flat_o, "order_id", n)
-        fresh = U.insert_if_absent(stored, U.latest_per_key(flat_o, ["store_id", "order_id"], ["updated_at"]), ["store_id", "order_id"])
-        with U.staged(fresh) as fresh:
-            update = _rolled_up(spark, tables, fresh, as_of, batch_id)
-            lines = Q.flag(P.line_items(orders).join(fresh.select("store_id", "order_id"), ["store_id", "order_id"], "left_semi"),
-                           "order_items", "li").persist()
-            kept.append(lines)
-            _set_aside(tables, Q.quarantine_rows(lines, "order_items", as_of, "li"))
-            items = P.flatten_items(lines.filter(~F.col("quarantined")), strict=False).withColumn("updated_at", F.col("created_at"))
-            # items, then the roll-up, then the orders: only stored orders make a batch done
-            U.upsert_table(spark, tables.path("order_items"), "order_items", items, mode="insert", newest_first=["updated_at"])
-            if not update.isEmpty():
-                U.upsert_table(spark, tables.path("customers"), "customers", update, newest_first=["updated_at"])
-            U.append(fresh, tables.path("orders"), "orders")
+        flat_o = U.latest_per_key(P.flatten_orders(orders, strict=False), ["store_id", "order_id"], ["updated_at"])
+        stored = U.touched_rows(spark, tables.path("orders"), "orders", flat_o)
+        fresh = run.scratch(U.insert_if_absent(stored, flat_o, ["store_id", "order_id"]))
+        U.release(stored)
+        lines = Q.flag(P.line_items(orders).join(fresh.select("store_id", "order_id"), ["store_id", "order_id"], "left_semi"),
+                       "order_items", "li").persist()
+        kept.append(lines)
+        aside.append(Q.quarantine_rows(lines, "order_items", as_of, "li"))
+        run.stage("order_items", P.flatten_items(lines.filter(~F.col("quarantined")), strict=False).withColumn("updated_at", F.col("created_at")), "insert")
+        run.stage("orders", fresh, "insert")
+        # The customers of the new orders
+        new = None
+        touched = fresh.select("store_id", "customer_id")
+        if not fresh.isEmpty():
+            none = fresh.limit(0)
+            changes = R.order_changes(none, fresh)
+            if U.table_exists(spark, tables.path("refunds")):
+                changes = changes.unionByName(R.refunds_that_move(none, fresh, U.read_or_empty(spark, tables.path("refunds"), "refunds")))
+            new = run.stage("customer_rollups", R.updated(run, tables.path("customer_rollups"), changes, None, as_of))
+        # a customer that already has orders keeps their count, whatever the shop's record says
+        R.stage_derived(run, touched.unionByName(customers.select("store_id", "customer_id")), new, customers, as_of)
+        run.stage("quarantine", _all(aside), BY_RUN)
+        run.commit()
     finally:
         for df in kept:
             df.unpersist()
 
 
-def _rolled_up(spark: SparkSession, tables: Tables, fresh: DataFrame, as_of, batch_id: int | None) -> DataFrame:
-    """New roll-up of the customers of the new orders (T2, A8): the stored one
-    plus the new orders.  Reads the touched customers' buckets only, never the
-    order history.  With a ``batch_id`` the result is kept for replays."""
-    path = tables.path(f"rollups/batch={batch_id}")
-    if batch_id is not None and U.table_exists(spark, f"{path}/_SUCCESS"):
-        return spark.read.parquet(path)
-    new = M.order_rollup(fresh).withColumnRenamed("first_order_date", "first_new").withColumnRenamed("last_order_date", "last_new")
-    cpath = tables.path("customers")
-    n = U.create_table(spark, cpath, "customers")
-    customers = (U.read_touched(spark, cpath, "customers", new, "customer_id", n)
-                 .select("store_id", "customer_id", "orders_count", "total_spent", "status", "first_order_date", "last_order_date"))
-    both = customers.join(new, ["store_id", "customer_id"], "inner")
-    # before its first order a customer's count and spend are what the shop's record says, not a roll-up
-    started = F.col("last_order_date").isNotNull()
-    last = F.greatest("last_order_date", "last_new")
-    update = both.select(
-        "store_id", "customer_id",
-        (F.when(started, F.coalesce("orders_count", F.lit(0))).otherwise(0) + F.col("n_orders")).cast("int").alias("orders_count"),
-        (F.when(started, F.coalesce("total_spent", F.lit(0).cast(MONEY))).otherwise(F.lit(0).cast(MONEY)) + F.col("spent")).cast(MONEY).alias("total_spent"),
-        F.least("first_order_date", "first_new").alias("first_order_date"), last.alias("last_order_date"),
-        X.status(last, as_of, F.col("status")).alias("status"), X.ts_lit(as_of).alias("updated_at"))
-    if batch_id is None:
-        return update.checkpoint(eager=True)
-    update.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
-def refresh_customers(spark: SparkSession, tables: Tables, touched: DataFrame, as_of) -> None:
-    """Recompute order roll-up and status of the touched customers from the
-    stored orders (A8): after a batch sync, and to repair or backfill."""
-    cpath = tables.path("customers")
-    # customers are bucketed by customer id: read only the touched buckets
-    stored = U.read_touched(spark, cpath, "customers", touched, "customer_id", U.create_table(spark, cpath, "customers"))
-    customers = stored.join(touched, ["store_id", "customer_id"], "left_semi")
-    orders = U.read_or_empty(spark, tables.path("orders"), "orders") \
-        .join(touched, ["store_id", "customer_id"], "left_semi")
-    st = M.customer_status(customers, orders, as_of)
-    update = st.select("store_id", "customer_id",
-                       F.col("orders_count").cast("int").alias("orders_count"),
-                       F.col("total_spent").cast(MONEY).alias("total_spent"),
-                       "first_order_date", "last_order_date", "status", X.ts_lit(as_of).alias("updated_at"))
-    if not update.isEmpty():
-        U.upsert_table(spark, cpath, "customers", update, newest_first=["updated_at"])
+def _all(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for df in frames[1:]:
+        out = out.unionByName(df)
+    return out
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the query that owns a checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
 
 
 def start(spark: SparkSession, source_dir: str, tables: Tables, checkpoint: str, as_of=None,
@@ -193,11 +161,14 @@ def start(spark: SparkSession, source_dir: str, tables: Tables, checkpoint: str,
     src = read_changes(spark, source_dir)
     if dedup_delay:
         src = dedupe_within(src, dedup_delay)
-    w = (src.writeStream
-         .foreachBatch(lambda df, batch_id: apply_batch(df, tables, as_of or now_utc(), batch_id))
+
+    def apply(df: DataFrame, batch_id: int) -> None:
+        apply_batch(df, tables, as_of or now_utc(), batch_id, stream_id(df.sparkSession, checkpoint))
+
+    w = (src.writeStream.foreachBatch(apply)
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
 
-__all__ = ["Tables", "read_changes", "dedupe_within", "apply_batch", "refresh_customers", "start"]
+__all__ = ["Tables", "read_changes", "dedupe_within", "apply_batch", "stream_id", "start"]
