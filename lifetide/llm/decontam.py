@@ -10,9 +10,11 @@ one value of the document throughout; occurrences that mix values are dropped.
 A document is contaminated by an item when the occurrences that stay cover at
 least ``MIN_COVERAGE`` of the item's tokens.
 
-The document side streams past the windows of the benchmark when those fit
-under Spark's measured broadcast threshold; else both sides shuffle by window
-hash.  Only matching windows go on, so everything after the join is small.
+The document side streams past the windows of the benchmark when those are at
+most ``STREAMED`` (counted first); else both sides shuffle by window hash.  A
+window brings the values of its placeholders along, so each text is read once
+and no text is shuffled; only matching windows go on, so everything after the
+join is small.
 
 Items of fewer than ``WINDOW`` template tokens have no such window.  They are
 found as they are written: the words, numbers and signs of the entire item must
@@ -38,6 +40,7 @@ from lifetide.llm.common import columns_but, stage, text_or_empty
 
 WINDOW = 8
 MIN_COVERAGE = 0.5
+STREAMED = 200_000         # windows of the benchmark that are broadcast (about 5 MB); more are shuffled
 
 # Units that may follow a number.
 UNITS = ("kg", "mg", "g", "km", "cm", "mm", "m", "ml", "l", "kmh", "mph", "miles", "mile", "feet", "inches", "pounds", "ounces",
@@ -48,13 +51,14 @@ _UNIT_WORDS = "|".join(sorted(UNITS, key=lambda u: (-len(u), u)))
 STEPS = (
     (rf"(\d) ?((?i:{_UNIT_WORDS}))\b", "$1 ǂunit⟦$2⟧ ", "$1 ǂunit "),
     (r"([$€£%°])", " ǂunit⟦$1⟧ ", " ǂunit "),
-    (r"([\p{L}\p{N},;:] )(\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*)", "$1ǂname⟦$2⟧ ", "$1ǂname "),
-    (r"(\d+(?:[.,]\d+)*)", " ǂnum⟦$1⟧ ", " ǂnum "),
+    (r"([\p{L}\p{N},;:] )(\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*+)", "$1ǂname⟦$2⟧ ", "$1ǂname "),
+    (r"(\d+(?:[.,]\d+)*+)", " ǂnum⟦$1⟧ ", " ǂnum "),
 )
+# (the groups are possessive: nothing follows them, and Java's matcher recurses once per repetition of any other)
 TOKEN_MARKED = r"ǂ[a-z]+⟦[^⟧]*⟧|ǂ?\p{L}+"
 # Words, numbers and signs as they are written (for short items).
 _UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
-PLAIN = rf"[{_UNSPACED}]|[\p{{L}}\p{{M}}&&[^{_UNSPACED}]]+|\d+(?:[.,]\d+)*|\p{{N}}|[$€£%°+*/=<>^×÷−-]"
+PLAIN = rf"[{_UNSPACED}]|[\p{{L}}\p{{M}}&&[^{_UNSPACED}]]+|\d+(?:[.,]\d+)*+|\p{{N}}|[$€£%°+*/=<>^×÷−-]"
 
 
 def template(text: Column, with_values: bool = False) -> Column:
@@ -70,19 +74,37 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(template(text), r"[^\p{L}]+"), lambda t: t != "")
 
 
+def marked_tokens(text: Column) -> Column:
+    """The same tokens, placeholders with the value that they replace."""
+    return F.regexp_extract_all(template(text, True), F.lit(TOKEN_MARKED), F.lit(0))
+
+
+def _type_of(token: Column) -> Column:
+    return F.substring_index(token, "⟦", 1)
+
+
 def _windows(df: DataFrame, id_col: str, window: int) -> DataFrame:
-    toks = df.select(F.col(id_col), tokens(text_or_empty()).alias("_t"))
-    hashes = F.when(F.size("_t") >= window, F.transform(
-        F.sequence(F.lit(1), F.size("_t") - (window - 1)), lambda i: F.xxhash64(F.slice("_t", i, window))))
-    return toks.select(id_col, F.size("_t").alias("_n"), F.posexplode(hashes).alias("_p", "_h"))
+    """One row per window: number of tokens, place, hash, and its placeholders ``_k`` (null where a word stands)."""
+    placeholder = F.transform("_m", lambda m: F.when(F.contains(m, F.lit("⟦")), m))
+    toks = (df.select(F.col(id_col), marked_tokens(text_or_empty()).alias("_m"))
+            .withColumns({"_t": F.transform("_m", _type_of), "_k": F.when(F.exists("_m", lambda m: F.contains(m, F.lit("⟦"))), placeholder)}).drop("_m"))
+    each = F.when(F.size("_t") >= window, F.transform(
+        F.sequence(F.lit(1), F.size("_t") - (window - 1)),
+        lambda i: F.struct(F.xxhash64(F.slice("_t", i, window)).alias("h"), F.slice("_k", i, window).alias("k"))))
+    return (toks.select(id_col, F.size("_t").alias("_n"), F.posexplode(each).alias("_p", "_w"))
+            .select(id_col, "_n", "_p", F.col("_w.h").alias("_h"), F.col("_w.k").alias("_k")))
+
+
+def _marks() -> Column:
+    """Placeholders of a window: place in the text, and the marked token."""
+    return F.filter(F.transform("_k", lambda m, i: F.struct((F.col("_p") + i).alias("pos"), m.alias("token"))), lambda s: s["token"].isNotNull())
 
 
-def _values(df: DataFrame, id_col: str, prefix: str) -> DataFrame:
-    """One row per placeholder: position, type, value."""
-    marked = F.regexp_extract_all(template(text_or_empty(), True), F.lit(TOKEN_MARKED), F.lit(0))
-    return (df.select(F.col(id_col), F.posexplode(marked).alias(f"{prefix}pos", "_tok"))
-            .filter(F.col("_tok").contains("⟦"))
-            .select(id_col, f"{prefix}pos", F.substring_index("_tok", "⟦", 1).alias(f"{prefix}type"), F.col("_tok").alias(f"{prefix}value")))
+def _values(rows: DataFrame, id_col: str, prefix: str) -> DataFrame:
+    """One row per placeholder of the windows in ``rows`` (with ``marks``): position, type, value."""
+    return (rows.select(F.col(id_col), F.explode("marks").alias("_k")).distinct()
+            .select(id_col, F.col("_k.pos").alias(f"{prefix}pos"), _type_of(F.col("_k.token")).alias(f"{prefix}type"),
+                    F.col("_k.token").alias(f"{prefix}value")))
 
 
 def plain(text: Column) -> Column:
@@ -122,16 +144,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     """One row per document and benchmark item found in it: doc_id, item_id, covered, item_tokens, coverage, exact."""
     docs = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "text")
     benchmark = benchmark.filter(F.col("item_id").isNotNull()).select("item_id", "text")
-    ours = _windows(docs, "doc_id", window).select("doc_id", F.col("_p").alias("_dp"), "_h")
-    theirs = (_windows(benchmark, "item_id", window)
-              .groupBy("item_id", F.col("_p").alias("_ip"), "_h").agg(F.max("_n").alias("item_tokens")))
-    hits = stage(ours.join(theirs, "_h", "inner").drop("_h").distinct(), "decontam-hits")
+    ours = _windows(docs, "doc_id", window)
+    items = stage(_windows(benchmark, "item_id", window).select("item_id", "_n", "_p", "_h", _marks().alias("marks")), "decontam-items")
+    theirs = items.groupBy("item_id", F.col("_p").alias("_ip"), "_h").agg(F.max("_n").alias("item_tokens"))
+    # the placeholders of a window go along: after the join, where the documents' side streams past a broadcast of known
+    # size; before it, where both sides are shuffled
+    if items.count() <= STREAMED:
+        found = ours.join(F.broadcast(theirs), "_h", "inner").withColumn("marks", _marks())
+    else:
+        found = ours.select("doc_id", "_p", "_h", _marks().alias("marks")).join(theirs, "_h", "inner")
+    hits = stage(found.select("doc_id", F.col("_p").alias("_dp"), "item_id", "_ip", "item_tokens", "marks").distinct(), "decontam-hits")
     # covered positions of each occurrence (document position = item position + shift)
     covered = (hits.select("doc_id", "item_id", "item_tokens", (F.col("_dp") - F.col("_ip")).alias("_shift"),
                            F.explode(F.sequence(F.col("_ip"), F.col("_ip") + (window - 1))).alias("_pos")).distinct())
-    found = hits.select("doc_id").distinct()
-    item_values = _values(benchmark, "item_id", "_i").distinct()
-    doc_values = _values(docs.join(found, "doc_id", "left_semi"), "doc_id", "_d").distinct()
+    item_values = _values(items, "item_id", "_i")
+    doc_values = _values(hits, "doc_id", "_d")
     slots = (covered.join(item_values, (covered["item_id"] == item_values["item_id"]) & (F.col("_pos") == F.col("_ipos")), "inner")
              .select("doc_id", covered["item_id"], "_shift", "_pos", "_itype", "_ivalue"))
     slots = (slots.join(doc_values.withColumnRenamed("doc_id", "_doc"),

@@ -111,16 +111,27 @@ def _re2(replacement: str) -> str:
     return replacement.replace("$", "\\")
 
 
+def _re2_pattern(pattern: str) -> str:
+    """Possessive groups as greedy ones (the same here, and this engine does not recurse)."""
+    return pattern.replace(")*+", ")*")
+
+
 def _template_sql(text: str, with_values: bool) -> str:
     from lifetide.llm.decontam import STEPS
     for pattern, marked, bare in STEPS:
-        text = f"regexp_replace({text}, '{pattern}', '{_re2(marked if with_values else bare)}', 'g')"
+        text = f"regexp_replace({text}, '{_re2_pattern(pattern)}', '{_re2(marked if with_values else bare)}', 'g')"
     return f"lower({text})"
 
 
+# scripts without blanks count by character
+_UNSPACED = r"\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}"
+_PLAIN = r"[\p{L}\p{M}]+|\d+(?:[.,]\d+)*|\p{N}|[$€£%°+*/=<>^×÷−-]"
+
+
 def _decontam_sql() -> str:
-    """Joins the windows' own words instead of hashes."""
+    """Joins the windows' own words instead of hashes; looks short items up as strings."""
     from lifetide.llm.decontam import MIN_COVERAGE, TOKEN_MARKED, WINDOW
+    plain = f"regexp_extract_all(regexp_replace(lower(coalesce(text, '')), '([{_UNSPACED}])', ' \\1 ', 'g'), '{_PLAIN}')"
     tok = "list_filter(string_split_regex({}, '[^\\p{{L}}]+'), lambda t: t <> '')".format(_template_sql("coalesce(text, '')", False))
     marked = f"regexp_extract_all({_template_sql("coalesce(text, '')", True)}, '{TOKEN_MARKED}')"
 
@@ -140,32 +151,57 @@ slots AS (SELECT c.doc_id, c.item_id, shift, iv.type, iv.v, min(dv.v) AS lo, max
   JOIN d_values dv ON c.doc_id = dv.doc_id AND c.pos + c.shift = dv.p AND iv.type = dv.type GROUP BY ALL),
 verdict AS (SELECT doc_id, item_id, shift, bool_and(lo = hi) AS consistent, bool_and(lo = v AND hi = v) AS same FROM slots GROUP BY ALL),
 kept AS (SELECT c.doc_id, c.item_id, pos, max(n) AS n, bool_or(coalesce(same, true)) AS same
-  FROM covered c LEFT JOIN verdict USING (doc_id, item_id, shift) WHERE coalesce(consistent, true) GROUP BY 1, 2, 3)
-SELECT doc_id, item_id, count(*) AS covered, max(n)::BIGINT AS item_tokens, count(*)::DOUBLE / max(n)::DOUBLE AS coverage, bool_and(same) AS exact
-FROM kept GROUP BY doc_id, item_id HAVING count(*)::DOUBLE / max(n)::DOUBLE >= {MIN_COVERAGE}
+  FROM covered c LEFT JOIN verdict USING (doc_id, item_id, shift) WHERE coalesce(consistent, true) GROUP BY 1, 2, 3),
+windowed AS (
+  SELECT doc_id, item_id, count(*) AS covered, max(n)::BIGINT AS item_tokens, count(*)::DOUBLE / max(n)::DOUBLE AS coverage, bool_and(same) AS exact
+  FROM kept GROUP BY doc_id, item_id HAVING count(*)::DOUBLE / max(n)::DOUBLE >= {MIN_COVERAGE}),
+short AS (
+  SELECT DISTINCT item_id, len({tok})::BIGINT AS n, '|' || array_to_string({plain}, '|') || '|' AS w FROM benchmark
+  WHERE item_id IS NOT NULL AND len({tok}) BETWEEN 1 AND {WINDOW - 1} AND len({plain}) > 0),
+written AS (
+  SELECT doc_id, '|' || array_to_string({plain}, '|') || '|' AS w FROM documents WHERE doc_id IS NOT NULL AND (SELECT count(*) FROM short) > 0),
+found AS (
+  SELECT * FROM windowed
+  UNION ALL SELECT doc_id, item_id, max(n), max(n), 1.0::DOUBLE, true FROM written d JOIN short s ON contains(d.w, s.w) GROUP BY doc_id, item_id),
+best AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY coverage DESC, covered DESC, item_tokens DESC, exact DESC) AS r FROM found)
+SELECT doc_id, item_id, covered, item_tokens, coverage, exact FROM best WHERE r = 1
 """
 
 
 def _license_sql() -> str:
     """Looks the canonical texts themselves up, in a list of values; no trigger words."""
-    from lifetide.llm.licenses import COPYRIGHT_LINE, KNOWN, SPELLINGS
+    from lifetide.llm.licenses import KNOWN, SPELLINGS, wrapped
+    kept = "zqkept"            # stands before lines that begin with "copyright" and are no notice
+    words = "notice|holder|owner|licen[cs]e|law|statement"
 
     def canon(text: str) -> str:
-        out = f"regexp_replace(regexp_replace(lower({text}), '\\r\\n?', chr(10), 'g'), '{COPYRIGHT_LINE}', '\\1', 'g')"
-        out = f"regexp_replace({out}, '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g')"
+        out = f"regexp_replace(lower({text}), '\\r\\n?', chr(10), 'g')"
+        out = f"regexp_replace({out}, '(^|\\n)([^a-z0-9\\n]*)copyright([a-z]|[^a-z0-9]+(?:{words}))', '\\1\\2{kept}copyright\\3', 'g')"
+        out = f"regexp_replace({out}, '(^|\\n)[^a-z0-9\\n]*(?:copyright|©|\\(c\\) )[^\\n]*', '\\1', 'g')"
+        out = f"regexp_replace(replace({out}, '{kept}copyright', 'copyright'), '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g')"
         for pattern, same in SPELLINGS:
-            out = f"regexp_replace({out}, '{pattern}', '{_re2(same)}', 'g')"
+            out = f"regexp_replace({out}, '{wrapped(pattern)}', '{_re2(same)}', 'g')"
         return out
 
     flat = "trim(regexp_replace({}, '[ \\n]+', ' ', 'g'))"
     values = ", ".join("('{}', '{}')".format(k, t.replace("'", "''")) for k, t in KNOWN)
+    blocks = f"list_filter([{flat.format('x')} FOR x IN string_split_regex(c, '\\n *\\n')], lambda x: x <> '')"
+    paragraphs = "list_filter(string_split_regex(c, '\\n *\\n'), lambda x: contains(trim(x), chr(10)))"
+    lines = "string_split(c, chr(10))"
     return f"""
 WITH known AS (SELECT DISTINCT license, {flat.format(canon("t"))} AS body FROM (VALUES {values}) v(license, t)),
+known_blocks AS (SELECT max(len({blocks})) AS most FROM (SELECT {canon("t")} AS c FROM (VALUES {values}) v(license, t))),
 docs AS (SELECT row_number() OVER () AS rid, doc_id, {canon("coalesce(text, '')")} AS c FROM documents),
-units AS (SELECT doc_id, true AS whole, {flat.format("c")} AS body FROM docs
-  UNION ALL SELECT doc_id, false, {flat.format("b")} FROM (SELECT doc_id, unnest(string_split_regex(c, '\\n *\\n')) AS b FROM docs) WHERE contains(trim(b), chr(10))
-  UNION ALL SELECT doc_id, false, {flat.format("b")} FROM (SELECT doc_id, unnest(string_split(c, chr(10))) AS b FROM docs)),
-found AS (SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses, count(*) FILTER (NOT whole) AS n_units,
+cut AS (SELECT rid, doc_id, {blocks} AS b FROM docs),
+ends AS (SELECT rid, doc_id, b, unnest(range(1, len(b) + 1)) AS e FROM cut),
+units AS (
+  SELECT rid, doc_id, true AS whole, -1 AS place, {flat.format("c")} AS body FROM docs
+  UNION ALL SELECT rid, doc_id, false, i * 3, {flat.format("p")} FROM (SELECT rid, doc_id, unnest({paragraphs}) AS p, generate_subscripts({paragraphs}, 1) AS i FROM docs)
+  UNION ALL SELECT rid, doc_id, false, i * 3 + 1, {flat.format("p")} FROM (SELECT rid, doc_id, unnest({lines}) AS p, generate_subscripts({lines}, 1) AS i FROM docs)
+  UNION ALL SELECT rid, doc_id, false, e * 3 + 2, array_to_string(b[e - n + 1:e], ' ')
+    FROM (SELECT *, unnest(range(2, least((SELECT most FROM known_blocks), e) + 1)) AS n FROM ends WHERE e > 1)),
+found AS (SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses, count(DISTINCT CASE WHEN NOT whole THEN (rid, place) END) AS n_units,
   min(CASE WHEN whole THEN license END) AS whole_text FROM units JOIN known USING (body) GROUP BY doc_id)
 SELECT d.doc_id, coalesce(licenses, '') AS licenses, coalesce(n_units, 0) AS n_units, whole_text FROM docs d LEFT JOIN found f USING (doc_id)
 """

@@ -218,3 +218,75 @@ def test_mix_against_plain_water_filling(spark, seed):
     for s in size:
         assert abs(target[s] - want[s]) < 1e-6 * max(1, want[s])
         assert abs(taken[s] - target[s]) <= 1
+
+
+# --------------------------------------------- texts that wear a matcher out
+def test_endless_runs(spark):
+    """100,000 capitalised words, numbers with 100,000 parts, a dotted chain of 100,000, blobs of 1 MB: no crash, whole results."""
+    from lifetide.llm import decontam, licenses, pii
+    blob = "".join(random.Random(3).choice("abcdefXYZ0123456789+._%-") for _ in range(1_000_000))
+    rows = [(1, "the " + "Word " * 100_000), (2, "x@" + "b." * 100_000), (3, blob), (4, "mail " + blob + "@example.org now"), (5, "1." * 100_000 + "1"),
+            (6, "x@" + "long" * 100_000 + ".com"), (7, "f" * 1_000_000), (8, "licence " + "Word " * 100_000), (9, "licence\n\n" * 20_000),
+            (10, "copyright " * 50_000), (11, "a@b.co " * 50_000), (12, "aB" * 300_000)]
+    docs = frame(spark, rows)
+    bench = spark.createDataFrame([(1, "the " + "Word " * 30 + "went to see some other people in town"), (2, "say 1,000.5 and Two Words"), (3, "zq")],
+                                  "item_id long, text string")
+    assert decontam.contaminated(docs, bench).count() == 0
+    assert len(decontam.clean(docs, bench).collect()) == len(rows)
+    made = {r["doc_id"]: r for r in pii.pseudonymise(docs).collect()}
+    assert [made[i]["n_found"] for i in (1, 2, 3, 4, 6, 11)] == [0, 0, 0, 1, 1, 50_000]
+    assert made[3]["text"] == blob and made[4]["text"].startswith("mail " + blob[:-64]) and made[4]["text"].endswith("@mail.invalid now")
+    assert {r["licenses"] for r in licenses.scan(docs).collect()} == {""}
+
+
+def test_every_spelling_of_a_canonical_text(spark):
+    """Whatever stands between the words of a known text, it is found."""
+    from lifetide.llm.licenses import KNOWN, scan
+    rnd = random.Random(9)
+    rows, want = [], {}
+    for name, text in KNOWN:
+        words = re.findall(r"[^\W_]+", text)
+        for gap in (" ", "  ", "-", "\n", " \n", "...", "_", "\t/ "):
+            made = "".join(w + gap for w in words)
+            made = "".join(c.upper() if rnd.random() < 0.3 else c for c in made)
+            if not re.search(r"(?im)^\W*copyright", made):
+                rows.append((len(rows), made))
+                want[rows[-1][0]] = name
+    rows.append((len(rows), "All rights\n(c) 2020 Some One\nreserved."))
+    want[rows[-1][0]] = "All-Rights-Reserved"
+    got = {r["doc_id"]: r["whole_text"] for r in scan(frame(spark, rows)).collect()}
+    assert {k: v for k, v in got.items() if v != want[k]} == {}
+
+
+def test_known_texts_from_a_table(spark):
+    from lifetide.llm.licenses import scan
+    known = spark.createDataFrame([("House", "Use it well.\n\nTell your friends.\n\nThat is all."), ("Tiny", "Take it!"), (None, "x y"), ("None", None)],
+                                  "license string, text string")
+    rows = [(1, "start\n\nUSE it -- well\n\ntell your\nfriends\n\nthat is all\n\nend"), (2, "take it"), (3, "take it away"), (4, None)]
+    got = {r["doc_id"]: (r["licenses"], r["whole_text"]) for r in scan(frame(spark, rows), known).collect()}
+    assert got == {1: ("House", None), 2: ("Tiny", "Tiny"), 3: ("", None), 4: ("", None)}
+
+
+def test_key_of_the_session(spark):
+    from lifetide.llm import pii
+    df = frame(spark, [(1, "call 123-555-7713")])
+    plain = pii.pseudonymise(df).first()["text"]
+    spark.conf.set(pii.KEY_CONF, "another key")
+    try:
+        assert pii.pseudonymise(df).first()["text"] not in (plain, "call 123-555-7713")
+        assert pii.pseudonymise(df, key=pii.KEY).first()["text"] == plain
+    finally:
+        spark.conf.unset(pii.KEY_CONF)
+
+
+def test_shuffled_windows_give_the_same(spark, monkeypatch):
+    """A benchmark too large to broadcast: both sides shuffled."""
+    from lifetide.llm import decontam
+    rnd = random.Random(6)
+    words = ["alpha", "beta", "gamma", "Delta", "Omega", "seven", "12", "3.5 kg", "$", "and", "the", "of"]
+    texts = [" ".join(rnd.choice(words) for _ in range(40)) for _ in range(40)]
+    docs = frame(spark, [(i, texts[i] + " tail " + texts[(i * 7) % 40][:90]) for i in range(30)])
+    bench = spark.createDataFrame(list(enumerate(texts[10:])), "item_id long, text string")
+    want = sorted(map(tuple, decontam.contaminated(docs, bench).collect()))
+    monkeypatch.setattr(decontam, "STREAMED", 0)
+    assert want and sorted(map(tuple, decontam.contaminated(docs, bench).collect())) == want
