@@ -20,6 +20,10 @@ DEFAULT_CURRENCY = "USD"
 DEFAULT_CUSTOMER_STATE = "enabled"
 
 
+# The member of an order's payload that makes it a later page of the order's items (inside a text its quotes are escaped).
+LATER_PAGE = r'"line_page"\s*:\s*"?0*[1-9]'
+
+
 def parse(df: DataFrame, schema: T.StructType, col: str = "payload") -> DataFrame:
     """Add the parsed payload as struct column ``p`` (explicit schema, no
     inference).  Malformed JSON yields a NULL ``p`` (PERMISSIVE mode) which
@@ -97,7 +101,11 @@ def flatten_orders(df: DataFrame, strict: bool = True) -> DataFrame:
     list is empty or absent; order_number falls back to the display name.
     An order whose items take several payloads is the row of the first one,
     which states the count; the others are for ``explode_line_items`` only."""
-    df = parse(df, ORDER_PAYLOAD).filter(F.coalesce(_p("line_page"), F.lit(0)) == 0)
+    if "p" in df.columns:
+        df = df.filter(F.coalesce(_p("line_page"), F.lit(0)) == 0)
+    else:
+        # told from the text: a filter on the parsed record is pushed below the parse and parses every record again
+        df = parse(df.filter(~F.coalesce(F.col("payload").rlike(LATER_PAGE), F.lit(False))), ORDER_PAYLOAD)
     created = X.iso_utc(_p("created_at"))
     return df.select(
         _store(df).alias("store_id"),
@@ -143,9 +151,10 @@ def flatten_orders(df: DataFrame, strict: bool = True) -> DataFrame:
 ITEM_ORDER_FIELDS = ("id", "created_at", "line_items")
 
 
-def line_items(df: DataFrame) -> DataFrame:
+def line_items(df: DataFrame, where: Column | None = None) -> DataFrame:
     """One row per line item as a struct ``li``, with store, order id and the
-    order's created_at (P3).  Inner explode: an order without items yields no row."""
+    order's created_at (P3).  Inner explode: an order without items yields no row,
+    nor does one for which ``where`` does not hold."""
     df = parse(df, T.StructType([ORDER_PAYLOAD[f] for f in ITEM_ORDER_FIELDS]))
     # explode_outer + filter instead of explode: for a plain explode the
     # optimizer infers "size(line_items) > 0" and pushes it below the parse,
@@ -154,7 +163,7 @@ def line_items(df: DataFrame) -> DataFrame:
     return df.select(_store(df).alias("store_id"),
                      _p("id").cast("string").alias("order_id"),
                      X.iso_utc(_p("created_at")).alias("created_at"), *extra,
-                     F.explode_outer(_p("line_items")).alias("li")) \
+                     F.explode_outer(_p("line_items") if where is None else F.when(where, _p("line_items"))).alias("li")) \
         .filter(F.col("li").isNotNull())
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,18 +76,31 @@ TIME_FIELDS = {
 }
 
 
+def _checks(record: Column, resource: str) -> list[tuple[Column, str]]:
+    """What can be wrong with a record (a struct), and the name of the problem."""
+    # text that cannot be parsed gives a record of NULLs (PERMISSIVE mode)
+    unreadable = record.isNull() | (record["id"].isNull() & (F.to_json(record) == "{}"))
+    checks = [(unreadable, "unreadable"), (~unreadable & record["id"].isNull(), "id")]
+    checks += [(~X.money_is_valid(record[f]), f) for f in MONEY_FIELDS[resource]]
+    return checks + [(record[f].isNotNull() & X.iso_utc(record[f]).isNull(), f) for f in TIME_FIELDS[resource]]
+
+
 def flag(parsed: DataFrame, resource: str, root: str = "p") -> DataFrame:
     """Add ``problem`` and ``quarantined`` (K9): an unreadable record, a missing
     id, junk money or an unreadable time in any field that is stored.  Such a
-    row is set aside instead of failing the job or losing the field."""
-    p = lambda f: F.col(f"{root}.{f}")
-    # text that cannot be parsed gives a record of NULLs (PERMISSIVE mode)
-    unreadable = F.col(root).isNull() | (p("id").isNull() & (F.to_json(root) == "{}"))
-    checks = [(unreadable, "unreadable"), (~unreadable & p("id").isNull(), "id")]
-    checks += [(~X.money_is_valid(p(f)), f) for f in MONEY_FIELDS[resource]]
-    checks += [(p(f).isNotNull() & X.iso_utc(p(f)).isNull(), f) for f in TIME_FIELDS[resource]]
-    text = F.concat_ws(",", *[F.when(bad, F.lit(name)) for bad, name in checks])
-    return parsed.withColumn("problem", F.nullif(text, F.lit(""))).withColumn("quarantined", F.col("problem").isNotNull())
+    row is set aside instead of failing the job or losing the field.
+
+    A filter on ``quarantined`` right after a parse makes the optimizer copy every
+    check, and the parse with it, into the filter; keep the flag as a column up to an aggregate or a write, or use ``line_items(where=)``."""
+    text = F.concat_ws(",", *[F.when(bad, F.lit(name)) for bad, name in _checks(F.col(root), resource)])
+    return (parsed.withColumn("problem", text).withColumn("quarantined", F.col("problem") != "")
+            .withColumn("problem", F.when(F.col("quarantined"), F.col("problem"))))
+
+
+def is_bad(record: Column, resource: str) -> Column:
+    """Whether a record (a struct, say an element of an array) has any problem."""
+    bad = [F.coalesce(c, F.lit(False)) for c, _ in _checks(record, resource)]
+    return reduce(lambda a, b: a | b, bad)
 
 
 def load_status(flagged: DataFrame, table_name: str, counted=None) -> DataFrame:

@@ -132,12 +132,6 @@ def minutes_to_abandon(spark, base):
                     X.minutes_between("created_at", "abandoned_at", "elapsed").alias("minutes_elapsed"))
 
 
-@query("store_status")
-def store_status(spark, base):
-    b = _b(spark, base)
-    return R.store_status(b.customers(), b.orders())
-
-
 @query("order_refunds")
 def order_refunds(spark, base):
     b = _b(spark, base)

@@ -249,6 +249,9 @@ def incremental_since_id(spark, base):
 
 
 # ------------------------------------------------------ stores
+JUNK_EVERY = 4999          # every order whose key this divides is malformed in the feed
+
+
 @query("unknown_stores")
 def unknown_stores(spark, base):
     b = Bridge(spark, base)
@@ -260,20 +263,48 @@ def unknown_stores(spark, base):
     return Q.unknown_stores(requests, b.customers())
 
 
+@query("store_status")
+def store_status(spark, base):
+    """Counts and state of every store of the registry: 'error' where the last load of the order feed set rows aside (A10)."""
+    from lifetide.operators import reports as R
+    b = Bridge(spark, base)
+    r = b.raw("region", ["r_regionkey"])
+    registry = r.select(store_of("r_regionkey").alias("store_id")).unionByName(
+        r.select(F.concat(F.lit("store_"), (F.col("r_regionkey") + 3).cast("string")).alias("store_id")))
+    feed = PL.order_payloads(b, with_lines=False, junk_every=JUNK_EVERY, fields=("id", "total_price", "created_at"))
+    loaded = Q.load_status(Q.flag(P.parse(feed, ORDER_PAYLOAD), "orders"), "orders")
+    return R.store_status(b.customers(), b.orders(), registry, loaded)
+
+
 @query("store_load_status")
 def store_load_status(spark, base):
     """Every resource's rows per store, loaded and set aside, from the feeds (K9)."""
     b = Bridge(spark, base)
-    orders = Q.flag(P.parse(PL.order_payloads(b, junk_every=4999), ORDER_PAYLOAD), "orders")
-    items = Q.flag(P.line_items(orders.filter(~F.col("quarantined"))), "order_items", "li")
+    orders = Q.flag(P.parse(PL.order_payloads(b, junk_every=JUNK_EVERY), ORDER_PAYLOAD), "orders")
     customers = Q.flag(P.parse(PL.customer_payloads(b), CUSTOMER_PAYLOAD), "customers")
     checkouts = Q.flag(P.parse(PL.checkout_payloads(b), CHECKOUT_PAYLOAD), "abandoned_checkouts")
-    return (Q.load_status(orders, "orders", F.coalesce(F.col("p.line_page"), F.lit(0)) == 0)
-            .unionByName(Q.load_status(items, "order_items"))
+    return (_orders_and_items(orders)
             .unionByName(Q.load_status(customers, "customers"))
             .unionByName(Q.load_status(checkouts, "abandoned_checkouts", F.col("p.completed_at").isNull())))
 
 
+def _orders_and_items(flagged: DataFrame) -> DataFrame:
+    """Load status of orders and of the items of the good ones, from one pass over the order feed."""
+    bad = F.col("quarantined")
+    items = F.when(~bad, F.col("p.line_items"))
+    aside = F.size(F.filter(items, lambda li: Q.is_bad(li, "order_items")))
+    n = lambda c: F.coalesce(c, F.lit(0)).cast("long")
+    head = F.coalesce(F.col("p.line_page"), F.lit(0)) == 0
+    per_order = flagged.select("store_id", F.array(
+        F.struct(F.lit("orders").alias("table_name"), (~bad & head).cast("long").alias("loaded"), bad.cast("long").alias("aside")),
+        F.struct(F.lit("order_items").alias("table_name"), n(F.size(items) - aside).alias("loaded"), n(aside).alias("aside"))).alias("fates"))
+    # (outer: for a plain explode the optimizer filters on the size of the array, with every check and parse in that filter)
+    fate = per_order.select("store_id", F.explode_outer("fates").alias("f")).select("store_id", "f.*")
+    return (fate.groupBy("store_id", "table_name").agg(F.sum("loaded").alias("rows_loaded"), F.sum("aside").alias("rows_quarantined"))
+            .filter("table_name <> 'order_items' or rows_loaded + rows_quarantined > 0")
+            .withColumn("success", F.col("rows_quarantined") == 0))
+
+
 # ------------------------------------------------------ refunds (S4), stored metrics
 @query("flatten_refunds")
 def flatten_refunds(spark, base):

@@ -31,6 +31,7 @@ from lifetide.operators import rollups as R
 from lifetide.operators import upsert as U
 from lifetide.operators.publish import BY_RUN, WHOLE, Run, read_by_run, recover
 from lifetide.schemas import HELD_PAGES, KEYS, LOAD_STATUS, TABLES
+from lifetide.sources import incremental as I
 from lifetide.sources import landed as L
 from lifetide.streaming.changes import Tables
 
@@ -175,7 +176,7 @@ def _apply_pages(spark: SparkSession, landing: str, tables: Tables, resource: st
     after = _latest(run, resource, flagged, as_of)
     if resource == "orders":
         # the items of the good orders; each item is checked on its own
-        lines = run.scratch(Q.flag(P.line_items(flagged.filter(~F.col("quarantined"))), "order_items", "li"))
+        lines = run.scratch(Q.flag(P.line_items(flagged, ~F.col("quarantined")), "order_items", "li"))
         _latest(run, "order_items", lines, as_of)
         aside.append(Q.quarantine_rows(lines, "order_items", as_of, "li"))
         status.append(Q.load_status(lines, "order_items"))
@@ -266,6 +267,35 @@ def _all(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
+def sync_exports(spark: SparkSession, exports: str, tables: Tables, as_of, days: int = X.DEFAULT_LOOKBACK_DAYS) -> dict[str, int]:
+    """Take over what is new in exported tables (S2, S3, A14): ``<exports>/<resource>.parquet`` with the canonical columns and numeric ids.
+
+    The stored marks and the lookback window bound the scan; a late change inside
+    the window is taken, an unchanged row is not.  The rows, the roll-ups and the moved marks are one run.
+    Returns rows taken by resource."""
+    recover(spark, tables.root)
+    taken = {}
+    for resource in ORDER:
+        path, key = f"{exports.rstrip('/')}/{resource}.parquet", KEYS[resource]
+        if not U.table_exists(spark, path):
+            continue
+        run = Run(spark, tables.root, f"export-{resource}-{as_of}")
+        marks = I.read_marks(spark, tables.root, resource)
+        read = run.scratch(I.read_window(spark.read.parquet(path), marks, key, as_of, days))
+        batch = U.conform(read, resource)
+        stored = U.touched_rows(spark, tables.path(resource), resource, batch)
+        fresh = run.scratch(U.latest_per_key(I.changed_only(batch, stored, ["store_id", key]), ["store_id", key], ["updated_at"])
+                            if "updated_at" in batch.columns else U.insert_if_absent(stored, batch.dropDuplicates(["store_id", key]), ["store_id", key]))
+        U.release(stored)
+        taken[resource] = fresh.count()
+        after = run.stage(resource, P.stamp(fresh, as_of), newest_first="ingestion_timestamp")
+        _roll_up(run, tables, resource, after, as_of)
+        moved = I.advance(marks, read, key).select("store_id", F.col("since_id").cast("long").alias("since_id"))
+        run.stage(f"marks/resource={resource}", moved, WHOLE)
+        run.commit()
+    return taken
+
+
 def customer_metrics_rows(profile: DataFrame, as_of) -> DataFrame:
     """A profile as rows of the customer_metrics table (without predictions)."""
     return (profile.withColumn("refund_rate", X.guarded_ratio("total_refunded", "total_spent"))

@@ -78,6 +78,36 @@ def read_new(df: DataFrame, root: str, resource: str, id_col: str) -> DataFrame:
     return since(df, id_col, read_marks(df.sparkSession, root, resource))
 
 
+def read_window(df: DataFrame, marks: DataFrame | None, id_col: str, as_of, days: int = X.DEFAULT_LOOKBACK_DAYS,
+                ts_col: str = "updated_at") -> DataFrame:
+    """Rows above their store's mark, and rows changed in the ``days`` before ``as_of`` whatever their id (S2 with S3).
+
+    The lowest mark and the start of the window go into the scan as one filter
+    (row groups below both are skipped); each store's own mark is compared after
+    it.  A store without a mark is read whole, so its name is part of the filter.
+    Marks are one row per store."""
+    if marks is None:
+        return df
+    known = marks.filter("since_id is not null").select("store_id", "since_id")
+    rows = known.collect()
+    if not rows:
+        return df
+    numeric = df.schema[id_col].dataType.typeName() in ("long", "integer")
+    own = F.col(id_col) if numeric else id_number(id_col)
+    late = F.col(ts_col) >= X.lookback_start(as_of, days)
+    unmarked = F.col("store_id").isNull() | ~F.col("store_id").isin([r["store_id"] for r in rows])
+    scanned = df.filter((own > F.lit(min(r["since_id"] for r in rows))) | late | unmarked)
+    marked = scanned.join(known, "store_id", "left")
+    return marked.filter(F.col("since_id").isNull() | (own > F.col("since_id")) | late).drop("since_id")
+
+
+def changed_only(batch: DataFrame, stored: DataFrame, keys: list[str], ts_col: str = "updated_at") -> DataFrame:
+    """Rows of ``batch`` that are not stored yet, or are newer than what is stored: the window is read again, no row is taken twice."""
+    old = stored.select(*keys, F.col(ts_col).alias("_stored_at"), F.lit(True).alias("_stored"))
+    newer = F.col("_stored").isNull() | (F.col(ts_col) > F.col("_stored_at")) | (F.col(ts_col).isNotNull() & F.col("_stored_at").isNull())
+    return batch.join(old, keys, "left").filter(newer).drop("_stored_at", "_stored")
+
+
 def mark_read(batch: DataFrame, root: str, resource: str, id_col: str) -> None:
     """Move the stored marks on to the batch's highest ids (T4)."""
     save_marks(advance(read_marks(batch.sparkSession, root, resource), batch, id_col), root, resource)

@@ -73,3 +73,12 @@ def test_shuffles_are_sized_by_the_input(spark):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "7"      # a choice stays
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+@pytest.mark.parametrize("name,parses", [("flatten_orders", 1), ("money_parse", 1), ("iso_timestamps", 1), ("explode_line_items", 1), ("store_load_status", 3),
+                                         ("store_status", 1), ("flatten_customers", 1), ("flatten_checkouts", 1), ("flatten_refunds", 1)])
+def test_every_record_is_parsed_once(spark, name, parses):
+    """No optimiser rule copies a JSON parse into a filter or a second projection."""
+    plan = get_queries()[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan()
+    lines = [line for line in plan.toString().split("\n") if "from_json(" in line]
+    assert len(lines) == parses and not any(line.lstrip(" :+-").startswith("Filter") for line in lines)
