@@ -12,14 +12,14 @@ without four characters in a row in common are unlike (0), others score
 1 - d / (sum of lengths), d being the edit distance by insertions and deletions.
 
 The next document of the query (descending doc_id, after the last the first) is
-found without a global window: documents are cut into ranges of ids at
-quantiles, and each range also gets the first document of the range that
+found without a global window: documents are cut into ranges of ids (bounds by a
+range partitioning of the ids alone), and each range also gets the first document of the range that
 follows it.  One shuffle moves every text once; each range is then streamed in
 order, with only two batches in memory.
 
 Defined results: a null text counts as empty; its fingerprint is ``3::``, which
 is like another empty one (1) and unlike all else (0); rows of one doc_id are
-ordered by text, a null doc_id comes last; a single document is its own next;
+ordered by text, rows without one come last, by the hash of their text; a single document is its own next;
 an empty table gives an empty result; extra columns are ignored.
 """
 
@@ -40,6 +40,7 @@ CONTEXT = 7                # bytes of the rolling hash
 COMMON = 4                 # characters in a row that like signatures share
 ALPHABET = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)
 RANGES_PER_PARTITION = 4
+ROWS_PER_RANGE = 10_000    # so many rows without an id are one range
 _GAP = b"\0" * CONTEXT
 _ROLL = (PolyHash.TABLE >> np.uint64(32)).astype(np.uint32)
 _ROLL[0] = 0               # the gap between texts adds nothing
@@ -164,32 +165,52 @@ def likeness(a: list[str], b: list[str]) -> np.ndarray:
 
 
 # ------------------------------------------------------------------- query
-def with_follower(docs: DataFrame, ranges: int) -> DataFrame:
-    """doc_id, text, _part, _halo: every row in its range of ids, and the first row of the range that follows.
+def _bounds(values: DataFrame, ranges: int) -> list[float]:
+    """Where ``ranges`` ranges of the numbers ``v`` begin: the tops of a range partitioning of them, one number per range."""
+    if ranges < 2:
+        return []
+    parts = values.repartitionByRange(ranges, "v").groupBy(F.spark_partition_id().alias("p")).agg(F.max("v").cast("double").alias("top"))
+    return sorted({r["top"] for r in parts.collect()})[:-1]
 
-    The ranges' bounds and tops (a few numbers per range) go through the driver; no text and no per-row value does.
-    """
+
+def _range_of(bounds: list[float]):
+    """A column: the range of number ``_v`` (as a double)."""
     from pyspark.ml.feature import Bucketizer
 
+    if not bounds:
+        return lambda df: df.withColumn("_part", F.lit(0))
+    # a bound is the top of its range, so the next one begins just above it
+    splits = [float("-inf"), *sorted({float(np.nextafter(b, np.inf)) for b in bounds}), float("inf")]
+    return lambda df: (Bucketizer(splits=splits, inputCol="_r", outputCol="_b").transform(df.withColumn("_r", F.col("_v").cast("double")))
+                       .withColumn("_part", F.col("_b").cast("int")).drop("_b", "_r"))
+
+
+def with_follower(docs: DataFrame, ranges: int) -> DataFrame:
+    """doc_id, text, _v, _part, _halo: every row in its range, and the first row of the range that follows.
+
+    Ranges are of ids, and of hashes of the text for rows without an id (which come
+    after all ids), so neither is one task's work.  The ranges' bounds and tops (a
+    few numbers per range) go through the driver; no text and no per-row value does.
+    """
     docs = docs.select("doc_id", text_or_empty().alias("text"))
-    rank = F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf")))
-    bounds = sorted(set(docs.select(rank.alias("_r")).approxQuantile("_r", [i / ranges for i in range(1, ranges)], 0.2 / ranges))) if ranges > 1 else []
-    bounds = [b for b in bounds if abs(b) != float("inf")]
-    cut = docs.withColumn("_r", rank)
-    if bounds:
-        cut = Bucketizer(splits=[float("-inf"), *bounds, float("inf")], inputCol="_r", outputCol="_b").transform(cut)
-    else:
-        cut = cut.withColumn("_b", F.lit(0.0))
-    cut = cut.withColumn("_part", F.col("_b").cast("int")).drop("_b", "_r")
-    tops = sorted(((r["_part"], r["top"]) for r in cut.groupBy("_part").agg(F.max("doc_id").alias("top")).collect()), reverse=True)
+    docs = docs.withColumn("_v", F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")))
+    named, nameless = F.col("doc_id").isNotNull(), F.col("doc_id").isNull()
+    n_nameless = docs.filter(nameless).count()
+    below = _bounds(docs.filter(nameless).select(F.col("_v").alias("v")), ranges if n_nameless > ROWS_PER_RANGE else 1)
+    above = _bounds(docs.filter(named).select(F.col("_v").alias("v")), ranges)
+    # rows without an id have the lowest ranges: the order is from the highest range down
+    cut = _range_of(above)(docs.filter(named)).withColumn("_part", F.col("_part") + F.lit(len(below) + 1))
+    if n_nameless:
+        cut = _range_of(below)(docs.filter(nameless)).unionByName(cut)
+    tops = sorted(((r["_part"], r["top"]) for r in cut.groupBy("_part").agg(F.max("_v").alias("top")).collect()), reverse=True)
     # the first row of a range follows the last row of the range above; the first of all follows the last of all
     rows = [(part, top, tops[i - 1][0]) for i, (part, top) in enumerate(tops)]
     after = docs.sparkSession.createDataFrame(rows, "_p int, _top long, _to int")     # one row per range: bounded by their number
     own = F.struct(F.col("_part"), F.lit(False).alias("_halo"))
     also = F.struct(F.col("_to").alias("_part"), F.lit(True).alias("_halo"))
     spread = (cut.join(F.broadcast(after), F.col("_part") == F.col("_p"), "inner")
-              .withColumn("_place", F.explode(F.when(F.col("doc_id").eqNullSafe(F.col("_top")), F.array(own, also)).otherwise(F.array(own)))))
-    return spread.select("doc_id", "text", "_place._part", "_place._halo")
+              .withColumn("_place", F.explode(F.when(F.col("_v") == F.col("_top"), F.array(own, also)).otherwise(F.array(own)))))
+    return spread.select("doc_id", "text", "_v", "_place._part", "_place._halo")
 
 
 SCHEMA = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
@@ -237,5 +258,5 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = with_follower(docs, partitions * RANGES_PER_PARTITION)
     ordered = (placed.repartition(partitions, "_part")
-               .sortWithinPartitions("_part", "_halo", F.col("doc_id").desc_nulls_last(), "text"))
-    return ordered.mapInArrow(_compare, SCHEMA)
+               .sortWithinPartitions("_part", "_halo", F.col("_v").desc(), "text"))
+    return ordered.drop("_v").mapInArrow(_compare, SCHEMA)

@@ -8,6 +8,8 @@ import re
 import pytest
 from conftest_llm import frame
 
+from pyspark.sql import functions as F
+
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -252,3 +254,15 @@ def test_blocks_of_a_mixed_tile(spark):
         nodes = [(n, c) for t, n, c in rows if t == tile]
         assert all(met[tile, a[0], b[0]] == 1 for a, b in itertools.combinations(nodes, 2) if a[1] != b[1])
     assert sum(len(s) for (t, _, _), g in groups.items() if t == 1 for s in g.values()) < 2 * 1000
+
+
+def test_followers_of_rows_without_an_id(spark, monkeypatch):
+    """Many rows without an id are cut into ranges by the hash of their text; every row has one follower."""
+    from lifetide.llm import fingerprints
+    monkeypatch.setattr(fingerprints, "ROWS_PER_RANGE", 10)
+    rows = [(None, f"text {i % 90} " * (i % 7)) for i in range(150)] + [(i * 7, f"numbered {i}") for i in range(40)] + [(70, "again"), (2**62, "far"), (-5, "below")]
+    df = frame(spark, rows).withColumn("v", F.xxhash64(F.coalesce("text", F.lit(""))))
+    order = sorted(((r["doc_id"] is None, -(r["v"] if r["doc_id"] is None else r["doc_id"]), r["text"]) for r in df.collect()))
+    want = sorted((text[:len(text) - len(text) // 3] + order[(i + 1) % len(order)][2][:len(text) // 3]) for i, (_, _, text) in enumerate(order))
+    got = fingerprints.fingerprint_documents(frame(spark, rows)).collect()
+    assert sorted(r["edited_sha256"] for r in got) == sorted(hashlib.sha256(t.encode()).hexdigest() for t in want)

@@ -11,7 +11,7 @@ def labels_of(spark, rows):
 
 
 def operators(spark):
-    from lifetide.llm import decontam, fingerprints, jaccard, langid, licenses, mixing, pii, quality, spans, toxicity
+    from lifetide.llm import decontam, fingerprints, jaccard, langid, licenses, mixing, pii, quality, spans, toxicity, variants
     labels = labels_of(spark, [(i, i % 2, (i + 1) % 2) for i in range(9)] + [(None, 1, 0), (3, None, None), (6, 1, 0)])
     bench = spark.createDataFrame([(1, None), (2, ""), (3, "one two three four five six seven eight nine"), (None, "a b c d e f g h i")],
                                   "item_id long, text string").withColumn("doc_id", F.lit(5))
@@ -22,12 +22,12 @@ def operators(spark):
         "fingerprints": lambda d: fingerprints.fingerprint_documents(d), "toxicity": lambda d: toxicity.toxicity_of_documents(d, labels),
         "decontam": lambda d: decontam.contaminated(d, bench), "decontam_clean": lambda d: decontam.clean(d, bench),
         "langid": lambda d: langid.language_of_documents(d), "langid_keep": lambda d: langid.keep(d, langid.fit(langid.fold(d))),
-        "mixing": lambda d: mixing.mix(d),
+        "mixing": lambda d: mixing.mix(d), "variants": lambda d: variants.spelling_variants(d),
     }
 
 
 NAMES = ["jaccard", "jaccard_keep", "quality", "licenses", "spans", "pii", "fingerprints", "toxicity", "decontam", "decontam_clean",
-         "langid", "langid_keep", "mixing"]
+         "langid", "langid_keep", "mixing", "variants"]
 ROW_FOR_ROW = {"jaccard", "quality", "licenses", "spans", "pii", "fingerprints", "toxicity", "langid", "mixing"}
 
 
