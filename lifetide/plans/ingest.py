@@ -334,6 +334,21 @@ def customer_metrics_table(spark, base):
         "predicted_clv", "clv_confidence_score", "last_prediction_date")
 
 
+@query("distinct_counts_merged")
+def distinct_counts_merged(spark, base):
+    """Distinct products and buyers per store, from bitmaps per year of shipping (orders: of ordering) merged by OR (A2)."""
+    from lifetide.operators import distinct as DC
+    b = Bridge(spark, base)
+    o = b.raw("orders", ["o_orderkey", "o_custkey", "o_orderdate"]).select(
+        "o_orderkey", "o_custkey", store_of("o_custkey").alias("store_id"), F.year("o_orderdate").alias("year"))
+    sold = b.lineitems(["l_orderkey", "l_partkey", "l_shipdate"]).select("l_orderkey", "l_partkey", F.year("l_shipdate").alias("shipped")).join(
+        o, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
+    products = DC.bitmaps(sold, ["store_id", "shipped"], "l_partkey")
+    buyers = DC.bitmaps(o, ["store_id", "year"], "o_custkey")
+    return (DC.counts(products, ["store_id"], "products").join(DC.counts(buyers, ["store_id"], "buyers"), "store_id", "full_outer")
+            .select("store_id", F.coalesce("products", F.lit(0)).alias("products"), F.coalesce("buyers", F.lit(0)).alias("buyers")))
+
+
 # ------------------------------------------------------ alignment, stamps, catalog
 @query("aligned_orders")
 def aligned_orders(spark, base):
