@@ -11,10 +11,11 @@ A document is contaminated by an item when the occurrences that stay cover at
 least ``MIN_COVERAGE`` of the item's tokens.
 
 The document side streams past the windows of the benchmark when those are at
-most ``STREAMED`` (counted first); else both sides shuffle by window hash.  A
-window brings the values of its placeholders along, so each text is read once
-and no text is shuffled; only matching windows go on, so everything after the
-join is small.
+most ``STREAMED`` (counted first); else both sides shuffle by window hash.  Only
+matching windows go on, so everything after the join is small.  Slot values are
+read from the documents that have hits, whose ids are broadcast if they are at most
+``FOUND_STREAMED``; if more, the windows of all documents stream past the benchmark's again, now
+with their placeholders.  Either way no text is shuffled.
 
 Items of fewer than ``WINDOW`` template tokens have no such window.  They are
 found as they are written: the words, numbers and signs of the entire item must
@@ -41,6 +42,7 @@ from lifetide.llm.common import columns_but, stage, text_or_empty
 WINDOW = 8
 MIN_COVERAGE = 0.5
 STREAMED = 200_000         # windows of the benchmark that are broadcast (about 5 MB); more are shuffled
+FOUND_STREAMED = 500_000   # ids of documents with hits that are broadcast (about 10 MB) to read their placeholders
 
 # Units that may follow a number.
 UNITS = ("kg", "mg", "g", "km", "cm", "mm", "m", "ml", "l", "kmh", "mph", "miles", "mile", "feet", "inches", "pounds", "ounces",
@@ -84,20 +86,31 @@ def _type_of(token: Column) -> Column:
 
 
 def _windows(df: DataFrame, id_col: str, window: int) -> DataFrame:
-    """One row per window: number of tokens, place, hash, and its placeholders ``_k`` (null where a word stands)."""
+    """One row per window: number of tokens, place, hash."""
+    toks = df.select(F.col(id_col), tokens(text_or_empty()).alias("_t"))
+    hashes = F.when(F.size("_t") >= window, F.transform(_starts("_t", window), lambda i: F.xxhash64(F.slice("_t", i, window))))
+    return toks.select(id_col, F.size("_t").alias("_n"), F.posexplode(hashes).alias("_p", "_h"))
+
+
+def _starts(tokens_col: str, window: int) -> Column:
+    return F.sequence(F.lit(1), F.size(tokens_col) - (window - 1))
+
+
+def _marked_windows(df: DataFrame, id_col: str, window: int) -> DataFrame:
+    """The same, with the placeholders ``_k`` of the window (null where a word stands)."""
     placeholder = F.transform("_m", lambda m: F.when(F.contains(m, F.lit("⟦")), m))
     toks = (df.select(F.col(id_col), marked_tokens(text_or_empty()).alias("_m"))
             .withColumns({"_t": F.transform("_m", _type_of), "_k": F.when(F.exists("_m", lambda m: F.contains(m, F.lit("⟦"))), placeholder)}).drop("_m"))
     each = F.when(F.size("_t") >= window, F.transform(
-        F.sequence(F.lit(1), F.size("_t") - (window - 1)),
-        lambda i: F.struct(F.xxhash64(F.slice("_t", i, window)).alias("h"), F.slice("_k", i, window).alias("k"))))
+        _starts("_t", window), lambda i: F.struct(F.xxhash64(F.slice("_t", i, window)).alias("h"), F.slice("_k", i, window).alias("k"))))
     return (toks.select(id_col, F.size("_t").alias("_n"), F.posexplode(each).alias("_p", "_w"))
             .select(id_col, "_n", "_p", F.col("_w.h").alias("_h"), F.col("_w.k").alias("_k")))
 
 
 def _marks() -> Column:
     """Placeholders of a window: place in the text, and the marked token."""
-    return F.filter(F.transform("_k", lambda m, i: F.struct((F.col("_p") + i).alias("pos"), m.alias("token"))), lambda s: s["token"].isNotNull())
+    return F.filter(F.transform("_k", lambda m, i: F.struct((F.col("_p") + i).alias("pos"), m.alias("token"))),
+                    lambda s: F.coalesce(F.contains(s["token"], F.lit("⟦")), F.lit(False)))
 
 
 def _values(rows: DataFrame, id_col: str, prefix: str) -> DataFrame:
@@ -107,6 +120,15 @@ def _values(rows: DataFrame, id_col: str, prefix: str) -> DataFrame:
                     F.col("_k.token").alias(f"{prefix}value")))
 
 
+def _marks_found(docs: DataFrame, hits: DataFrame, theirs: DataFrame, window: int) -> DataFrame:
+    """doc_id, marks: the placeholders of the documents (or the windows) that have hits; texts are read again but not shuffled."""
+    found = stage(hits.select("doc_id").distinct(), "decontam-found")
+    if found.count() <= FOUND_STREAMED:
+        tokens_of = docs.join(F.broadcast(found), "doc_id", "left_semi").select("doc_id", marked_tokens(text_or_empty()).alias("_k"), F.lit(0).alias("_p"))
+        return tokens_of.select("doc_id", _marks().alias("marks"))
+    return _marked_windows(docs, "doc_id", window).select("doc_id", "_h", _marks().alias("marks")).join(theirs, "_h", "inner").select("doc_id", "marks")
+
+
 def plain(text: Column) -> Column:
     """Words, numbers and signs of a text, lower case."""
     return F.regexp_extract_all(F.lower(text), F.lit(PLAIN), F.lit(0))
@@ -144,21 +166,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     """One row per document and benchmark item found in it: doc_id, item_id, covered, item_tokens, coverage, exact."""
     docs = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "text")
     benchmark = benchmark.filter(F.col("item_id").isNotNull()).select("item_id", "text")
-    ours = _windows(docs, "doc_id", window)
-    items = stage(_windows(benchmark, "item_id", window).select("item_id", "_n", "_p", "_h", _marks().alias("marks")), "decontam-items")
+    items = stage(_marked_windows(benchmark, "item_id", window).select("item_id", "_n", "_p", "_h", _marks().alias("marks")), "decontam-items")
     theirs = items.groupBy("item_id", F.col("_p").alias("_ip"), "_h").agg(F.max("_n").alias("item_tokens"))
-    # the placeholders of a window go along: after the join, where the documents' side streams past a broadcast of known
-    # size; before it, where both sides are shuffled
-    if items.count() <= STREAMED:
-        found = ours.join(F.broadcast(theirs), "_h", "inner").withColumn("marks", _marks())
-    else:
-        found = ours.select("doc_id", "_p", "_h", _marks().alias("marks")).join(theirs, "_h", "inner")
-    hits = stage(found.select("doc_id", F.col("_p").alias("_dp"), "item_id", "_ip", "item_tokens", "marks").distinct(), "decontam-hits")
+    theirs = F.broadcast(theirs) if items.count() <= STREAMED else theirs
+    hits = stage(_windows(docs, "doc_id", window).select("doc_id", F.col("_p").alias("_dp"), "_h").join(theirs, "_h", "inner").drop("_h").distinct(),
+                 "decontam-hits")
     # covered positions of each occurrence (document position = item position + shift)
     covered = (hits.select("doc_id", "item_id", "item_tokens", (F.col("_dp") - F.col("_ip")).alias("_shift"),
                            F.explode(F.sequence(F.col("_ip"), F.col("_ip") + (window - 1))).alias("_pos")).distinct())
     item_values = _values(items, "item_id", "_i")
-    doc_values = _values(hits, "doc_id", "_d")
+    doc_values = _values(_marks_found(docs, hits, theirs, window), "doc_id", "_d")
     slots = (covered.join(item_values, (covered["item_id"] == item_values["item_id"]) & (F.col("_pos") == F.col("_ipos")), "inner")
              .select("doc_id", covered["item_id"], "_shift", "_pos", "_itype", "_ivalue"))
     slots = (slots.join(doc_values.withColumnRenamed("doc_id", "_doc"),

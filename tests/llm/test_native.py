@@ -290,3 +290,7 @@ def test_shuffled_windows_give_the_same(spark, monkeypatch):
     want = sorted(map(tuple, decontam.contaminated(docs, bench).collect()))
     monkeypatch.setattr(decontam, "STREAMED", 0)
     assert want and sorted(map(tuple, decontam.contaminated(docs, bench).collect())) == want
+    monkeypatch.setattr(decontam, "FOUND_STREAMED", 0)
+    assert sorted(map(tuple, decontam.contaminated(docs, bench).collect())) == want
+    monkeypatch.setattr(decontam, "STREAMED", 200_000)
+    assert sorted(map(tuple, decontam.contaminated(docs, bench).collect())) == want
