@@ -21,11 +21,14 @@ AS_OF = "2001-08-02 00:00:00"
 
 @pytest.fixture(autouse=True)
 def few_partitions(spark):
-    """Tiny tables in many jobs."""
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    """Tiny tables in many jobs: little to shuffle, and compiling plans would take most of the time."""
+    conf = {"spark.sql.shuffle.partitions": "2", "lifetide.upsert.buckets": "2", "spark.sql.codegen.wholeStage": "false"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     yield
-    spark.conf.set("spark.sql.shuffle.partitions", before)
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def day(n):
