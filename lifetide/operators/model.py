@@ -1,37 +1,26 @@
-"""Predicted CLV with MLlib (M1-M4).
-
-The seven features of ``metrics.FEATURES`` are assembled into a vector,
-standardised on the training rows only, and fed to gradient-boosted trees.
-Training, scoring and the train/validation split are all distributed; the
-split is a hash of the customer key, so it does not move when the data is
-repartitioned.
-
-Departures from the reference's booster (no bit-for-bit match is possible):
-depth-bounded trees instead of 31 leaves; feature sampling per node;
-early stopping by validation tolerance; Spark's scaler uses the sample
-standard deviation.
+"""Predicted CLV (M1-M4).
+
+The seven features of ``metrics.FEATURES`` are standardised on the training
+rows only and fed to boosted trees that grow leaf by leaf
+(``operators.boosting``).  Training, scoring and the train/validation split
+are all distributed; the split is a hash of the customer key, so it does not
+move when the data is repartitioned.
 """
 
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lifetide.functions import scalars as X
+from lifetide.operators import boosting
 from lifetide.operators import metrics as M
 
-# The reference's training settings, mapped to MLlib.
+# The reference's training settings.
 SEED = 42
 TRAIN_SHARE = 8            # of 10 hash buckets
-LEARNING_RATE = 0.05
-MAX_ROUNDS = 100
-FEATURE_FRACTION = "0.9"
-MAX_DEPTH = 5              # about 31 leaves
-VALIDATION_TOL = 0.01
+SETTINGS = boosting.Settings(leaves=31, rate=0.05, feature_share=0.9, rounds=100, patience=10, seed=SEED)
 
 
 def split_flag(df: DataFrame) -> DataFrame:
@@ -62,33 +51,14 @@ def training_frame(customers: DataFrame, orders: DataFrame, abandoned: DataFrame
             .withColumn("label", F.coalesce(F.col("_t"), F.lit(0)).cast("double")).drop("_t"))
 
 
-def pipeline() -> Pipeline:
-    assembler = VectorAssembler(inputCols=M.FEATURES, outputCol="raw_features", handleInvalid="keep")
-    scaler = StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)
-    gbt = GBTRegressor(featuresCol="features", labelCol="label", predictionCol="predicted_clv",
-                       maxIter=MAX_ROUNDS, stepSize=LEARNING_RATE, maxDepth=MAX_DEPTH,
-                       featureSubsetStrategy=FEATURE_FRACTION, seed=SEED,
-                       validationIndicatorCol="is_validation", validationTol=VALIDATION_TOL)
-    return Pipeline(stages=[assembler, scaler, gbt])
-
-
-def train(frame: DataFrame) -> PipelineModel:
+def train(frame: DataFrame) -> boosting.Model:
     """Fit on the 80% share; the 20% share drives early stopping.
-    The scaler is fitted on the training share only (M2)."""
-    flagged = split_flag(frame).persist(StorageLevel.MEMORY_AND_DISK)
+    The features are standardised on the training share only (M2)."""
+    flagged = split_flag(frame).select(*M.FEATURES, "label", "is_validation").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        stages = pipeline().getStages()
-        train_rows = flagged.filter(~F.col("is_validation"))
-        prep = Pipeline(stages=stages[:2]).fit(train_rows)
-        prepared = prep.transform(flagged).select("features", "label", "is_validation") \
-            .persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            gbt_model = stages[2].fit(prepared)
-        finally:
-            prepared.unpersist()
+        return boosting.fit(flagged, M.FEATURES, settings=SETTINGS)
     finally:
         flagged.unpersist()
-    return PipelineModel(stages=[*prep.stages, gbt_model])
 
 
 def history(as_of, *tables: DataFrame) -> list[DataFrame]:
@@ -96,7 +66,7 @@ def history(as_of, *tables: DataFrame) -> list[DataFrame]:
     return [df.filter(F.col("created_at") < X.ts_lit(as_of)) for df in tables]
 
 
-def predict(model: PipelineModel | None, profile: DataFrame, as_of) -> DataFrame:
+def predict(model: boosting.Model | None, profile: DataFrame, as_of) -> DataFrame:
     """Predicted CLV, confidence, prediction date, features used (M3, M4).
     ``profile``: as of ``as_of``, see ``history``; features and confidence come from one pass over it."""
     if model is None:
@@ -108,7 +78,7 @@ def predict(model: PipelineModel | None, profile: DataFrame, as_of) -> DataFrame
             .withColumn("features_used", F.array(*[F.lit(f) for f in M.FEATURES])))
 
 
-def rmse(model: PipelineModel, frame: DataFrame) -> float:
+def rmse(model: boosting.Model, frame: DataFrame) -> float:
     """Root mean squared error on a frame (one small aggregate)."""
     out = model.transform(frame).agg(
         F.sqrt(F.avg((F.col("predicted_clv") - F.col("label")) ** 2)).alias("rmse")).first()

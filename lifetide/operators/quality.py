@@ -7,11 +7,17 @@ rows per store.  Every check is one aggregate or anti-join over whole tables.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
+from pyarrow import fs
+from pyarrow import parquet as pq
+from pyspark.errors import PySparkTypeError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from lifetide.functions import scalars as X
 
@@ -125,15 +131,58 @@ def quarantine_rows(flagged: DataFrame, resource: str, as_of, root: str = "p") -
         X.ts_lit(as_of).alias("quarantined_at"))
 
 
-def column_listing(df: DataFrame, spark: SparkSession, expected: T.StructType | None = None) -> DataFrame:
+def column_listing(df: DataFrame, spark: SparkSession, expected: T.StructType | None = None, counted: bool = False) -> DataFrame:
     """Column listing of a table (V1): name, type, nullable, and whether the
-    canonical schema declares it.  Built from schema metadata only."""
+    canonical schema declares it.  Built from schema metadata only, unless
+    ``counted``: then also ``n_values``, the rows that hold a value, from one aggregate."""
     exp = {f.name: f.dataType.simpleString() for f in expected.fields} if expected else {}
     rows = [(f.name, f.dataType.simpleString(), f.nullable,
              (exp.get(f.name) == f.dataType.simpleString()) if expected else None)
             for f in df.schema.fields]
-    schema = "column_name string, data_type string, nullable boolean, matches_canonical boolean"
-    return spark.createDataFrame(rows, schema)
+    if not counted:
+        schema = "column_name string, data_type string, nullable boolean, matches_canonical boolean"
+        return spark.createDataFrame(rows, schema)
+    names = ("column_name", "data_type", "nullable", "matches_canonical")
+    listed = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)], F.col(f"_{i}").alias("n_values")) for i, row in enumerate(rows)]
+    counts = df.agg(*[F.count(F.col(f"`{row[0]}`")).alias(f"_{i}") for i, row in enumerate(rows)])
+    return counts.select(F.explode(F.array(*listed)).alias("c")).select("c.*")
+
+
+def footer_drift(spark: SparkSession, path: str, expected: T.StructType) -> DataFrame:
+    """Where the Parquet files under ``path`` depart from the canonical types (V1, V2):
+    file, column_name, found_type, expected_type, problem.
+
+    ``problem``: ``type`` (another type than declared), ``missing`` (no such column; the
+    folder's ``name=value`` parts count as columns), ``extra`` (not declared) or
+    ``unreadable`` (no footer; no column).  A folder whose files all agree gives no row.
+    Spark lists the files without opening them; the tasks read each file's footer only,
+    so the work grows with the number of files, not their size.  Column names compare as
+    written.  Paths: local, or of a store that pyarrow can open."""
+    declared = {f.name: f.dataType.simpleString() for f in expected.fields}
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [row for uri in batch.column(0).to_pylist() for row in _departures(uri, declared)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in found], pa.string()) for i in range(5)], names=names)
+
+    names = ["file", "column_name", "found_type", "expected_type", "problem"]
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+             .load(path).select("path"))
+    return files.mapInArrow(read, ", ".join(f"{n} string" for n in names))
+
+
+def _departures(uri: str, declared: dict[str, str]) -> list[tuple]:
+    """The departures of one file, from its footer."""
+    try:
+        store, inside = fs.FileSystem.from_uri(uri)
+        with store.open_input_file(inside) as f:
+            footer = pq.read_schema(f)
+        found = {f.name: f.dataType.simpleString() for f in from_arrow_schema(footer, prefer_timestamp_ntz=True).fields}
+    except (OSError, ValueError, TypeError, PySparkTypeError):   # no Parquet, or of a type that Spark cannot read
+        return [(uri, None, None, None, "unreadable")]
+    folders = {part.split("=", 1)[0] for part in uri.split("/")[:-1] if "=" in part}
+    out = [(uri, c, t, declared.get(c), "type" if c in declared else "extra") for c, t in found.items() if declared.get(c) != t]
+    return out + [(uri, c, None, t, "missing") for c, t in declared.items() if c not in found and c not in folders]
 
 
 def tables_present(spark: SparkSession, expected: list[str], database: str | None = None) -> DataFrame:

@@ -366,11 +366,8 @@ def column_listing(spark, base):
     b = Bridge(spark, base)
     parts = []
     for name, df in (("customers", b.customers()), ("orders", b.orders()), ("abandoned_checkouts", b.abandoned_checkouts())):
-        fields = [f for f in TABLES[name].fields if f.name in df.columns]
-        counts = df.agg(*[F.count(f.name).alias(f.name) for f in fields])
-        rows = F.array(*[F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type"),
-                                  F.col(f.name).alias("n_values")) for f in fields])
-        parts.append(counts.select(F.lit(name).alias("table_name"), F.explode(rows).alias("c")).select("table_name", "c.*"))
+        listed = Q.column_listing(df, spark, TABLES[name], counted=True).filter(F.col("matches_canonical"))
+        parts.append(listed.select(F.lit(name).alias("table_name"), "column_name", "data_type", "n_values"))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 

@@ -72,3 +72,25 @@ def test_store_status_lists_registered_and_failed_stores(spark):
     status = spark.createDataFrame([("s1", True), ("s1", False), ("s2", True)], "store_id string, success boolean")
     got = {r.store_id: (r.customer_count, r.order_count, r.status) for r in R.store_status(customers, orders, registry, status).collect()}
     assert got == {"s1": (1, 0, "error"), "s2": (0, 0, "active")}
+
+
+def test_counted_listing(spark):
+    df = spark.createDataFrame([("s1", None), ("s2", 3)], "store_id string, `odd.name` int")
+    got = [(r.column_name, r.data_type, r.n_values, r.matches_canonical) for r in Q.column_listing(df, spark, ORDERS, counted=True).collect()]
+    assert got == [("store_id", "string", 2, True), ("odd.name", "int", 1, False)]
+
+
+def test_footer_drift_names_the_file(spark, tmp_dir):
+    from pyspark.sql import types as T
+    declared = T.StructType.fromDDL("store_id string, id string, total decimal(18,2), at timestamp_ntz")
+    for store, total in (("s1", "decimal(18,2)"), ("s2", "decimal(18,2)"), ("s3", "double")):
+        spark.sql(f"SELECT 'a' AS id, CAST(1 AS {total}) AS total, TIMESTAMP_NTZ '2001-01-01' AS at").coalesce(1) \
+            .write.parquet(f"{tmp_dir}/orders/store_id={store}")
+    assert not [r for r in Q.footer_drift(spark, f"{tmp_dir}/orders", declared).collect() if "s3" not in r.file]
+    spark.sql("SELECT 'a' AS id, 1 AS more, CAST(1 AS decimal(18,2)) AS total").coalesce(1).write.parquet(f"{tmp_dir}/orders/store_id=s4")
+    with open(f"{tmp_dir}/orders/broken.parquet", "wb") as f:
+        f.write(b"no footer")
+    got = {(r.file.split("/orders/")[1].split("/")[0], r.column_name, r.found_type, r.expected_type, r.problem)
+           for r in Q.footer_drift(spark, f"{tmp_dir}/orders", declared).collect()}
+    assert got == {("store_id=s3", "total", "double", "decimal(18,2)", "type"), ("store_id=s4", "more", "int", None, "extra"),
+                   ("store_id=s4", "at", None, "timestamp_ntz", "missing"), ("broken.parquet", None, None, None, "unreadable")}
