@@ -1,6 +1,6 @@
 """Model plan: train on history before a cutoff, score every customer (M1-M4).
 
-GBT training is iterative, so this query has no SQL twin; its checks are
+Boosting is iterative, so this query has no SQL twin; its checks are
 the property tests in tests/test_model.py.
 """
 
