@@ -82,3 +82,22 @@ def test_every_record_is_parsed_once(spark, name, parses):
     plan = get_queries()[name](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan()
     lines = [line for line in plan.toString().split("\n") if "from_json(" in line]
     assert len(lines) == parses and not any(line.lstrip(" :+-").startswith("Filter") for line in lines)
+
+
+def test_a_task_reads_little_whatever_the_input(spark):
+    """6 GB on 12 cores: a key count holds a few million keys in a task, as over 1 GB (V3)."""
+    from lifetide.session import TASK_BYTES, shuffle_partitions_for, size_shuffles
+    assert shuffle_partitions_for(6 * 10**9, cores=12) == 90
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", *TASK_BYTES)}
+    try:
+        for k in TASK_BYTES:
+            spark.conf.unset(k)
+        size_shuffles(spark, SF_SMALL)
+        assert {k: spark.conf.get(k) for k in TASK_BYTES} == dict.fromkeys(TASK_BYTES, "32MB")
+        for k in TASK_BYTES:
+            spark.conf.set(k, "8m")
+        size_shuffles(spark, SF_SMALL)
+        assert {spark.conf.get(k) for k in TASK_BYTES} == {"8m"}      # a choice stays
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
