@@ -19,6 +19,7 @@ empty tables give empty results; extra columns are ignored (``identify`` and
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import numpy as np
@@ -81,6 +82,23 @@ def _margins(texts, table: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np
 
 
 # ------------------------------------------------------------------ training
+def _blocks(n: int, width: int) -> list[slice]:
+    """Even parts of n rows (or columns) of ``width`` numbers, each of one to two million numbers (or all)."""
+    edges = np.linspace(0, n, max(1, n * width >> 20) + 1).astype(int).tolist()
+    return [slice(lo, hi) for lo, hi in zip(edges, edges[1:], strict=False)]
+
+
+def _product(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """x @ w in blocks of rows: a wider type of ``w`` is taken by one block at a time, not by a copy of all of ``x``."""
+    return np.concatenate([x[rows] @ w for rows in _blocks(*x.shape)])
+
+
+def _transposed_product(x: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """x.T @ v in blocks of columns, likewise."""
+    turned = np.ascontiguousarray if v.dtype == x.dtype else np.asarray
+    return np.concatenate([turned(x[:, cols].astype(v.dtype).T) @ v for cols in _blocks(*x.T.shape)])
+
+
 def _svm(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Linear SVMs with squared hinge loss, one for each column of ``y`` (+1, -1; 0: not in this problem).
 
@@ -94,17 +112,16 @@ def _svm(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     weight = np.where(y > 0, n / (2 * pos), n / (2 * neg)).astype(np.float32) * used / n
     w = np.zeros((x.shape[1], y.shape[1]), np.float32)
     b = np.zeros(y.shape[1], np.float32)
-    xt = np.ascontiguousarray(x.T)
     probe = np.random.default_rng(0).normal(size=x.shape[1]).astype(np.float32)
     for _ in range(12):
-        probe = xt @ (x @ probe)
+        probe = _transposed_product(x, x @ probe)
         probe /= np.linalg.norm(probe) + 1e-12
     norm = float(np.square(x @ probe).sum()) + len(x)
     step = 1.0 / (2 * norm * float(weight.max()) + PENALTY)
     wy, by, t = w.copy(), b.copy(), 1.0
     for _ in range(ROUNDS):
-        slack = np.maximum(0, 1 - y * (x @ wy + by)) * weight * y
-        w2, b2 = wy + step * (2 * (xt @ slack) - PENALTY * wy), by + step * 2 * slack.sum(axis=0)
+        slack = np.maximum(0, 1 - y * (_product(x, wy) + by)) * weight * y
+        w2, b2 = wy + step * (2 * _transposed_product(x, slack) - PENALTY * wy), by + step * 2 * slack.sum(axis=0)
         t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2
         wy, by = w2 + (t - 1) / t2 * (w2 - w), b2 + (t - 1) / t2 * (b2 - b)
         w, b, t = w2, b2, t2
@@ -114,8 +131,8 @@ def _svm(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Model:
     """Families, language pairs and one look-up table with a column for each linear model."""
 
-    def __init__(self, langs: list[str], x: np.ndarray, y: np.ndarray):
-        """langs: all languages, sorted; x: frequencies; y: index of the language of each row."""
+    def __init__(self, langs: list[str], x: np.ndarray, y: np.ndarray, reuse: bool = False):
+        """langs: all languages, sorted; x: frequencies (``reuse``: they may be scaled in place, which holds them once); y: index of the language of each row."""
         self.langs = langs
         self.families = sorted({family_of(v) for v in langs})
         self.family = np.array([self.families.index(family_of(v)) for v in langs], np.int64)
@@ -127,7 +144,7 @@ class Model:
         self.table, self.bias = np.zeros((1 << BITS, 0), np.float32), np.zeros(0)
         if columns:
             scale = 1 / np.sqrt(x.mean(axis=0) + 1e-6)
-            w, self.bias = _svm(x * scale, np.stack(columns, axis=1).astype(np.float32))
+            w, self.bias = _svm(np.multiply(x, scale, out=x if reuse else None), np.stack(columns, axis=1).astype(np.float32))
             self.table = np.ascontiguousarray((w * scale[:, None]).astype(np.float32))
 
     def predict(self, texts) -> tuple[np.ndarray, np.ndarray]:
@@ -171,13 +188,17 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     @arrow_udf("binary")
     def features(texts: pa.Array) -> pa.Array:
         rows = [r for part in pieces(flat(texts)) for r in (_frequencies(part) * 1000).astype(np.float16)]
-        return pa.array([r.tobytes() for r in rows], pa.binary())
+        return pa.array([zlib.compress(r.tobytes(), 1) for r in rows], pa.binary())
 
     got = sample.select("lang", "doc_id", features("text").alias("x")).orderBy("doc_id", "lang").collect()
     langs = sorted({r["lang"] for r in got})
-    x = (np.frombuffer(b"".join(r["x"] for r in got), np.float16).reshape(len(got), 1 << BITS).astype(np.float32) / 1000
-         if got else np.zeros((0, 1 << BITS), np.float32))
-    return Model(langs, x, np.array([langs.index(r["lang"]) for r in got], np.int64))
+    y = np.array([langs.index(r["lang"]) for r in got], np.int64)
+    # unpacked one by one: the driver holds the sample as numbers once
+    x = np.empty((len(got), 1 << BITS), np.float32)
+    for row, packed in zip(x, got, strict=True):
+        np.divide(np.frombuffer(zlib.decompress(packed["x"]), np.float16), 1000, out=row, dtype=np.float32)
+    del got
+    return Model(langs, x, y, reuse=True)
 
 
 def predictor(model: Model) -> Callable:

@@ -111,3 +111,28 @@ def test_unknown_languages_and_families(spark):
     model = fit(frame(spark, rows))
     kept = {r["doc_id"] for r in keep(frame(spark, rows + [(99, "1234 5678 !!"), (98, None)]), model).collect()}
     assert kept == set(range(40))
+
+
+def test_language_fit_holds_the_sample_once(spark):
+    """Fitting holds the features once and blocks of them on the driver, and gives the model of plain numbers."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from lifetide.llm import langid
+    words = {"de": "der die das und nicht ein Haus", "en": "the and of with this a house", "fr": "le la les et une maison"}
+    rows = [(i, f"{w} {i * 7919 % 1000} {w[i % 9:]}", k) for i in range(600) for j, (k, w) in enumerate(words.items()) if i % 3 == j]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    langid.fit(docs)
+    tracemalloc.start()
+    try:
+        model = langid.fit(docs)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 2.5 * len(rows) * 4 * (1 << langid.BITS)
+    # the same model from features held as plain numbers
+    texts = pa.array([t for _, t, _ in rows], pa.large_string())
+    freq = (langid._frequencies(texts) * 1000).astype(np.float16).astype(np.float32) / 1000
+    plain = langid.Model(sorted(words), freq, np.array([sorted(words).index(k) for _, _, k in rows]))
+    assert plain.langs == model.langs and np.array_equal(plain.table, model.table) and np.array_equal(plain.bias, model.bias)
