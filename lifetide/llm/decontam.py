@@ -85,25 +85,36 @@ def _type_of(token: Column) -> Column:
     return F.substring_index(token, "⟦", 1)
 
 
-def _windows(df: DataFrame, id_col: str, window: int) -> DataFrame:
-    """One row per window: number of tokens, place, hash."""
-    toks = df.select(F.col(id_col), tokens(text_or_empty()).alias("_t"))
-    hashes = F.when(F.size("_t") >= window, F.transform(_starts("_t", window), lambda i: F.xxhash64(F.slice("_t", i, window))))
-    return toks.select(id_col, F.size("_t").alias("_n"), F.posexplode(hashes).alias("_p", "_h"))
+def _hashed(words: Column) -> Column:
+    """A hash per word: windows are hashed from these, no word is read again for each window that holds it."""
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def _at(column: str, start: Column, window: int) -> list[Column]:
+    """The ``window`` entries from ``start`` (from 0), each read by its place (a slice would copy the whole array for each window)."""
+    return [F.get(F.col(column), start + k) for k in range(window)]
 
 
-def _starts(tokens_col: str, window: int) -> Column:
-    return F.sequence(F.lit(1), F.size(tokens_col) - (window - 1))
+def _starts(hashes: str, window: int) -> Column:
+    return F.sequence(F.lit(0), F.size(hashes) - window)
+
+
+def _windows(df: DataFrame, id_col: str, window: int) -> DataFrame:
+    """One row per window: place, hash."""
+    toks = df.select(F.col(id_col), _hashed(tokens(text_or_empty())).alias("_t"))
+    hashes = F.when(F.size("_t") >= window, F.transform(_starts("_t", window), lambda i: F.xxhash64(*_at("_t", i, window))))
+    return toks.select(id_col, F.posexplode(hashes).alias("_p", "_h"))
 
 
 def _marked_windows(df: DataFrame, id_col: str, window: int) -> DataFrame:
-    """The same, with the placeholders ``_k`` of the window (null where a word stands)."""
+    """The same, with the number of tokens and the placeholders ``_k`` of the window (null where a word stands)."""
     placeholder = F.transform("_m", lambda m: F.when(F.contains(m, F.lit("⟦")), m))
     toks = (df.select(F.col(id_col), marked_tokens(text_or_empty()).alias("_m"))
-            .withColumns({"_t": F.transform("_m", _type_of), "_k": F.when(F.exists("_m", lambda m: F.contains(m, F.lit("⟦"))), placeholder)}).drop("_m"))
-    each = F.when(F.size("_t") >= window, F.transform(
-        _starts("_t", window), lambda i: F.struct(F.xxhash64(F.slice("_t", i, window)).alias("h"), F.slice("_k", i, window).alias("k"))))
-    return (toks.select(id_col, F.size("_t").alias("_n"), F.posexplode(each).alias("_p", "_w"))
+            .withColumns({"_n": F.size("_m"), "_t": _hashed(F.transform("_m", _type_of)),
+                          "_k": F.when(F.exists("_m", lambda m: F.contains(m, F.lit("⟦"))), placeholder)}).drop("_m"))
+    each = F.when(F.col("_n") >= window, F.transform(_starts("_t", window), lambda i: F.struct(
+        F.xxhash64(*_at("_t", i, window)).alias("h"), F.when(F.col("_k").isNotNull(), F.array(*_at("_k", i, window))).alias("k"))))
+    return (toks.select(id_col, "_n", F.posexplode(each).alias("_p", "_w"))
             .select(id_col, "_n", "_p", F.col("_w.h").alias("_h"), F.col("_w.k").alias("_k")))
 
 
@@ -115,7 +126,9 @@ def _marks() -> Column:
 
 def _values(rows: DataFrame, id_col: str, prefix: str) -> DataFrame:
     """One row per placeholder of the windows in ``rows`` (with ``marks``): position, type, value."""
-    return (rows.select(F.col(id_col), F.explode("marks").alias("_k")).distinct()
+    # an outer explode: for an inner one Spark infers a filter on the marks and moves it below the join with the ids
+    # found, so that the marks of every document would be read
+    return (rows.select(F.col(id_col), F.explode_outer("marks").alias("_k")).filter(F.col("_k").isNotNull()).distinct()
             .select(id_col, F.col("_k.pos").alias(f"{prefix}pos"), _type_of(F.col("_k.token")).alias(f"{prefix}type"),
                     F.col("_k.token").alias(f"{prefix}value")))
 
@@ -135,10 +148,9 @@ def plain(text: Column) -> Column:
 
 
 def _plain_windows(df: DataFrame, sizes: list[int], *keep: str) -> DataFrame:
-    """One row per window of ``sizes`` words of ``_w``: position and hash."""
+    """One row per window of ``sizes`` words of ``_w`` (their hashes): position and hash."""
     def of(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.size("_w") - (n - 1))
-        return F.when(F.size("_w") >= n, F.transform(starts, lambda i: F.struct((i - 1).alias("p"), F.xxhash64(F.slice("_w", i, n)).alias("h"))))
+        return F.when(F.size("_w") >= n, F.transform(_starts("_w", n), lambda i: F.struct(i.alias("p"), F.xxhash64(*_at("_w", i, n)).alias("h"))))
     found = F.flatten(F.filter(F.array(*map(of, sizes)), lambda a: a.isNotNull()))
     return df.select(*keep, F.explode(found).alias("_x")).select(*keep, "_x.p", "_x.h")
 
@@ -151,11 +163,11 @@ def _short_items(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFram
     sizes = sorted(r[0] for r in short.select("_size").distinct().collect())      # at most ``window`` numbers
     if not sizes:
         return None
-    short = short.withColumns({"_item": F.xxhash64("_w"), "_all": F.size("_w") - F.col("_size") + 1})
+    short = short.withColumns({"_item": F.xxhash64("_w"), "_all": F.size("_w") - F.col("_size") + 1, "_w": _hashed(F.col("_w"))})
     keys = ("item_id", "_item", "item_tokens", "_all")
     theirs = [_plain_windows(short.filter(F.col("_size") == n), [n], *keys) for n in sizes]
     theirs = functools.reduce(DataFrame.union, theirs).withColumnRenamed("p", "_ip")
-    ours = _plain_windows(docs.select("doc_id", plain(text_or_empty()).alias("_w")), sizes, "doc_id")
+    ours = _plain_windows(docs.select("doc_id", _hashed(plain(text_or_empty())).alias("_w")), sizes, "doc_id")
     return (ours.join(theirs, "h", "inner").groupBy("doc_id", *keys, (F.col("p") - F.col("_ip")).alias("_shift"))
             .agg(F.count_distinct("_ip").alias("_hits")).filter("_hits = _all")
             .groupBy("doc_id", "item_id").agg(F.max("item_tokens").cast("long").alias("item_tokens")))

@@ -294,3 +294,32 @@ def test_shuffled_windows_give_the_same(spark, monkeypatch):
     assert sorted(map(tuple, decontam.contaminated(docs, bench).collect())) == want
     monkeypatch.setattr(decontam, "STREAMED", 200_000)
     assert sorted(map(tuple, decontam.contaminated(docs, bench).collect())) == want
+
+
+def test_only_documents_with_hits_are_read_for_placeholders(spark):
+    """No filter on the placeholders goes below the join with the ids found (it would read those of every document)."""
+    from lifetide.llm import decontam
+    docs = frame(spark, [(1, ITEM), (2, "nothing of it " * 20)]).select("doc_id", "text")
+    bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    theirs = decontam._marked_windows(bench, "item_id", 8).select("item_id", "_h")
+    hits = decontam._windows(docs, "doc_id", 8).join(theirs, "_h", "inner")
+    values = decontam._values(decontam._marks_found(docs, hits, theirs, 8), "doc_id", "_d")
+    assert {(r["doc_id"], r["_dtype"], r["_dvalue"]) for r in values.collect()} >= {(1, "ǂname", "ǂname⟦tom⟧"), (1, "ǂnum", "ǂnum⟦5⟧")}
+    plan = values._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and not [x for x in plan.splitlines() if "Filter" in x and "regexp" in x]
+
+
+def test_windows_read_their_words_by_place(spark):
+    """No slice of the whole array for each window, and every window of a text has its hash."""
+    from lifetide.llm import decontam
+    texts = ["a b c d e f g h i j", "z a b c d e f g h", "Zz 7 b c d e f g h", "a b c d e f g", "", None]
+    docs = frame(spark, list(enumerate(texts))).select("doc_id", "text")
+    ours, marked = decontam._windows(docs, "doc_id", 8), decontam._marked_windows(docs, "doc_id", 8)
+    got = sorted(map(tuple, ours.select("doc_id", "_p", "_h").collect()))
+    assert [r[:2] for r in got] == [(0, 0), (0, 1), (0, 2), (1, 0), (1, 1), (2, 0), (2, 1)]
+    assert got[0][2] == got[4][2] and len({r[2] for r in got}) == 6
+    assert sorted(map(tuple, marked.select("doc_id", "_p", "_h").collect())) == got
+    assert {(r["doc_id"], r["_p"]): r["_k"] for r in marked.collect()}[(2, 1)] == ["ǂnum⟦7⟧", *[None] * 7]
+    short = decontam._plain_windows(docs.select("doc_id", decontam.plain(F.coalesce("text", F.lit(""))).alias("_w")), [2, 9], "doc_id")
+    assert short.filter("doc_id = 0").count() == 9 + 2 and short.filter("doc_id > 3").count() == 0
+    assert not any("slice(" in d._jdf.queryExecution().optimizedPlan().toString() for d in (ours, marked, short))
