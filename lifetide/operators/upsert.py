@@ -250,10 +250,13 @@ def release(*touched: DataFrame) -> None:
 
 
 def touched_rows(spark: SparkSession, path: str, name: str, keys: DataFrame) -> DataFrame:
-    """Stored rows of ``keys`` (store_id and the table's key), reading only the partitions they are in."""
+    """Stored rows of ``keys`` (store_id and the table's key), reading only the partitions they are in.
+
+    A table that is not there has none; it is not created, as reading changes nothing."""
     from lifetide.schemas import KEYS
     key = KEYS[name]
-    stored = read_touched(spark, path, name, keys, key, create_table(spark, path, name))
+    n = table_buckets(spark, path) if table_exists(spark, path) else N_BUCKETS
+    stored = read_touched(spark, path, name, keys, key, n)
     out = stored.join(keys.select("store_id", key).distinct(), ["store_id", key], "left_semi")
     out.touched_parts = stored.touched_parts
     return out
